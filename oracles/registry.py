@@ -1,5 +1,5 @@
 """All oracle SQL by query name."""
 
-from oracles import gold
+from oracles import gold, quality
 
-ORACLES = {**gold.ORACLES}
+ORACLES = {**gold.ORACLES, **quality.ORACLES}

@@ -1,0 +1,39 @@
+"""Keyed upserts that leave untouched rows where they are."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+from tidegate.session import stage
+
+
+def same_keys(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
+    return reduce(lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in pairs])
+
+
+def newer_rows(current: DataFrame, newest: DataFrame, keys: list[str], sequence: list[str]) -> DataFrame:
+    """Rows of `newest` whose key is absent from `current` or stored with an older sequence.
+
+    Only key and sequence columns of `current` are scanned, and only for keys that occur in
+    `newest`; when `newest` is small that semi join is a broadcast and `current` never moves.
+    """
+    renamed_keys = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+    stored = current.select(*renamed_keys, F.struct(*sequence).alias("_stored"))
+    pairs = [(f"_k{i}", k) for i, k in enumerate(keys)]
+    asked = newest.select(*keys)
+    relevant = stored.join(asked, same_keys(stored, asked, pairs), "left_semi")
+    matched = newest.join(relevant, same_keys(newest, relevant, [(k, n) for n, k in pairs]), "left")
+    kept = matched.filter(F.col("_stored").isNull() | (F.struct(*sequence) > F.col("_stored")))
+    return kept.select(*newest.columns)
+
+
+def upsert(current: DataFrame | None, newest: DataFrame, keys: list[str], sequence: list[str]) -> DataFrame:
+    """`current` with its older rows replaced by `newest` (one row per key in both)."""
+    if current is None:
+        return newest
+    winners = stage(newer_rows(current, newest, keys, sequence), "winners")
+    lost = winners.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+    kept = current.join(lost, same_keys(current, lost, [(k, f"_k{i}") for i, k in enumerate(keys)]), "left_anti")
+    return kept.unionByName(winners)

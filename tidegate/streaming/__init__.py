@@ -1,0 +1 @@
+"""Structured Streaming forms of the landing, validation and change-application operators."""
