@@ -1,5 +1,5 @@
 """All oracle SQL by query name."""
 
-from oracles import gold, quality
+from oracles import gold, ingest, quality
 
-ORACLES = {**gold.ORACLES, **quality.ORACLES}
+ORACLES = {**gold.ORACLES, **quality.ORACLES, **ingest.ORACLES}

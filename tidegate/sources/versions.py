@@ -118,11 +118,16 @@ class AppendLog:
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
         self._folder = _Folder(spark, path)
 
+    def runs(self) -> list[str]:
+        """Names of the runs that have finished their append."""
+        return [n.split("=", 1)[1] for n in self._folder.names()
+                if n.startswith("run=") and "_SUCCESS" in self._folder.names(n)]
+
     def append(self, rows: DataFrame, run: str) -> None:
         rows.write.mode("overwrite").parquet(f"{self.path}/run={run}")
 
     def read(self) -> DataFrame:
-        runs = [n for n in self._folder.names() if n.startswith("run=")]
+        runs = self.runs()
         if not runs:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/{n}" for n in runs])
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/run={n}" for n in runs])
