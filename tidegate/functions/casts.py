@@ -1,57 +1,59 @@
-"""Guarded casts: a text becomes a value only in the forms a contract allows, else NULL.
+"""Guarded casts as SQL text: a text becomes a value only in the forms a contract allows.
 
 Spark's own casts accept more ('+5' as a number, 'yes' as true, '2026' as a date) and drop a
-zone offset silently, so every form is checked by a pattern first.
+zone offset silently, so every form is checked by a pattern first; anything else is NULL.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
 from tidegate.sources.specs import ColumnSpec
 
 _SPACE = " \t\n\r\f\u000b"
-_INT = r"^-?[0-9]+$"
-_DECIMAL = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
-_BASIC_DATE = r"^([0-9]{4})([0-9]{2})([0-9]{2})$"
-_TIMESTAMP = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.,][0-9]{1,6})?)?)?$"
+_INT = "^-?[0-9]+$"
+_DECIMAL = "^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+_DATE = "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+_BASIC_DATE = "^([0-9]{4})([0-9]{2})([0-9]{2})$"
+_TIMESTAMP = "^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}([.,][0-9]{1,6})?)?)?$"
+
+
+def quoted(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def stripped(text: Column) -> Column:
-    return F.btrim(text, F.lit(_SPACE))
+def stripped(text: str) -> str:
+    return f"btrim({text}, {quoted(_SPACE)})"
 
 
-def is_blank(text: Column) -> Column:
+def is_blank(text: str) -> str:
     """NULL, empty, or white space only."""
-    return text.isNull() | (stripped(text) == "")
+    return f"coalesce({stripped(text)}, '') = ''"
 
 
-def to_int(text: Column) -> Column:
-    return F.when(text.rlike(_INT), text.try_cast("bigint"))
+def to_int(text: str) -> str:
+    return f"if({text} RLIKE '{_INT}', try_cast({text} AS bigint), NULL)"
 
 
-def to_money(text: Column, scale: int) -> Column:
+def to_money(text: str, scale: int) -> str:
     """Half-even rounding to the declared scale; what does not fit 18 digits is not a value."""
-    exact = F.when(text.rlike(_DECIMAL), text.try_cast("decimal(38,20)"))
-    return F.bround(exact, scale).try_cast(f"decimal(18,{scale})")
+    exact = f"if({text} RLIKE '{_DECIMAL}', try_cast({text} AS decimal(38,20)), NULL)"
+    return f"try_cast(bround({exact}, {scale}) AS decimal(18,{scale}))"
 
 
-def to_date(text: Column) -> Column:
-    dashed = F.regexp_replace(text, _BASIC_DATE, "$1-$2-$3")
-    return F.when(dashed.rlike(_DATE), dashed.try_cast("date"))
+def to_date(text: str) -> str:
+    dashed = f"regexp_replace({text}, '{_BASIC_DATE}', '$1-$2-$3')"
+    return f"if({dashed} RLIKE '{_DATE}', try_cast({dashed} AS date), NULL)"
 
 
-def to_timestamp(text: Column) -> Column:
-    return F.when(text.rlike(_TIMESTAMP), F.replace(text, F.lit(","), F.lit(".")).try_cast("timestamp_ntz"))
+def to_timestamp(text: str) -> str:
+    return f"if({text} RLIKE '{_TIMESTAMP}', try_cast(replace({text}, ',', '.') AS timestamp_ntz), NULL)"
 
 
-def to_bool(text: Column) -> Column:
-    low = F.lower(text)
-    return F.when(low == "true", F.lit(True)).when(low == "false", F.lit(False))
+def to_bool(text: str) -> str:
+    return f"CASE lower({text}) WHEN 'true' THEN true WHEN 'false' THEN false END"
 
 
-def typed(text: Column, column: ColumnSpec) -> Column:
+def typed(text: str, column: ColumnSpec) -> str:
     """The value of a delivered text under its contract, NULL when it cannot be read."""
     if column.type == "string":
         return text

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tidegate.functions import casts
+from tidegate.functions.codes import entries_where
+from tidegate.operators.ordering import latest_per_key
 from tidegate.sources.specs import ColumnSpec, DatasetSpec
 
 # Row-level reason codes.
@@ -35,42 +37,47 @@ def schema_diff(spec: DatasetSpec, observed: list[str]) -> SchemaDiff:
                       sorted(c for c in spec.required() if c not in have))
 
 
-def _problem(column: str, reason: str) -> Column:
-    return F.struct(F.lit(column).alias("column"), F.lit(reason).alias("reason"))
+def _checks(text: str, value: str, column: ColumnSpec, is_key: bool) -> list[tuple[str, str]]:
+    """(condition, problem) of one column; at most one condition holds for a row."""
 
+    def problem(reason: str) -> str:
+        return f"named_struct('column', {casts.quoted(column.name)}, 'reason', '{reason}')"
 
-def _check(text: Column, value: Column, column: ColumnSpec, is_key: bool) -> Column:
-    """The problem of one column, or NULL."""
     blank = casts.is_blank(text)
-    found = F.when(~blank & value.isNull(), _problem(column.name, CAST_FAILED))
+    found = [(f"NOT {blank} AND {value} IS NULL", problem(CAST_FAILED))]
     if column.required:
-        code = NULL_PRIMARY_KEY if is_key else MISSING_REQUIRED
-        found = F.when(blank, _problem(column.name, code)).otherwise(found)
+        found.append((blank, problem(NULL_PRIMARY_KEY if is_key else MISSING_REQUIRED)))
     if column.type == "enum":
-        found = F.when(~blank & ~value.isin(*column.values), _problem(column.name, INVALID_ENUM)).otherwise(found)
+        allowed = ", ".join(casts.quoted(v) for v in column.values)
+        found.append((f"NOT {blank} AND {value} NOT IN ({allowed})", problem(INVALID_ENUM)))
     return found
 
 
 def validate(spec: DatasetSpec, extract: DataFrame, keep_raw: bool = True) -> DataFrame:
     """Typed columns, all problems of the row in contract order, and the raw row as JSON.
 
-    One projection over the scan. Typed values of a row with problems are not to be used.
+    Two projections over the scan, both in generated code. Typed values of a row with
+    problems are not to be used.
     """
+    delivered = extract.columns
+    texts = [f"cast(`{c}` AS string) AS `{c}`" if c in delivered else f"cast(NULL AS string) AS `{c}`"
+             for c in spec.columns]
     values, checks = [], []
-    for column in spec.columns.values():
-        if column.name in extract.columns:
-            text = F.col(f"`{column.name}`").cast("string")
-        else:
-            text = F.lit(None).cast("string")
-        value = F.when(~casts.is_blank(text), casts.typed(text, column))
-        values.append(value.cast(column.spark_type()).alias(column.name))
-        checks.append(_check(text, value, column, column.name in spec.primary_key))
-    problems = F.array_compact(F.array(*checks)).cast(PROBLEMS_TYPE).alias(PROBLEMS)
-    raw = [F.to_json(F.struct(*[F.col(f"`{c}`") for c in sorted(extract.columns)]),
-                     {"ignoreNullFields": "false"}).alias(RAW)] if keep_raw else []
+    for name, column in spec.columns.items():
+        text = f"`{name}`"
+        value = casts.typed(text, column)
+        kind = column.spark_type().simpleString()
+        values.append(f"cast(if({casts.is_blank(text)}, NULL, {value}) AS {kind}) AS `{name}`")
+        checks.extend(_checks(text, value, column, name in spec.primary_key))
+    raw = []
+    if keep_raw:
+        fields = ", ".join(f"`{c}`" for c in sorted(delivered))
+        texts.append(f"to_json(struct({fields}), map('ignoreNullFields', 'false')) AS {RAW}")
+        raw = [RAW]
     # The window test of a rejected row reads its cursor text as delivered, unstripped.
-    delivered = F.col(f"`{spec.cursor_column}`").cast("string")
-    return extract.select(*values, problems, casts.to_timestamp(delivered).alias("_raw_cursor"), *raw)
+    return extract.selectExpr(*texts).selectExpr(
+        *values, f"{entries_where(checks, PROBLEMS_TYPE)} AS {PROBLEMS}",
+        f"{casts.to_timestamp(f'`{spec.cursor_column}`')} AS _raw_cursor", *raw)
 
 
 def valid_rows(spec: DatasetSpec, extract: DataFrame) -> DataFrame:
@@ -81,6 +88,4 @@ def valid_rows(spec: DatasetSpec, extract: DataFrame) -> DataFrame:
 
 def latest_valid(spec: DatasetSpec, extract: DataFrame) -> DataFrame:
     """One valid row per key: the newest cursor, the rest of the row breaking ties."""
-    from tidegate.operators.ordering import latest_per_key
-
     return latest_per_key(valid_rows(spec, extract), list(spec.primary_key), [spec.cursor_column])

@@ -10,6 +10,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
+from tidegate.functions.codes import codes_where
+
 Rules = dict[str, str]
 
 
@@ -29,8 +31,7 @@ def drop_failing(df: DataFrame, rules: Rules) -> DataFrame:
 
 def mark_failing(df: DataFrame, rules: Rules, name: str = "_failed_rules") -> DataFrame:
     """Keep every row and list the rules it fails, in rule order."""
-    failed = [F.when(~met(p), F.lit(rule)) for rule, p in rules.items()]
-    return df.withColumn(name, F.array_compact(F.array(*failed)))
+    return df.withColumn(name, codes_where(*[(rule, ~met(p)) for rule, p in rules.items()]))
 
 
 def fail_on(df: DataFrame, rules: Rules) -> DataFrame:

@@ -5,8 +5,9 @@ A row keeps the union of the codes it earns; a row with any code is quarantined
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from tidegate.functions.codes import codes_where
 from tidegate.functions.rules import VALID_STAGES
 from tidegate.operators import expectations
 
@@ -14,11 +15,6 @@ REASONS = "_reasons"
 ACCEPTED = "accepted"
 
 
-def reason_codes(*coded: tuple[str, Column]) -> Column:
-    """array<string> of the codes whose condition is true, in the given order; never NULL."""
-    return F.array_compact(F.array(*[F.when(condition, F.lit(code)) for code, condition in coded]))
-
-
 def mark_repeats(df: DataFrame, key: str, arrival: str, name: str = "_repeat") -> DataFrame:
     """True for every row that is not the first arrival of its key (NULL is one key).
 
@@ -65,7 +61,7 @@ def flag_leads(leads: DataFrame, campaigns: DataFrame) -> DataFrame:
     marked = mark_repeats(trimmed, "lead_id", "_row_id")
     marked = mark_known(marked, "campaign_id", campaigns, "campaign_id", "_row_id")
     missing = F.col("campaign_id").isNull()
-    return _checked(marked.withColumn(REASONS, reason_codes(
+    return _checked(marked.withColumn(REASONS, codes_where(
         ("null_campaign_id", missing),
         ("unknown_campaign_id", ~missing & ~F.col("_known")),
         ("invalid_stage", F.col("stage").isNull() | ~F.col("stage").isin(*VALID_STAGES)),
@@ -79,7 +75,7 @@ def flag_web_events(events: DataFrame, campaigns: DataFrame) -> DataFrame:
     marked = mark_known(marked, "campaign_id", campaigns, "campaign_id", "_row_id")
     missing = F.col("campaign_id").isNull()
     duration = F.col("session_duration_seconds")
-    return _checked(marked.withColumn(REASONS, reason_codes(
+    return _checked(marked.withColumn(REASONS, codes_where(
         ("null_campaign_id", missing),
         ("unknown_campaign_id", ~missing & ~F.col("_known")),
         ("invalid_duration", duration.isNull() | (duration < 0)),
@@ -91,7 +87,7 @@ def flag_ops_events(events: DataFrame) -> DataFrame:
     """Operations events with reason codes."""
     marked = mark_repeats(events, "ops_event_id", "_row_id")
     latency = F.col("latency_seconds")
-    return _checked(marked.withColumn(REASONS, reason_codes(
+    return _checked(marked.withColumn(REASONS, codes_where(
         ("invalid_latency", latency.isNull() | (latency < 0)),
         ("duplicate_ops_event_id", F.col("_repeat")),
     )).drop("_repeat"))
