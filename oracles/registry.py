@@ -1,5 +1,5 @@
 """All oracle SQL by query name."""
 
-from oracles import gold, ingest, quality
+from oracles import gold, ingest, quality, reconcile
 
-ORACLES = {**gold.ORACLES, **quality.ORACLES, **ingest.ORACLES}
+ORACLES = {**gold.ORACLES, **quality.ORACLES, **ingest.ORACLES, **reconcile.ORACLES}

@@ -25,11 +25,6 @@ def stripped(text: str) -> str:
     return f"btrim({text}, {quoted(_SPACE)})"
 
 
-def is_blank(text: str) -> str:
-    """NULL, empty, or white space only."""
-    return f"coalesce({stripped(text)}, '') = ''"
-
-
 def to_int(text: str) -> str:
     return f"if({text} RLIKE '{_INT}', try_cast({text} AS bigint), NULL)"
 
@@ -53,11 +48,13 @@ def to_bool(text: str) -> str:
     return f"CASE lower({text}) WHEN 'true' THEN true WHEN 'false' THEN false END"
 
 
-def typed(text: str, column: ColumnSpec) -> str:
-    """The value of a delivered text under its contract, NULL when it cannot be read."""
+def typed(clean: str, text: str, column: ColumnSpec) -> str:
+    """The value of a text under its contract, NULL when it is blank or cannot be read.
+
+    `clean` is the stripped text ('' for a blank one), `text` the text as delivered.
+    """
     if column.type == "string":
-        return text
-    clean = stripped(text)
+        return f"if({clean} = '', NULL, {text})"
     if column.type == "int":
         return to_int(clean)
     if column.type == "decimal":
@@ -68,4 +65,4 @@ def typed(text: str, column: ColumnSpec) -> str:
         return to_timestamp(clean)
     if column.type == "bool":
         return to_bool(clean)
-    return clean
+    return f"nullif({clean}, '')"

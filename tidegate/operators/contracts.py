@@ -37,47 +37,52 @@ def schema_diff(spec: DatasetSpec, observed: list[str]) -> SchemaDiff:
                       sorted(c for c in spec.required() if c not in have))
 
 
-def _checks(text: str, value: str, column: ColumnSpec, is_key: bool) -> list[tuple[str, str]]:
+def _checks(clean: str, value: str, column: ColumnSpec, is_key: bool) -> list[tuple[str, str]]:
     """(condition, problem) of one column; at most one condition holds for a row."""
 
     def problem(reason: str) -> str:
         return f"named_struct('column', {casts.quoted(column.name)}, 'reason', '{reason}')"
 
-    blank = casts.is_blank(text)
-    found = [(f"NOT {blank} AND {value} IS NULL", problem(CAST_FAILED))]
+    found = [(f"{clean} <> '' AND {value} IS NULL", problem(CAST_FAILED))]
     if column.required:
-        found.append((blank, problem(NULL_PRIMARY_KEY if is_key else MISSING_REQUIRED)))
+        found.append((f"{clean} = ''", problem(NULL_PRIMARY_KEY if is_key else MISSING_REQUIRED)))
     if column.type == "enum":
         allowed = ", ".join(casts.quoted(v) for v in column.values)
-        found.append((f"NOT {blank} AND {value} NOT IN ({allowed})", problem(INVALID_ENUM)))
+        found.append((f"{clean} <> '' AND {value} NOT IN ({allowed})", problem(INVALID_ENUM)))
     return found
 
 
 def validate(spec: DatasetSpec, extract: DataFrame, keep_raw: bool = True) -> DataFrame:
     """Typed columns, all problems of the row in contract order, and the raw row as JSON.
 
-    Two projections over the scan, both in generated code. Typed values of a row with
-    problems are not to be used.
+    Text, stripped text, value and problems are separate projections: each pattern and cast
+    then runs once per value, where one merged projection would repeat them per use. Typed
+    values of a row with problems are not to be used.
     """
     delivered = extract.columns
-    texts = [f"cast(`{c}` AS string) AS `{c}`" if c in delivered else f"cast(NULL AS string) AS `{c}`"
-             for c in spec.columns]
-    values, checks = [], []
-    for name, column in spec.columns.items():
-        text = f"`{name}`"
-        value = casts.typed(text, column)
-        kind = column.spark_type().simpleString()
-        values.append(f"cast(if({casts.is_blank(text)}, NULL, {value}) AS {kind}) AS `{name}`")
-        checks.extend(_checks(text, value, column, name in spec.primary_key))
-    raw = []
+    columns = list(spec.columns.values())
+    texts = [f"cast(`{c.name}` AS string) AS `_text_{c.name}`" if c.name in delivered
+             else f"cast(NULL AS string) AS `_text_{c.name}`" for c in columns]
+    raw = [RAW] if keep_raw else []
     if keep_raw:
         fields = ", ".join(f"`{c}`" for c in sorted(delivered))
         texts.append(f"to_json(struct({fields}), map('ignoreNullFields', 'false')) AS {RAW}")
-        raw = [RAW]
     # The window test of a rejected row reads its cursor text as delivered, unstripped.
-    return extract.selectExpr(*texts).selectExpr(
-        *values, f"{entries_where(checks, PROBLEMS_TYPE)} AS {PROBLEMS}",
-        f"{casts.to_timestamp(f'`{spec.cursor_column}`')} AS _raw_cursor", *raw)
+    cursor = f"{casts.to_timestamp(f'`_text_{spec.cursor_column}`')} AS _raw_cursor"
+    strings = [c.name for c in columns if c.type == "string"]
+    cleaned = [f"coalesce({casts.stripped(f'`_text_{c.name}`')}, '') AS `_clean_{c.name}`" for c in columns]
+    kept_texts = [f"`_text_{c}`" for c in strings]
+    values = [f"cast({casts.typed(f'`_clean_{c.name}`', f'`_text_{c.name}`', c)} AS {c.spark_type().simpleString()})"
+              f" AS `{c.name}`" for c in columns]
+    checks = [pair for c in columns
+              for pair in _checks(f"`_clean_{c.name}`", f"`{c.name}`", c, c.name in spec.primary_key)]
+    return (
+        extract.selectExpr(*texts)
+        .selectExpr(*cleaned, *kept_texts, cursor, *raw)
+        .selectExpr(*values, *[f"`_clean_{c.name}`" for c in columns], "_raw_cursor", *raw)
+        .selectExpr(*[f"`{c.name}`" for c in columns],
+                    f"{entries_where(checks, PROBLEMS_TYPE)} AS {PROBLEMS}", "_raw_cursor", *raw)
+    )
 
 
 def valid_rows(spec: DatasetSpec, extract: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
-from tidegate.plans import gold_queries, ingest_queries, quality_queries
+from tidegate.plans import gold_queries, ingest_queries, quality_queries, reconcile_queries
 
-QUERIES = {**gold_queries.QUERIES, **quality_queries.QUERIES, **ingest_queries.QUERIES}
+QUERIES = {**gold_queries.QUERIES, **quality_queries.QUERIES, **ingest_queries.QUERIES,
+           **reconcile_queries.QUERIES}
