@@ -138,7 +138,8 @@ def _visible(node_json: Column) -> Column:
     String tokens are fenced with control characters, which JSON text never holds raw, so
     that keys and marker values can be told apart without parsing the value again.
     """
-    fenced = F.regexp_replace(node_json, r'("(?:[^"\\]|\\.)*")', "\u0001$1\u0002")
+    # The possessive repeat loops; a plain one recurses and overflows the stack on long text.
+    fenced = F.regexp_replace(node_json, r'("(?:[^"\\]|\\.)*+")', "\u0001$1\u0002")
     values = F.regexp_replace(fenced, "\u0001[^\u0001\u0002]*\u0002\\s*:", "")
     marked = F.regexp_replace(values, "\u0001\"\\[REDACTED\\]\"\u0002", "R")
     return marked.rlike(r"[^\[\]{},R\s]") | F.contains(marked, F.lit("[]")) | F.contains(marked, F.lit("{}"))
