@@ -78,7 +78,7 @@ ORACLES = {
 SELECT region_name, month_date, CAST(revenue AS DOUBLE) AS revenue FROM monthly""",
     "gold_customer_lifetime_value": with_ctes(LINES, CUSTOMERS) + """
 SELECT customer_key, customer_name, total_orders, CAST(total_revenue AS DOUBLE) AS total_revenue,
-       round(CAST(total_revenue AS DOUBLE) / total_orders, 6) AS avg_order_value,
+       CAST(total_revenue AS DOUBLE) / total_orders AS avg_order_value,
        first_order_date, last_order_date, value_segment FROM clv""",
     "gold_top_products": with_ctes(LINES, PRODUCTS) + """
 SELECT product_key, product_name, CAST(total_revenue AS DOUBLE) AS total_revenue,

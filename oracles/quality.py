@@ -70,7 +70,7 @@ SELECT source, reason, count(*) AS row_count FROM (
   FROM counted) GROUP BY 1, 2""",
     "gate_status": with_ctes(*ALL_SOURCES) + """
 SELECT source, total, quarantined, accepted_rows, quarantined AS quarantined_rows,
-       round(CAST(quarantined AS DOUBLE) / total, 6) AS quarantine_rate,
+       CAST(quarantined AS DOUBLE) / total AS quarantine_rate,
        CAST(quarantined AS DOUBLE) / total <= 0.1 AS gate_passed, true AS conserved FROM status""",
     "gate_verdict": with_ctes(*ALL_SOURCES) + """
 SELECT source, CASE WHEN CAST(quarantined AS DOUBLE) / total <= 0.1 THEN ''
@@ -83,6 +83,6 @@ SELECT campaign_id, CAST(budget AS DOUBLE) AS budget, lead_count, won_count, CAS
 SELECT bool_and(CAST(quarantined AS DOUBLE) / total <= 0.1) OVER () AS passed,
        count(CASE WHEN CAST(quarantined AS DOUBLE) / total > 0.1 THEN 1 END) OVER () AS problem_count,
        source, CAST(quarantined AS DOUBLE) / total <= 0.1 AS gate_passed, true AS conserved, total, quarantined,
-       accepted_rows, quarantined AS quarantined_rows, round(CAST(quarantined AS DOUBLE) / total, 6) AS quarantine_rate
+       accepted_rows, quarantined AS quarantined_rows, CAST(quarantined AS DOUBLE) / total AS quarantine_rate
 FROM status""",
 }

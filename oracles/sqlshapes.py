@@ -46,7 +46,7 @@ SELECT payment_id, CASE WHEN amount >= 200000 THEN 'large' ELSE 'small' END AS s
 SELECT customer_id, order_id FROM o
 QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY order_date DESC, order_id DESC) = 1""",
     "sql_running_total": over(PAYMENTS) + """
-SELECT payment_id, CAST(sum(coalesce(amount, 0)) OVER (ORDER BY settled_date, payment_id
+SELECT payment_id, CAST(sum(amount) OVER (ORDER BY settled_date, payment_id
   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS running FROM p WHERE settled_date IS NOT NULL""",
     "sql_revenue_having": over(ORDERS, LINES) + """
 SELECT customer_id, CAST(sum(quantity * unit_price) AS DOUBLE) AS revenue FROM o JOIN l USING (order_id)

@@ -55,9 +55,10 @@ def _checks(clean: str, value: str, column: ColumnSpec, is_key: bool) -> list[tu
 def validate(spec: DatasetSpec, extract: DataFrame, keep_raw: bool = True) -> DataFrame:
     """Typed columns, all problems of the row in contract order, and the raw row as JSON.
 
-    Text, stripped text, value and problems are separate projections: each pattern and cast
-    then runs once per value, where one merged projection would repeat them per use. Typed
-    values of a row with problems are not to be used.
+    Each pattern and cast runs once per value. A filter on the problems would otherwise be
+    pushed below the projections that compute them, and with it a copy of every pattern and
+    cast per use; generating the values as a one-element array is a step it cannot pass.
+    Typed values of a row with problems are not to be used.
     """
     delivered = extract.columns
     columns = list(spec.columns.values())
@@ -68,18 +69,17 @@ def validate(spec: DatasetSpec, extract: DataFrame, keep_raw: bool = True) -> Da
         fields = ", ".join(f"`{c}`" for c in sorted(delivered))
         texts.append(f"to_json(struct({fields}), map('ignoreNullFields', 'false')) AS {RAW}")
     # The window test of a rejected row reads its cursor text as delivered, unstripped.
-    cursor = f"{casts.to_timestamp(f'`_text_{spec.cursor_column}`')} AS _raw_cursor"
-    strings = [c.name for c in columns if c.type == "string"]
+    kept_texts = {spec.cursor_column, *[c.name for c in columns if c.type == "string"]}
     cleaned = [f"coalesce({casts.stripped(f'`_text_{c.name}`')}, '') AS `_clean_{c.name}`" for c in columns]
-    kept_texts = [f"`_text_{c}`" for c in strings]
-    values = [f"cast({casts.typed(f'`_clean_{c.name}`', f'`_text_{c.name}`', c)} AS {c.spark_type().simpleString()})"
-              f" AS `{c.name}`" for c in columns]
+    values = [f"{casts.quoted(c.name)}, cast({casts.typed(f'`_clean_{c.name}`', f'`_text_{c.name}`', c)}"
+              f" AS {c.spark_type().simpleString()})" for c in columns]
+    values.append(f"'_raw_cursor', {casts.to_timestamp(f'`_text_{spec.cursor_column}`')}")
     checks = [pair for c in columns
               for pair in _checks(f"`_clean_{c.name}`", f"`{c.name}`", c, c.name in spec.primary_key)]
     return (
         extract.selectExpr(*texts)
-        .selectExpr(*cleaned, *kept_texts, cursor, *raw)
-        .selectExpr(*values, *[f"`_clean_{c.name}`" for c in columns], "_raw_cursor", *raw)
+        .selectExpr(*cleaned, *[f"`_text_{c}`" for c in sorted(kept_texts)], *raw)
+        .selectExpr("*", f"inline(array(named_struct({', '.join(values)})))")
         .selectExpr(*[f"`{c.name}`" for c in columns],
                     f"{entries_where(checks, PROBLEMS_TYPE)} AS {PROBLEMS}", "_raw_cursor", *raw)
     )

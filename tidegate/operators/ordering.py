@@ -29,8 +29,7 @@ def _sorted_slices(df: DataFrame, order: list[Column]) -> DataFrame:
 def _prefix(sizes: DataFrame, value: str, name: str) -> DataFrame:
     """Running total of `value` over the slices before each one; one row per slice."""
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    zero = F.lit(0).cast(sizes.schema[value].dataType)
-    return sizes.withColumn(name, F.coalesce(F.sum(value).over(before), zero))
+    return sizes.withColumn(name, F.sum(value).over(before))
 
 
 def global_row_number(df: DataFrame, order: list[Column], name: str = "row_number",
@@ -43,7 +42,7 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "row_numbe
         offsets = offsets.withColumn(total, F.sum("_size").over(Window.partitionBy()))
     # At most spark.sql.shuffle.partitions rows, so the broadcast has a fixed bound.
     joined = slices.join(F.broadcast(offsets.drop("_size")), "_slice")
-    return joined.withColumn(name, F.col("_before") + F.col("_index") + 1).drop(
+    return joined.withColumn(name, F.coalesce("_before", F.lit(0)) + F.col("_index") + 1).drop(
         "_slice", "_index", "_before")
 
 
@@ -84,8 +83,9 @@ def running_total(df: DataFrame, value: str, order: list[Column], name: str) ->
         Window.unboundedPreceding, Window.currentRow)
     local = slices.withColumn("_local", F.sum(value).over(inside))
     joined = local.join(F.broadcast(offsets), "_slice")
-    return joined.withColumn(name, F.col("_before") + F.col("_local")).drop(
-        "_slice", "_index", "_before", "_local")
+    # Like the window, NULL only while every value so far is NULL.
+    whole = F.coalesce(F.col("_before") + F.col("_local"), F.col("_before"), F.col("_local"))
+    return joined.withColumn(name, whole).drop("_slice", "_index", "_before", "_local")
 
 
 def position_in_group(df: DataFrame, group: str, order: list[Column], name: str) -> DataFrame:

@@ -14,8 +14,7 @@ def gold_monthly_revenue_by_region(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 def gold_customer_lifetime_value(spark, sf_dir):
-    clv = sales.customer_lifetime_value(spark, sf_dir)
-    return plain(clv.withColumn("avg_order_value", F.round("avg_order_value", 6)))
+    return plain(sales.customer_lifetime_value(spark, sf_dir))
 
 
 def gold_top_products(spark, sf_dir):

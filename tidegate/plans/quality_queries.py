@@ -174,7 +174,7 @@ def quality_metrics(spark, sf_dir):
 
 def gate_status(spark, sf_dir):
     status = marketing.run_batch(spark, sf_dir).status()
-    return status.withColumn("quarantine_rate", F.round("quarantine_rate", 6)).drop("_computed_ts")
+    return status.drop("_computed_ts")
 
 
 def gate_verdict(spark, sf_dir):
@@ -212,7 +212,7 @@ def evidence_log(spark, sf_dir):
     return log.read().select("passed", F.size("problems").cast("bigint").alias("problem_count"),
                              F.inline("sources")).select(
         "passed", "problem_count", "source", "gate_passed", "conserved", "total", "quarantined",
-        "accepted_rows", "quarantined_rows", F.round("quarantine_rate", 6).alias("quarantine_rate"))
+        "accepted_rows", "quarantined_rows", "quarantine_rate")
 
 
 QUERIES = {f.__name__: f for f in (

@@ -103,8 +103,7 @@ def sql_latest_order_window(spark, sf_dir):
 
 def sql_running_total(spark, sf_dir):
     """SUM() OVER (ORDER BY ... ROWS UNBOUNDED PRECEDING) without one task for all rows."""
-    rows = payments(spark, sf_dir).filter("settled_date IS NOT NULL").select(
-        "settled_date", "payment_id", F.coalesce("amount", F.lit(0).cast("decimal(18,2)")).alias("amount"))
+    rows = payments(spark, sf_dir).filter("settled_date IS NOT NULL").select("settled_date", "payment_id", "amount")
     total = running_total(rows, "amount", [F.asc("settled_date"), F.asc("payment_id")], "running")
     return plain(total.select("payment_id", "running"))
 
