@@ -83,7 +83,7 @@ def test_gate_counts_rows_not_reasons(spark):
     rows = [(i, 1, "new") for i in range(90)] + [(i, None, "new") for i in range(10)]
     frame = leads(spark, rows)
     persisted = quarantine.with_outcome(quarantine.flag_leads(frame, campaigns(spark, 1)))
-    row = gate.gate_status({"leads": frame}, {"leads": persisted}, {"leads": persisted}).first()
+    row = gate.gate_status({"leads": frame}, {"leads": persisted}).first()
     assert (row["total"], row["quarantined"], row["quarantine_rate"]) == (100, 10, 0.1)
     assert row["gate_passed"] and row["conserved"]
 
@@ -91,7 +91,7 @@ def test_gate_counts_rows_not_reasons(spark):
 def test_a_lost_row_is_not_conserved(spark):
     frame = leads(spark, [(i, 1, "new") for i in range(20)])
     persisted = quarantine.with_outcome(quarantine.flag_leads(frame, campaigns(spark, 1)))
-    row = gate.gate_status({"leads": frame}, {"leads": persisted}, {"leads": persisted.filter("lead_id > 0")}).first()
+    row = gate.gate_status({"leads": frame}, {"leads": persisted.filter("lead_id > 0")}).first()
     assert row["gate_passed"] and not row["conserved"]
 
 

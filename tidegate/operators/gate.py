@@ -28,25 +28,24 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return whole
 
 
-def gate_status(inputs: dict[str, DataFrame], flagged: dict[str, DataFrame],
-                persisted: dict[str, DataFrame], threshold: float = QUARANTINE_RATE_THRESHOLD) -> DataFrame:
-    """One row per source. `total` counts the input itself, `quarantined` the flagged rows,
-    and accepted_rows / quarantined_rows the tables that were really written, so a row lost
-    or doubled on the way shows as conserved = false."""
+def gate_status(inputs: dict[str, DataFrame], persisted: dict[str, DataFrame],
+                threshold: float = QUARANTINE_RATE_THRESHOLD) -> DataFrame:
+    """One row per source. `total` counts the input itself; the other counts come from the
+    outcome table that was really written, so a row lost or doubled on the way shows as
+    conserved = false. A source without input rows has no row here, which the verdict
+    reports as missing."""
     totals = _union([
-        frame.groupBy().agg(F.count("*").alias("total")).filter("total > 0").select(F.lit(s).alias("source"), "total")
+        frame.agg(F.count("*").alias("total")).filter("total > 0").select(F.lit(s).alias("source"), "total")
         for s, frame in inputs.items()])
-    bad = _union([
-        frame.agg(F.count_if(F.size(REASONS) > 0).alias("quarantined")).select(F.lit(s).alias("source"), "quarantined")
-        for s, frame in flagged.items()])
     written = _union([
-        frame.agg(F.count_if(F.col(ACCEPTED)).alias("accepted_rows"),
+        frame.agg(F.count_if(F.size(REASONS) > 0).alias("quarantined"),
+                  F.count_if(F.col(ACCEPTED)).alias("accepted_rows"),
                   F.count_if(~F.col(ACCEPTED)).alias("quarantined_rows"))
-        .select(F.lit(s).alias("source"), "accepted_rows", "quarantined_rows")
+        .select(F.lit(s).alias("source"), "quarantined", "accepted_rows", "quarantined_rows")
         for s, frame in persisted.items()])
     rate = safe_ratio(F.col("quarantined"), F.col("total"), F.lit(0.0))
     return (
-        totals.join(bad, "source", "left").join(written, "source", "left")
+        totals.join(written, "source", "left")
         .withColumn("quarantine_rate", rate)
         .withColumn("gate_passed", F.col("quarantine_rate") <= F.lit(threshold))
         .withColumn("conserved", F.col("accepted_rows") + F.col("quarantined_rows") == F.col("total"))

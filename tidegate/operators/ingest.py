@@ -13,8 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidegate.operators import contracts
 from tidegate.operators.contracts import PROBLEMS, RAW
-from tidegate.operators.merge import same_keys, upsert
-from tidegate.operators.ordering import latest_per_key
+from tidegate.operators.merge import replace_rows, same_keys
 from tidegate.session import stage
 from tidegate.sources.specs import DatasetSpec
 from tidegate.sources.versions import AppendLog, VersionedTable
@@ -116,12 +115,14 @@ def reason_histogram(spec: DatasetSpec, checked: DataFrame, groups: DataFrame) -
     return coded.unionByName(copies).groupBy("reason").agg(F.sum("n").alias("rows"))
 
 
-def merge_counts(spec: DatasetSpec, accepted: DataFrame, current: DataFrame | None,
-                 mark: Watermark | None) -> DataFrame:
-    """One row: what applying the versions in cursor order does, without applying them.
+def merge_plan(spec: DatasetSpec, accepted: DataFrame, current: DataFrame | None,
+               mark: Watermark | None) -> DataFrame:
+    """One row per delivered key: its newest version, and what applying all of its versions
+    in cursor order does, without applying them.
 
     Versions at or below the stored cursor change nothing. The others are ordered, so only
-    the first can insert; a tombstone counts as deleted wherever it stands.
+    the first can insert; a tombstone counts as deleted wherever it stands. The newest
+    version replaces the stored row exactly when some version changed it.
     """
     keys, cursor = list(spec.primary_key), spec.cursor_column
     if current is None:
@@ -137,19 +138,34 @@ def merge_counts(spec: DatasetSpec, accepted: DataFrame, current: DataFrame | No
     if spec.deletion_strategy == "tombstone" and "is_deleted" in spec.columns:
         removed = F.coalesce(F.col("is_deleted"), F.lit(False))
     fresh = F.lit(True) if mark is None else cursor_of(spec) > mark.literal(spec)
-    per_key = versions.groupBy(*keys).agg(
-        F.count_if(changed).alias("changed"), F.count_if(~changed).alias("unchanged"),
-        F.count_if(changed & removed).alias("deleted"),
-        F.min(F.when(changed, F.struct(F.col(cursor).alias("at"), removed.alias("gone")))).alias("first"),
-        F.count("_stored").alias("known"), F.count_if(fresh).alias("rows_new"))
-    inserts = F.count_if((F.col("known") == 0) & ~F.col("first.gone"))
+    return versions.groupBy(*keys).agg(
+        F.max(F.struct(cursor, *spec.payload())).alias("_newest"),
+        F.count_if(changed).alias("_changed"), F.count_if(~changed).alias("_unchanged"),
+        F.count_if(changed & removed).alias("_deleted"),
+        F.min(F.when(changed, F.struct(F.col(cursor).alias("at"), removed.alias("gone")))).alias("_first"),
+        F.count("_stored").alias("_known"), F.count_if(fresh).alias("_fresh"))
 
-    def total(name):
-        return F.coalesce(F.sum(name), F.lit(0)).alias(name)
 
-    summed = per_key.agg(total("changed"), total("unchanged"), total("deleted"), total("rows_new"),
-                         inserts.alias("inserted"))
-    return summed.withColumn("updated", F.col("changed") - F.col("deleted") - F.col("inserted")).drop("changed")
+def plan_winners(spec: DatasetSpec, plan: DataFrame) -> DataFrame:
+    """The rows the target takes over."""
+    return plan.filter("_changed > 0").select(
+        *[F.col(c) if c in spec.primary_key else F.col(f"_newest.{c}").alias(c) for c in spec.columns])
+
+
+def plan_totals(spec: DatasetSpec, plan: DataFrame, bucket: Column) -> DataFrame:
+    """One row: the counts of a run, its largest cursor, and the buckets it changes."""
+    def total(name: str) -> Column:
+        return F.coalesce(F.sum(f"_{name}"), F.lit(0)).alias(name)
+
+    inserted = F.count_if((F.col("_known") == 0) & ~F.col("_first.gone")).alias("inserted")
+    top = F.max(F.struct(F.col(f"_newest.{spec.cursor_column}").alias(spec.cursor_column), *spec.primary_key))
+    summed = plan.agg(
+        total("changed"), total("unchanged"), total("deleted"), total("fresh"), inserted, top.alias("top"),
+        F.collect_set(F.when(F.col("_changed") > 0, bucket)).alias("buckets"))
+    return summed.select(
+        F.col("fresh").alias("rows_new"), "inserted", (F.col("changed") - F.col("deleted") - F.col("inserted"))
+        .alias("updated"), "unchanged", "deleted", "buckets",
+        F.array(*[F.col(f"top.{c}").cast("string") for c in (spec.cursor_column, *spec.primary_key)]).alias("top"))
 
 
 def newest_mark(spec: DatasetSpec, accepted: DataFrame) -> Watermark | None:
@@ -230,11 +246,11 @@ def run_ingestion(spec: DatasetSpec, extract: DataFrame, store: IngestStore, lab
 
     checked = stage(window_rows(spec, extract, mark), "checked")
     groups = stage(cursor_groups(spec, checked), "groups")
-    accepted = accepted_rows(spec, groups)
     reasons = {r["reason"]: r["rows"] for r in reason_histogram(spec, checked, groups).collect()}
     rejected = checked.agg(F.count_if(F.size(PROBLEMS) > 0).alias("n"))
-    sizes = groups.agg(F.count_if(~F.col("_conflict")).alias("ok"),
-                       F.coalesce(F.sum(F.when(F.col("_conflict"), F.col("_copies"))), F.lit(0)).alias("copies"))
+    ok = ~F.col("_conflict")
+    sizes = groups.agg(F.count_if(ok).alias("ok"), F.collect_set(F.when(ok, table.bucket_of())).alias("buckets"),
+                       F.coalesce(F.sum(F.when(~ok, F.col("_copies"))), F.lit(0)).alias("copies"))
     line = sizes.crossJoin(rejected).first()  # one row by one row
     quarantined = line["n"] + line["copies"]
     window = line["ok"] + quarantined
@@ -246,16 +262,15 @@ def run_ingestion(spec: DatasetSpec, extract: DataFrame, store: IngestStore, lab
         store.save_audit(record)
         return record
 
-    touched = table.touched(accepted)
-    current = table.read(touched)
-    record.update(merge_counts(spec, accepted, current, mark).first().asDict())
-    newest = stage(latest_per_key(accepted, list(spec.primary_key), [spec.cursor_column]), "newest")
-    merged = upsert(current, newest, list(spec.primary_key), [spec.cursor_column])
-    after = _later(spec, mark, newest_mark(spec, newest))
-    record.update(watermark_after=after.text() if after else None,
+    plan = stage(merge_plan(spec, accepted_rows(spec, groups), table.read(line["buckets"]), mark), "plan")
+    totals = plan_totals(spec, plan, table.bucket_of()).first().asDict()
+    top, touched = totals.pop("top"), totals.pop("buckets")
+    after = _later(spec, mark, Watermark(top[0], tuple(top[1:])) if top[0] is not None else None)
+    record.update(totals, watermark_after=after.text() if after else None,
                   status=SUCCEEDED_WITH_QUARANTINE if quarantined else SUCCEEDED)
     if quarantined:
         _save_quarantine(store, record, rows)
+    merged = replace_rows(table.read(touched), plan_winners(spec, plan), list(spec.primary_key))
     table.commit(merged, touched, watermark=[after.cursor, *after.key] if after else None,
                  columns=observed, audit=record)
     store.save_audit(record)

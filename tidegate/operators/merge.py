@@ -29,11 +29,17 @@ def newer_rows(current: DataFrame, newest: DataFrame, keys: list[str], sequence:
     return kept.select(*newest.columns)
 
 
-def upsert(current: DataFrame | None, newest: DataFrame, keys: list[str], sequence: list[str]) -> DataFrame:
-    """`current` with its older rows replaced by `newest` (one row per key in both)."""
+def replace_rows(current: DataFrame | None, winners: DataFrame, keys: list[str]) -> DataFrame:
+    """`current` with the rows of the winners' keys replaced by the winners."""
     if current is None:
-        return newest
-    winners = stage(newer_rows(current, newest, keys, sequence), "winners")
+        return winners
     lost = winners.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
     kept = current.join(lost, same_keys(current, lost, [(k, f"_k{i}") for i, k in enumerate(keys)]), "left_anti")
     return kept.unionByName(winners)
+
+
+def upsert(current: DataFrame | None, newest: DataFrame, keys: list[str], sequence: list[str]) -> DataFrame:
+    """`current` with its older rows replaced by `newest` (one row per key in both)."""
+    if current is None:
+        return newest
+    return replace_rows(current, stage(newer_rows(current, newest, keys, sequence), "winners"), keys)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -48,7 +49,7 @@ class Batch:
         return self.persisted[source].filter(quarantine.ACCEPTED).drop(quarantine.ACCEPTED, quarantine.REASONS)
 
     def status(self, threshold: float = QUARANTINE_RATE_THRESHOLD) -> DataFrame:
-        return gate.gate_status(self.inputs, self.persisted, self.persisted, threshold)
+        return gate.gate_status(self.inputs, self.persisted, threshold)
 
 
 def run_batch(spark: SparkSession, sf_dir: str) -> Batch:
@@ -61,7 +62,13 @@ def run_batch(spark: SparkSession, sf_dir: str) -> Batch:
                "ops_events": ops_events_flagged(spark, sf_dir)}
     inputs = {"leads": derived.leads(spark, sf_dir), "web_events": derived.web_events(spark, sf_dir),
               "ops_events": derived.ops_events(spark, sf_dir)}
-    persisted = {s: stage(quarantine.with_outcome(f), s, (quarantine.ACCEPTED,)) for s, f in flagged.items()}
+
+    def write(source: str) -> DataFrame:
+        return stage(quarantine.with_outcome(flagged[source]), source, (quarantine.ACCEPTED,))
+
+    # The sources do not depend on each other, so their jobs share the cluster.
+    with ThreadPoolExecutor(len(flagged)) as pool:
+        persisted = dict(zip(flagged, pool.map(write, flagged)))
     return Batch(inputs, persisted)
 
 

@@ -93,7 +93,10 @@ class VersionedTable:
         return self.spark.read.schema(schema).parquet(*paths)
 
     def commit(self, rows: DataFrame, touched: list[int] | None = None, **notes) -> int:
-        """Replace the touched buckets (all by default) with `rows` and publish a version."""
+        """Replace the touched buckets (all by default) with `rows` and publish a version.
+
+        No touched bucket means no rows to write: the version only carries new notes.
+        """
         found = self.manifest()
         version = (found["version"] if found else 0) + 1
         kept = {} if found is None or touched is None else {
@@ -102,8 +105,10 @@ class VersionedTable:
         bucketed = rows.withColumn(BUCKET, self.bucket_of()).hint("rebalance", BUCKET)
         # Every attempt has its own folder, so a crashed or losing writer disturbs nobody.
         folder = f"v={version:012d}-{uuid.uuid4().hex}"
-        bucketed.write.partitionBy(BUCKET).parquet(f"{self.path}/{folder}")
-        written = [n.split("=", 1)[1] for n in self._folder.names(folder) if n.startswith(BUCKET)]
+        written = []
+        if touched is None or touched:
+            bucketed.write.partitionBy(BUCKET).parquet(f"{self.path}/{folder}")
+            written = [n.split("=", 1)[1] for n in self._folder.names(folder) if n.startswith(BUCKET)]
         manifest = {"version": version, "parts": {**kept, **{b: folder for b in written}},
                     "schema": rows.schema.jsonValue(), "notes": notes}
         if not self._folder.put_if_absent(f"_manifest/{version:012d}.json", json.dumps(manifest)):
