@@ -177,3 +177,9 @@ def test_versioned_table_rewrites_touched_buckets_only(spark, tmp_path):
     after = table.manifest()["parts"]
     assert [b for b in before if before[b] != after[b]] == [str(touched[0])]
     assert table.read().count() == 99
+
+
+def test_staged_tables_lie_in_the_shared_folder(spark):
+    from tidegate.session import scratch_path
+
+    assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
