@@ -201,12 +201,15 @@ SELECT t_payment_id AS payment_id, t_order_id AS order_id, CAST(t_amount AS DOUB
        t_settled_date AS settled_date FROM tgt2 WHERE NOT coalesce(t_is_deleted, false)""",
     "replay_merge": with_ctes(CAMPAIGNS, LEADS) + """,
 stored AS (SELECT lead_id, CASE WHEN lead_id % 5 = 0 THEN 'new' ELSE stage END AS stage FROM leads_clean
-           WHERE lead_id % 3 <> 0),
-batch AS (SELECT lead_id, stage FROM leads_clean WHERE lead_id % 7 <> 0)
-SELECT (SELECT count(*) FROM batch b WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.lead_id = b.lead_id)) AS inserted,
+           WHERE created_ts < TIMESTAMP '2024-01-20 00:00:00'),
+batch AS (SELECT lead_id, stage FROM leads_clean WHERE stage <> 'lost'),
+measured AS (SELECT (SELECT count(*) FROM batch b WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.lead_id = b.lead_id)) AS inserted,
        (SELECT count(*) FROM batch b JOIN stored s USING (lead_id) WHERE s.stage <> b.stage) AS updated,
        (SELECT count(*) FROM batch b JOIN stored s USING (lead_id) WHERE s.stage = b.stage) AS unchanged,
        (SELECT count(*) FROM stored s WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE s.lead_id = b.lead_id)) AS stale,
        CAST(1 AS BIGINT) AS max_copies,
-       (SELECT count(*) FROM (SELECT lead_id FROM stored UNION SELECT lead_id FROM batch)) AS merged_rows""",
+       (SELECT count(*) FROM (SELECT lead_id FROM stored UNION SELECT lead_id FROM batch)) AS merged_rows)
+SELECT 'inserted' AS measure, inserted AS value FROM measured UNION ALL SELECT 'updated', updated FROM measured
+UNION ALL SELECT 'unchanged', unchanged FROM measured UNION ALL SELECT 'stale', stale FROM measured
+UNION ALL SELECT 'max_copies', max_copies FROM measured UNION ALL SELECT 'merged_rows', merged_rows FROM measured""",
 }

@@ -161,7 +161,7 @@ def line_extract(through: str, name: str = "line_extract") -> str:
 
 
 def payment_extract(through: str, name: str = "payment_extract") -> str:
-    first_only = "AND o_orderkey % 61 <> 0" if through == FIRST_DAY else ""
+    first_only = "AND NOT o_totalprice BETWEEN 20000 AND 30000" if through == FIRST_DAY else ""
     return f"""
 {name}_totals AS (
   SELECT l_orderkey, sum(CAST(floor(l_quantity) AS BIGINT) * CAST(l_extendedprice AS DECIMAL(18,2))) AS total
@@ -178,7 +178,7 @@ def payment_extract(through: str, name: str = "payment_extract") -> str:
   CROSS JOIN (VALUES (0::BIGINT), (1::BIGINT), (2::BIGINT)) v(copy)
   WHERE o_orderstatus IN ('F', 'P')
     AND o_orderdate + to_seconds(o_orderkey % 86400) + INTERVAL 3 DAY <= {through} {first_only}
-    AND ((copy = 0 AND o_orderkey % 37 <> 0) OR (copy = 1 AND o_orderkey % 41 = 0)
+    AND ((copy = 0 AND o_totalprice >= 20000) OR (copy = 1 AND o_orderkey % 41 = 0)
       OR (copy = 2 AND o_orderkey % 59 = 0)))"""
 
 

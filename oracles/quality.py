@@ -53,8 +53,8 @@ SELECT campaign_id, client_id, channel, CAST(budget AS DOUBLE) AS budget, status
 SELECT ops_event_id, _row_id, CASE WHEN dup_rank = 1 THEN 'kept' ELSE 'duplicate' END AS outcome FROM ops_ranked""",
     "scd1_stream": """
 SELECT c_custkey, c_name,
-       CAST(CAST(c_acctbal AS DECIMAL(18,2)) + CASE WHEN c_custkey % 3 = 0 THEN 3 ELSE 2 END AS DOUBLE) AS c_acctbal,
-       CAST(CASE WHEN c_custkey % 3 = 0 THEN 3 ELSE 2 END AS BIGINT) AS seq FROM customer""",
+       CAST(CAST(c_acctbal AS DECIMAL(18,2)) + CASE WHEN c_mktsegment = 'BUILDING' THEN 3 ELSE 2 END AS DOUBLE) AS c_acctbal,
+       CAST(CASE WHEN c_mktsegment = 'BUILDING' THEN 3 ELSE 2 END AS BIGINT) AS seq FROM customer""",
     "dq_leads": with_ctes(CAMPAIGNS, LEADS) + "SELECT lead_id, campaign_id, stage, _row_id, reasons FROM leads_coded",
     "dq_web_events": with_ctes(CAMPAIGNS, WEB_EVENTS) + """
 SELECT event_id, campaign_id, session_duration_seconds, page_views, reasons FROM web_coded""",

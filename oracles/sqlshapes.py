@@ -21,7 +21,7 @@ p AS (
   SELECT o_orderkey AS payment_id, CASE WHEN o_orderkey % 59 = 0 THEN -o_orderkey - 1 ELSE o_orderkey END AS order_id,
          CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS amount,
          CASE WHEN o_orderkey % 23 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) + CAST(o_orderkey % 9 AS INTEGER) END
-           AS settled_date FROM orders WHERE o_orderkey % 37 <> 0)"""
+           AS settled_date FROM orders WHERE o_totalprice >= 20000)"""
 
 
 def over(*parts: str) -> str:

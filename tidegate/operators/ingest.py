@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidegate.operators import contracts
 from tidegate.operators.contracts import PROBLEMS, RAW
 from tidegate.operators.merge import replace_rows, same_keys
+from tidegate.operators.skew import sliced_join
 from tidegate.session import stage
 from tidegate.sources.specs import DatasetSpec
 from tidegate.sources.versions import AppendLog, VersionedTable
@@ -128,11 +129,11 @@ def merge_plan(spec: DatasetSpec, accepted: DataFrame, current: DataFrame | None
     if current is None:
         versions = accepted.withColumn("_stored", F.lit(None).cast("timestamp_ntz"))
     else:
-        stored = current.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(cursor).alias("_stored"))
-        pairs = [(f"_k{i}", k) for i, k in enumerate(keys)]
-        asked = accepted.select(*keys)
-        stored = stored.join(asked, same_keys(stored, asked, pairs), "left_semi")
-        versions = accepted.join(stored, same_keys(accepted, stored, [(k, n) for n, k in pairs]), "left")
+        # A key may bring any number of versions, and they are grouped by key right after.
+        stored = current.select(*keys, F.col(cursor).alias("_stored"))
+        asked = accepted.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+        stored = stored.join(asked, same_keys(stored, asked, [(k, f"_k{i}") for i, k in enumerate(keys)]), "left_semi")
+        versions = sliced_join(accepted, stored, keys, [cursor])
     changed = F.col("_stored").isNull() | (F.col(cursor) > F.col("_stored"))
     removed = F.lit(False)
     if spec.deletion_strategy == "tombstone" and "is_deleted" in spec.columns:
@@ -247,12 +248,12 @@ def run_ingestion(spec: DatasetSpec, extract: DataFrame, store: IngestStore, lab
     checked = stage(window_rows(spec, extract, mark), "checked")
     groups = stage(cursor_groups(spec, checked), "groups")
     reasons = {r["reason"]: r["rows"] for r in reason_histogram(spec, checked, groups).collect()}
-    rejected = checked.agg(F.count_if(F.size(PROBLEMS) > 0).alias("n"))
+    rejected = checked.agg(F.count_if(F.size(PROBLEMS) > 0).alias("n")).first()["n"]
     ok = ~F.col("_conflict")
     sizes = groups.agg(F.count_if(ok).alias("ok"), F.collect_set(F.when(ok, table.bucket_of())).alias("buckets"),
                        F.coalesce(F.sum(F.when(~ok, F.col("_copies"))), F.lit(0)).alias("copies"))
-    line = sizes.crossJoin(rejected).first()  # one row by one row
-    quarantined = line["n"] + line["copies"]
+    line = sizes.first()
+    quarantined = rejected + line["copies"]
     window = line["ok"] + quarantined
     record.update(rows_in_window=window, quarantined=quarantined, quarantine_reasons=dict(sorted(reasons.items())))
     rows = quarantine_rows(spec, checked, groups)

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from tidegate.functions.codes import codes_where
 from tidegate.functions.runbooks import EXPLANATIONS, NO_RUNBOOK, REASON_CAUSES, RUNBOOKS
 from tidegate.operators.evidence import is_prohibited
+from tidegate.operators.skew import sliced_join
 
 # -- incidents and root causes -----------------------------------------------------
 
@@ -119,12 +120,13 @@ def fold_events(events: DataFrame) -> DataFrame:
     """Current state per incident from an append-only log.
 
     Only events after the latest opening of their incident count. Every aggregate combines
-    before the shuffle, so an incident with a third of the log is no special case.
+    before the shuffle and the join spreads hot incidents, so an incident with a third of the
+    log is no special case.
     """
     opened = events.filter(F.col("event") == OPENED).groupBy("incident_id").agg(
         F.max("seq").alias("opened_seq"), F.max_by("evidence_payload", "seq").alias("opened_payload"))
-    later = events.filter(F.col("event").isin(OUTCOME, TOOL_CALL)).join(opened.select("incident_id", "opened_seq"),
-                                                                      "incident_id")
+    later = sliced_join(events.filter(F.col("event").isin(OUTCOME, TOOL_CALL)),
+                        opened.select("incident_id", "opened_seq"), ["incident_id"], ["seq"], how="inner")
     outcome = (F.col("event") == OUTCOME) & (F.col("seq") > F.col("opened_seq"))
     call = (F.col("event") == TOOL_CALL) & (F.col("seq") > F.col("opened_seq"))
     carried = call & F.col("evidence_payload").isNotNull()

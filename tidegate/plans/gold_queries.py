@@ -111,8 +111,9 @@ def bi_conversion_by_channel(spark, sf_dir):
 def bi_funnel_last3m(spark, sf_dir):
     """Stage counts per month over the last three months that have leads."""
     gold = _client_funnel(spark, sf_dir)
-    last = gold.agg(F.max("month_date").alias("last_month"))  # one row
-    recent = gold.join(F.broadcast(last), F.col("month_date") >= F.add_months("last_month", -2))
+    last = F.max("month_date")
+    months = gold.agg(F.array(last, F.add_months(last, -1), F.add_months(last, -2)).alias("months"))
+    recent = gold.join(months.select(F.explode("months").alias("month_date")), "month_date")
     counts = ("new_count", "qualified_count", "won_count", "lost_count", "total_leads")
     return plain(recent.groupBy("month_date").agg(*[F.sum(c).alias(c) for c in counts]))
 

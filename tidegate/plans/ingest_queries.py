@@ -161,11 +161,12 @@ def replay_merge(spark, sf_dir):
     """Accepted leads replayed over a store that holds an older, partly different batch."""
     flagged = marketing.leads_flagged(spark, sf_dir)
     rows = stage(quarantine.accepted(flagged).select("lead_id", "campaign_id", "stage", "created_ts"), "leads")
-    stored = rows.filter("lead_id % 3 <> 0").withColumn(
+    stored = rows.filter("created_ts < timestamp_ntz'2024-01-20 00:00:00'").withColumn(
         "stage", F.when(F.col("lead_id") % 5 == 0, "new").otherwise(F.col("stage")))
-    merged, counts = ingest.replay_merge(stored, rows.filter("lead_id % 7 <> 0"), "lead_id")
-    return counts.crossJoin(ingest.max_copies(merged, ["lead_id"])).crossJoin(  # one row each
-        merged.agg(F.count("*").alias("merged_rows")))
+    merged, counts = ingest.replay_merge(stored, rows.filter("stage <> 'lost'"), "lead_id")
+    measured = [counts, ingest.max_copies(merged, ["lead_id"]), merged.agg(F.count("*").alias("merged_rows"))]
+    long = [m.unpivot([], m.columns, "measure", "value") for m in measured]
+    return long[0].unionByName(long[1]).unionByName(long[2])
 
 
 QUERIES = {f.__name__: f for f in (

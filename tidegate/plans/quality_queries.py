@@ -132,8 +132,8 @@ def scd1_stream(spark, sf_dir):
 
     target = VersionedTable(spark, f"{root}/customers", ("c_custkey",), buckets=8)
     days = (version(customer, 2),
-            version(customer.filter("c_custkey % 3 = 0"), 3).unionByName(
-                version(customer.filter("c_custkey % 5 = 0"), 1)))
+            version(customer.filter("c_mktsegment = 'BUILDING'"), 3).unionByName(
+                version(customer.filter("c_mktsegment IN ('BUILDING', 'MACHINERY')"), 1)))
     for rows in days:
         rows.write.mode("append").parquet(f"{root}/landing")
         stream = land.read_incrementally(spark, f"{root}/landing", rows.schema)

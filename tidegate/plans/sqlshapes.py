@@ -35,8 +35,9 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One payment per settled order; some without amount or date, some of unknown orders."""
-    return table(spark, sf_dir, "orders").filter("o_orderkey % 37 <> 0").selectExpr(
+    """One payment per order from a minimum total on; some without amount or date, some of
+    unknown orders."""
+    return table(spark, sf_dir, "orders").filter("o_totalprice >= 20000").selectExpr(
         "o_orderkey AS payment_id", "if(o_orderkey % 59 = 0, -o_orderkey - 1, o_orderkey) AS order_id",
         "if(o_orderkey % 17 = 0, NULL, cast(o_totalprice AS decimal(18,2))) AS amount",
         "if(o_orderkey % 23 = 0, NULL, date_add(cast(o_orderdate AS date), cast(o_orderkey % 9 AS int))) AS settled_date")

@@ -258,17 +258,17 @@ def payment_extract(spark: SparkSession, sf_dir: str, through: str) -> DataFrame
     totals = li.groupBy("l_orderkey").agg(
         F.sum(F.floor("l_quantity").cast("decimal(9,0)") * F.col("l_extendedprice").cast("decimal(9,2)"))
         .alias("total"))
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate", "o_totalprice")
     settled = (
         o.filter("o_orderstatus IN ('F', 'P')")
         .withColumn("settled_at", F.col("o_orderdate") + _seconds("o_orderkey") + F.expr("interval 3 days"))
         .filter(F.col("settled_at") <= F.expr(f"timestamp_ntz'{through}'"))
     )
     if through == FIRST_DAY:
-        settled = settled.filter("o_orderkey % 61 <> 0")
+        settled = settled.filter("NOT o_totalprice BETWEEN 20000 AND 30000")
     rows = settled.join(totals, F.col("o_orderkey") == F.col("l_orderkey")).select(
         "*", _copies(_every("o_orderkey", 41), _every("o_orderkey", 59)).alias("copy")
-    ).filter("NOT (copy = 0 AND o_orderkey % 37 = 0)")
+    ).filter("NOT (copy = 0 AND o_totalprice < 20000)")
     owed = F.when(_every("o_orderkey", 43), F.col("total") - 1).otherwise(F.col("total"))
     return rows.select(
         (F.col("o_orderkey") + F.col("copy") * F.lit(LATE_COPY)).cast("string").alias("payment_id"),
