@@ -1,6 +1,6 @@
 """Oracles of the ledger, reconciliation, parity, digest and recall queries."""
 
-from oracles.ingest import DATASETS, PAYMENT_RUNS, typed
+from oracles.ingest import DATASETS, PAYMENT_RUNS, runs, typed
 from oracles.inputs import FIRST_DAY, RETAIL, SECOND_DAY, line_extract, order_extract, payment_extract, with_ctes
 
 
@@ -49,8 +49,38 @@ def _passing(rows: str) -> str:
        CAST(0 AS BIGINT) AS only_in_legacy, CAST(0 AS BIGINT) AS value_mismatches, true AS passed"""
 
 
-NUMBER = "TRY_CAST(order_id AS BIGINT)"
+def _day_incident(dataset: str) -> str:
+    keys = DATASETS[dataset][1]
+    tops = {"cast_failed": "SCHEMA_TYPE_CHANGE", "duplicate_key": "DUPLICATE_SOURCE_KEY",
+            "invalid_enum": "INVALID_DOMAIN_VALUE", "null_primary_key": "NULL_PRIMARY_KEY"}
+    cases = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in tops.items())
+    return f"""SELECT * FROM (WITH {runs(dataset)},
+by_reason AS (SELECT split_part(reason, ':', 2) AS r, sum(n) AS n, min(reason) AS f FROM reasons2 GROUP BY 1)
+SELECT 'day2:{dataset}:rows_quarantined' AS incident_key, 'rows_quarantined' AS trigger, '{dataset}' AS dataset_id,
+       '{dataset}:day2:2' AS run_id, 'succeeded_with_quarantine' AS status, CASE r {cases} END AS root_cause
+FROM (SELECT r FROM by_reason ORDER BY n DESC, f LIMIT 1))"""
+
+
+DAY_INCIDENTS = " UNION ALL ".join(_day_incident(d) for d in DATASETS) + """
+UNION ALL SELECT 'day2:sales.payments:source_to_target', 'source_to_target_mismatch', 'sales.payments', NULL,
+  'check_failed', 'LATE_ARRIVAL_BEYOND_LOOKBACK'
+UNION ALL SELECT 'day2:sales.payments:payments_vs_orders', 'payments_vs_orders_mismatch', 'sales.payments', NULL,
+  'check_failed', 'MISSING_PAYMENT'"""
+
 ORACLES = {
+    "payment_recall": LEDGER + """
+SELECT defect, count(*) AS injected, count(*) AS detected, CAST(1 AS DOUBLE) AS recall
+FROM found CROSS JOIN (VALUES ('missing_payment'), ('duplicate_charge')) v(defect)
+WHERE finding = 'settled' AND order_id % 7 = 0 GROUP BY 1""",
+    "reconcile_runs": with_ctes(RETAIL) + """
+SELECT run_id, 'retail' AS check_name, passed, (SELECT count(*) FROM retail_report) AS new_rows, true AS second_blocked
+FROM (VALUES ('1', true), ('2', false)) v(run_id, passed)""",
+    "restore_target": LEDGER + """
+SELECT order_id, max(customer_id) AS customer_id, status, order_date, updated_at, is_deleted FROM (
+  SELECT t_order_id AS order_id, t_customer_id AS customer_id, t_status AS status, t_order_date AS order_date,
+         t_updated_at AS updated_at, t_is_deleted AS is_deleted FROM ord_typed WHERE problems = '')
+GROUP BY order_id, status, order_date, updated_at, is_deleted""",
+    "day_incidents": DAY_INCIDENTS,
     "order_totals": LEDGER + """
 SELECT order_id, order_date, status, CAST(total AS DOUBLE) AS total FROM totals""",
     "gold_daily_revenue": LEDGER + """

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidegate.functions import casts
 from tidegate.functions.codes import entries_where
+from tidegate.operators.expectations import fail_on
 from tidegate.operators.ordering import latest_per_key
 from tidegate.sources.specs import ColumnSpec, DatasetSpec
 
@@ -91,6 +92,12 @@ def valid_rows(spec: DatasetSpec, extract: DataFrame) -> DataFrame:
     return checked.filter(F.size(PROBLEMS) == 0).select(*spec.columns)
 
 
+def restore(spec: DatasetSpec, saved: DataFrame) -> DataFrame:
+    """Saved text rows as typed rows again; a row that no longer meets the contract stops the job."""
+    checked = validate(spec, saved, keep_raw=False)
+    return fail_on(checked, {"matches_contract": f"size({PROBLEMS}) = 0"}).select(*spec.columns)
+
+
 def latest_valid(spec: DatasetSpec, extract: DataFrame) -> DataFrame:
     """One valid row per key: the newest cursor, the rest of the row breaking ties."""
     return latest_per_key(valid_rows(spec, extract), list(spec.primary_key), [spec.cursor_column])

@@ -91,6 +91,16 @@ def contract_results(quarantine: DataFrame, run_id: str, limit: int = 5) -> Data
     return quarantine.filter(F.col("run_id") == run_id).orderBy("raw").limit(limit)
 
 
+def schema_history(audit: DataFrame, dataset_id: str) -> DataFrame:
+    """Schema differences of a dataset, run by run."""
+    return audit.filter(F.col("dataset_id") == dataset_id).select("run_id", "run_seq", "schema_diff")
+
+
+def of_source(df: DataFrame, source: str, order: str, limit: int = 5) -> DataFrame:
+    """A bounded look at the status, quarantine or log rows of one source, newest first."""
+    return df.filter(F.col("source") == source).orderBy(F.desc(order)).limit(limit)
+
+
 def recent_success(audit: DataFrame) -> DataFrame:
     """The latest run of each dataset that did not fail."""
     kept = audit.filter("status <> 'failed'")

@@ -11,6 +11,7 @@ from pyspark.sql.utils import AnalysisException
 from tidegate.functions.codes import entries_where
 from tidegate.operators import contracts, expectations
 from tidegate.sources.specs import DatasetSpec
+from tidegate.sources.versions import AppendLog
 
 SAMPLE = 10  # rows shown of each kind of difference; the counts are always complete
 PAID_STATUSES = ("paid", "shipped")  # fixed values
@@ -85,6 +86,26 @@ def reconcile(new: DataFrame, legacy: DataFrame, key: tuple[str, ...], exact: tu
     return Comparison(unique.withColumn("_mismatches", F.expr(entries_where(checks, _MISMATCH))), tuple(key))
 
 
+RUN_DDL = "run_id string, check_name string, passed boolean, report string"
+
+
+class CutoverBlocked(RuntimeError):
+    """A reconciliation did not pass; its run record is already in the log."""
+
+
+def run_record(summary: DataFrame, check: str, run_id: str) -> DataFrame:
+    """The one-row log entry of a check: verdict and report as JSON."""
+    return summary.select(F.lit(run_id).alias("run_id"), F.lit(check).alias("check_name"), "passed",
+                          F.to_json(F.struct(*summary.columns)).alias("report"))
+
+
+def record_run(summary: DataFrame, check: str, run_id: str, log: AppendLog) -> None:
+    """Log the verdict first, then stop the caller if the check did not pass."""
+    log.append(run_record(summary, check, run_id), f"{check}~{run_id}")
+    if not log.read().filter((F.col("run_id") == run_id) & (F.col("check_name") == check)).first()["passed"]:
+        raise CutoverBlocked(f"{check} {run_id}")
+
+
 INJECT_MODES = ("none", "revenue", "missing_row")  # fixed values
 
 

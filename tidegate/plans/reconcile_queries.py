@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import types as T
 
 from tidegate.operators import contracts, ingest, inject, reconcile
 from tidegate.plans import gaming, ledger
-from tidegate.plans.ingest_queries import two_days
+from tidegate.plans.ingest_queries import full_days, two_days
 from tidegate.plans.present import plain
-from tidegate.session import stage
+from tidegate.session import scratch_path, stage
 from tidegate.sources import derived
 from tidegate.sources.specs import ORDER_LINES, ORDERS, PAYMENTS
 from tidegate.sources.tables import table
+from tidegate.sources.versions import AppendLog
 
 
 def order_totals(spark, sf_dir):
@@ -184,7 +186,58 @@ def detection_recall(spark, sf_dir):
     return inject.recall(labels, detections)
 
 
+def payment_recall(spark, sf_dir):
+    """Missing and doubled payments planted into settled orders, and how many are found."""
+    books = ledger.load(spark, sf_dir)
+    before = stage(reconcile.payment_positions(books.orders, books.lines, books.payments), "before")
+    settled = before.filter("finding = 'settled'").select("order_id")
+    clean = stage(reconcile.live(books.payments).join(settled, "order_id", "left_semi").select(
+        *books.payments.columns), "payments")
+    where = F.col("order_id") % 7 == 0
+    lost = inject.missing_payments(clean, where)
+    doubled = inject.double_charges(clean, where, 5 * derived.LATE_COPY)
+
+    def found(made, finding, defect):
+        positions = reconcile.payment_positions(books.orders, books.lines, made.rows)
+        return positions.filter(F.col("finding") == finding).select(
+            F.lit(defect).alias("defect"), F.col("order_id").cast("string").alias("key"))
+
+    return inject.recall(
+        lost.labels.unionByName(doubled.labels),
+        found(lost, "unpaid", "missing_payment").unionByName(found(doubled, "overpaid", "duplicate_charge")))
+
+
+def reconcile_runs(spark, sf_dir):
+    """The run log of a passing and a blocked cutover check."""
+    new, legacy = _reports(spark, sf_dir)
+    report = stage(new, "report")
+    log = AppendLog(spark, scratch_path(spark, "recon-runs"), reconcile.RUN_DDL)
+    reconcile.record_run(reconcile.reconcile(report, legacy, *_REPORT).summary(), "retail", "1", log)
+    blocked = False
+    try:
+        reconcile.record_run(reconcile.reconcile(report, _changed_report(report), *_REPORT).summary(), "retail", "2", log)
+    except reconcile.CutoverBlocked:
+        blocked = True
+    return log.read().select("run_id", "check_name", "passed", F.get_json_object("report", "$.new_rows").cast("bigint")
+                             .alias("new_rows"), F.lit(blocked).alias("second_blocked"))
+
+
+def restore_target(spark, sf_dir):
+    """Typed orders saved as JSON lines and restored through their contract."""
+    path = scratch_path(spark, "saved")
+    ledger.load(spark, sf_dir).orders.write.json(path)
+    saved = spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in ORDERS.columns])).json(path)
+    return plain(contracts.restore(ORDERS, saved))
+
+
+def day_incidents(spark, sf_dir):
+    """Incidents of the second ingested day, from its audit records and checks."""
+    store = full_days(spark, sf_dir)
+    found = ledger.day_incidents(store, derived.payment_extract(spark, sf_dir, derived.SECOND_DAY), 2)
+    return found.select("incident_key", "trigger", "dataset_id", "run_id", "status", "root_cause")
+
+
 QUERIES = {f.__name__: f for f in (
-    order_totals, gold_daily_revenue, daily_payments, reconcile_retail, reconcile_keyed, recon_samples,
+    payment_recall, reconcile_runs, restore_target, day_incidents, order_totals, gold_daily_revenue, daily_payments, reconcile_retail, reconcile_keyed, recon_samples,
     reconcile_injected, source_to_target, payments_vs_orders, payment_findings, orphan_payments, parity_match,
     parity_mismatch, table_digest, duplicate_key_check, detection_recall)}
