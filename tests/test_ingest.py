@@ -190,3 +190,10 @@ def test_contract_files(tmp_path):
     enum["columns"]["id"] = {"type": "enum", "required": True}
     with pytest.raises(SpecError):
         parse_spec(enum)
+
+
+def test_restore_refuses_rows_that_left_the_contract(spark):
+    good = extract(spark, ("1", "5.00", "2026-01-01 00:00:00"))
+    assert contracts.restore(spec(), good).first()["price"] == Decimal("5.00")
+    with pytest.raises(Exception, match="matches_contract"):
+        contracts.restore(spec(), extract(spark, ("1", "five", "2026-01-01 00:00:00"))).collect()

@@ -392,3 +392,15 @@ def test_severe_signals_are_never_dismissed(spark):
     assert rules[6] == ("suspicious_instruction", "runbook") and rules[5] == ("unknown", "human")
     with pytest.raises(ValueError):
         monitor.route(df, "coin_toss")
+
+
+def test_a_blocked_cutover_is_logged(spark, tmp_path):
+    from tidegate.sources.versions import AppendLog
+
+    log = AppendLog(spark, str(tmp_path / "runs"), reconcile.RUN_DDL)
+    base = report(spark, ("a", "1.00"))
+    lined = reconcile.reconcile(base, report(spark, ("a", "9.00")), gaming.REPORT_KEY, ("units",), ("revenue",))
+    with pytest.raises(reconcile.CutoverBlocked):
+        reconcile.record_run(lined.summary(), "retail", "7", log)
+    row = log.read().first()
+    assert row["passed"] is False and json.loads(row["report"])["value_mismatches"] == 1
