@@ -3,10 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry
+from oracles.registry import ORACLES
+from tidegate.plans.registry import QUERIES
 from tools.compare import compare, oracle_connection
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def oracle(sf_dir):
@@ -15,6 +15,8 @@ def oracle(sf_dir):
 
 def test_every_query_has_an_oracle():
     assert set(ORACLES) == set(QUERIES)
+    assert QUERIES.items() <= entry.queries().items()
+    assert ORACLES.items() <= entry.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
