@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegate.llm import token_ids
+from tidegate.llm import chat_tree, fingerprints, merge_dropout, mixing, quality, token_ids
 from tidegate.llm.common import table
 
 
@@ -15,11 +15,43 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return quality.score(docs, quality.learn(docs, table(spark, sf_dir, "labels", "doc_id", "quality")))
+
+
 def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = token_ids.write_token_shards(table(spark, sf_dir, "documents", "doc_id", "text"),
                                           tokenizer_path("byte_bpe_50k.json"))
     return token_ids.read_token_shards(shards)
 
 
-QUERIES = {f.__name__: f for f in (op2_token_ids,)}
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prints = fingerprints.fingerprint(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return prints.withColumns({c: F.base64(c) for c in ("fingerprint", "edited_fingerprint")})
+
+
+def op5_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
+    return mixed.select("doc_id", "source", F.col("_pass").alias("pass"), F.col("_block").alias("block"),
+                        F.col("_place").alias("place"), F.col("_tokens").alias("n_tokens"),
+                        F.round("_weight", 9).alias("weight"), F.round("_exponent", 9).alias("exponent"))
+
+
+def op7_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    # One more conversation, whose texts hold the template's own control strings.
+    probe = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", probe), (-7, 1, "assistant", probe)],
+                                  "conv_id bigint, turn bigint, role string, text string")
+    return chat_tree.read_back(*chat_tree.build(turns.unionByName(extra)))
+
+
+def op8_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge_dropout.encode_documents(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                          tokenizer_path("piece_bpe_32k.model"), with_ids=False)
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_ids, op4_fingerprints, op5_temperature_mixing,
+                                   op7_chat_tree, op8_merge_dropout)}
 ORACLES: dict[str, str] = {}
