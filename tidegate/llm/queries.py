@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegate.llm import chat_tree, fingerprints, lm, merge_dropout, mixing, quality, token_ids
+from tidegate.llm import chat_tree, fingerprints, lm, merge_dropout, mixing, near_vectors, quality, token_ids
 from tidegate.llm.common import table
 
 
@@ -38,6 +38,10 @@ def op5_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.round("_weight", 9).alias("weight"), F.round("_exponent", 9).alias("exponent"))
 
 
+def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
 def op7_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     # One more conversation, whose texts hold the template's own control strings.
@@ -57,5 +61,5 @@ def op10_pair_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_ids, op4_fingerprints, op5_temperature_mixing,
-                                   op7_chat_tree, op8_merge_dropout, op10_pair_model)}
+                                   op6_near_vectors, op7_chat_tree, op8_merge_dropout, op10_pair_model)}
 ORACLES: dict[str, str] = {}
