@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegate.llm import chat_tree, fingerprints, lm, merge_dropout, mixing, near_vectors, quality, token_ids
+from tidegate.llm import chat_tree, fingerprints, lm, merge_dropout, metric_join, mixing, near_vectors, quality, token_ids
 from tidegate.llm.common import table
 
 
@@ -56,10 +56,15 @@ def op8_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
                                           tokenizer_path("piece_bpe_32k.model"), with_ids=False)
 
 
+def op9_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metric_join.jaccard_classes(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op10_pair_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_all(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_ids, op4_fingerprints, op5_temperature_mixing,
-                                   op6_near_vectors, op7_chat_tree, op8_merge_dropout, op10_pair_model)}
+                                   op6_near_vectors, op7_chat_tree, op8_merge_dropout, op9_metric_join,
+                                   op10_pair_model)}
 ORACLES: dict[str, str] = {}
