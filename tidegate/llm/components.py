@@ -1,8 +1,8 @@
 """Connected components of an edge table, by alternating large-star and small-star rounds.
 
 Every round is two aggregates with joins, so a node with very many edges never meets its
-edges in one task: the least neighbour comes from a combining aggregate, and the join back is one
-that adaptive execution may split. Rounds are written tables, so the lineage stays short and
+edges in one task: the least neighbour comes from a combining aggregate that is written out, and the join
+back is one that adaptive execution may split. Rounds are written tables, so the lineage stays short and
 a lost executor costs one round.
 """
 
@@ -16,13 +16,14 @@ from tidegate.llm.common import stage
 def _large_star(edges: DataFrame) -> DataFrame:
     """Connect each node's larger neighbours to the least node around it."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("_least")).select(F.col("u").alias("_u"), F.least("u", "_least").alias("_least"))
+    least = stage(both.groupBy("u").agg(F.min("v").alias("_least")).select(
+        F.col("u").alias("_u"), F.least("u", "_least").alias("_least")), "least")
     return both.join(least, both["u"] == least["_u"]).filter("v > u").select(F.col("v").alias("u"), F.col("_least").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Connect each node and its smaller neighbours to the least of them; edges come as (larger, smaller)."""
-    least = edges.groupBy("u").agg(F.min("v").alias("_least")).withColumnRenamed("u", "_u")
+    least = stage(edges.groupBy("u").agg(F.min("v").alias("_least")).withColumnRenamed("u", "_u"), "least")
     moved = edges.join(least, edges["u"] == least["_u"]).filter("v > _least").select(
         F.col("v").alias("u"), F.col("_least").alias("v"))
     return moved.unionByName(least.select(F.col("_u").alias("u"), F.col("_least").alias("v")))

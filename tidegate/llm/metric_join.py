@@ -281,8 +281,9 @@ def jaccard_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         lambda b: _across(b, percent), "a bigint, b bigint").distinct()
     second = _checked(again.join(star, ["a", "b"], "left_anti"), classes, texts, percent, "jaccard-second")
     groups = connected_components(as_docs(first.unionByName(second)), "jaccard-all")
-    final = ids.join(groups.withColumnRenamed("node", "doc"), "doc").select("class", "component")
+    # One row per class, written out, so that adaptive execution may split the join on a class of many copies.
+    final = stage(ids.join(groups.withColumnRenamed("node", "doc"), "doc", "left").select(
+        "class", F.coalesce("component", "doc").alias("component_id")), "jaccard-components")
     linkable = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
-    placed = members.filter(linkable).join(ids, "class").join(final, "class", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "doc").alias("component_id"))
+    placed = members.filter(linkable).join(final, "class").select("doc_id", "n_shingles", "component_id")
     return placed.unionByName(members.filter(~linkable).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegate.llm import chat_tree, fingerprints, lm, merge_dropout, metric_join, mixing, near_vectors, quality, token_ids
+from tidegate.llm import chat_tree, fingerprints, host_runs, lm, merge_dropout, metric_join, mixing, near_vectors, quality, token_ids
 from tidegate.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op2_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_ids.read_token_shards(shards)
 
 
+def op3_host_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_runs.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = fingerprints.fingerprint(table(spark, sf_dir, "documents", "doc_id", "text"))
     return prints.withColumns({c: F.base64(c) for c in ("fingerprint", "edited_fingerprint")})
@@ -64,7 +68,7 @@ def op10_pair_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_all(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_ids, op4_fingerprints, op5_temperature_mixing,
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_ids, op3_host_runs, op4_fingerprints, op5_temperature_mixing,
                                    op6_near_vectors, op7_chat_tree, op8_merge_dropout, op9_metric_join,
                                    op10_pair_model)}
 ORACLES: dict[str, str] = {}
