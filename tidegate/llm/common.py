@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidegate.session import stage
 
-__all__ = ["held_out", "ship", "shuffle_partitions", "stage", "table"]
+__all__ = ["fresh_name", "held_out", "ship", "shuffle_partitions", "stage", "table", "tokenizer_path"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -25,6 +25,21 @@ def held_out(doc_id: str | Column, remainder: int) -> Column:
     return F.coalesce(F.crc32(column.cast("string").cast("binary")) % 5 == remainder, F.lit(False))
 
 
+def tokenizer_path(name: str) -> str:
+    """Where an installed public vocabulary lies; every executor has the same installation."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def fresh_name(df: DataFrame, name: str) -> str:
+    """`name`, lengthened until no column of `df` has it (Spark compares names without case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

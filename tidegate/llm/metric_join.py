@@ -28,10 +28,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidegate.llm import scan, shingles
-from tidegate.llm.common import shuffle_partitions, stage
+from tidegate.llm.common import fresh_name, shuffle_partitions, stage
 from tidegate.llm.components import connected_components
 
 PERCENT = 80
@@ -287,3 +287,16 @@ def jaccard_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     linkable = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     placed = members.filter(linkable).join(final, "class").select("doc_id", "n_shingles", "component_id")
     return placed.unionByName(members.filter(~linkable).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+
+
+def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The rows of `docs` with one document of each class: the one with the least doc_id.
+
+    Documents without words and rows with a null doc_id stay; of several rows with one doc_id one stays.
+    """
+    classes = jaccard_classes(docs, percent)
+    kept = classes.filter("doc_id = component_id").select(F.col("doc_id").alias("id")).distinct()
+    number = fresh_name(docs, "_number")
+    whole = docs.join(kept, docs["doc_id"] == kept["id"], "left_semi").withColumn(
+        number, F.row_number().over(Window.partitionBy("doc_id").orderBy("text")))
+    return whole.filter(F.col(number) == 1).drop(number).unionByName(docs.filter("doc_id IS NULL"))

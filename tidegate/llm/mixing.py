@@ -13,7 +13,7 @@ from pass to pass. A document is taken in the last pass when at least half of it
 
 Defined results: a null source is a source of its own; documents without tokens, also null texts,
 have no weight and are passed over as often as floor(r); a null doc_id sorts first; equal rows are kept; no rows
-give no rows; extra columns travel along under their names.
+give no rows; extra columns travel along in the document.
 """
 
 from __future__ import annotations
@@ -80,28 +80,28 @@ def _drawn(*parts: Column) -> Column:
 
 def mix(docs: DataFrame, repeat_limit: float = REPEAT_LIMIT, target_entropy: float | None = None,
         block_tokens: int = BLOCK_TOKENS, seed: int = SEED) -> DataFrame:
-    """`docs` (doc_id, text, source, ...) with one row per reading of a document.
+    """One row per reading of a document of `docs` (doc_id, text, source, ...).
 
-    Adds _tokens, _weight, _exponent, _repeats, _block, _pass (from 1) and _place, the row's place in its
-    block's permutation of that pass.
+    Columns: document, a struct of the columns of `docs`; source, tokens, weight, exponent, repeats;
+    block, pass (from 1) and place, the row's place in its block's permutation of that pass.
     """
-    counted = docs.withColumn("_tokens", token_count("text"))
-    totals = stage(counted.groupBy("source").agg(F.sum("_tokens").alias("tokens"), F.count("*").alias("rows")), "source-tokens")
+    counted = docs.select(F.struct(*docs.columns).alias("document"), F.col("source").alias("source"),
+                          token_count("text").alias("tokens"), F.col("doc_id").alias("id"))
+    totals = stage(counted.groupBy("source").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("rows")), "source-tokens")
     weights = stage(source_weights(totals, repeat_limit, target_entropy), "source-weights").select(
-        F.col("source").alias("_source"), F.col("weight").alias("_weight"), F.col("exponent").alias("_exponent"),
-        F.col("repeats").alias("_repeats"), F.ceil((F.col("tokens") + F.col("rows")) / block_tokens).alias("_blocks"))
+        F.col("source").alias("of"), "weight", "exponent", "repeats",
+        F.ceil((F.col("tokens") + F.col("rows")) / block_tokens).alias("blocks"))
     # A few numbers per source. Spark sends them to all tasks only while they are small.
-    known = counted.join(weights, counted["source"].eqNullSafe(weights["_source"])).drop("_source")
-    number = F.conv(F.substring(_drawn(F.lit(f"block{seed}"), F.col("doc_id")), 1, 8), 16, 10).cast("bigint")
-    blocked = known.withColumn("_block", number % F.col("_blocks")).drop("_blocks")
-    whole_passes = F.floor("_repeats").cast("int")
-    order = lambda pass_: (_drawn(F.lit(f"order{seed}"), pass_, F.col("doc_id")), F.col("doc_id"))
-    block = Window.partitionBy("source", "_block")
-    before = F.sum("_tokens").over(block.orderBy(*order(whole_passes + 1)).rowsBetween(Window.unboundedPreceding, -1))
-    size = F.sum("_tokens").over(block)
-    room = (F.col("_repeats") - whole_passes) * size
-    fits = (F.col("_tokens") > 0) & (F.coalesce(before, F.lit(0)) + F.col("_tokens") / 2 <= room)
-    passes = blocked.withColumn("_passes", whole_passes + fits.cast("int"))
-    read = passes.withColumn("_pass", F.explode(F.sequence(F.lit(1), "_passes"))).drop("_passes")
-    place = F.row_number().over(Window.partitionBy("source", "_block", "_pass").orderBy(*order(F.col("_pass"))))
-    return read.withColumn("_place", place.cast("bigint"))
+    known = counted.join(weights, counted["source"].eqNullSafe(weights["of"])).drop("of")
+    number = F.conv(F.substring(_drawn(F.lit(f"block{seed}"), F.col("id")), 1, 8), 16, 10).cast("bigint")
+    blocked = known.withColumn("block", number % F.col("blocks")).drop("blocks")
+    whole_passes = F.floor("repeats").cast("int")
+    order = lambda pass_: (_drawn(F.lit(f"order{seed}"), pass_, F.col("id")), F.col("id"))
+    block = Window.partitionBy("source", "block")
+    before = F.sum("tokens").over(block.orderBy(*order(whole_passes + 1)).rowsBetween(Window.unboundedPreceding, -1))
+    room = (F.col("repeats") - whole_passes) * F.sum("tokens").over(block)
+    fits = (F.col("tokens") > 0) & (F.coalesce(before, F.lit(0)) + F.col("tokens") / 2 <= room)
+    passes = blocked.withColumn("passes", whole_passes + fits.cast("int"))
+    read = passes.withColumn("pass", F.explode(F.sequence(F.lit(1), "passes"))).drop("passes")
+    place = F.row_number().over(Window.partitionBy("source", "block", "pass").orderBy(*order(F.col("pass"))))
+    return read.withColumn("place", place.cast("bigint")).drop("id")

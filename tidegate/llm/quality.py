@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidegate.llm import rules, scan
-from tidegate.llm.common import held_out
+from tidegate.llm.common import fresh_name, held_out
 
 FIT_ROWS = 20_000
 THRESHOLD = 0.3
@@ -144,4 +144,5 @@ def score(docs: DataFrame, ensemble: rules.Ensemble, threshold: float = THRESHOL
 
 def keep_good(docs: DataFrame, ensemble: rules.Ensemble, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of `docs` that the ensemble does not reject, with their columns."""
-    return with_statistics(docs).filter(score_column(ensemble) >= threshold).select(*docs.columns)
+    name = fresh_name(docs, "_statistics")
+    return with_statistics(docs, name).filter(score_column(ensemble, name) >= threshold).select(*docs.columns)
