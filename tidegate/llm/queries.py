@@ -4,15 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
 from tidegate.llm import chat_tree, fingerprints, host_runs, lm, merge_dropout, metric_join, mixing, near_vectors, quality, token_ids
-from tidegate.llm.common import table
-
-
-def tokenizer_path(name: str) -> str:
-    """Where an installed public vocabulary lies; every executor has the same installation."""
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
+from tidegate.llm.common import table, tokenizer_path
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,9 +31,8 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents", "doc_id", "text", "source"))
-    return mixed.select("doc_id", "source", F.col("_pass").alias("pass"), F.col("_block").alias("block"),
-                        F.col("_place").alias("place"), F.col("_tokens").alias("n_tokens"),
-                        F.round("_weight", 9).alias("weight"), F.round("_exponent", 9).alias("exponent"))
+    return mixed.select("document.doc_id", "source", "pass", "block", "place", F.col("tokens").alias("n_tokens"),
+                        F.round("weight", 9).alias("weight"), F.round("exponent", 9).alias("exponent"))
 
 
 def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,4 +64,5 @@ def op10_pair_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_ids, op3_host_runs, op4_fingerprints, op5_temperature_mixing,
                                    op6_near_vectors, op7_chat_tree, op8_merge_dropout, op9_metric_join,
                                    op10_pair_model)}
+QUERIES["pipeline"] = corpus_pipeline.run
 ORACLES: dict[str, str] = {}
