@@ -20,7 +20,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 _random = np.random.default_rng(20240607)
 _BYTE_KEYS = _random.integers(0, 2**64, 256, dtype=np.uint64)
-_powers = {"n": 0}
+_powers = {"n": -1}
 
 
 def mix(h: np.ndarray) -> np.ndarray:
