@@ -2,7 +2,7 @@
 
 from oracles.inputs import CAMPAIGNS, GAMING, LEADS, OPS_EVENTS, RETAIL, with_ctes
 
-REVENUE = "CAST(l_extendedprice AS DECIMAL(13,2)) * (1 - CAST(coalesce(l_discount, 0) AS DECIMAL(3,2)))"
+REVENUE = "CAST(l_extendedprice AS DECIMAL(18,6)) * (1 - CAST(coalesce(l_discount, 0) AS DECIMAL(9,8)))"
 LINES = """
 lines AS (
   SELECT *, {revenue} AS revenue FROM lineitem
@@ -25,7 +25,7 @@ clv AS (
 PRODUCTS = """
 products AS (
   SELECT p_partkey AS product_key, p_name AS product_name, sum(revenue) AS total_revenue,
-         sum(CAST(l_quantity AS DECIMAL(12,2))) AS total_quantity, count(DISTINCT l_orderkey) AS order_count
+         sum(CAST(l_quantity AS DECIMAL(18,6))) AS total_quantity, count(DISTINCT l_orderkey) AS order_count
   FROM part JOIN lines ON p_partkey = l_partkey WHERE p_retailprice >= 0 GROUP BY 1, 2),
 ranked AS (SELECT *, rank() OVER (ORDER BY total_revenue DESC) AS revenue_rank FROM products)"""
 PERFORMANCE = """

@@ -182,7 +182,7 @@ SELECT 'sales.orders:day1:1' AS run_id, 'succeeded_with_quarantine' AS status, C
        (SELECT count(*) FROM tgt1) AS target_rows FROM c1
 UNION ALL
 SELECT 'sales.orders:day2:2', 'failed', 'quarantine_ratio_exceeded', rows_in_window, quarantined, 0,
-       least(quarantined, 50), {mark(1, O_KEYS)}, (SELECT count(*) FROM tgt1) FROM c2""",
+       quarantined, {mark(1, O_KEYS)}, (SELECT count(*) FROM tgt1) FROM c2""",
     "ingest_merge": "WITH " + ORDER_RUNS + """
 SELECT t_order_id AS order_id, t_customer_id AS customer_id, t_status AS status, t_order_date AS order_date,
        t_updated_at AS updated_at, t_is_deleted AS is_deleted FROM tgt2""",

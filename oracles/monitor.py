@@ -1,6 +1,7 @@
 """Oracles of the policy, monitoring, routing and evidence queries."""
 
 from oracles.inputs import GAMING, RETAIL, with_ctes
+from tidegate.functions.runbooks import NO_RUNBOOK, RUNBOOKS
 
 MARKER = "CANARY-7f3a9c2e"
 AUDIT = """
@@ -234,9 +235,12 @@ WHERE role IN ('engineer', 'compliance') OR role = domain || '_analyst' GROUP BY
     "incidents": with_ctes(AUDIT) + """
 SELECT incident_key, day, trigger, dataset_id, run_id, status, failure_code FROM found""",
     "root_cause": with_ctes(AUDIT) + "SELECT incident_key, trigger, root_cause FROM causes",
-    "incident_runbook": with_ctes(AUDIT) + """
-SELECT root_cause, count(*) AS incidents, true AS has_action, root_cause IS NOT NULL AS has_validations
-FROM causes GROUP BY 1""",
+    "incident_runbook": with_ctes(AUDIT) + """,
+books(root_cause, action, validations) AS (VALUES """ + ", ".join(
+        "('" + "', '".join(x.replace("'", "''") for x in (cause, *book)) + "')" for cause, book in RUNBOOKS.items()) + f""")
+SELECT c.root_cause, count(*) AS incidents, coalesce(any_value(action), '{NO_RUNBOOK[0]}') AS action,
+       coalesce(any_value(validations), '{NO_RUNBOOK[1]}') AS validations
+FROM causes c LEFT JOIN books b ON c.root_cause = b.root_cause GROUP BY 1""",
     "recent_runs": with_ctes(AUDIT) + """
 SELECT dataset_id, run_id, status, failure_code, rows_in_source, rows_new FROM audit
 QUALIFY row_number() OVER (PARTITION BY dataset_id ORDER BY day DESC) <= 3""",
@@ -247,8 +251,7 @@ QUALIFY row_number() OVER (PARTITION BY dataset_id ORDER BY day DESC) = 1""",
 SELECT incident_id, opened_seq, status, CASE WHEN status = 'no_citations' THEN status ELSE '' END AS reason_codes,
        tool_calls, last_tool, md5(current_payload) AS payload_md5 FROM state""",
     "incident_tool_calls": with_ctes(EVENTS) + """
-SELECT incident_id, seq, CASE WHEN seq % 3 = 0 THEN 'read_gate_status' ELSE 'read_quarantine_sample' END AS tool,
-       row_number() OVER (PARTITION BY incident_id ORDER BY seq) AS position FROM log WHERE event = 'tool_call'""",
+SELECT incident_id, seq, tool, row_number() OVER (PARTITION BY incident_id ORDER BY seq) AS position FROM calls""",
     "event_counts": with_ctes(EVENTS) + "SELECT event, count(*) AS events FROM log GROUP BY 1",
     "approval_audit": with_ctes(EVENTS, APPROVALS) + """
 SELECT seq, approval_id, incident_id, action, CASE

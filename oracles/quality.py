@@ -11,7 +11,7 @@ faulty AS (
          CASE WHEN l_orderkey % 103 = 0 THEN -l_extendedprice - 1 ELSE l_extendedprice END AS l_extendedprice
   FROM lineitem)"""
 KEPT_LINES = with_ctes(FAULTY) + """
-SELECT l_suppkey, count(*) AS kept, CAST(sum(CAST(l_extendedprice AS DECIMAL(13,2))) AS DOUBLE) AS price
+SELECT l_suppkey, count(*) AS kept, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,6))) AS DOUBLE) AS price
 FROM faulty WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL AND l_quantity > 0
   AND l_discount BETWEEN 0 AND 1 AND l_extendedprice >= 0 AND l_tax >= 0 GROUP BY 1"""
 STATUS = """
@@ -39,7 +39,7 @@ SELECT event_id, CASE WHEN event_id % 31 <> 0 THEN ts END AS event_ts,
     "expect_all": with_ctes(GAMING) + """
 SELECT wager_id, player_id, CAST(stake AS DOUBLE) AS stake, CAST(payout AS DOUBLE) AS payout, wager_ts FROM wagers""",
     "expect_fail": """
-SELECT l_suppkey, count(*) AS kept, CAST(sum(CAST(l_extendedprice AS DECIMAL(13,2))) AS DOUBLE) AS price
+SELECT l_suppkey, count(*) AS kept, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,6))) AS DOUBLE) AS price
 FROM lineitem GROUP BY 1""",
     "expect_metrics": with_ctes(FAULTY) + " UNION ALL ".join(f"""
 SELECT '{name}' AS rule, count(*) - count(CASE WHEN {predicate} THEN NULL ELSE 1 END) AS passed,

@@ -149,9 +149,20 @@ WITH c AS (SELECT o_custkey, sum(CASE WHEN o_orderkey % 50 = 0 THEN CAST(o_total
 SELECT 'mismatch' AS status, count(*) AS rows_compared, count(CASE WHEN lost <> 0 THEN 1 END) AS expected_not_produced,
        count(CASE WHEN lost <> 0 THEN 1 END) AS produced_not_expected FROM c""",
     "table_digest": """
-WITH d AS (
-  SELECT count(*) AS row_count, CAST(sum(CAST('0x' || substr(md5(concat_ws('|', CAST(o_orderkey AS VARCHAR),
-         CAST(o_custkey AS VARCHAR), o_orderstatus, o_orderpriority)), 1, 15) AS UBIGINT)) AS VARCHAR) AS digest FROM orders)
+WITH v AS (SELECT CAST(o_orderkey AS VARCHAR) AS v0,
+       CAST(o_custkey AS VARCHAR) AS v1,
+       o_orderstatus AS v2,
+       CAST(CAST(o_totalprice AS DECIMAL(24,6)) AS VARCHAR) AS v3,
+       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%f') AS v4,
+       o_orderpriority AS v5 FROM orders),
+h AS (SELECT md5(concat_ws(',', coalesce(length(v0) || ':' || v0, 'null'),
+         coalesce(length(v1) || ':' || v1, 'null'),
+         coalesce(length(v2) || ':' || v2, 'null'),
+         coalesce(length(v3) || ':' || v3, 'null'),
+         coalesce(length(v4) || ':' || v4, 'null'),
+         coalesce(length(v5) || ':' || v5, 'null'))) AS h FROM v),
+d AS (SELECT count(*) AS row_count, concat_ws('-', CAST(sum(CAST('0x' || substr(h, 1, 16) AS UBIGINT)) AS VARCHAR),
+        CAST(sum(CAST('0x' || substr(h, 17, 16) AS UBIGINT)) AS VARCHAR)) AS digest FROM h)
 SELECT *, 'as_read' AS copy FROM d UNION ALL SELECT *, 'shuffled' FROM d""",
     "duplicate_key_check": """
 SELECT count(*) AS row_count, count(DISTINCT (l_orderkey, l_linenumber)) AS key_count,

@@ -15,7 +15,7 @@ o AS (
 LINES = """
 l AS (
   SELECT l_orderkey AS order_id, l_partkey * 10 + l_linenumber AS line_no, CAST(floor(l_quantity) AS BIGINT) AS quantity,
-         CAST(l_extendedprice AS DECIMAL(12,2)) AS unit_price FROM lineitem)"""
+         CAST(l_extendedprice AS DECIMAL(18,2)) AS unit_price FROM lineitem)"""
 PAYMENTS = """
 p AS (
   SELECT o_orderkey AS payment_id, CASE WHEN o_orderkey % 59 = 0 THEN -o_orderkey - 1 ELSE o_orderkey END AS order_id,

@@ -166,12 +166,22 @@ def test_parity_statuses(spark):
     assert reconcile.parity(spark, "SELECT nope FROM {t}", "SELECT id FROM {t}", t=t).first()["status"] == "execution_error"
     up, down = "SELECT id FROM {t} ORDER BY id LIMIT 2", "SELECT id FROM {t} ORDER BY id DESC LIMIT 2"
     assert reconcile.parity(spark, up, down, t=t).first()["status"] == "validated"
-    assert reconcile.parity(spark, up, down, ordered=True, t=t).first()["status"] == "mismatch"
+    assert reconcile.parity(spark, up, down, order=(["id"], ["-id"]), t=t).first()["status"] == "mismatch"
+    many = spark.range(1000)
+    for parts in (1, 7):  # positions do not depend on the partitions
+        found = reconcile.result_difference(many.repartition(parts), many, (["id"], ["id"]))
+        assert found.filter("copies <> 0").isEmpty()
+    late = reconcile.parity(spark, "SELECT cast(s AS int) AS id FROM {t} WHERE s IS NOT NULL", "SELECT id FROM {t}", t=t).first()
+    assert late["status"] == "execution_error"
+    odd = spark.createDataFrame([(float("nan"),), (float("inf"),), (float("-inf"),), (None,)], "x double")
+    assert [r[0] for r in reconcile.normalized(odd).collect()] == ["NaN", "Infinity", "-Infinity", None]
 
 
 def test_digests_ignore_order_and_see_changes(spark):
     df = spark.range(100).withColumn("s", F.col("id").cast("string"))
-    for make in (lambda d: reconcile.table_digest(d, ["id", "s"]), reconcile.fast_digest):
+    pair = lambda *rows: reconcile.table_digest(spark.createDataFrame(list(rows), "a string, b string")).first()["digest"]
+    assert len({pair(("a|b", "c")), pair(("a", "b|c")), pair((None, "c")), pair(("~", "c")), pair(("null", "c")), pair(("", "c"))}) == 6
+    for make in (reconcile.table_digest, reconcile.fast_digest):
         assert make(df).first() == make(df.repartition(7).orderBy(F.desc("id"))).first()
         assert make(df).first() != make(df.withColumn("s", F.lit("1"))).first()
 
@@ -205,7 +215,7 @@ def test_player_day_and_spike_history(spark):
                                          "player_id bigint, amount decimal(18,2), deposit_ts timestamp_ntz")
         daily = risk.player_daily(wagers, deposits, sessions)
         players = spark.createDataFrame([(1, True), (2, None), (3, False)], "player_id bigint, self_excluded boolean")
-        return daily, {r["player_id"]: r for r in risk.player_flags(players, daily, sessions, wagers).collect()}
+        return daily, {r["player_id"]: r for r in risk.player_flags(players, daily).collect()}
 
     daily, four = flags(["10", "10", "10", "1000"])
     first = daily.filter("player_id = 1 AND activity_date = '2026-01-01'").first()

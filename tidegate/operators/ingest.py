@@ -25,7 +25,6 @@ SUCCEEDED_WITH_QUARANTINE = "succeeded_with_quarantine"
 FAILED = "failed"
 SCHEMA_REQUIRED_COLUMN_MISSING = "schema_required_column_missing"
 QUARANTINE_RATIO_EXCEEDED = "quarantine_ratio_exceeded"
-MAX_QUARANTINE_SAMPLE = 50
 
 AUDIT_DDL = (
     "run_id string, dataset_id string, label string, contract_version string, status string, failure_code string,"
@@ -63,7 +62,7 @@ def cursor_of(spec: DatasetSpec) -> Column:
 
 def in_window(spec: DatasetSpec, mark: Watermark | None) -> Column:
     """Rows at or after watermark - lookback; a rejected row without a readable cursor stays."""
-    if mark is None or spec.mode == "full":
+    if mark is None:
         return F.lit(True)
     floor = F.lit(mark.floor(spec.lookback_hours)).cast("timestamp_ntz")
     return F.when(F.size(PROBLEMS) == 0, F.col(spec.cursor_column) >= floor).otherwise(
@@ -259,7 +258,7 @@ def run_ingestion(spec: DatasetSpec, extract: DataFrame, store: IngestStore, lab
     rows = quarantine_rows(spec, checked, groups)
     if window and quarantined / window > spec.max_quarantine_ratio:
         record.update(status=FAILED, failure_code=QUARANTINE_RATIO_EXCEEDED)
-        _save_quarantine(store, record, rows.orderBy("_kind", RAW).limit(MAX_QUARANTINE_SAMPLE))
+        _save_quarantine(store, record, rows)
         store.save_audit(record)
         return record
 

@@ -84,11 +84,10 @@ def run_by_id(audit: DataFrame, run_id: str) -> DataFrame:
     return audit.filter(F.col("run_id") == run_id)
 
 
-def contract_results(quarantine: DataFrame, run_id: str, limit: int = 5) -> DataFrame:
-    """A bounded sample of the rejected rows of one run."""
-    if not 1 <= limit <= 5:
-        raise ValueError("limit lies in 1..5")
-    return quarantine.filter(F.col("run_id") == run_id).orderBy("raw").limit(limit)
+def contract_results(quarantine: DataFrame, run_id: str, first: int | None = None) -> DataFrame:
+    """The rejected rows of one run, or the first of them by their raw text."""
+    rows = quarantine.filter(F.col("run_id") == run_id)
+    return rows if first is None else rows.orderBy("raw").limit(first)
 
 
 def schema_history(audit: DataFrame, dataset_id: str) -> DataFrame:
@@ -96,9 +95,17 @@ def schema_history(audit: DataFrame, dataset_id: str) -> DataFrame:
     return audit.filter(F.col("dataset_id") == dataset_id).select("run_id", "run_seq", "schema_diff")
 
 
-def of_source(df: DataFrame, source: str, order: str, limit: int = 5) -> DataFrame:
-    """A bounded look at the status, quarantine or log rows of one source, newest first."""
-    return df.filter(F.col("source") == source).orderBy(F.desc(order)).limit(limit)
+def of_source(df: DataFrame, source: str, order: str, newest: int | None = None) -> DataFrame:
+    """The status, quarantine or log rows of one source, or the newest of them."""
+    rows = df.filter(F.col("source") == source)
+    return rows if newest is None else rows.orderBy(F.desc(order)).limit(newest)
+
+
+def tool_calls(events: DataFrame) -> DataFrame:
+    """The calls that belong to the current opening of each incident, as fold_events counts them."""
+    opened = events.filter(F.col("event") == OPENED).groupBy("incident_id").agg(F.max("seq").alias("opened_seq"))
+    calls = events.filter(F.col("event") == TOOL_CALL).select("incident_id", "seq", "tool")
+    return calls.join(opened, "incident_id").filter("seq > opened_seq").drop("opened_seq")
 
 
 def recent_success(audit: DataFrame) -> DataFrame:

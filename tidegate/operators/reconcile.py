@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from tidegate.functions.codes import entries_where
 from tidegate.operators import contracts, expectations
+from tidegate.operators.ordering import global_row_number
+from tidegate.session import stage
 from tidegate.sources.specs import DatasetSpec
 from tidegate.sources.versions import AppendLog
 
@@ -132,7 +134,7 @@ def live(df: DataFrame) -> DataFrame:
 def order_totals(orders: DataFrame, lines: DataFrame) -> DataFrame:
     """order_id, order_date, status, total of live orders; an order without lines totals 0."""
     totals = live(lines).groupBy("order_id").agg(
-        F.sum(F.col("unit_price") * F.col("quantity").cast("decimal(10,0)")).cast("decimal(28,2)").alias("_total"))
+        F.sum(F.col("unit_price") * F.col("quantity").cast("decimal(20,0)")).cast("decimal(28,2)").alias("_total"))
     return live(orders).join(totals, "order_id", "left").select(
         "order_id", "order_date", "status",
         F.coalesce("_total", F.lit(0).cast("decimal(28,2)")).alias("total"))
@@ -226,7 +228,9 @@ def normalized(df: DataFrame) -> DataFrame:
     for i, f in enumerate(df.schema.fields):
         value, kind = F.col(f"`{f.name}`"), f.dataType
         if isinstance(kind, (T.FloatType, T.DoubleType)):
-            text = F.round(value.cast("decimal(38,10)"), 2).cast("decimal(38,2)").cast("string")
+            number = F.when(~F.isnan(value) & (F.abs(value) < float("inf")), value).cast("decimal(38,10)")
+            odd = F.when(F.isnan(value), "NaN").when(F.abs(value) == float("inf"), value.cast("string"))
+            text = F.coalesce(odd, F.round(number, 2).cast("decimal(38,2)").cast("string"))
         elif isinstance(kind, (T.NumericType,)):
             text = F.round(value.cast("decimal(38,6)") if isinstance(kind, T.IntegralType) else value, 2).cast(
                 "decimal(38,2)").cast("string")
@@ -239,17 +243,20 @@ def normalized(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
-def result_difference(got: DataFrame, want: DataFrame, ordered: bool = False) -> DataFrame:
+def result_difference(got: DataFrame, want: DataFrame,
+                      order: tuple[list[str], list[str]] | None = None) -> DataFrame:
     """Distinct rows of both sides; `copies` > 0 means expected and not produced, < 0 the
     reverse, and `wanted` counts the row on the reference side.
 
-    One grouping of both sides decides both directions of the multiset comparison. Ordered
-    results (always a LIMIT, so small) also compare the position of each row.
+    One grouping of both sides decides both directions of the multiset comparison. With `order`,
+    the columns that order `got` and those that order `want` (a descending one starts with "-"),
+    the position of each row is compared as well, however the rows are partitioned.
     """
     def tagged(df: DataFrame, sign: int) -> DataFrame:
+        if order:
+            columns = [F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in order[sign > 0]]
+            df = global_row_number(df, columns, "_place")
         rows = normalized(df)
-        if ordered:
-            rows = rows.withColumn("_position", F.monotonically_increasing_id())
         return rows.withColumn("_copies", F.lit(sign).cast("bigint"))
 
     both = tagged(want, 1).unionAll(tagged(got, -1))
@@ -258,14 +265,15 @@ def result_difference(got: DataFrame, want: DataFrame, ordered: bool = False) ->
         F.sum("_copies").alias("copies"), F.count_if(F.col("_copies") > 0).alias("wanted"))
 
 
-def parity(spark: SparkSession, legacy_sql: str, reference_sql: str, ordered: bool = False,
-           **tables: DataFrame) -> DataFrame:
+def parity(spark: SparkSession, legacy_sql: str, reference_sql: str,
+           order: tuple[list[str], list[str]] | None = None, **tables: DataFrame) -> DataFrame:
     """One row: status, rows compared, and how many rows differ in each direction."""
     want = spark.sql(reference_sql, **tables)
     try:
-        got = spark.sql(legacy_sql, **tables)
-        difference = result_difference(got, want, ordered)
-    except AnalysisException:
+        # Written at once, so that a value the engine refuses at run time shows here.
+        got = stage(spark.sql(legacy_sql, **tables), "parity")
+        difference = result_difference(got, want, order)
+    except PySparkException:
         return want.agg(F.lit(EXECUTION_ERROR).alias("status"), F.count("*").alias("rows_compared"),
                         F.lit(0).cast("bigint").alias("expected_not_produced"),
                         F.lit(0).cast("bigint").alias("produced_not_expected"))
@@ -281,15 +289,20 @@ def parity(spark: SparkSession, legacy_sql: str, reference_sql: str, ordered: bo
 
 # -- digests and key checks --------------------------------------------------------
 
-def table_digest(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Order-independent digest: row count and a commutative sum of row hashes.
+def table_digest(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Order-independent digest over all columns: row count and commutative sums of row hashes.
 
     Sums combine inside each task; collecting and sorting the row hashes would put the whole
-    table into one row. The hash is the first 60 bits of the MD5 of the row text.
+    table into one row. A value enters with its length and a NULL with a mark of its own, so
+    no two rows share a text; both halves of the MD5 are summed.
     """
-    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in columns])
-    number = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(20,0)")
-    return df.agg(F.count("*").alias("row_count"), F.sum(number).cast("string").alias("digest"))
+    def value(c: str) -> Column:
+        text = F.col(f"`{c}`").cast("string")
+        return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("null"))
+
+    hashed = F.md5(F.concat_ws(",", *[value(c) for c in columns or df.columns]))
+    halves = [F.sum(F.conv(F.substring(hashed, at, 16), 16, 10).cast("decimal(20,0)")).cast("string") for at in (1, 17)]
+    return df.agg(F.count("*").alias("row_count"), F.concat_ws("-", *halves).alias("digest"))
 
 
 def fast_digest(df: DataFrame) -> DataFrame:

@@ -11,17 +11,18 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-ROWS_PER_SLICE = 1_000_000
-
-
 def sliced_join(left: DataFrame, right: DataFrame, keys: list[str], spread_by: list[str],
-                rows_per_slice: int = ROWS_PER_SLICE, how: str = "left") -> DataFrame:
+                rows_per_slice: int | None = None, how: str = "left") -> DataFrame:
     """`left` joined to `right` (one row per key, same key names) on `keys`, NULL-safe.
 
     The rows per key are counted by an aggregate that combines before the shuffle. Keys above
     `rows_per_slice` get as many slices as they need, on both sides; all other keys keep one.
-    There are at most count(left) / rows_per_slice such keys, which bounds the broadcast.
+    By default a slice is the mean load of a shuffle partition, so there are at most as many
+    such keys as shuffle partitions, which bounds the broadcast.
     """
+    if rows_per_slice is None:
+        partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        rows_per_slice = max(left.count() // partitions, 1)
     names = [f"_hot{i}" for i in range(len(keys))]
     slices = F.ceil(F.count("*") / F.lit(rows_per_slice)).cast("int")
     hot = left.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)]).agg(

@@ -31,8 +31,7 @@ def player_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def player_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return risk.player_flags(clean(spark, sf_dir, "players"), player_daily(spark, sf_dir),
-                             clean(spark, sf_dir, "sessions"), clean(spark, sf_dir, "wagers"))
+    return risk.player_flags(clean(spark, sf_dir, "players"), player_daily(spark, sf_dir))
 
 
 def retail_sales_daily(orders: DataFrame, licensees: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidegate.operators.gate import safe_ratio
 from tidegate.plans import gaming, marketing, sales
 from tidegate.plans.present import plain
+from tidegate.session import stage
 
 
 def gold_monthly_revenue_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +57,7 @@ def gold_ops_health(spark, sf_dir):
 
 
 def gold_player_daily(spark, sf_dir):
-    return plain(gaming.player_daily(spark, sf_dir))
+    return plain(gaming.player_daily(spark, sf_dir).drop("longest_session", "wager_count"))
 
 
 def rg_player_flags(spark, sf_dir):
@@ -90,8 +91,8 @@ def bi_segment_counts(spark, sf_dir):
 
 def bi_revenue_by_region_year(spark, sf_dir, year: int = 1997):
     """Revenue of each region in one year."""
-    gold = sales.monthly_revenue_by_region(spark, sf_dir)
-    return plain(gold.filter(F.year("month_date") == year).groupBy("region_name")
+    gold = sales.monthly_revenue_by_region(spark, sf_dir, f"{year}-01-01 00:00:00", f"{year + 1}-01-01 00:00:00")
+    return plain(gold.groupBy("region_name")
                  .agg(F.sum("revenue").alias("revenue")))
 
 
@@ -110,7 +111,7 @@ def bi_conversion_by_channel(spark, sf_dir):
 
 def bi_funnel_last3m(spark, sf_dir):
     """Stage counts per month over the last three months that have leads."""
-    gold = _client_funnel(spark, sf_dir)
+    gold = stage(_client_funnel(spark, sf_dir), "funnel")  # read twice
     last = F.max("month_date")
     months = gold.agg(F.array(last, F.add_months(last, -1), F.add_months(last, -2)).alias("months"))
     recent = gold.join(months.select(F.explode("months").alias("month_date")), "month_date")

@@ -60,8 +60,7 @@ def incident_runbook(spark, sf_dir):
     found, audit, findings = _incidents(spark, sf_dir)
     counted = monitor.root_causes(found, audit, findings).groupBy("root_cause").agg(F.count("*").alias("incidents"))
     return monitor.with_runbook(counted).select(
-        "root_cause", "incidents", (F.length("action") > 0).alias("has_action"),
-        (F.length("validations") > 0).alias("has_validations"))
+        "root_cause", "incidents", "action", "validations")
 
 
 def recent_runs(spark, sf_dir):
@@ -91,8 +90,8 @@ def incident_fold(spark, sf_dir):
 
 
 def incident_tool_calls(spark, sf_dir):
-    """Ordered tool calls of every incident."""
-    calls = _event_log(spark, sf_dir).filter(F.col("event") == monitor.TOOL_CALL).select("incident_id", "seq", "tool")
+    """Ordered tool calls of every open incident since its latest opening."""
+    calls = monitor.tool_calls(_event_log(spark, sf_dir))
     return position_in_group(calls, "incident_id", [F.asc("seq")], "position")
 
 

@@ -74,7 +74,7 @@ def faulty_lines(lines: DataFrame) -> DataFrame:
 
 def _line_summary(lines: DataFrame) -> DataFrame:
     return plain(lines.groupBy("l_suppkey").agg(
-        F.count("*").alias("kept"), F.sum(F.col("l_extendedprice").cast("decimal(13,2)")).alias("price")))
+        F.count("*").alias("kept"), F.sum(F.col("l_extendedprice").cast("decimal(18,6)")).alias("price")))
 
 
 def expect_drop(spark, sf_dir):

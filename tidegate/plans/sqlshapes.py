@@ -31,7 +31,7 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey AS order_id", "l_partkey * 10 + l_linenumber AS line_no",
-        "cast(floor(l_quantity) AS bigint) AS quantity", "cast(l_extendedprice AS decimal(12,2)) AS unit_price")
+        "cast(floor(l_quantity) AS bigint) AS quantity", "cast(l_extendedprice AS decimal(18,2)) AS unit_price")
 
 
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +111,7 @@ def sql_running_total(spark, sf_dir):
 
 def _amounts(lines: DataFrame) -> DataFrame:
     return lines.groupBy("order_id").agg(
-        F.sum(F.col("quantity").cast("decimal(5,0)") * F.col("unit_price")).alias("amount"))
+        F.sum(F.col("quantity").cast("decimal(20,0)") * F.col("unit_price")).alias("amount"))
 
 
 def sql_revenue_having(spark, sf_dir):
