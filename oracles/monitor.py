@@ -1,7 +1,7 @@
 """Oracles of the policy, monitoring, routing and evidence queries."""
 
 from oracles.inputs import GAMING, RETAIL, with_ctes
-from tidegate.functions.runbooks import NO_RUNBOOK, RUNBOOKS
+from tidegate.functions.runbooks import LOOKUPS, NO_LOOKUP
 
 MARKER = "CANARY-7f3a9c2e"
 AUDIT = """
@@ -236,10 +236,8 @@ WHERE role IN ('engineer', 'compliance') OR role = domain || '_analyst' GROUP BY
 SELECT incident_key, day, trigger, dataset_id, run_id, status, failure_code FROM found""",
     "root_cause": with_ctes(AUDIT) + "SELECT incident_key, trigger, root_cause FROM causes",
     "incident_runbook": with_ctes(AUDIT) + """,
-books(root_cause, action, validations) AS (VALUES """ + ", ".join(
-        "('" + "', '".join(x.replace("'", "''") for x in (cause, *book)) + "')" for cause, book in RUNBOOKS.items()) + f""")
-SELECT c.root_cause, count(*) AS incidents, coalesce(any_value(action), '{NO_RUNBOOK[0]}') AS action,
-       coalesce(any_value(validations), '{NO_RUNBOOK[1]}') AS validations
+books(root_cause, look_at) AS (VALUES """ + ", ".join(f"('{cause}', '{place}')" for cause, place in LOOKUPS.items()) + f""")
+SELECT c.root_cause, count(*) AS incidents, coalesce(any_value(look_at), '{NO_LOOKUP}') AS look_at
 FROM causes c LEFT JOIN books b ON c.root_cause = b.root_cause GROUP BY 1""",
     "recent_runs": with_ctes(AUDIT) + """
 SELECT dataset_id, run_id, status, failure_code, rows_in_source, rows_new FROM audit
@@ -263,7 +261,10 @@ SELECT seq, approval_id, incident_id, action, CASE
   ELSE 'approved' END AS decision FROM judged""",
     "rule_signals": with_ctes(RECORDS) + "SELECT id, signals, known AS known_shape FROM sig",
     "route_decisions": with_ctes(ROUTES) + """
-SELECT id, strategy, label, action, reason_codes, calls, is_severe, true AS explained FROM routed""",
+SELECT id, strategy, label, action, reason_codes, calls, is_severe, strategy || ' -> ' || label || ' -> ' || action
+       || CASE WHEN is_severe THEN '; severe' ELSE '; not severe' END
+       || '; asked: ' || CASE WHEN calls = '' THEN 'none' ELSE replace(replace(calls, '_', ' '), ',', ', ') END || '; because: '
+       || CASE WHEN reason_codes = '' THEN 'none' ELSE replace(replace(reason_codes, '_', ' '), ',', ', ') END AS explanation FROM routed""",
     "routing_score": with_ctes(ROUTES) + """
 SELECT strategy, count(*) AS cases, count(CASE WHEN severe AND action = 'dismiss' THEN 1 END) AS severe_misses,
        count(CASE WHEN expected_label = 'healthy' AND action <> 'dismiss' THEN 1 END) AS false_alerts,

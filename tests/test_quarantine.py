@@ -121,9 +121,10 @@ def test_freshness_at_the_run_start_counts(spark):
 
 
 @pytest.mark.parametrize("value", [0, -1, True, "", "12a", "-5", 1.5, None])
-def test_run_start_must_be_positive_epoch_ms(value):
-    with pytest.raises(ValueError):
-        gate.parse_epoch_ms(value)
+def test_run_start_must_be_positive_epoch_ms(spark, value):
+    status = status_of(spark, 10, 0)
+    with pytest.raises(Exception, match="epoch milliseconds"):
+        gate.evidence_record(status, gate.verdict(status, 1000, ("leads",)), value).collect()
 
 
 def test_withheld_publish_keeps_the_old_version(spark, tmp_path):

@@ -73,7 +73,7 @@ def validate(spec: DatasetSpec, extract: DataFrame, keep_raw: bool = True) -> Da
     kept_texts = {spec.cursor_column, *[c.name for c in columns if c.type == "string"]}
     cleaned = [f"coalesce({casts.stripped(f'`_text_{c.name}`')}, '') AS `_clean_{c.name}`" for c in columns]
     values = [f"{casts.quoted(c.name)}, cast({casts.typed(f'`_clean_{c.name}`', f'`_text_{c.name}`', c)}"
-              f" AS {c.spark_type().simpleString()})" for c in columns]
+              f" AS {c.ddl})" for c in columns]
     values.append(f"'_raw_cursor', {casts.to_timestamp(f'`_text_{spec.cursor_column}`')}")
     checks = [pair for c in columns
               for pair in _checks(f"`_clean_{c.name}`", f"`{c.name}`", c, c.name in spec.primary_key)]

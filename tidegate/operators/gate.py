@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidegate.functions.rules import QUARANTINE_RATE_THRESHOLD, REQUIRED_SOURCES
@@ -92,21 +90,6 @@ def _valid_boundary(run_start_ms) -> bool:
     return isinstance(run_start_ms, int) and not isinstance(run_start_ms, bool) and run_start_ms > 0
 
 
-def parse_epoch_ms(value: int | str) -> int:
-    """A positive epoch in milliseconds from a job parameter; anything else is an error."""
-    if isinstance(value, bool) or not (isinstance(value, int) or (
-            isinstance(value, str) and value.isascii() and value.isdigit())):
-        raise ValueError("expected positive epoch milliseconds")
-    number = int(value)
-    try:
-        datetime.fromtimestamp(number / 1000)
-    except (ValueError, OverflowError, OSError) as error:
-        raise ValueError("expected representable epoch milliseconds") from error
-    if number <= 0:
-        raise ValueError("expected positive epoch milliseconds")
-    return number
-
-
 def passed(verdicts: DataFrame) -> bool:
     """True when at least one source is required and none has a problem (n_sources rows)."""
     rows = verdicts.select(F.size("problems").alias("n")).collect()
@@ -115,7 +98,6 @@ def passed(verdicts: DataFrame) -> bool:
 
 def evidence_record(status: DataFrame, verdicts: DataFrame, run_start_ms: int) -> DataFrame:
     """The nested log row of one gate decision; its arrays hold one element per source."""
-    parse_epoch_ms(run_start_ms)
     entry = status.select(F.struct(
         "source", "gate_passed", "conserved", "total", "quarantined", "accepted_rows", "quarantined_rows",
         "quarantine_rate", F.col("_computed_ts").alias("computed_ts")).alias("entry"))
@@ -124,11 +106,12 @@ def evidence_record(status: DataFrame, verdicts: DataFrame, run_start_ms: int) -
     gathered = entry.unionByName(judged, allowMissingColumns=True).agg(
         F.array_sort(F.collect_list("entry")).alias("sources"),
         F.array_sort(F.collect_list("judged")).alias("judged"))
+    given = F.lit(run_start_ms).cast("bigint") if _valid_boundary(run_start_ms) else F.lit(None).cast("bigint")
+    started = F.coalesce(given, F.raise_error(F.lit("a run starts at positive epoch milliseconds")).cast("bigint"))
     named = F.transform("judged", lambda r: F.transform(
         r["problems"], lambda p: F.concat(r["source"], F.lit(" "), p)))
     return gathered.withColumn("problems", F.flatten(named)).select(
-        F.lit(run_start_ms).cast("bigint").alias("run_start_ms"),
-        F.timestamp_millis(F.lit(run_start_ms)).alias("run_start_ts"),
+        started.alias("run_start_ms"), F.timestamp_millis(started).alias("run_start_ts"),
         F.current_timestamp().alias("written_ts"),
         (F.size("problems") == 0).alias("passed"), "problems", "sources")
 
@@ -143,6 +126,3 @@ def publish(df: DataFrame, target: VersionedTable, verdicts: DataFrame, **notes)
         raise PublicationWithheld(target.path)
     return target.commit(df, **notes)
 
-
-def required_frame(spark: SparkSession, required: tuple[str, ...]) -> DataFrame:
-    return spark.createDataFrame([(s,) for s in required], "source string")

@@ -48,7 +48,7 @@ class Watermark:
     def literal(self, spec: DatasetSpec) -> Column:
         """The same struct `cursor_of` builds from a row."""
         parts = [F.lit(self.cursor).cast("timestamp_ntz").alias(spec.cursor_column)]
-        parts += [F.lit(k).cast(spec.columns[c].spark_type()).alias(c) for c, k in zip(spec.primary_key, self.key)]
+        parts += [F.lit(k).cast(spec.columns[c].ddl).alias(c) for c, k in zip(spec.primary_key, self.key)]
         return F.struct(*parts)
 
     def text(self) -> str:

@@ -6,7 +6,6 @@ with one label (defect, key) per touched key. `sampled` is the seeded, hashed co
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -23,19 +22,12 @@ def sampled(keys: list[str], one_in: int, seed: int = 7) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(one_in)) == 0
 
 
-def parse_rate(value: float | int | str) -> float:
-    """A finite share in [0, 1]; a boolean is not a number."""
-    if isinstance(value, bool):
-        raise ValueError("a rate is a number")
-    rate = float(value)
-    if not math.isfinite(rate) or not 0.0 <= rate <= 1.0:
-        raise ValueError("a rate lies in [0, 1]")
-    return rate
-
-
-def at_rate(keys: list[str], rate: float | int | str, seed: int = 7) -> Column:
-    """True for the given share of rows."""
-    return F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(1_000_000)) < int(round(parse_rate(rate) * 1_000_000))
+def at_rate(keys: list[str], rate: float, seed: int = 7) -> Column:
+    """True for the given share of rows; a share outside [0, 1] fails the job that uses it."""
+    share = F.lit(rate).cast("double")
+    drawn = F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(1 << 20)) / float(1 << 20)
+    return F.when(share.between(0, 1), drawn < share).otherwise(
+        F.raise_error(F.lit(f"{rate!r} is no share")).cast("boolean"))
 
 
 def _label(df: DataFrame, where: Column, defect: str, keys: list[str]) -> DataFrame:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidegate.functions.codes import codes_where
-from tidegate.functions.runbooks import EXPLANATIONS, NO_RUNBOOK, REASON_CAUSES, RUNBOOKS
+from tidegate.functions.runbooks import REASON_CAUSES
 from tidegate.operators.evidence import is_prohibited
 from tidegate.operators.skew import sliced_join
 
@@ -69,13 +69,12 @@ def root_causes(found: DataFrame, audit: DataFrame, findings: DataFrame) -> Data
     return joined.withColumn("root_cause", label).drop("quarantine_reasons", "overpaid_orders", "unpaid_orders")
 
 
-def with_runbook(labelled: DataFrame) -> DataFrame:
-    """Attach what to do; the lookup is a fixed table of ten labels."""
-    spark = labelled.sparkSession
-    books = spark.createDataFrame([(k, a, v) for k, (a, v) in RUNBOOKS.items()],
-                                  "root_cause string, action string, validations string")
-    joined = labelled.join(F.broadcast(books), "root_cause", "left")
-    return joined.fillna({"action": NO_RUNBOOK[0], "validations": NO_RUNBOOK[1]})
+def with_runbook(labelled: DataFrame, books: DataFrame, **missing: str) -> DataFrame:
+    """Attach the caller's runbook table (root_cause, ...); `missing` fills its columns for other labels.
+
+    The table is small by nature, one row per label; Spark sends it to all tasks while it is.
+    """
+    return labelled.join(books, "root_cause", "left").fillna(missing)
 
 
 # -- audit lookups -----------------------------------------------------------------
@@ -301,14 +300,13 @@ def route(records: DataFrame, strategy: str, instruction_rule: bool = True) -> D
 
 
 def explain() -> Column:
-    """The decision of a routed row in sentences."""
-    sentences = F.create_map(*[F.lit(v) for pair in EXPLANATIONS.items() for v in pair])
-    reasons = F.transform("reason_codes", lambda c: F.concat(
-        c, F.lit(": "), F.coalesce(F.try_element_at(sentences, c), F.lit("unexplained"))))
-    asked = F.when(F.size("calls") == 0, "none").otherwise(F.array_join("calls", ", "))
-    return F.array_join(F.concat(
-        F.array(F.concat("strategy", F.lit(" -> "), "label", F.lit(", "), "action"), F.concat(F.lit("asked: "), asked)),
-        reasons), "; ")
+    """The decision of a routed row as text: what was decided, how severe, who was asked, and why."""
+    def listed(array: str) -> Column:
+        return F.when(F.size(array) == 0, "none").otherwise(F.translate(F.array_join(array, ", "), "_", " "))
+
+    return F.concat(
+        F.concat_ws(" -> ", "strategy", "label", "action"), F.when(F.col("is_severe"), "; severe").otherwise("; not severe"),
+        F.lit("; asked: "), listed("calls"), F.lit("; because: "), listed("reason_codes"))
 
 
 def score_routes(routed: DataFrame) -> DataFrame:
@@ -324,6 +322,3 @@ def score_routes(routed: DataFrame) -> DataFrame:
     return scored.withColumn("cost_units", F.col("classifier_calls") * COST_UNITS["classifier"]
                              + F.col("reasoning_calls") * COST_UNITS["reasoning"])
 
-
-def reason_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(EXPLANATIONS.items()), "code string, sentence string")

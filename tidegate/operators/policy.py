@@ -2,34 +2,24 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # The roles a policy knows.
 COMPLIANCE, ENGINEER = "compliance", "engineer"
 LIQUOR_ANALYST, CANNABIS_ANALYST = "liquor_analyst", "cannabis_analyst"
 
-_IDENTIFIER = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
+def named_table(spark: SparkSession, name: str) -> DataFrame:
+    """A table by a name from outside; Spark's IDENTIFIER clause refuses all that is not a name."""
+    return spark.sql("SELECT * FROM IDENTIFIER(:name)", args={"name": name})
 
-def identifier(name: str) -> str:
-    """A plain SQL identifier, or an error; for names that end up inside SQL text."""
-    if not isinstance(name, str) or not _IDENTIFIER.match(name):
-        raise ValueError(f"not an identifier: {name!r}")
-    return name
 
-
-def as_bool(value: bool | str) -> bool:
-    """A job setting that must say true or false."""
-    if isinstance(value, bool):
-        return value
-    text = str(value).strip().lower()
-    if text not in ("true", "false"):
-        raise ValueError(f"expected true or false, got {value!r}")
-    return text == "true"
+def setting(spark: SparkSession, value: str | bool) -> bool:
+    """A job setting as Spark reads booleans; other text is an error of the cast, a missing value is False."""
+    return bool(spark.sql("SELECT cast(:value AS boolean)", args={"value": value}).first()[0])
 
 
 def mask_email(email: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidegate.functions import nested
+from tidegate.functions.runbooks import LOOKUPS, NO_LOOKUP
 from tidegate.operators import evidence, monitor, policy, scripts
 from tidegate.operators.ordering import position_in_group
 from tidegate.plans import gaming
@@ -59,8 +60,8 @@ def incident_runbook(spark, sf_dir):
     """Incidents per root cause with the remediation attached."""
     found, audit, findings = _incidents(spark, sf_dir)
     counted = monitor.root_causes(found, audit, findings).groupBy("root_cause").agg(F.count("*").alias("incidents"))
-    return monitor.with_runbook(counted).select(
-        "root_cause", "incidents", "action", "validations")
+    books = spark.createDataFrame(list(LOOKUPS.items()), "root_cause string, look_at string")
+    return monitor.with_runbook(counted, books, look_at=NO_LOOKUP).select("root_cause", "incidents", "look_at")
 
 
 def recent_runs(spark, sf_dir):
@@ -125,7 +126,7 @@ def route_decisions(spark, sf_dir):
     """Every record under every strategy, with the decision and its explanation."""
     return _routed(spark, sf_dir).select(
         "id", "strategy", "label", "action", joined("reason_codes").alias("reason_codes"),
-        joined("calls").alias("calls"), "is_severe", (F.length(monitor.explain()) > 0).alias("explained"))
+        joined("calls").alias("calls"), "is_severe", monitor.explain().alias("explanation"))
 
 
 def routing_score(spark, sf_dir):
