@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 import corpus_pipeline
 from tidegate.llm import chat_tree, fingerprints, host_runs, lm, merge_dropout, metric_join, mixing, near_vectors, quality, token_ids
 from tidegate.llm.common import table, tokenizer_path
+from tidegate.llm.oracles import ORACLES
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,4 +66,4 @@ QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_ids, op3_host_ru
                                    op6_near_vectors, op7_chat_tree, op8_merge_dropout, op9_metric_join,
                                    op10_pair_model)}
 QUERIES["pipeline"] = corpus_pipeline.run
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
