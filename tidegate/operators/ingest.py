@@ -11,6 +11,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidegate.functions import casts
 from tidegate.operators import contracts
 from tidegate.operators.contracts import PROBLEMS, RAW
 from tidegate.operators.merge import replace_rows, same_keys
@@ -70,7 +71,14 @@ def in_window(spec: DatasetSpec, mark: Watermark | None) -> Column:
 
 
 def window_rows(spec: DatasetSpec, extract: DataFrame, mark: Watermark | None) -> DataFrame:
-    """Checked rows of the extract inside the read window."""
+    """Checked rows of the extract inside the read window.
+
+    A delivered cursor that can be read and lies before the window goes ahead of all checks.
+    """
+    if mark is not None and spec.cursor_column in extract.columns:
+        delivered = F.expr(casts.to_timestamp(f"cast(`{spec.cursor_column}` AS string)"))
+        floor = F.lit(mark.floor(spec.lookback_hours)).cast("timestamp_ntz")
+        extract = extract.filter(~F.coalesce(delivered < floor, F.lit(False)))
     return contracts.validate(spec, extract).filter(in_window(spec, mark)).drop("_raw_cursor")
 
 
