@@ -17,14 +17,14 @@ def test_filter_counts():
     counts = draw.zipf(1.6, 4000).clip(1, 10**9)
     shard = bloom.shard_of(keys, 7)
     segments = [(s, bloom.segment(keys[shard == s], counts[shard == s], 10.0, 1 << 20)) for s in range(7) if (shard == s).any()]
-    found = bloom.LogBloom(7, segments)
+    found = bloom.LogBloom.of(7, segments)
     levels = found.levels(keys)
     assert (levels >= bloom.levels_of(counts)).all()
     assert (levels == bloom.levels_of(counts)).mean() > 0.95
     other = found.levels(scan.mix(np.arange(4000, 14000, dtype=np.uint64)))
     assert (other > 0).mean() < 0.05
-    assert (bloom.LogBloom(7, []).levels(keys) == 0).all()
-    dense = bloom.LogBloom(1, [(0, bloom.segment(keys, counts, 10.0, 64))])
+    assert (bloom.LogBloom.of(7, []).levels(keys) == 0).all()
+    dense = bloom.LogBloom.of(1, [(0, bloom.segment(keys, counts, 10.0, 64))])
     assert (dense.levels(keys) >= bloom.levels_of(counts)).all()  # a full filter reads too high, never too low
 
 

@@ -59,19 +59,26 @@ def segment(keys: np.ndarray, counts: np.ndarray, bits_per_insertion: float, mos
     return np.packbits(flags, bitorder="little").tobytes()
 
 
+def joined(shards: int, segments: list[tuple[int, bytes]]) -> tuple[np.ndarray, bytes]:
+    """(bytes of each shard's segment, all segments in the order of shards)."""
+    sizes = np.zeros(shards, np.int64)
+    for shard, raw in segments:
+        sizes[shard] = len(raw)
+    return sizes, b"".join(raw for _, raw in sorted(segments))
+
+
 class LogBloom:
-    """Lookup over all segments, given as (shard, bytes)."""
+    """Lookup over all segments."""
 
-    def __init__(self, shards: int, segments: list[tuple[int, bytes]]):
-        sizes = np.zeros(shards, np.int64)
-        for shard, raw in segments:
-            sizes[shard] = len(raw)
-        self.shards = shards
+    def __init__(self, sizes: np.ndarray, raw: bytes):
+        self.shards = len(sizes)
         self.starts = np.concatenate([[0], sizes.cumsum()])
         self.bits = (sizes * 8).astype(np.uint64)
-        self.raw = np.zeros(int(self.starts[-1]), np.uint8)
-        for shard, raw in segments:
-            self.raw[self.starts[shard]:self.starts[shard] + len(raw)] = np.frombuffer(raw, np.uint8)
+        self.raw = np.frombuffer(raw, np.uint8)
+
+    @classmethod
+    def of(cls, shards: int, segments: list[tuple[int, bytes]]) -> LogBloom:
+        return cls(*joined(shards, segments))
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
         out = np.zeros(len(keys), np.int64)

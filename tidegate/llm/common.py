@@ -8,11 +8,14 @@ import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidegate.session import stage
+from tidegate.session import scratch_path
 
 __all__ = ["fresh_name", "held_out", "ship", "shuffle_partitions", "stage", "table", "tokenizer_path"]
 
 
+BATCH_BYTES = 16 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """The named columns of a table, so that others never reach an operator."""
     ship(spark)
@@ -32,6 +35,13 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write `df` once to the shared folder, compressed with zstd as texts dominate here, and return a scan of it."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def fresh_name(df: DataFrame, name: str) -> str:
     """`name`, lengthened until no column of `df` has it (Spark compares names without case)."""
     taken = {c.lower() for c in df.columns}
@@ -48,7 +58,11 @@ _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Let Python workers import this package: Spark's file server hands the zipped code to them."""
+    """Let Python workers import this package: Spark's file server hands the zipped code to them.
+
+    Also keeps the batches that reach Python small, so that a worker's memory does not follow the rows' length.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return

@@ -31,10 +31,11 @@ HELD_OUT = 1
 PAIR_SHARE = 0.2
 BITS_PER_INSERTION = 8.0
 MAX_FILTER_BYTES = 1 << 28
-GROUP_BYTES = 96 << 20
+GROUP_BYTES = 32 << 20
 END, START = np.uint64(0x1B873593CC9E2D51), np.uint64(0x52DCE729E6546B64)
 _PAIR_KEY = np.uint64(0xE7037ED1A0B428DB)
 _ENTRY_BYTES = 16
+SHARDS_PER_TASK = 4  # a task holds the counts of one shard at a time
 
 
 def tokens(texts: scan.Texts) -> tuple[np.ndarray, np.ndarray]:
@@ -109,7 +110,8 @@ def _build(batches: Iterator[pa.RecordBatch], bits: float, most: int) -> Iterato
 
     empty = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
     for batch in batches:
-        for pairs, shard, keys, counts in zip(*(c.to_pylist() for c in batch.columns)):
+        for pairs, shard, keys, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
+                                              scan.binary_views(batch.column(2)), scan.binary_views(batch.column(3))):
             if (shard, pairs) != now:
                 if now is not None:
                     if now[1]:
@@ -121,7 +123,7 @@ def _build(batches: Iterator[pa.RecordBatch], bits: float, most: int) -> Iterato
                             yield row(now[0], words, empty)
                             words = None
                 now, held, size = (shard, pairs), [], 0
-            held.append((np.frombuffer(keys, "<u8"), np.frombuffer(counts, "<u4").astype(np.int64)))
+            held.append((np.frombuffer(keys.tobytes(), "<u8"), np.frombuffer(counts.tobytes(), "<u4").astype(np.int64)))
             size += len(held[-1][0])
             if len(held) > 1 and size > 2 * len(held[0][0]) + (1 << 20):  # fold when what is new outweighs what is folded
                 held = [fold()]
@@ -137,10 +139,9 @@ class Model:
         totals = tables.agg(F.sum("n_words").alias("v"), F.sum("n_tokens").alias("n")).first()
         self.n, self.v = int(totals["n"] or 0), int(totals["v"] or 0)
         # At most MAX_FILTER_BYTES in all, by the bound of each segment.
-        segments = tables.select("shard", "segment").toArrow()
-        pairs = list(zip(segments.column(0).to_pylist(), segments.column(1).to_pylist()))
-        self.filter = spark.sparkContext.broadcast(bloom.LogBloom(shards, pairs))
-        del segments, pairs
+        rows = tables.select("shard", "segment").toArrow()
+        self.filter = spark.sparkContext.broadcast(bloom.joined(shards, list(zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()))))
+        del rows
         sizes = sorted((r["shard"], r["n_words"]) for r in tables.select("shard", "n_words").collect())
         self.groups: list[Broadcast] = []
         group: list[int] = []
@@ -150,8 +151,10 @@ class Model:
                 rows = tables.filter(F.col("shard").isin(group)).select("word_keys", "word_counts").toArrow()
                 keys = np.concatenate([np.frombuffer(k, "<u8") for k in rows.column(0).to_pylist()])
                 counts = np.concatenate([np.frombuffer(c, "<i8") for c in rows.column(1).to_pylist()])
+                del rows
                 order = np.argsort(keys)
-                self.groups.append(spark.sparkContext.broadcast((keys[order], counts[order])))
+                # Plain bytes: a worker then holds them once.
+                self.groups.append(spark.sparkContext.broadcast((keys[order].tobytes(), counts[order].tobytes())))
                 group, held = [], 0
             if shard is not None:
                 group.append(shard)
@@ -161,9 +164,10 @@ class Model:
 def train(docs: DataFrame, bits_per_insertion: float = BITS_PER_INSERTION, max_filter_bytes: int = MAX_FILTER_BYTES) -> Model:
     """Count the words and pairs of all texts of `docs` and build the filter."""
     spark = docs.sparkSession
-    shards = shuffle_partitions(spark)
+    partitions = shuffle_partitions(spark)
+    shards = SHARDS_PER_TASK * partitions
     counted = docs.select("text").mapInArrow(lambda b: _count(b, shards), "pairs boolean, shard int, keys binary, counts binary")
-    meeting = counted.repartition(shards, "shard").sortWithinPartitions("shard", "pairs")
+    meeting = counted.repartition(partitions, "shard").sortWithinPartitions("shard", "pairs")
     schema = "shard int, segment binary, word_keys binary, word_counts binary, n_words bigint, n_tokens bigint"
     most = max(max_filter_bytes // shards, 1)
     return Model(spark, stage(meeting.mapInArrow(lambda b: _build(b, bits_per_insertion, most), schema), "lm-counts"), shards)
@@ -173,7 +177,7 @@ def _exact(words: np.ndarray, groups: list[Broadcast]) -> np.ndarray:
     """Training counts of the words; several groups are loaded and let go one after the other."""
     out = np.zeros(len(words), np.int64)
     for group in groups:
-        keys, counts = group.value
+        keys, counts = (np.frombuffer(raw, kind) for raw, kind in zip(group.value, ("<u8", "<i8")))
         if len(keys):
             at = np.minimum(np.searchsorted(keys, words), len(keys) - 1)
             out += np.where(keys[at] == words, counts[at], 0)
@@ -189,18 +193,19 @@ def score(docs: DataFrame, model: Model, pair_share: float = PAIR_SHARE) -> Data
     schema = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = bloom.LogBloom(*shared.value)
         for batch in batches:
-            for a, b, texts in scan.text_chunks(batch.column(1), 8 * scan.CHUNK_BYTES):
+            for a, b, texts in scan.text_chunks(batch.column(1), 2 * scan.CHUNK_BYTES):
                 keys, owner = tokens(texts)
                 before, pairs = pair_keys(keys, owner)
                 words, inverse = np.unique(keys, return_inverse=True)
                 counts = _exact(words, groups)[inverse]
                 base = np.log10((counts + 0.5) / floor)
-                single = shared.value.counts(words)
+                single = held.counts(words)
                 share = (single[inverse] + 0.5) / floor
                 contexts, context = np.unique(before, return_inverse=True)
-                seen = shared.value.counts(contexts)[context]
-                both = np.minimum(shared.value.counts(pairs), seen)
+                seen = held.counts(contexts)[context]
+                both = np.minimum(held.counts(pairs), seen)
                 chance = np.where(seen > 0, pair_share * both / np.maximum(seen, 1) + (1 - pair_share) * share, share)
                 rows = b - a
                 yield pa.RecordBatch.from_arrays([

@@ -66,6 +66,15 @@ def combine(h: np.ndarray, width: int) -> np.ndarray:
     return mix(out + np.uint64(width))
 
 
+def binary_views(column: pa.Array) -> list[np.ndarray]:
+    """The cells of a binary column as byte arrays, without copies."""
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    bounds = np.frombuffer(offsets, np.int64)[column.offset:column.offset + len(column) + 1] if len(column) else [0]
+    raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
+    return [raw[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+
+
 class Texts:
     """A slice of a string column: its bytes and where each text begins and ends."""
 
