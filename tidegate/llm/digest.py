@@ -14,7 +14,7 @@ import numpy as np
 from tidegate.llm import scan
 
 WINDOW, RUN = 64, 96
-FILTER_BYTES, PER_FILTER, HASHES = 256, 160, 5
+FILTER_BYTES, PER_FILTER, HASHES = 64, 40, 5
 FILTER_BITS = FILTER_BYTES * 8
 _SCALE = 20
 LEVELS = (384 << 2) + 2
@@ -109,7 +109,7 @@ def digests(texts: scan.Texts, rank: np.ndarray) -> list[bytes]:
     slot = first_filter[owner] + (np.arange(len(owner)) - first_feature[owner]) // PER_FILTER
     bits = np.zeros(int(first_filter[-1]) * FILTER_BITS, np.uint8)
     for k in range(HASHES):
-        bits[slot * FILTER_BITS + (hashes >> np.uint64(11 * k) & np.uint64(FILTER_BITS - 1)).astype(np.int64)] = 1
+        bits[slot * FILTER_BITS + (hashes >> np.uint64(12 * k) & np.uint64(FILTER_BITS - 1)).astype(np.int64)] = 1
     raw = np.packbits(bits, bitorder="little").tobytes()
     return [raw[a * FILTER_BYTES:b * FILTER_BYTES] for a, b in zip(first_filter[:-1], first_filter[1:])]
 
@@ -129,7 +129,7 @@ def likeness(a: bytes, b: bytes) -> float:
         na, nb = x.bit_count(), y.bit_count()
         chance = na * nb / FILTER_BITS
         return min(max(((x & y).bit_count() - chance) / max(min(na, nb) - chance, 1e-9), 0.0), 1.0)
-    if len(a) > len(b):
+    if (len(a), a) > (len(b), b):
         a, b = b, a
     own, total, weight = _matrix(a).astype(np.float32), 0.0, 0.0
     other = _matrix(b).astype(np.float32)

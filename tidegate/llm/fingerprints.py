@@ -24,7 +24,7 @@ from tidegate.llm import digest, scan
 from tidegate.llm.common import stage
 
 PIECE_BYTES = 1 << 18
-RESULT = ("doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint binary, edited_fingerprint binary, "
+RESULT = ("doc_id bigint, n_chars bigint, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, "
           "near_edited double, near_next double")
 EDGES = f"{RESULT}, part int, kind string, edge_text string, edge_digest binary"
 _NAMES = [c.split()[0] for c in EDGES.split(", ")]
@@ -68,13 +68,13 @@ def _finish(rows: list[tuple], rank: np.ndarray) -> list[tuple]:
     """Result rows from (doc_id, text, digest, next text, next digest)."""
     changed = [edited(text, following) for _, text, _, following, _ in rows]
     after = digests_of(changed, rank)
-    return [(doc_id, len(text), hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest(), own, other,
+    return [(doc_id, len(text), hashlib.sha256(new.encode("utf-8", "surrogatepass")).digest(), own, other,
              digest.likeness(own, other), digest.likeness(own, following))
             for (doc_id, text, own, _, following), new, other in zip(rows, changed, after)]
 
 
 def _batch(rows: list[tuple], part: int | None = None) -> pa.RecordBatch:
-    schema = [pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64(),
+    schema = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64(),
               pa.int32(), pa.string(), pa.string(), pa.binary()]
     width = len(schema) if part is not None else 7
     return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], schema[c]) for c in range(width)], _NAMES[:width])
@@ -123,5 +123,5 @@ def fingerprint(docs: DataFrame) -> DataFrame:
                 yield _batch(_finish(list(zip(*(c.to_pylist() for c in batch.columns))), rank))
 
     rows = runs.filter("kind = 'row'").select(*[c.split()[0] for c in RESULT.split(", ")])
-    return rows.unionByName(meeting.mapInArrow(close, RESULT))
+    return rows.unionByName(meeting.mapInArrow(close, RESULT)).withColumn("edited_sha256", F.lower(F.hex("edited_sha256")))
 
