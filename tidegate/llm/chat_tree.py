@@ -35,6 +35,7 @@ TURN_MARKS = {"user": ("[INST] ", " [/INST]"), "assistant": (" ", " </s>"), "sys
 ROLE_OPEN, ROLE_CLOSE, OTHER_END = "<<ROLE>>", "<</ROLE>> ", " </s>"
 _CONTROL = re.compile(r"\\|\[/?INST\]|</?s>|<</?(?:SYS|ROLE)>>")
 _ESCAPED = re.compile(r"\\(.)", re.S)
+_ROLE = re.compile(r"<<ROLE>>((?:\\.|[^\\])*?)<</ROLE>> ", re.S)
 
 CHAIN = "conv bigint, pos bigint, node binary, size bigint, position bigint, piece string, loss_from bigint, loss_to bigint"
 DIRECTORY = "conv bigint, pos bigint, owner bigint, below bigint, path array<struct<depth:bigint,conv:bigint>>"
@@ -62,8 +63,8 @@ def format_turn(role: str, text: str) -> tuple[str, int, int]:
 def parse_turn(piece: str) -> tuple[str, str]:
     """(role, text) of a formatted turn."""
     if piece.startswith(ROLE_OPEN):
-        role, _, rest = piece[len(ROLE_OPEN):].partition(ROLE_CLOSE)
-        return unescape(role), unescape(rest[:len(rest) - len(OTHER_END)])
+        role = _ROLE.match(piece)
+        return unescape(role[1]), unescape(piece[role.end():len(piece) - len(OTHER_END)])
     for role, (opening, closing) in TURN_MARKS.items():
         if piece.startswith(opening) and piece.endswith(closing):
             return role, unescape(piece[len(opening):len(piece) - len(closing)])
@@ -156,7 +157,8 @@ def build(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
                         F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     ordered = rows.repartition("conv").sortWithinPartitions("conv", "turn", "role", "text").select("conv", "role", "text")
     chain = stage(ordered.mapInArrow(_chain, CHAIN), "chat-chain")
-    owners = chain.groupBy("node").agg(F.min("conv").alias("owner"))
+    # Written out, so that adaptive execution may split the join on a node that many share.
+    owners = stage(chain.groupBy("node").agg(F.min("conv").alias("owner")), "chat-owners")
     owned = chain.select("conv", "pos", "node", "size").join(owners, "node").select("conv", "pos", "owner", "size")
     in_order = owned.repartition("conv").sortWithinPartitions("conv", "pos").select("conv", "owner", "size")
     directory = stage(in_order.mapInArrow(_directory, DIRECTORY), "chat-directory")
