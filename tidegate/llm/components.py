@@ -29,16 +29,17 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.unionByName(least.select(F.col("_u").alias("u"), F.col("_least").alias("v")))
 
 
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether every node has one edge down, to a node that has none."""
+    down = edges.groupBy("u").agg(F.count("*").alias("n"))
+    return down.filter("n > 1").isEmpty() and edges.join(down.select(F.col("u").alias("v")), "v", "left_semi").isEmpty()
+
+
 def connected_components(edges: DataFrame, label: str) -> DataFrame:
     """(node, component) for every node of `edges` (a, b); the component is its least node."""
     ordered = edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     now = stage(ordered, f"{label}-edges")
-    mark = None
-    while True:
-        found = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if (found["n"], found["h"]) == mark or not found["n"]:
-            break
-        mark = (found["n"], found["h"])
+    while not _all_stars(now):
         now = stage(_small_star(_large_star(now)).distinct(), f"{label}-star")
     stars = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return stars.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -10,12 +10,13 @@ to x shares at least least_shared(x) of its shingles, so its pivots lie in the f
 shingles of x: this window says into which regions x is copied, and no link is lost. Shingles frequent
 in the corpus come last in the order, so that crowded regions take in only sets made of little else.
 
-Regions join recursively. In a region the smallest set not yet near a pivot becomes one, and the others of
-fitting size are compared with it. What lies near one pivot is one class already, and a class is not
-compared within itself again. The second round compares members of different classes only.
+Regions join recursively. In a region one set becomes the pivot of all others of fitting size, and so on with
+those left over; they are compared with it. What lies near one pivot is one group already, and a group is not
+compared within itself again. Regions that still hold many groups go on by turns, each with PIVOTS other pivots; at the end all
+pairs of different groups that are left are compared, so the result is exact after any number of turns.
 
 Before sets are compared, equal sets are one (a class key of the whole set), and bucket counts of
-both sets bound their overlap from above. Sets are compared whole, from the texts.
+both sets and the overlap of their windows bound their overlap from above. Sets are compared whole, from the texts.
 
 Defined results: a null text, or one without words, has 0 shingles, is its own class and linked with nothing;
 so is a row with a null doc_id, whose component_id is null; rows with the same doc_id are one
@@ -36,6 +37,7 @@ from tidegate.llm.components import connected_components
 
 PERCENT = 80
 HOT_SHARE, HOT_LOCAL, HOT_MOST = 0.001, 4, 1 << 16
+PIVOTS, TURNS = 8, 6
 _U = np.uint64
 
 
@@ -95,23 +97,19 @@ def _regions(batches: Iterator[pa.RecordBatch], percent: int, hot: tuple[np.ndar
 
 
 def _pivots(size: np.ndarray, run: np.ndarray, percent: int) -> np.ndarray:
-    """For members sorted by (region, size), the member each is first compared with (its own index if none).
+    """For members sorted by (region, class key), the member each is first compared with (its own index if none).
 
-    The smallest member opens a range of fitting sizes; the first beyond it opens the next.
+    The least class key opens a range of fitting sizes, and so on with the members left over. Near copies
+    share most of their regions, so they mostly meet the same pivot everywhere.
     """
     pivot = np.arange(len(size))
-    start = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
-    stop = np.append(start[1:], len(size))
-    while len(start):
-        reach = size[start] * 100 // percent  # the largest size that can be linked to the pivot
-        counts = stop - start
-        row = np.repeat(np.arange(len(start)), counts)
-        index = np.arange(int(counts.sum())) - np.repeat(counts.cumsum() - counts, counts) + start[row]
-        near = size[index] <= reach[row]
-        pivot[index[near]] = start[row[near]]
-        start = start + np.bincount(row, near, len(start)).astype(np.int64)
-        more = start < stop
-        start, stop = start[more], stop[more]
+    left = np.arange(len(size))
+    while len(left):
+        first = np.concatenate([[True], run[left][1:] != run[left][:-1]])
+        opened = left[np.flatnonzero(first)[np.cumsum(first) - 1]]
+        fits = (100 * np.minimum(size[left], size[opened]) >= percent * np.maximum(size[left], size[opened]))
+        pivot[left[fits]] = opened[fits]
+        left = left[~fits]
     return pivot
 
 
@@ -121,7 +119,7 @@ def _meet(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Record
 
     def close() -> Iterator[pa.RecordBatch]:
         key, own, size, place = (np.concatenate(x) for x in zip(*held))
-        order = np.lexsort((own, size, key))
+        order = np.lexsort((own, key))
         key, own, size, place = key[order], own[order], size[order].astype(np.int64), place[order]
         fresh = np.concatenate([[True], (key[1:] != key[:-1]) | (own[1:] != own[:-1])])
         key, own, size, place = key[fresh], own[fresh], size[fresh], place[fresh]
@@ -148,35 +146,66 @@ def _meet(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Record
         yield from close()
 
 
-def _across(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of different classes within a region, of fitting size and place; rows come sorted by (region, size)."""
+def _across(batches: Iterator[pa.RecordBatch], percent: int, turn: int | None) -> Iterator[pa.RecordBatch]:
+    """Pairs of members of different groups within a region, of fitting size and place; rows come sorted by region.
+
+    With a turn, only crowded regions speak, and their members meet PIVOTS pivots drawn for that turn. Without
+    one, rows also carry bucket counts, and every pair that is left and may reach the similarity comes out.
+    """
+
+    def fitting(region, own, size, place, group, buckets, left, right) -> Iterator[pa.RecordBatch]:
+        low, high = np.minimum(size[left], size[right]), np.maximum(size[left], size[right])
+        need = -(-percent * (low + high) // (100 + percent))
+        room = np.minimum(place[left], place[right]) + np.minimum(size[left] - place[left], size[right] - place[right])
+        take = (group[left] != group[right]) & (100 * low >= percent * high) & (room >= need)
+        if turn is None:
+            at = np.flatnonzero(take)
+            for p in range(0, len(at), 1 << 14):
+                q = at[p:p + (1 << 14)]
+                take[q] = _room(buckets[left[q]], buckets[right[q]]) >= need[q]
+        if take.any():
+            pair = np.unique(np.stack([np.minimum(own[left], own[right])[take], np.maximum(own[left], own[right])[take]], 1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], ["a", "b"])
 
     def pairs(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        region, own, size, place, group = rows
-        if not len(region):
+        if not len(rows[0]):
             return
+        region, own, size, place, group, buckets = rows
         start = np.flatnonzero(np.concatenate([[True], region[1:] != region[:-1]]))
-        mixed = np.minimum.reduceat(group, start) != np.maximum.reduceat(group, start)
-        alive = np.repeat(mixed, np.diff(np.append(start, len(region))))
-        region, own, size, place, group = (x[alive] for x in (region, own, size, place, group))
-        left, step = np.arange(len(region)), 1
+        count = np.diff(np.append(start, len(region)))
+        run = np.repeat(np.arange(len(start)), count)
+        order = np.lexsort((group, run))
+        fresh = np.concatenate([[True], (run[order][1:] != run[order][:-1]) | (group[order][1:] != group[order][:-1])])
+        each = np.diff(np.append(np.flatnonzero(fresh), len(order)))
+        apart = count * count - np.bincount(run[order][fresh], each * each, len(start)).astype(np.int64)  # twice the pairs to compare
+        chosen = apart > (2 * PIVOTS * count if turn is not None else 0)
+        keep = chosen[run]
+        if turn is None:  # ascending size: a row ends where the sizes no longer fit
+            order = np.lexsort((size, run))
+            order = order[keep[order]]
+        else:
+            order = np.lexsort((scan.mix(own.view(np.uint64) ^ scan.mix(np.full(1, turn, np.uint64))), run))
+            order = order[keep[order]]
+        rows = [x[order] for x in (region, own, size, place, group, buckets)]
+        run = run[order]
+        if turn is not None:
+            first = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]])) if len(run) else np.zeros(0, np.int64)
+            head = np.repeat(first, np.diff(np.append(first, len(run))))
+            for k in range(PIVOTS):
+                yield from fitting(*rows, np.minimum(head + k, len(run) - 1), np.arange(len(run)))
+            return
+        left, step = np.arange(len(run)), 1
         while len(left):
-            left = left[left + step < len(region)]
-            right = left + step
-            ok = (region[left] == region[right]) & (100 * size[left] >= percent * size[right])
-            left, right = left[ok], right[ok]
-            need = -(-percent * (size[left] + size[right]) // (100 + percent))
-            room = np.minimum(place[left], place[right]) + np.minimum(size[left] - place[left], size[right] - place[right])
-            take = (group[left] != group[right]) & (room >= need)
-            if take.any():
-                a, b = own[left[take]], own[right[take]]
-                low, high = np.minimum(a, b), np.maximum(a, b)
-                yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
+            left = left[left + step < len(run)]
+            ok = (run[left] == run[left + step]) & (100 * rows[2][left] >= percent * rows[2][left + step])
+            left = left[ok]
+            yield from fitting(*rows, left, left + step)
             step += 1
 
     rest: list[np.ndarray] | None = None
     for batch in batches:
-        rows = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        rows = [c.to_numpy(zero_copy_only=False) for c in batch.columns[:5]]
+        rows.append(_counts(batch.column(5)) if turn is None else np.zeros((batch.num_rows, 0), np.uint16))
         if rest is not None:
             rows = [np.concatenate(x) for x in zip(rest, rows)]
         if not len(rows[0]):
@@ -188,20 +217,65 @@ def _across(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
         yield from pairs(rest)
 
 
+def _counts(column: pa.Array) -> np.ndarray:
+    """Bucket counts, a row per set."""
+    return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(len(column), -1)
+
+
+def _room(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """The most shingles that sets with these bucket counts can share; a full bucket says nothing."""
+    most = np.minimum(one, two).sum(1, dtype=np.int64)
+    return np.where((one == 65535).any(1) | (two == 65535).any(1), np.iinfo(np.int64).max, most)
+
+
 def _may_link(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs whose bucket counts leave room for the similarity."""
+    """Pairs whose bucket counts and windows leave room for the similarity.
+
+    Of two windows, one ends first in the order of shingles; what its set shares with the other set within the
+    window is shared by both windows, and hence counted by their common regions.
+    """
     for batch in batches:
-        n = batch.num_rows
-        if not n:
+        if not batch.num_rows:
             continue
-        counts = [np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u2").reshape(n, -1).astype(np.int64) for c in (4, 5)]
-        size = [batch.column(c).to_numpy(zero_copy_only=False) for c in (2, 3)]
-        most = np.minimum(*counts).sum(1)
-        full = (counts[0] == 65535).any(1) | (counts[1] == 65535).any(1)
-        keep = full | (100 * most >= percent * (size[0] + size[1] - most))
+        one, two = (batch.column(c).to_numpy(zero_copy_only=False) for c in (2, 3))
+        need = -(-percent * (one + two) // (100 + percent))
+        beyond = np.maximum(shingles.least_shared(one, percent), shingles.least_shared(two, percent)) - 1
+        keep = _room(_counts(batch.column(4)), _counts(batch.column(5))) >= need
+        sides = [_cells(batch.column(c)) for c in (6, 7)]
+        for i in np.flatnonzero(keep):
+            keep[i] = len(np.intersect1d(sides[0][i], sides[1][i], assume_unique=True)) + beyond[i] >= need[i]
         yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in (0, 1)], ["a", "b"])
 
 
+def _cells(column: pa.Array) -> list[np.ndarray]:
+    """The lists of a list column as arrays."""
+    values, ends = column.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))])
+    return [values[a:b] for a, b in zip(ends[:-1], ends[1:])]
+
+
+def _mixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of regions that hold more than one group; rows come sorted by (region, group)."""
+    rest = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch] if rest is None else [*rest.to_batches(), batch])
+        region, group = (table[c].to_numpy() for c in ("region", "group"))
+        if not len(region):
+            continue
+        cut = int(np.searchsorted(region, region[-1], "left"))
+        rest = table.slice(cut)
+        yield from _mixed_part(table.slice(0, cut), region[:cut], group[:cut])
+    if rest is not None:
+        yield from _mixed_part(rest, rest["region"].to_numpy(), rest["group"].to_numpy())
+
+
+def _mixed_part(table: pa.Table, region: np.ndarray, group: np.ndarray) -> list[pa.RecordBatch]:
+    if not len(region):
+        return []
+    start = np.flatnonzero(np.concatenate([[True], region[1:] != region[:-1]]))
+    mixed = np.minimum.reduceat(group, start) != np.maximum.reduceat(group, start)
+    return table.filter(pa.array(np.repeat(mixed, np.diff(np.append(start, len(region)))))).combine_chunks().to_batches()
+
+
 def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs of texts whose whole sets reach the similarity."""
     for batch in batches:
@@ -225,16 +299,50 @@ def _own_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield rows.filter(pa.array(shingles.sets_of(texts).class_keys().view(np.int64) == rows.column(0).to_numpy()))
 
 
-def _checked(pairs: DataFrame, classes: DataFrame, texts: DataFrame, percent: int, label: str) -> DataFrame:
+SLOTS = 1 << 20
+
+
+def _wanted_rows(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows (doc_id, text) whose doc_id may be wanted, so that few texts enter the join that decides.
+
+    Ids fall into SLOTS slots; at most SLOTS numbers reach the driver and the tasks. Where many ids are wanted, more
+    rows pass, and none is lost.
+    """
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(SLOTS))
+    found = wanted.select(slot("doc").alias("slot")).distinct().toArrow().column(0).to_numpy()
+    flags = np.zeros(SLOTS, bool)
+    flags[found] = True
+    shared = rows.sparkSession.sparkContext.broadcast(np.packbits(flags))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.unpackbits(shared.value).astype(bool)
+        for batch in batches:
+            yield batch.filter(pa.array(held[batch.column(2).to_numpy(zero_copy_only=False)])).select([0, 1])
+
+    return rows.filter("doc_id IS NOT NULL").select("doc_id", "text", slot("doc_id").alias("slot")).mapInArrow(
+        run, "doc_id bigint, text string")
+
+
+def _checked(pairs: DataFrame, known: DataFrame, texts: DataFrame, percent: int, label: str) -> DataFrame:
     """The pairs (a, b) of class keys that are links."""
-    side = lambda n: classes.select(F.col("class").alias(n), F.col("n_shingles").alias(f"n{n}"), F.col("buckets").alias(f"k{n}"))
-    near = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ka", "kb")
+    side = lambda n: known.select(F.col("class").alias(n), F.col("n_shingles").alias(f"n{n}"), F.col("buckets").alias(f"k{n}"),
+                                  F.col("regions").alias(f"r{n}"))
+    near = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ka", "kb", "ra", "rb")
     near = stage(near.mapInArrow(lambda x: _may_link(x, percent), "a bigint, b bigint"), f"{label}-candidates")
-    text = lambda n: texts(near).select(F.col("class").alias(n), F.col("text").alias(f"t{n}"))
+    found = stage(texts(near), f"{label}-texts")
+    text = lambda n: found.select(F.col("class").alias(n), F.col("text").alias(f"t{n}"))
     both = near.join(text("a"), "a").join(text("b"), "b").select("a", "b", "ta", "tb")
     return stage(both.mapInArrow(lambda x: _verify(x, percent), "a bigint, b bigint"), f"{label}-links")
 
 
+def _merged(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """The groups (class, group) after links between classes."""
+    side = lambda n: groups.select(F.col("class").alias(n), F.col("group").alias(f"_{n}"))
+    edges = links.join(side("a"), "a").join(side("b"), "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
+    merged = connected_components(edges, "jaccard").withColumnRenamed("node", "group")
+    return stage(groups.join(merged, "group", "left").select("class", F.coalesce("component", "group").alias("group")), "jaccard-groups")
+
+
 def hot_shingles(found: DataFrame, documents: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingles in a share of HOT_SHARE of all documents, at most HOT_MOST; they only change the order."""
     counts = found.filter("hot IS NOT NULL").groupBy("hot").agg(F.sum("hot_count").alias("n")).filter(
@@ -263,27 +371,42 @@ def jaccard_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
                                        "region bigint, class bigint, size bigint, place bigint, pivot bigint"), "jaccard-regions")
 
     def texts(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(classes, "class").select("class", "doc")
+        wanted = stage(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(classes, "class").select(
+            "class", "doc"), "jaccard-wanted")
         # Rows with one doc_id may hold different texts, of which only the class's own counts.
-        held = rows.join(wanted, rows["doc_id"] == wanted["doc"]).select("class", "text")
+        near = _wanted_rows(rows, wanted)
+        held = near.join(wanted, near["doc_id"] == wanted["doc"]).select("class", "text")
         return held.mapInArrow(_own_text, "class bigint, text string").dropDuplicates(["class"])
 
     star = regions.filter("pivot <> class").select(F.least("pivot", "class").alias("a"), F.greatest("pivot", "class").alias("b")).distinct()
-    first = _checked(star, classes, texts, percent, "jaccard-first")
-    ids = classes.select("class", "doc")
-    as_docs = lambda links: links.join(ids.toDF("a", "da"), "a").join(ids.toDF("b", "db"), "b").select(
-        F.col("da").alias("a"), F.col("db").alias("b"))
-    known = connected_components(as_docs(first), "jaccard-first")
-    grouped = ids.join(known.withColumnRenamed("node", "doc"), "doc").select(F.col("class").alias("_class"), "component")
-    marked = regions.join(grouped, regions["class"] == grouped["_class"], "left").select(
-        "region", "class", "size", "place", F.coalesce(F.xxhash64(F.lit("class"), "component"), "class").alias("group"))
-    again = marked.repartition(shards, "region").sortWithinPartitions("region", "size").mapInArrow(
-        lambda b: _across(b, percent), "a bigint, b bigint").distinct()
-    second = _checked(again.join(star, ["a", "b"], "left_anti"), classes, texts, percent, "jaccard-second")
-    groups = connected_components(as_docs(first.unionByName(second)), "jaccard-all")
-    # One row per class, written out, so that adaptive execution may split the join on a class of many copies.
-    final = stage(ids.join(groups.withColumnRenamed("node", "doc"), "doc", "left").select(
-        "class", F.coalesce("component", "doc").alias("component_id")), "jaccard-components")
+    # The part of a window that meets other sets; sets that meet none are never compared.
+    known = stage(classes.join(regions.groupBy("class").agg(F.collect_list("region").alias("regions")), "class").select(
+        "class", "n_shingles", "buckets", "regions"), "jaccard-windows")
+    first = _checked(star, known, texts, percent, "jaccard-first")
+    groups = _merged(classes.select("class", F.col("doc").alias("group")), first)
+    tested, columns = star, "region bigint, class bigint, size bigint, place bigint, group bigint"
+
+    def left_over() -> DataFrame:
+        """Regions that still hold several groups."""
+        rows = regions.join(groups, "class").select("region", "class", "size", "place", "group")
+        return stage(rows.repartition(shards, "region").sortWithinPartitions("region", "group").mapInArrow(_mixed, columns), "jaccard-mixed")
+
+    def meeting_pairs(rows: DataFrame, turn: int | None) -> DataFrame:
+        in_regions = rows.repartition(shards, "region").sortWithinPartitions("region")
+        pairs = in_regions.mapInArrow(lambda b: _across(b, percent, turn), "a bigint, b bigint").distinct()
+        return stage(pairs.join(tested, ["a", "b"], "left_anti"), "jaccard-pairs")
+
+    for turn in range(TURNS):
+        pairs = meeting_pairs(left_over().withColumn("buckets", F.lit(None).cast("binary")), turn)
+        tested = tested.unionByName(pairs)
+        links = _checked(pairs, known, texts, percent, "jaccard-next")
+        groups = _merged(groups, links)
+        if links.count() * 100 <= pairs.count():  # crowds that turns no longer bring together
+            break
+    rest = left_over().join(classes.select("class", "buckets"), "class").select("region", "class", "size", "place", "group", "buckets")
+    groups = _merged(groups, _checked(meeting_pairs(rest, None), known, texts, percent, "jaccard-last"))
+    # Written out, one row per class, so that adaptive execution may split the join on a class of many copies.
+    final = groups.withColumnRenamed("group", "component_id")
     linkable = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     placed = members.filter(linkable).join(final, "class").select("doc_id", "n_shingles", "component_id")
     return placed.unionByName(members.filter(~linkable).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
