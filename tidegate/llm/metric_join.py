@@ -329,6 +329,8 @@ def _checked(pairs: DataFrame, known: DataFrame, texts: DataFrame, percent: int,
                                   F.col("regions").alias(f"r{n}"))
     near = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ka", "kb", "ra", "rb")
     near = stage(near.mapInArrow(lambda x: _may_link(x, percent), "a bigint, b bigint"), f"{label}-candidates")
+    if near.isEmpty():
+        return near
     found = stage(texts(near), f"{label}-texts")
     text = lambda n: found.select(F.col("class").alias(n), F.col("text").alias(f"t{n}"))
     both = near.join(text("a"), "a").join(text("b"), "b").select("a", "b", "ta", "tb")
@@ -337,6 +339,8 @@ def _checked(pairs: DataFrame, known: DataFrame, texts: DataFrame, percent: int,
 
 def _merged(groups: DataFrame, links: DataFrame) -> DataFrame:
     """The groups (class, group) after links between classes."""
+    if links.isEmpty():
+        return groups
     side = lambda n: groups.select(F.col("class").alias(n), F.col("group").alias(f"_{n}"))
     edges = links.join(side("a"), "a").join(side("b"), "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
     merged = connected_components(edges, "jaccard").withColumnRenamed("node", "group")
@@ -397,14 +401,19 @@ def jaccard_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         return stage(pairs.join(tested, ["a", "b"], "left_anti"), "jaccard-pairs")
 
     for turn in range(TURNS):
-        pairs = meeting_pairs(left_over().withColumn("buckets", F.lit(None).cast("binary")), turn)
+        mixed = left_over()
+        if mixed.isEmpty():
+            break
+        pairs = meeting_pairs(mixed.withColumn("buckets", F.lit(None).cast("binary")), turn)
         tested = tested.unionByName(pairs)
         links = _checked(pairs, known, texts, percent, "jaccard-next")
         groups = _merged(groups, links)
         if links.count() * 100 <= pairs.count():  # crowds that turns no longer bring together
             break
-    rest = left_over().join(classes.select("class", "buckets"), "class").select("region", "class", "size", "place", "group", "buckets")
-    groups = _merged(groups, _checked(meeting_pairs(rest, None), known, texts, percent, "jaccard-last"))
+    mixed = left_over()
+    rest = mixed.join(classes.select("class", "buckets"), "class").select("region", "class", "size", "place", "group", "buckets")
+    if not mixed.isEmpty():
+        groups = _merged(groups, _checked(meeting_pairs(rest, None), known, texts, percent, "jaccard-last"))
     # Written out, one row per class, so that adaptive execution may split the join on a class of many copies.
     final = groups.withColumnRenamed("group", "component_id")
     linkable = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
