@@ -13,7 +13,7 @@ from tidegate.session import scratch_path
 __all__ = ["fresh_name", "held_out", "ship", "shuffle_partitions", "stage", "table", "tokenizer_path"]
 
 
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:

@@ -31,7 +31,7 @@ from tidegate.llm import scan
 from tidegate.llm.pieces import IdStore
 
 SEED, DROPOUT, VARIANTS = 17, 0.1, 8
-CACHE_PIECES = 1_500_000
+CACHE_PIECES = 700_000
 SHORT = 48
 MARK = "▁"
 _NONE = np.int32(2**31 - 1)

@@ -38,6 +38,7 @@ from tidegate.llm.components import connected_components
 PERCENT = 80
 HOT_SHARE, HOT_LOCAL, HOT_MOST = 0.001, 4, 1 << 16
 PIVOTS, TURNS = 8, 6
+SHARDS_PER_TASK = 4  # a task holds the windows of one shard at a time
 _U = np.uint64
 
 
@@ -369,7 +370,7 @@ def jaccard_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         F.min("doc_id").alias("doc"), F.first("n_shingles").alias("n_shingles"), F.first("buckets").alias("buckets")), "jaccard-classes")
     shards = shuffle_partitions(spark)
     windows = rows.filter("doc_id IS NOT NULL").select("text").mapInArrow(
-        lambda b: _regions(b, percent, hot.value, shards), "shard int, key binary, class binary, size binary, place binary")
+        lambda b: _regions(b, percent, hot.value, SHARDS_PER_TASK * shards), "shard int, key binary, class binary, size binary, place binary")
     meeting = windows.repartition(shards, "shard").sortWithinPartitions("shard")
     regions = stage(meeting.mapInArrow(lambda b: _meet(b, percent),
                                        "region bigint, class bigint, size bigint, place bigint, pivot bigint"), "jaccard-regions")

@@ -12,6 +12,8 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 1 << 20
+# Workers live long: give batches back to the system instead of keeping them in a pool.
+pa.set_memory_pool(pa.system_memory_pool())
 _MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 _BASE = 0x9E3779B97F4A7C15 | 5
 _SEPARATOR = np.zeros(256, bool)
@@ -38,7 +40,7 @@ def _geometric(ratio: int, n: int) -> np.ndarray:
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if _powers["n"] < n:
-        size = max(n, 2 * CHUNK_BYTES)
+        size = max(n, CHUNK_BYTES)
         _powers.update(n=size, up=_geometric(_BASE, size), down=_geometric(pow(_BASE, -1, 1 << 64), size))
     return _powers["up"], _powers["down"]
 
