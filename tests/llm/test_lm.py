@@ -69,3 +69,12 @@ def test_scores_beat_the_base(shipped, sf_dir):
     got = [r for r in scored(shipped.read.parquet(f"{sf_dir}/documents.parquet")) if r[1]]
     assert sum(r[6] for r in got) > sum(r[5] for r in got)
 
+
+def test_a_filter_beyond_one_broadcast_keeps_its_bits(shipped, random_docs, monkeypatch):
+    frame = shipped.createDataFrame(random_docs, "doc_id bigint, text string")
+    whole = sorted(scored(frame))
+    monkeypatch.setattr(lm, "FILTER_BYTES", 2000)
+    monkeypatch.setattr(lm, "FILTER_GROUP_BYTES", 1500)
+    filters = lm.train(frame).filters
+    assert len(filters) > 5 and sum(len(part.value[1]) for part in filters) > 5 * lm.FILTER_BYTES
+    assert sorted(scored(frame)) == whole

@@ -48,10 +48,12 @@ def _positions(keys: np.ndarray, level: np.ndarray | int, bits: np.ndarray | int
     return [((first + _U(k) * second) % np.asarray(bits, np.uint64)).astype(np.int64) for k in range(HASHES)]
 
 
-def segment(keys: np.ndarray, counts: np.ndarray, bits_per_insertion: float, most_bytes: int) -> bytes:
-    """The segment of one shard, at most `most_bytes` long."""
+def segment(keys: np.ndarray, counts: np.ndarray, bits_per_insertion: float, most_bytes: int | None = None) -> bytes:
+    """The segment of one shard, if asked at most `most_bytes` long."""
     levels = levels_of(counts)
-    size = max(int(min(math.ceil(int(levels.sum()) * bits_per_insertion / 8), most_bytes)), 1)
+    size = max(math.ceil(int(levels.sum()) * bits_per_insertion / 8), 1)
+    if most_bytes is not None:
+        size = max(min(size, most_bytes), 1)
     flags = np.zeros(size * 8, np.uint8)
     for level in range(1, int(levels.max(initial=0)) + 1):
         for position in _positions(keys[levels >= level], level, size * 8):

@@ -2,9 +2,9 @@
 
 Tokens are the lower-cased (A-Z) words of a text and one end. Words and pairs are counted over all
 training documents: every task counts inside its batches, the counts meet by shards of the key
-space, and each shard becomes a segment of the filter. The filter is broadcast; its size follows the
-corpus up to MAX_FILTER_BYTES, beyond which its segments grow denser and false positives
-more frequent, but no pair is left out.
+space, and each shard becomes a segment of the filter, with the same bits for an insertion at every size of the
+corpus. Segments up to FILTER_BYTES in all are one broadcast that a worker keeps; a larger filter is handed out in
+groups of at most FILTER_GROUP_BYTES (or one segment), which tasks load one after the other for many chunks of text together.
 
 The model interpolates P(w | u) = s * c(u, w) / c(u) + (1 - s) * P1(w), with P1 the smoothed share of w and counts
 read from the filter by repeated probes; after an unseen u it is P1(w). The base score uses exact counts, which
@@ -18,6 +18,7 @@ training documents every token has c = 0, N = 0 and V = 0; other columns are not
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,8 @@ from tidegate.llm.common import held_out, shuffle_partitions, stage
 HELD_OUT = 1
 PAIR_SHARE = 0.2
 BITS_PER_INSERTION = 8.0
-MAX_FILTER_BYTES = 1 << 28
+FILTER_BYTES, FILTER_GROUP_BYTES = 1 << 28, 64 << 20
+CHUNKS_TOGETHER = 16  # of text, where groups are loaded in turn
 GROUP_BYTES = 32 << 20
 END, START = np.uint64(0x1B873593CC9E2D51), np.uint64(0x52DCE729E6546B64)
 _PAIR_KEY = np.uint64(0xE7037ED1A0B428DB)
@@ -88,7 +90,7 @@ def _count(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.Record
             ], ["pairs", "shard", "keys", "counts"])
 
 
-def _build(batches: Iterator[pa.RecordBatch], bits: float, most: int) -> Iterator[pa.RecordBatch]:
+def _build(batches: Iterator[pa.RecordBatch], bits: float) -> Iterator[pa.RecordBatch]:
     """Per shard, its filter segment, and for words their exact counts; rows come sorted by shard."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
     words = None
@@ -101,7 +103,7 @@ def _build(batches: Iterator[pa.RecordBatch], bits: float, most: int) -> Iterato
 
     def row(shard: int, words, pairs) -> pa.RecordBatch:
         keys, counts = words
-        segment = bloom.segment(np.concatenate([keys, pairs[0]]), np.concatenate([counts, pairs[1]]), bits, most)
+        segment = bloom.segment(np.concatenate([keys, pairs[0]]), np.concatenate([counts, pairs[1]]), bits)
         own = keys != START  # a context only, not a token
         return pa.RecordBatch.from_arrays([
             pa.array([shard], pa.int32()), pa.array([segment], pa.binary()), pa.array([keys[own].astype("<u8").tobytes()], pa.binary()),
@@ -132,16 +134,33 @@ def _build(batches: Iterator[pa.RecordBatch], bits: float, most: int) -> Iterato
         yield row(now[0], words or empty, fold()) if now[1] else row(now[0], fold(), empty)
 
 
+def _parts(sizes: list[tuple[int, int]], most: int) -> list[list[int]]:
+    """Shards in order, cut into groups of at most `most` bytes or of one shard."""
+    parts: list[list[int]] = []
+    held = 0
+    for shard, size in sizes:
+        if not parts or held + size > most:
+            parts.append([])
+            held = 0
+        parts[-1].append(shard)
+        held += size
+    return parts
+
+
 class Model:
-    """The broadcast filter, the exact totals, and the groups of exact word counts."""
+    """The broadcast filter (one or in groups), the exact totals, and the groups of exact word counts."""
 
     def __init__(self, spark: SparkSession, tables: DataFrame, shards: int):
         totals = tables.agg(F.sum("n_words").alias("v"), F.sum("n_tokens").alias("n")).first()
         self.n, self.v = int(totals["n"] or 0), int(totals["v"] or 0)
-        # At most MAX_FILTER_BYTES in all, by the bound of each segment.
-        rows = tables.select("shard", "segment").toArrow()
-        self.filter = spark.sparkContext.broadcast(bloom.joined(shards, list(zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()))))
-        del rows
+        lengths = sorted((r["shard"], r["n"]) for r in tables.select("shard", F.octet_length("segment").alias("n")).collect())
+        most = FILTER_BYTES if sum(n for _, n in lengths) <= FILTER_BYTES else FILTER_GROUP_BYTES
+        self.filters: list[Broadcast] = []
+        for part in _parts(lengths, most) or [[]]:
+            rows = tables.filter(F.col("shard").isin(part)).select("shard", "segment").toArrow()
+            self.filters.append(spark.sparkContext.broadcast(
+                bloom.joined(shards, list(zip(rows.column(0).to_pylist(), rows.column(1).to_pylist())))))
+            del rows
         sizes = sorted((r["shard"], r["n_words"]) for r in tables.select("shard", "n_words").collect())
         self.groups: list[Broadcast] = []
         group: list[int] = []
@@ -161,7 +180,7 @@ class Model:
                 held += words
 
 
-def train(docs: DataFrame, bits_per_insertion: float = BITS_PER_INSERTION, max_filter_bytes: int = MAX_FILTER_BYTES) -> Model:
+def train(docs: DataFrame, bits_per_insertion: float = BITS_PER_INSERTION) -> Model:
     """Count the words and pairs of all texts of `docs` and build the filter."""
     spark = docs.sparkSession
     partitions = shuffle_partitions(spark)
@@ -169,8 +188,7 @@ def train(docs: DataFrame, bits_per_insertion: float = BITS_PER_INSERTION, max_f
     counted = docs.select("text").mapInArrow(lambda b: _count(b, shards), "pairs boolean, shard int, keys binary, counts binary")
     meeting = counted.repartition(partitions, "shard").sortWithinPartitions("shard", "pairs")
     schema = "shard int, segment binary, word_keys binary, word_counts binary, n_words bigint, n_tokens bigint"
-    most = max(max_filter_bytes // shards, 1)
-    return Model(spark, stage(meeting.mapInArrow(lambda b: _build(b, bits_per_insertion, most), schema), "lm-counts"), shards)
+    return Model(spark, stage(meeting.mapInArrow(lambda b: _build(b, bits_per_insertion), schema), "lm-counts"), shards)
 
 
 def _exact(words: np.ndarray, groups: list[Broadcast]) -> np.ndarray:
@@ -186,34 +204,51 @@ def _exact(words: np.ndarray, groups: list[Broadcast]) -> np.ndarray:
     return out
 
 
+def _seen(keys: np.ndarray, filters: list[Broadcast]) -> np.ndarray:
+    """Levels of the keys; a key is met only in the group that holds its shard, the others have no bits for it."""
+    out = np.zeros(len(keys), np.int64)
+    for part in filters:
+        out += bloom.LogBloom(*part.value).levels(keys)
+        if len(filters) > 1:
+            part.__dict__.pop("_value", None)
+    return out
+
+
 def score(docs: DataFrame, model: Model, pair_share: float = PAIR_SHARE) -> DataFrame:
     """Base score and model score, log10, of every text of (doc_id, text, held_out)."""
-    n, v, shared, groups = model.n, model.v, model.filter, model.groups
+    n, v, filters, groups = model.n, model.v, model.filters, model.groups
     floor = n + 0.5 * (v + 1)
     schema = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 
+    together = CHUNKS_TOGETHER if max(len(filters), len(groups)) > 1 else 1
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = bloom.LogBloom(*shared.value)
         for batch in batches:
-            for a, b, texts in scan.text_chunks(batch.column(1)):
-                keys, owner = tokens(texts)
-                before, pairs = pair_keys(keys, owner)
-                words, inverse = np.unique(keys, return_inverse=True)
-                counts = _exact(words, groups)[inverse]
-                base = np.log10((counts + 0.5) / floor)
-                single = held.counts(words)
-                share = (single[inverse] + 0.5) / floor
-                contexts, context = np.unique(before, return_inverse=True)
-                seen = held.counts(contexts)[context]
-                both = np.minimum(held.counts(pairs), seen)
-                chance = np.where(seen > 0, pair_share * both / np.maximum(seen, 1) + (1 - pair_share) * share, share)
-                rows = b - a
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(a, rows), batch.column(2).slice(a, rows),
-                    pa.array(np.bincount(owner, minlength=rows).astype(np.int64)),
-                    pa.array(np.bincount(owner, counts > 0, rows).astype(np.int64)), pa.array(np.full(rows, n, np.int64)),
-                    pa.array(np.bincount(owner, base, rows)), pa.array(np.bincount(owner, np.log10(chance), rows)),
-                ], [f.split()[0] for f in schema.split(", ")])
+            for chunks in batched(scan.text_chunks(batch.column(1)), together):
+                parts = []
+                for a, b, texts in chunks:
+                    keys, owner = tokens(texts)
+                    parts.append((a, b, keys, owner, *pair_keys(keys, owner)))
+                words = np.unique(np.concatenate([[START], *(p[2] for p in parts)]))
+                pairs = np.unique(np.concatenate([p[5] for p in parts]))
+                levels = _seen(np.concatenate([words, pairs]), filters)
+                single, double = bloom.VALUES[levels[:len(words)]], bloom.VALUES[levels[len(words):]]
+                exact = _exact(words, groups)
+                for a, b, keys, owner, before, both in parts:
+                    word = np.searchsorted(words, keys)
+                    counts = exact[word]
+                    base = np.log10((counts + 0.5) / floor)
+                    share = (single[word] + 0.5) / floor
+                    seen = single[np.searchsorted(words, before)]
+                    met = np.minimum(double[np.searchsorted(pairs, both)], seen)
+                    chance = np.where(seen > 0, pair_share * met / np.maximum(seen, 1) + (1 - pair_share) * share, share)
+                    rows = b - a
+                    yield pa.RecordBatch.from_arrays([
+                        batch.column(0).slice(a, rows), batch.column(2).slice(a, rows),
+                        pa.array(np.bincount(owner, minlength=rows).astype(np.int64)),
+                        pa.array(np.bincount(owner, counts > 0, rows).astype(np.int64)), pa.array(np.full(rows, n, np.int64)),
+                        pa.array(np.bincount(owner, base, rows)), pa.array(np.bincount(owner, np.log10(chance), rows)),
+                    ], [f.split()[0] for f in schema.split(", ")])
 
     return docs.select("doc_id", "text", "held_out").mapInArrow(run, schema)
 
