@@ -34,7 +34,7 @@ def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def piece_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of every reading of a document, with checks that they decode to the text."""
     ship(spark)
-    return merge_dropout.encode_documents(docs, tokenizer_path("piece_bpe_32k.model"))
+    return merge_dropout.encode_documents(merge_dropout.readings(docs), tokenizer_path("piece_bpe_32k.model"), reading="reading")
 
 
 STAGES = [("quality_rules", quality_rules), ("near_duplicates", near_duplicates), ("source_mixture", source_mixture),

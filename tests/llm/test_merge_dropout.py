@@ -73,3 +73,21 @@ def test_documents(odd_docs, no_docs):
     twice = [r.ids for r in rows if r.doc_id == 3]
     assert len(twice) == 2 and twice[0] == twice[1]
     assert m.encode_documents(no_docs, PATH).collect() == []
+
+
+def test_every_occurrence_draws_for_itself():
+    codec = m.Codec(PATH, 5, 0.1)
+    text = " international" * 3000
+    ids = split(codec, [text], np.zeros(1, np.uint64))[0]
+    number = np.arange(3000, dtype=np.uint64)
+    drawn = scan.mix(scan.mix(np.zeros(1, np.uint64)) + number * np.uint64(m._SALT[1]) + np.uint64(5))
+    forms = [codec.segment(" " * (1 + (i == 0)) + "international", int(v)) for i, v in enumerate(drawn)]
+    assert ids == [x for form in forms for x in form]
+    assert len({tuple(form) for form in forms}) > 8
+
+
+def test_readings_of_a_document_differ(shipped):
+    text = "several readings of the international encyclopedia " * 20
+    rows = shipped.createDataFrame([(1, text)] * 3 + [(2, text)], "doc_id bigint, text string")
+    got = [(r.doc_id, tuple(r.ids)) for r in m.encode_documents(m.readings(rows), PATH, reading="reading").collect()]
+    assert len(set(got)) == 4 and len({ids for _, ids in got}) == 4

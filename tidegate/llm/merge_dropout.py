@@ -3,10 +3,11 @@
 The vocabulary is a SentencePiece model of merge type with byte fallback; the merging is done
 here. Symbols start as characters (a space is the piece U+2581, one is put before the text);
 candidate merges stand in an agenda ordered by score and then place. A candidate taken from the
-agenda is skipped when a keyed hash of (seed, variant of the word, place, both symbols) falls
-below the dropout share. The variant is a hash of the document, the word's number in it and
-the seed, modulo VARIANTS, so a word is cut in several ways over the corpus and every run with the
-same seed gives the same ids. Characters without a piece, and U+2581 itself, become byte pieces, so
+agenda is skipped when a keyed hash of (seed, occurrence of the word, place, both symbols) falls
+below the dropout share. The occurrence is a 64-bit hash of the document, its reading, the word's number in it and
+the seed, so every occurrence draws for itself and every run with the same seed gives the same ids. Only the merging
+without dropout is remembered, per word with its merges; occurrences whose draws skip one of these merges are merged anew.
+Characters without a piece, and U+2581 itself, become byte pieces, so
 decoding always gives back the text.
 
 No piece reaches from other characters into a space, and some control characters stand in no
@@ -14,7 +15,7 @@ piece at all, so words are segmented on their own: short ones together as numpy
 each word per round, long ones with a heap. Both give the same pieces.
 
 Defined results: a null text is an empty one, which has no ids and decodes to the empty text; rows
-with equal doc_id and text get equal ids; a null doc_id is keyed as one value; no rows give no rows.
+with equal doc_id, reading and text get equal ids; a null doc_id is keyed as one value; no rows give no rows.
 """
 
 from __future__ import annotations
@@ -25,12 +26,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidegate.llm import scan
 from tidegate.llm.pieces import IdStore
 
-SEED, DROPOUT, VARIANTS = 17, 0.1, 8
+SEED, DROPOUT = 17, 0.1
 CACHE_PIECES = 700_000
 SHORT = 48
 MARK = "▁"
@@ -47,8 +48,22 @@ def _mix(value: int) -> int:
     return value ^ (value >> 31)
 
 
+def _drawn_by(place: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """What the draw of a merge depends on besides the salt."""
+    key = left.astype(np.int64) << 20 | right.astype(np.int64)
+    return place.astype(_U) * _U(_SALT[1]) + key.astype(_U) * _U(_SALT[2])
+
+
+def _spans(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The indices of all spans, one after the other."""
+    ends = counts.cumsum()
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - counts), counts)
+
+
 class Codec:
-    def __init__(self, path: str, seed: int = SEED, dropout: float = DROPOUT, variants: int = VARIANTS):
+    """`variants`, if given, bounds the draws of a word to so many; without it every occurrence has its own."""
+
+    def __init__(self, path: str, seed: int = SEED, dropout: float = DROPOUT, variants: int | None = None):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -92,9 +107,12 @@ class Codec:
 
     # One word -----------------------------------------------------------------------------
 
-    def segment(self, word: str, variant: int) -> list[int]:
-        """Ids of one word (with its leading spaces) by an agenda held in a heap."""
-        salt = _mix(self.seed * _SALT[0] + variant & _MASK)
+    def segment(self, word: str, variant: int | None, merges: list[int] | None = None) -> list[int]:
+        """Ids of one word (with its leading spaces) by an agenda held in a heap; without a variant nothing is skipped.
+
+        What the draws of the merges made depend on, besides the salt, is added to `merges`.
+        """
+        salt = None if variant is None else _mix(self.seed * _SALT[0] + variant & _MASK)
         ids = [int(self.chars[ord(c)]) for c in word]
         n = len(ids)
         after, before, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
@@ -113,8 +131,11 @@ class Codec:
         while agenda:
             _, left, a, b, made = heapq.heappop(agenda)
             right = after[left]
-            if not alive[left] or right >= n or ids[left] != a or ids[right] != b or self._skipped(salt, left, a, b):
+            if not alive[left] or right >= n or ids[left] != a or ids[right] != b or (
+                    salt is not None and self._skipped(salt, left, a, b)):
                 continue
+            if merges is not None:
+                merges.append(left * _SALT[1] + (a << 20 | b) * _SALT[2] & _MASK)
             ids[left], alive[right] = made, False
             after[left] = after[right]
             if after[right] < n:
@@ -133,24 +154,27 @@ class Codec:
 
     # Many short words -----------------------------------------------------------------------
 
-    def _candidates(self, left: np.ndarray, right: np.ndarray, place: np.ndarray, salt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _candidates(self, left: np.ndarray, right: np.ndarray, place: np.ndarray, salt: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
         """(rank, merged id) of each pair; no pair, or a skipped one, has the rank _NONE."""
         key = left.astype(np.int64) << 20 | right.astype(np.int64)
         at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
         found = (self.pairs[at] == key) & (left >= 0) & (right >= 0)
-        drawn = scan.mix(salt + place.astype(_U) * _U(_SALT[1]) + key.astype(_U) * _U(_SALT[2]))
-        found &= drawn >= _U(self.limit)
+        if salt is not None:
+            found &= scan.mix(salt + _drawn_by(place, left, right)) >= _U(self.limit)
         return np.where(found, self.ranks[at], _NONE), self.merged[at]
 
-    def segment_many(self, symbols: np.ndarray, salts: np.ndarray) -> np.ndarray:
-        """Merge every row of a matrix of symbols (-2 pads) to the end; rows shrink to the left."""
+    def segment_many(self, symbols: np.ndarray, salts: np.ndarray | None, merges: list | None = None) -> np.ndarray:
+        """Merge every row of a matrix of symbols (-2 pads) to the end; rows shrink to the left.
+
+        Without salts nothing is skipped. What is merged is added to `merges`, as (rows, what the draws depend on).
+        """
         rows, width = symbols.shape
         out = symbols.copy()
         if width < 2:
             return out
         live = np.arange(rows)
         place = np.broadcast_to(np.arange(width, dtype=np.int32), symbols.shape).copy()
-        rank, made = self._candidates(symbols[:, :-1], symbols[:, 1:], place[:, :-1], salts[:, None])
+        rank, made = self._candidates(symbols[:, :-1], symbols[:, 1:], place[:, :-1], None if salts is None else salts[:, None])
         pad = np.full((rows, 1), _NONE, np.int32)
         rank, made, symbols = np.hstack([rank, pad]), np.hstack([made, pad]), symbols.copy()
         columns = np.arange(width)
@@ -160,11 +184,13 @@ class Codec:
             going = rank[row, best] < _NONE
             if not going.all():
                 out[live[~going]] = symbols[~going]
-                live, symbols, place, rank, made, salts, best = (
-                    x[going] for x in (live, symbols, place, rank, made, salts, best))
+                live, symbols, place, rank, made, best = (x[going] for x in (live, symbols, place, rank, made, best))
+                salts = None if salts is None else salts[going]
                 row = np.arange(len(live))
                 if not len(live):
                     break
+            if merges is not None:
+                merges.append((live, _drawn_by(place[row, best], symbols[row, best], symbols[row, best + 1])))
             symbols[row, best] = made[row, best]
             source = np.minimum(columns + (columns > best[:, None]), width - 1)
             symbols, place, rank, made = (np.take_along_axis(x, source, 1) for x in (symbols, place, rank, made))
@@ -172,29 +198,73 @@ class Codec:
             for at in (best, best - 1):
                 ok = (at >= 0) & (at < width - 1)
                 r, c = row[ok], at[ok]
-                rank[r, c], made[r, c] = self._candidates(symbols[r, c], symbols[r, c + 1], place[r, c], salts[r])
+                rank[r, c], made[r, c] = self._candidates(symbols[r, c], symbols[r, c + 1], place[r, c], None if salts is None else salts[r])
         return out
 
-    def _learn(self, words: list[str], variants: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _cut(self, words: list[str], word: np.ndarray, variants: np.ndarray | None, traced: bool = False) -> tuple[np.ndarray, ...]:
+        """Ids of the occurrences `word` (indices into words), joined, and their starts and counts.
+
+        With `traced` also what the draws of the merges depend on, and the occurrence of each.
+        """
         lengths = np.fromiter(map(len, words), np.int64, len(words))
-        salts = scan.mix(_U(self.seed * _SALT[0] & _MASK) + variants.astype(_U))
-        found: list[np.ndarray | None] = [None] * len(words)
-        order = np.argsort(lengths, kind="stable")
-        order = order[lengths[order] <= SHORT]
+        salts = None if variants is None else scan.mix(_U(self.seed * _SALT[0] & _MASK) + variants.astype(_U))
+        small = np.flatnonzero(lengths <= SHORT)
+        width = int(lengths[small].max(initial=0))
+        codes = np.frombuffer("".join(words[i].ljust(width, "\0") for i in small).encode("utf-32-le", "surrogatepass"), "<u4")
+        table = np.full((len(words), width), -2, np.int32)
+        table[small] = self.chars[codes.reshape(len(small), width)]
+        table[np.arange(width) >= lengths[:, None]] = -2
+        size = lengths[word]
+        order = np.argsort(size, kind="stable")
+        order = order[size[order] <= SHORT]
+        pool: list[np.ndarray] = [np.zeros(0, np.uint32)]
+        drawn: list[np.ndarray] = [np.zeros(0, np.uint64)]
+        of: list[np.ndarray] = [np.zeros(0, np.int64)]
+        starts, counts, filled = np.zeros(len(word), np.int64), np.zeros(len(word), np.int64), 0
+        alone = np.flatnonzero(size > SHORT).tolist()
         for a in range(0, len(order), 8192):
             group = order[a:a + 8192]
-            width = int(lengths[group[-1]])
-            codes = np.frombuffer("".join(words[i].ljust(width, "\0") for i in group).encode("utf-32-le", "surrogatepass"), "<u4").reshape(-1, width)
-            symbols = self.chars[codes]
-            symbols[np.arange(width) >= lengths[group][:, None]] = -2
-            merged = self.segment_many(symbols, salts[group])
+            merges: list | None = [] if traced else None
+            merged = self.segment_many(table[word[group], :int(size[group[-1]])], None if salts is None else salts[group], merges)
             clean = (merged != -1).all(1)
-            for i, row, ok in zip(group, merged, clean):
-                found[i] = row[row >= 0] if ok else np.array(self.segment(words[i], int(variants[i])), np.int64)
-        for i in np.flatnonzero(lengths > SHORT):
-            found[i] = np.array(self.segment(words[i], int(variants[i])), np.int64)
-        counts = np.fromiter(map(len, found), np.int64, len(found))
-        return np.concatenate(found).astype(np.uint32), counts
+            alone += group[~clean].tolist()
+            taken = (merged >= 0) & clean[:, None]
+            counts[group] = taken.sum(1)
+            ends = counts[group].cumsum()
+            starts[group] = filled + ends - counts[group]
+            pool.append(merged[taken].astype(np.uint32))
+            filled += len(pool[-1])
+            for rows, keys in merges or ():
+                drawn.append(keys[clean[rows]])
+                of.append(group[rows[clean[rows]]])
+        for i in alone:
+            made: list[int] = []
+            ids = self.segment(words[word[i]], None if variants is None else int(variants[i]), made)
+            starts[i], counts[i] = filled, len(ids)
+            pool.append(np.array(ids, np.uint32))
+            filled += len(ids)
+            if traced:
+                drawn.append(np.array(made, np.uint64))
+                of.append(np.full(len(made), i))
+        return np.concatenate(pool), starts, counts, np.concatenate(drawn), np.concatenate(of)
+
+    def _learn(self, words: list[str], variants: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        pool, starts, counts, _, _ = self._cut(words, np.arange(len(words)), variants)
+        return pool[_spans(starts, counts)], counts
+
+    def _learn_merges(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Per word without dropout, joined: the number of ids, the ids, the low and then the high halves of its merges."""
+        pool, starts, counts, drawn, of = self._cut(words, np.arange(len(words)), None, True)
+        merges = np.bincount(of, minlength=len(words))
+        drawn = drawn[np.argsort(of, kind="stable")]
+        sizes = 1 + counts + 2 * merges
+        begin = sizes.cumsum() - sizes
+        out = np.empty(int(sizes.sum()), np.uint32)
+        out[begin] = counts
+        out[_spans(begin + 1, counts)] = pool[_spans(starts, counts)]
+        out[_spans(begin + 1 + counts, merges)] = drawn & _U(0xFFFFFFFF)
+        out[_spans(begin + 1 + counts + merges, merges)] = drawn >> _U(32)
+        return out, sizes
 
     # Texts --------------------------------------------------------------------------------
 
@@ -217,16 +287,32 @@ class Codec:
         stops = np.append(starts[1:], len(data))
         owner = np.searchsorted(bounds, starts, "right") - 1
         number = np.arange(len(starts)) - np.searchsorted(starts, bounds[:-1])[owner]
-        variant = scan.mix(document_keys[owner] + number.astype(_U) * _U(_SALT[1]) + _U(self.seed)) % _U(self.variants)
-        keys = scan.span_hashes(data, starts, stops) + variant * _U(_SALT[0])
+        variant = scan.mix(document_keys[owner] + number.astype(_U) * _U(_SALT[1]) + _U(self.seed))
+        if self.variants is not None:
+            variant %= _U(self.variants)
+        keys = scan.span_hashes(data, starts, stops)
         raw = data.tobytes()
 
-        def learn(new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            words = [raw[a:b].decode("utf-8", "surrogatepass") for a, b in zip(starts[new], stops[new])]
-            return self._learn(words, variant[new])
-
-        ids, lengths = self.store.lookup(keys, learn)
-        return ids, np.bincount(owner, lengths, len(texts)).astype(np.int64)
+        def words(at: np.ndarray) -> list[str]:
+            return [raw[a:b].decode("utf-8", "surrogatepass") for a, b in zip(starts[at], stops[at])]
+
+        known, sizes = self.store.lookup(keys, lambda new: self._learn_merges(words(new)))
+        begin = sizes.cumsum() - sizes
+        counts = known[begin].astype(np.int64)
+        begin += 1
+        if self.limit:
+            merges = (sizes - 1 - counts) // 2
+            low = _spans(begin + counts, merges)
+            drawn = known[low].astype(_U) | known[low + np.repeat(merges, merges)].astype(_U) << _U(32)
+            salts = scan.mix(_U(self.seed * _SALT[0] & _MASK) + variant)
+            skips = np.flatnonzero(scan.mix(np.repeat(salts, merges) + drawn) < _U(self.limit))
+            again = np.unique(np.searchsorted(merges.cumsum(), skips, "right"))
+            if len(again):
+                _, first, word = np.unique(keys[again], return_index=True, return_inverse=True)
+                pool, begun, cut, _, _ = self._cut(words(again[first]), word, variant[again])
+                begin[again], counts[again] = len(known) + begun, cut
+                known = np.concatenate([known, pool])
+        return known[_spans(begin, counts)], np.bincount(owner, counts, len(texts)).astype(np.int64)
 
     def decode_all(self, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(bytes of all texts, their bounds): the inverse of encode."""
@@ -244,27 +330,38 @@ class Codec:
         return data.tobytes().decode("utf-8", "surrogatepass")
 
 
-def codec(path: str, seed: int, dropout: float, variants: int) -> Codec:
+def codec(path: str, seed: int, dropout: float) -> Codec:
     """One per worker and setting."""
-    key = (path, seed, dropout, variants)
+    key = (path, seed, dropout)
     if key not in _CODECS:
         _CODECS[key] = Codec(*key)
     return _CODECS[key]
 
 
-def document_keys(column: pa.Array) -> np.ndarray:
-    ids = column.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-    return scan.mix(ids.astype(_U) + np.asarray(column.is_null()).astype(_U) * _U(_SALT[2]))
+def document_keys(ids: pa.Array, readings: pa.Array) -> np.ndarray:
+    values = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    own = scan.mix(values.astype(_U) + np.asarray(ids.is_null()).astype(_U) * _U(_SALT[2]))
+    return own + (readings.to_numpy(zero_copy_only=False).astype(_U) - _U(1)) * _U(_SALT[0])
+
+
+def readings(docs: DataFrame) -> DataFrame:
+    """`docs` with `reading`: the rows of one doc_id and text are numbered from 1, so that each draws for itself."""
+    window = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("text")
+    return docs.select("doc_id", "text", F.row_number().over(window).alias("reading"))
 
 
 def encode_documents(docs: DataFrame, model_path: str, seed: int = SEED, dropout: float = DROPOUT,
-                     variants: int = VARIANTS, with_ids: bool = True) -> DataFrame:
-    """Encode (doc_id, text): n_tokens, checksum of the ids, whether decoding gave the text back, and the ids."""
+                     with_ids: bool = True, reading: str | None = None) -> DataFrame:
+    """Encode (doc_id, text): n_tokens, checksum of the ids, whether decoding gave the text back, and the ids.
+
+    The column named by `reading`, from 1, is part of the key of the draws; without it every row is the first reading.
+    """
+    number = F.lit(1) if reading is None else F.col(reading)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(model_path, seed, dropout, variants)
+        own = codec(model_path, seed, dropout)
         for batch in batches:
-            keys = document_keys(batch.column(0))
+            keys = document_keys(batch.column(0), batch.column(2))
             for a, b, texts in scan.text_chunks(batch.column(1)):
                 ids, counts = own.encode(texts, keys[a:b])
                 data, bounds = own.decode_all(ids, counts)
@@ -281,4 +378,4 @@ def encode_documents(docs: DataFrame, model_path: str, seed: int = SEED, dropout
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     schema = "doc_id bigint, n_tokens bigint, ids_crc32 bigint, decoded_crc32 bigint, lossless boolean"
-    return docs.select("doc_id", "text").mapInArrow(run, schema + (", ids array<int>" if with_ids else ""))
+    return docs.select("doc_id", "text", number.cast("bigint").alias("reading")).mapInArrow(run, schema + (", ids array<int>" if with_ids else ""))
