@@ -5,9 +5,10 @@ import random
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+from pyspark.sql import functions as F
 
 from tidegate.llm import merge_dropout as m
-from tidegate.llm import scan
+from tidegate.llm import queries, scan
 from tidegate.llm.common import tokenizer_path
 
 PATH = tokenizer_path("piece_bpe_32k.model")
@@ -91,3 +92,16 @@ def test_readings_of_a_document_differ(shipped):
     rows = shipped.createDataFrame([(1, text)] * 3 + [(2, text)], "doc_id bigint, text string")
     got = [(r.doc_id, tuple(r.ids)) for r in m.encode_documents(m.readings(rows), PATH, reading="reading").collect()]
     assert len(set(got)) == 4 and len({ids for _, ids in got}) == 4
+
+
+def test_ids_are_read_back_and_decoded(shipped, odd_docs, no_docs, sf_dir):
+    encoded = m.encode_documents(odd_docs, PATH)
+    assert sorted((r.doc_id or -1, r.text) for r in m.decode_documents(encoded, PATH).collect()) == sorted(
+        (r.doc_id or -1, r.text or "") for r in odd_docs.collect())
+    assert m.decode_documents(m.encode_documents(no_docs, PATH), PATH).collect() == []
+    wrong = encoded.withColumn("ids", F.expr("IF(doc_id = 3, slice(ids, 1, 0), ids)"))
+    assert {r.doc_id for r in m.read_back(wrong, PATH).collect() if not r.lossless} == {3}
+    codec = m.Codec(PATH)
+    texts = {r.doc_id: r.text for r in shipped.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    rows = queries.op8_merge_dropout(shipped, sf_dir).collect()
+    assert len(rows) == len(texts) and all(r.lossless and codec.decode(np.array(r.ids, np.int64)) == texts[r.doc_id] for r in rows)

@@ -26,14 +26,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from tidegate.llm import scan
+from tidegate.llm.common import stage
 from tidegate.llm.pieces import IdStore
 
 SEED, DROPOUT = 17, 0.1
 CACHE_PIECES = 700_000
 SHORT = 48
+DECODE_ROWS = 256  # rows decoded at a time, which changes no result
 MARK = "▁"
 _NONE = np.int32(2**31 - 1)
 _U = np.uint64
@@ -379,3 +381,29 @@ def encode_documents(docs: DataFrame, model_path: str, seed: int = SEED, dropout
 
     schema = "doc_id bigint, n_tokens bigint, ids_crc32 bigint, decoded_crc32 bigint, lossless boolean"
     return docs.select("doc_id", "text", number.cast("bigint").alias("reading")).mapInArrow(run, schema + (", ids array<int>" if with_ids else ""))
+
+
+def decode_documents(encoded: DataFrame, model_path: str) -> DataFrame:
+    """The columns of `encoded` (ids, ...), and the text that the ids stand for."""
+    place = encoded.columns.index("ids")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec(model_path, SEED, DROPOUT)  # decoding depends on neither
+        for batch in batches:
+            for a in range(0, batch.num_rows, DECODE_ROWS):
+                rows = batch.slice(a, DECODE_ROWS)
+                ids = rows.column(place)
+                counts = ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+                data, bounds = own.decode_all(ids.flatten().to_numpy(zero_copy_only=False), counts)
+                text = pa.StringArray.from_buffers(len(rows), pa.py_buffer(bounds.astype("<i4").tobytes()), pa.py_buffer(data.tobytes()))
+                yield pa.RecordBatch.from_arrays([*rows.columns, text], [*rows.schema.names, "text"])
+
+    return encoded.mapInArrow(run, T.StructType([*encoded.schema.fields, T.StructField("text", T.StringType())]))
+
+
+def read_back(encoded: DataFrame, model_path: str) -> DataFrame:
+    """What encode_documents gave, with decoded_crc32 and lossless after the ids were written, read and decoded again."""
+    decoded = decode_documents(stage(encoded, "piece-ids"), model_path)
+    again = F.crc32(F.col("text").cast("binary"))
+    return decoded.select("doc_id", "n_tokens", "ids_crc32", again.alias("decoded_crc32"),
+                          (F.col("lossless") & (again == F.col("decoded_crc32"))).alias("lossless"), "ids")

@@ -50,8 +50,8 @@ def op7_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merge_dropout.encode_documents(table(spark, sf_dir, "documents", "doc_id", "text"),
-                                          tokenizer_path("piece_bpe_32k.model"), with_ids=False)
+    path = tokenizer_path("piece_bpe_32k.model")
+    return merge_dropout.read_back(merge_dropout.encode_documents(table(spark, sf_dir, "documents", "doc_id", "text"), path), path)
 
 
 def op9_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
