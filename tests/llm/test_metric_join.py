@@ -94,3 +94,36 @@ def test_windows_meet_for_every_link():
         keys, owner, _ = shingles.windows(both, 80, hot, draw.integers(1, 50, 200))
         if shingles.linked(one, two, 80):
             assert set(keys[owner == 0].tolist()) & set(keys[owner == 1].tolist())
+
+
+@pytest.mark.parametrize("block", [metric_join.BLOCK_SHINGLES, 400])
+def test_links_equal_brute_force(shipped, random_docs, monkeypatch, block):
+    monkeypatch.setattr(metric_join, "BLOCK_SHINGLES", block)
+    monkeypatch.setattr(metric_join, "BLOCK_SETS", 8)
+    monkeypatch.setattr(metric_join, "COLUMNS", 64)
+    base = [f"w{i}" for i in range(60)]
+    rows = [(1000 + i, " ".join(base[:i % 50] + [f"x{i}"] + base[i % 50 + 1:])) for i in range(60)] + random_docs
+    rows += [(2000 + i, " ".join(base[:40 + i // 2])) for i in range(40)] + [(3000, None), (3001, "")]
+    frame = shipped.createDataFrame(rows, "doc_id bigint, text string")
+    links, members = metric_join.jaccard_links(frame)
+    first = {}
+    for i, text in rows:
+        key = text_set(text or "")
+        first[key] = min(i, first.get(key, i))
+    sets = sorted(((i, key) for key, i in first.items() if key), key=lambda x: x[0])
+    want = {(i, j): len(a & b) for n, (i, a) in enumerate(sets) for j, b in sets[n + 1:] if 100 * len(a & b) >= 80 * len(a | b)}
+    assert len(want) > 500
+    got = [((min(r.doc_a, r.doc_b), max(r.doc_a, r.doc_b)), r.n_shared) for r in links.collect()]
+    assert len(got) == len(want) and dict(got) == want
+    degree = {i: sum(i in pair for pair in want) for i, _ in sets}
+    found = members.collect()
+    assert sorted((r.doc_id, r.n_links) for r in found) == sorted((i, degree.get(first[text_set(t or "")], 0)) for i, t in rows)
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == classes(frame)
+
+
+def test_links_of_odd_rows(odd_docs, no_docs):
+    links, members = metric_join.jaccard_links(odd_docs)
+    assert members.count() == odd_docs.count()
+    assert all(r.a < r.b for r in links.collect())
+    links, members = metric_join.jaccard_links(no_docs)
+    assert links.collect() == [] and members.collect() == []

@@ -13,7 +13,11 @@ in the corpus come last in the order, so that crowded regions take in only sets
 Regions join recursively. In a region one set becomes the pivot of all others of fitting size, and so on with
 those left over; they are compared with it. What lies near one pivot is one group already, and a group is not
 compared within itself again. Regions that still hold many groups go on by turns, each with PIVOTS other pivots; at the end all
-pairs of different groups that are left are compared, so the result is exact after any number of turns.
+pairs of different groups that are left are compared, so the classes are exact after any number of turns.
+
+Links. Every link lies within a group, but not all of its pairs were compared by then. jaccard_links compares all pairs of
+different sets of a group whose sizes fit: a group is cut into blocks of ascending size, and the whole sets of two
+blocks meet in one task, where a product of 0/1 matrices counts what all their pairs share.
 
 Before sets are compared, equal sets are one (a class key of the whole set), and bucket counts of
 both sets and the overlap of their windows bound their overlap from above. Sets are compared whole, from the texts.
@@ -25,7 +29,8 @@ node of the graph; no rows give no rows; other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +44,7 @@ PERCENT = 80
 HOT_SHARE, HOT_LOCAL, HOT_MOST = 0.001, 4, 1 << 16
 PIVOTS, TURNS = 8, 6
 SHARDS_PER_TASK = 4  # a task holds the windows of one shard at a time
+BLOCK_SHINGLES, BLOCK_SETS, COLUMNS = 1 << 18, 256, 4096  # sets compared at a time; no result depends on them
 _U = np.uint64
 
 
@@ -332,7 +338,7 @@ def _checked(pairs: DataFrame, known: DataFrame, texts: DataFrame, percent: int,
     near = stage(near.mapInArrow(lambda x: _may_link(x, percent), "a bigint, b bigint"), f"{label}-candidates")
     if near.isEmpty():
         return near
-    found = stage(texts(near), f"{label}-texts")
+    found = stage(texts(near.select(F.explode(F.array("a", "b")).alias("class")).distinct()), f"{label}-texts")
     text = lambda n: found.select(F.col("class").alias(n), F.col("text").alias(f"t{n}"))
     both = near.join(text("a"), "a").join(text("b"), "b").select("a", "b", "ta", "tb")
     return stage(both.mapInArrow(lambda x: _verify(x, percent), "a bigint, b bigint"), f"{label}-links")
@@ -358,8 +364,21 @@ def hot_shingles(found: DataFrame, documents: int) -> tuple[np.ndarray, np.ndarr
     return keys[order], rows.column(1).to_numpy()[order]
 
 
-def jaccard_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of (doc_id, text)."""
+@dataclass(frozen=True)
+class _Walk:
+    members: DataFrame  # a row per row of docs: doc_id, n_shingles, class
+    classes: DataFrame  # class, doc (its least doc_id), n_shingles
+    groups: DataFrame  # class, group
+    texts: Callable[[DataFrame], DataFrame]  # a text of each wanted class
+
+    def split(self) -> tuple[DataFrame, DataFrame]:
+        """The members that may have links, and the others."""
+        linkable = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+        return self.members.filter(linkable), self.members.filter(~linkable)
+
+
+def _grouped(docs: DataFrame, percent: int) -> _Walk:
+    """The classes of equal sets and the groups that links make of them."""
     spark = docs.sparkSession
     rows = docs.select("doc_id", "text")
     schema = "doc_id bigint, n_shingles bigint, class bigint, buckets binary, hot bigint, hot_count bigint"
@@ -375,9 +394,8 @@ def jaccard_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     regions = stage(meeting.mapInArrow(lambda b: _meet(b, percent),
                                        "region bigint, class bigint, size bigint, place bigint, pivot bigint"), "jaccard-regions")
 
-    def texts(pairs: DataFrame) -> DataFrame:
-        wanted = stage(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(classes, "class").select(
-            "class", "doc"), "jaccard-wanted")
+    def texts(some: DataFrame) -> DataFrame:
+        wanted = stage(some.join(classes, "class").select("class", "doc"), "jaccard-wanted")
         # Rows with one doc_id may hold different texts, of which only the class's own counts.
         near = _wanted_rows(rows, wanted)
         held = near.join(wanted, near["doc_id"] == wanted["doc"]).select("class", "text")
@@ -415,11 +433,113 @@ def jaccard_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     rest = mixed.join(classes.select("class", "buckets"), "class").select("region", "class", "size", "place", "group", "buckets")
     if not mixed.isEmpty():
         groups = _merged(groups, _checked(meeting_pairs(rest, None), known, texts, percent, "jaccard-last"))
+    return _Walk(members.select("doc_id", "n_shingles", "class"), classes.select("class", "doc", "n_shingles"), groups, texts)
+
+
+def jaccard_classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row of (doc_id, text)."""
+    walk = _grouped(docs, percent)
+    linkable, others = walk.split()
     # Written out, one row per class, so that adaptive execution may split the join on a class of many copies.
-    final = groups.withColumnRenamed("group", "component_id")
-    linkable = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
-    placed = members.filter(linkable).join(final, "class").select("doc_id", "n_shingles", "component_id")
-    return placed.unionByName(members.filter(~linkable).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    final = walk.groups.withColumnRenamed("group", "component_id")
+    placed = linkable.join(final, "class").select("doc_id", "n_shingles", "component_id")
+    return placed.unionByName(others.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+
+
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The whole set of each text (class, text), as bytes."""
+    for batch in batches:
+        for a, b, texts in shingles.pieces(batch.column(1)):
+            sets = shingles.sets_of(texts)
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(
+                [sets.keys[p:q].astype("<u8").tobytes() for p, q in zip(sets.bounds[:-1], sets.bounds[1:])], pa.binary())], ["class", "keys"])
+
+
+def _shared(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many shingles each set of `left` shares with each of `right` (indices)."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, column = np.unique(np.concatenate(sets), return_inverse=True)
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out = np.zeros((len(left), len(right)), np.int64)
+    for a in range(0, int(column[-1]) + 1, COLUMNS):
+        p, q = np.searchsorted(column, (a, a + COLUMNS))
+        flags = np.zeros((len(sets), COLUMNS), np.float32)
+        flags[owner[p:q], column[p:q] - a] = 1
+        out += (flags[left] @ flags[right].T).astype(np.int64)  # at most COLUMNS, so exact
+    return out
+
+
+def _within(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """The links between two blocks (or inside one); rows come sorted by (group, left, right)."""
+    now, held = None, []
+
+    def close() -> Iterator[pa.RecordBatch]:
+        side, own = np.array([h[0] for h in held]), np.array([h[1] for h in held], np.int64)
+        sets = [np.frombuffer(h[2], "<u8") for h in held]
+        size = np.array([len(x) for x in sets])
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        inside = now[1] == now[2]
+        if inside:
+            right = left
+        shared = _shared(sets, left, right)
+        near = 100 * shared >= percent * (size[left][:, None] + size[right] - shared)
+        if inside:
+            near &= np.triu(np.ones(near.shape, bool), 1)
+        x, y = np.nonzero(near)
+        one, two = own[left[x]], own[right[y]]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two)), pa.array(shared[x, y])], ["a", "b", "n_shared"])
+
+    for batch in batches:
+        for group, left, right, *row in zip(*(c.to_pylist() for c in batch.columns)):
+            if held and (group, left, right) != now:
+                yield from close()
+                held = []
+            now = (group, left, right)
+            held.append(row)
+    if held:
+        yield from close()
+
+
+def jaccard_links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """(links, members): every link between different texts, and what each row of (doc_id, text) belongs to.
+
+    Links are (a, b, n_shared, doc_a, doc_b): class keys with a < b, the shingles both share, and the least doc_id of each
+    class. Members are (doc_id, n_shingles, class, component_id, n_links), n_links being the links of the class. Rows of one
+    class have equal sets, and are linked with one another without a row of their own.
+    """
+    walk = _grouped(docs, percent)
+    shards = shuffle_partitions(docs.sparkSession)
+    ascending = Window.partitionBy("group").orderBy("n_shingles", "class").rowsBetween(Window.unboundedPreceding, -1)
+    weight = F.greatest("n_shingles", F.lit(BLOCK_SHINGLES // BLOCK_SETS))
+    placed = walk.groups.join(walk.classes, "class").withColumn("n", F.count("*").over(Window.partitionBy("group"))).filter("n > 1")
+    placed = stage(placed.select("group", "class", "n_shingles", F.floor(
+        F.coalesce(F.sum(weight).over(ascending), F.lit(0)) / BLOCK_SHINGLES).alias("block")), "jaccard-blocks")
+    blocks = placed.groupBy("group", "block").agg(F.min("n_shingles").alias("least"), F.max("n_shingles").alias("most"))
+    side = lambda n: blocks.select("group", F.col("block").alias(n), F.col("least").alias(f"least_{n}"), F.col("most").alias(f"most_{n}"))
+    # Blocks ascend in size, so the largest set of the left and the smallest of the right one are the closest.
+    units = side("left").join(side("right"), "group").filter(
+        (F.col("left") <= F.col("right")) & (100 * F.col("most_left") >= percent * F.col("least_right"))).select("group", "left", "right")
+    sets = stage(walk.texts(placed.select("class")).mapInArrow(_keys, "class bigint, keys binary"), "jaccard-whole-sets")
+    whole = placed.join(sets, "class").select("group", "block", "class", "keys")
+
+    def meet(own: str, number: int, where) -> DataFrame:
+        return whole.join(units.filter(where).withColumn("block", F.col(own)), ["group", "block"]).select(
+            "group", "left", "right", F.lit(number).alias("side"), "class", "keys")
+
+    both = meet("left", 0, F.lit(True)).unionByName(meet("right", 1, F.col("left") < F.col("right")))
+    met = both.repartition(shards, "group", "left", "right").sortWithinPartitions("group", "left", "right")
+    links = stage(met.mapInArrow(lambda x: _within(x, percent), "a bigint, b bigint, n_shared bigint"), "jaccard-all-links")
+    doc = lambda n: walk.classes.select(F.col("class").alias(n), F.col("doc").alias(f"doc_{n}"))
+    counts = links.select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").agg(F.count("*").alias("n_links"))
+    linkable, others = walk.split()
+    final = walk.groups.withColumnRenamed("group", "component_id").join(counts, "class", "left").withColumn(
+        "n_links", F.coalesce("n_links", F.lit(0)))
+    columns = ["doc_id", "n_shingles", "class", "component_id", "n_links"]
+    members = linkable.join(final, "class").select(columns).unionByName(others.select(
+        "doc_id", "n_shingles", F.lit(None).cast("bigint").alias("class"), F.col("doc_id").alias("component_id"), F.lit(0).cast("bigint").alias("n_links")))
+    return links.join(doc("a"), "a").join(doc("b"), "b").select("a", "b", "n_shared", "doc_a", "doc_b"), members
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
