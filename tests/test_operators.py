@@ -416,3 +416,11 @@ def test_a_blocked_cutover_is_logged(spark, tmp_path):
         reconcile.record_run(lined.summary(), "retail", "7", log)
     row = log.read().first()
     assert row["passed"] is False and json.loads(row["report"])["value_mismatches"] == 1
+
+
+def test_labels_of_keyless_copies_name_what_detections_can(spark):
+    df = spark.createDataFrame([("1", "c1", "t1"), ("1", "c1", "t2"), ("2", "c2", "t1")], "id string, who string, at string")
+    made = inject.keyless_copies(df, ["id"], F.col("id") == "1", label=["who", "at"])
+    assert sorted(made.labels.collect()) == [("null_key", "c1|t1"), ("null_key", "c1|t2")]
+    found = made.rows.filter("id = ''").select(F.lit("null_key").alias("defect"), F.concat_ws("|", "who", "at").alias("key"))
+    assert inject.recall(made.labels, found).first()["recall"] == 1.0

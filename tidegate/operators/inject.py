@@ -41,10 +41,13 @@ def overwrite_value(df: DataFrame, defect: str, keys: list[str], where: Column,
     return Injected(df.withColumn(column, wrong), _label(df, where, defect, keys))
 
 
-def keyless_copies(df: DataFrame, keys: list[str], where: Column) -> Injected:
-    """null_key: copies of the touched rows that arrive without their first key column."""
+def keyless_copies(df: DataFrame, keys: list[str], where: Column, label: list[str] | None = None) -> Injected:
+    """null_key: copies of the touched rows that arrive without their first key column.
+
+    `label` names the columns of the label's key, where detections can only name others than the lost key.
+    """
     copies = df.filter(where).withColumn(keys[0], F.lit("").cast(df.schema[keys[0]].dataType))
-    return Injected(df.unionByName(copies), _label(df, where, "null_key", keys))
+    return Injected(df.unionByName(copies), _label(df, where, "null_key", label or keys))
 
 
 def conflicting_copies(df: DataFrame, keys: list[str], where: Column, column: str, value) -> Injected:

@@ -156,10 +156,12 @@ def detection_recall(spark, sf_dir):
         lines, "bad_unit_price", ["order_id", "line_no"], F.col("line_no").cast("bigint") % 131 == 0, "unit_price", "N/A")
     bad_status = inject.overwrite_value(
         orders, "invalid_status", ["order_id"], number % 137 == 0, "status", "refunded")
-    keyless = inject.keyless_copies(orders.filter("order_id <> ''"), ["order_id"], number % 139 == 0)
+    keyless = inject.keyless_copies(orders.filter("order_id <> ''"), ["order_id"], number % 139 == 0,
+                                    label=["customer_id", "updated_at"])
+    # A row that is rejected for another reason cannot conflict, so conflicts go into every copy of the keys that pass.
+    valid = contracts.valid_rows(ORDERS, orders).select(F.col("order_id").cast("string").alias("order_id")).distinct()
     doubled = inject.conflicting_copies(
-        orders.filter("order_id <> ''").dropDuplicates(["order_id"]), ["order_id"], number % 149 == 0,
-        "customer_id", "-1")
+        orders.join(valid, "order_id", "left_semi"), ["order_id"], number % 149 == 0, "customer_id", "-1")
 
     def rejected(spec, rows, reason, defect, keys):
         checked = contracts.validate(spec, rows).filter(F.exists(
@@ -173,17 +175,12 @@ def detection_recall(spark, sf_dir):
 
     conflicts = ingest.cursor_groups(ORDERS, contracts.validate(ORDERS, doubled.rows)).filter("_conflict").select(
         F.lit("duplicate_key").alias("defect"), F.col("order_id").cast("string").alias("key"))
-    keyless_labels = orders.filter("order_id <> ''").filter(number % 139 == 0).select(
-        F.lit("null_key").alias("defect"), F.concat_ws("|", "customer_id", "updated_at").alias("key")).distinct()
-    valid_orders = contracts.valid_rows(ORDERS, orders).select(F.col("order_id").cast("string").alias("key"))
     detections = (
         rejected(ORDER_LINES, bad_price.rows, contracts.CAST_FAILED, "bad_unit_price", ["order_id", "line_no"])
         .unionByName(rejected(ORDERS, bad_status.rows, contracts.INVALID_ENUM, "invalid_status", ["order_id"]))
         .unionByName(rejected(ORDERS, keyless.rows, contracts.NULL_PRIMARY_KEY, "null_key", ["order_id"]))
         .unionByName(conflicts))
-    # A row that was rejected for another reason cannot conflict; its label is not counted.
-    conflict_labels = doubled.labels.join(valid_orders.distinct(), "key", "left_semi").select("defect", "key")
-    labels = bad_price.labels.unionByName(bad_status.labels).unionByName(keyless_labels).unionByName(conflict_labels)
+    labels = bad_price.labels.unionByName(bad_status.labels).unionByName(keyless.labels).unionByName(doubled.labels)
     return inject.recall(labels, detections)
 
 
