@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from tidegate.llm import chat_tree, fingerprints, host_runs, lm, merge_dropout, metric_join, mixing, near_vectors, quality, token_ids
+from tidegate.llm import chat_tree, fingerprints, host_runs, lm, merge_dropout, metric_join, mixing, near_vectors, quality, token_alignment, token_ids
 from tidegate.llm.common import table, tokenizer_path
 from tidegate.llm.oracles import ORACLES
 
@@ -62,8 +62,13 @@ def op10_pair_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_all(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_tokens(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                        tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_ids, op3_host_runs, op4_fingerprints, op5_temperature_mixing,
                                    op6_near_vectors, op7_chat_tree, op8_merge_dropout, op9_metric_join,
-                                   op10_pair_model)}
+                                   op10_pair_model, op13_token_alignment)}
 QUERIES["pipeline"] = corpus_pipeline.run
 __all__ = ["ORACLES", "QUERIES"]
