@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from tidegate.llm import chat_tree, fingerprints, host_runs, lm, merge_dropout, metric_join, mixing, near_vectors, quality, token_alignment, token_ids, whitening
+from tidegate.llm import chat_tree, fingerprints, host_runs, license_scan, lm, merge_dropout, metric_join, mixing, near_vectors, quality, token_alignment, token_ids, whitening
 from tidegate.llm.common import table, tokenizer_path
 from tidegate.llm.oracles import ORACLES
 
@@ -66,6 +66,10 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
 
 
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.align_tokens(table(spark, sf_dir, "documents", "doc_id", "text"),
                                         tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
@@ -73,6 +77,7 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_token_ids, op3_host_runs, op4_fingerprints, op5_temperature_mixing,
                                    op6_near_vectors, op7_chat_tree, op8_merge_dropout, op9_metric_join,
-                                   op10_pair_model, op11_embedding_whitening, op13_token_alignment)}
+                                   op10_pair_model, op11_embedding_whitening, op12_license_scan,
+                                   op13_token_alignment)}
 QUERIES["pipeline"] = corpus_pipeline.run
 __all__ = ["ORACLES", "QUERIES"]
