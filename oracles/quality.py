@@ -55,6 +55,10 @@ SELECT ops_event_id, _row_id, CASE WHEN dup_rank = 1 THEN 'kept' ELSE 'duplicate
 SELECT c_custkey, c_name,
        CAST(CAST(c_acctbal AS DECIMAL(18,2)) + CASE WHEN c_mktsegment = 'BUILDING' THEN 3 ELSE 2 END AS DOUBLE) AS c_acctbal,
        CAST(CASE WHEN c_mktsegment = 'BUILDING' THEN 3 ELSE 2 END AS BIGINT) AS seq FROM customer""",
+    "scd1_orders_stream": """
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'F' THEN 'shipped' WHEN o_orderkey % 3 = 0 THEN 'paid' ELSE 'placed' END AS status,
+       o_orderdate, o_orderdate + CASE WHEN o_orderstatus = 'F' THEN INTERVAL 3 DAY WHEN o_orderkey % 3 = 0 THEN INTERVAL 2 DAY
+                                       ELSE INTERVAL 1 DAY END AS changed_at FROM orders""",
     "dq_leads": with_ctes(CAMPAIGNS, LEADS) + "SELECT lead_id, campaign_id, stage, _row_id, reasons FROM leads_coded",
     "dq_web_events": with_ctes(CAMPAIGNS, WEB_EVENTS) + """
 SELECT event_id, campaign_id, session_duration_seconds, page_views, reasons FROM web_coded""",

@@ -1,12 +1,15 @@
 """Contracts and incremental ingestion on small literal extracts."""
 
+import datetime as dt
 import json
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import types as T
 
 from tidegate.operators import contracts, ingest
 from tidegate.operators.ingest import IngestStore
+from tidegate.sources.partitioned import Landing, PartitionedTarget
 from tidegate.sources.specs import SpecError, load_specs, parse_spec
 
 RAW = {
@@ -30,7 +33,7 @@ def extract(spark, *rows, columns=("id", "price", "updated_at", "is_deleted")):
 
 @pytest.fixture
 def store(spark, tmp_path):
-    return IngestStore(spark, str(tmp_path / "store"), buckets=3)
+    return IngestStore(spark, str(tmp_path / "store"))
 
 
 def prices(store, s):
@@ -140,14 +143,73 @@ def test_versions_of_one_key_in_one_batch(spark, store):
     assert (again["unchanged"], again["rows_new"], again["watermark_after"]) == (3, 0, run["watermark_after"])
 
 
-def test_a_lost_audit_append_is_repaired(spark, store):
+def test_a_run_that_died_before_its_audit_record_is_done_again(spark, store, monkeypatch):
+    s, rows = spec(), (("1", "1", "2026-01-01"), ("2", "2", "2026-02-01"))
+
+    def die(record):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken, pytest.raises(RuntimeError):
+        broken.setattr(store, "save_audit", die)
+        ingest.run_ingestion(s, extract(spark, *rows), store)
+    assert store.watermark(s) is None and len(prices(store, s)) == 2
+    run = ingest.run_ingestion(s, extract(spark, *rows), store)
+    assert (run["run_seq"], run["unchanged"], run["inserted"]) == (1, 2, 0)
+    assert prices(store, s) == {1: Decimal("1.00"), 2: Decimal("2.00")} and store.watermark(s).key == ("2",)
+
+
+def test_one_changed_row_rewrites_one_folder(spark, store, tmp_path):
     s = spec()
-    ingest.run_ingestion(s, extract(spark, ("1", "1", "2026-01-01")), store)
-    record = dict(store.table(s).notes()["audit"], run_id="t.items:lost:9")
-    table = store.table(s)
-    table.commit(table.read(), None, **{**table.notes(), "audit": record})
-    store.repair(s)
-    assert "t.items~lost~9" in store.audit.runs()
+    ingest.run_ingestion(s, extract(spark, *[(str(i), "1", f"2026-{i:02d}-01 00:00:00") for i in range(1, 10)]), store)
+    files = lambda: {str(f) for f in (tmp_path / "store" / "t.items").rglob("*.parquet")}
+    before = files()
+    run = ingest.run_ingestion(s, extract(spark, ("3", "5", "2026-11-01 00:00:00")), store)
+    assert run["updated"] == 1 and prices(store, s)[3] == Decimal("5.00") and len(prices(store, s)) == 9
+    # The row stays in the range of its first version; all other folders keep their files.
+    assert {f.split("_range=")[1][:7] for f in before ^ files()} == {"2026-03"}
+
+
+def test_a_window_opens_only_its_folders(spark, store, tmp_path):
+    s = spec(lookback_hours=24)
+    landing = Landing(spark, str(tmp_path / "landing"), "updated_at", width="yyyy-MM-dd")
+    first = [("1", "1", "2026-01-01 10:00:00"), ("2", "1", "2026-01-05 10:00:00")]
+    ingest.run_ingestion(s, landing.deliver(extract(spark, *first)), store)
+    landing.deliver(extract(spark, *first, ("3", "x", "no time"), ("4", "2", "2026-01-04T09:00:00"), ("5", "2", "2026-01-06"),
+                            ("6", "2", "2026-01-04 10:00:00")))
+    # A file that cannot be read, in a folder before the window.
+    for file in (tmp_path / "landing" / "_range=2026-01-01").glob("*.parquet"):
+        file.write_bytes(b"PAR1 broken PAR1")
+    window = landing.since("2026-01-04 10:00:00")
+    assert "PartitionFilters: [isnotnull(_range" in window._jdf.queryExecution().executedPlan().toString()
+    assert {r["id"] for r in ingest.window_rows(s, window, store.watermark(s)).collect()} == {2, 3, 5, 6}
+    assert landing.columns == ["id", "price", "updated_at", "is_deleted"]
+
+
+def test_landing_without_a_cursor_column(spark, store, tmp_path):
+    landing = Landing(spark, str(tmp_path / "landing"), "updated_at").deliver(extract(spark, ("1", "1"), columns=("id", "price")))
+    run = ingest.run_ingestion(spec(), landing, store)
+    assert (run["failure_code"], run["rows_in_source"]) == ("schema_required_column_missing", 1)
+    with pytest.raises(ValueError):
+        IngestStore(spark, str(tmp_path / "other"), width="week")
+
+
+def test_ranges_of_odd_rows(spark, tmp_path):
+    schema = T.StructType.fromDDL("k int, d date, v string")
+    table = PartitionedTarget(spark, str(tmp_path / "t"), schema, ("k",), "coalesce(date_format(d, 'yyyy-MM'), 'none')")
+    rows = lambda *r: spark.createDataFrame(list(r), "k int, d date, v string, _home string")
+    assert table.put(rows()) == []
+    assert table.put(rows((1, None, "a", None), (None, dt.date(2026, 1, 5), "b", None))) == ["2026-01", "none"]
+    stored = table.stored(rows((None, None, None, None), (1, None, None, None)), "v")
+    assert {tuple(r) for r in stored.collect()} == {(1, "a", "none"), (None, "b", "2026-01")}
+    assert table.put(rows((None, dt.date(2027, 1, 1), "c", "2026-01"))) == ["2026-01"]
+    assert {tuple(r) for r in table.rows().collect()} == {(1, None, "a"), (None, dt.date(2027, 1, 1), "c")}
+
+
+def test_rejected_rows_carry_the_time_of_their_append(spark, store):
+    ingest.run_ingestion(spec(), extract(spark, ("1", "1", "2026-01-01"), ("2", "x", "2026-01-01")), store)
+    row = store.quarantine.read("t.items:run:1").first()
+    assert row["saved_ts"] is not None and row["run_id"] == "t.items:run:1"
+    assert store.quarantine.read("t.items:run:2").count() == 0 and store.audit.read().first()["saved_ts"] is not None
 
 
 def test_an_empty_extract_is_a_success(spark, store):

@@ -11,7 +11,7 @@ from tidegate.functions import nested
 from tidegate.operators import evidence, inject, monitor, ordering, policy, reconcile, risk, scripts, skew
 from tidegate.plans import gaming
 from tidegate.sources.tables import read_event_log
-from tidegate.sources.versions import VersionedTable
+from tidegate.sources.partitioned import PartitionedTarget
 from tidegate.streaming import changes, land
 
 
@@ -64,15 +64,14 @@ def test_a_sliced_join_equals_the_join(spark, values, how):
 
 # -- streams -----------------------------------------------------------------------
 
-def test_changes_apply_in_sequence_and_batches_apply_once(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"), ("k",), buckets=3)
+def test_changes_apply_in_sequence_and_a_second_time_change_nothing(spark, tmp_path):
     rows = lambda *r: spark.createDataFrame(list(r), "k int, seq int, v string")
-    changes.apply_batch(table, rows((1, 2, "a"), (1, 1, "old"), (2, 1, "b")), ["k"], ["seq"], "s", 0)
-    changes.apply_batch(table, rows((1, 1, "late"), (2, 5, "c"), (3, 1, "d")), ["k"], ["seq"], "s", 1)
-    version = table.manifest()["version"]
-    changes.apply_batch(table, rows((1, 9, "replayed")), ["k"], ["seq"], "s", 1)
-    assert table.manifest()["version"] == version
-    assert {tuple(r) for r in table.read().collect()} == {(1, 2, "a"), (2, 5, "c"), (3, 1, "d")}
+    table = PartitionedTarget(spark, str(tmp_path / "t"), rows((1, 1, "")).schema, ("k",), "cast(k % 3 AS string)")
+    changes.apply_batch(table, rows((1, 2, "a"), (1, 1, "old"), (2, 1, "b")), ["seq"])
+    batch = rows((1, 1, "late"), (2, 5, "c"), (3, 1, "d"))
+    assert changes.apply_batch(table, batch, ["seq"]) == ["0", "2"]
+    assert changes.apply_batch(table, batch, ["seq"]) == []
+    assert {tuple(r) for r in table.rows().collect()} == {(1, 2, "a"), (2, 5, "c"), (3, 1, "d")}
 
 
 def test_landing_twice_lands_each_file_once(spark, tmp_path):
@@ -407,7 +406,7 @@ def test_severe_signals_are_never_dismissed(spark):
 
 
 def test_a_blocked_cutover_is_logged(spark, tmp_path):
-    from tidegate.sources.versions import AppendLog
+    from tidegate.sources.partitioned import AppendLog
 
     log = AppendLog(spark, str(tmp_path / "runs"), reconcile.RUN_DDL)
     base = report(spark, ("a", "1.00"))

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tidegate.functions.codes import codes_where
 from tidegate.operators import evidence, expectations, gate, quarantine
-from tidegate.sources.versions import AppendLog, VersionedTable
+from tidegate.sources.partitioned import AppendLog
+from tidegate.sources.versions import VersionedTable
 
 LEADS = "lead_id bigint, campaign_id bigint, stage string, email_domain string, _row_id bigint"
 
@@ -168,16 +169,10 @@ def test_codes_ignore_unknown_conditions(spark):
     assert row["c"] == ["b"]
 
 
-def test_versioned_table_rewrites_touched_buckets_only(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "t"), ("id",), buckets=4)
-    table.commit(spark.range(100))
-    before = table.manifest()["parts"]
-    change = spark.range(1)
-    touched = table.touched(change)
-    table.commit(table.read(touched).filter("id <> 0"), touched)
-    after = table.manifest()["parts"]
-    assert [b for b in before if before[b] != after[b]] == [str(touched[0])]
-    assert table.read().count() == 99
+def test_a_published_version_is_whole(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    assert table.read() is None and table.commit(spark.range(100), by="a") == 1
+    assert table.commit(spark.range(5)) == 2 and table.read().count() == 5 and table.manifest()["notes"] == {}
 
 
 def test_staged_tables_lie_in_the_shared_folder(spark):

@@ -1,7 +1,7 @@
 """Incremental ingestion of one extract: check, window, quarantine, merge, audit.
 
-All rows stay on the executors. The driver sees the watermark, one line of counts and the
-reason histogram (at most columns x codes), and decides whether the run commits.
+All rows stay on the executors. The driver sees the watermark, one line of counts, the reason
+histogram (at most columns x codes) and the ranges a run writes, and decides whether the run commits.
 """
 
 from __future__ import annotations
@@ -12,13 +12,13 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidegate.functions import casts
+from tidegate.functions.keys import same_keys
 from tidegate.operators import contracts
 from tidegate.operators.contracts import PROBLEMS, RAW
-from tidegate.operators.merge import replace_rows, same_keys
 from tidegate.operators.skew import sliced_join
 from tidegate.session import stage
+from tidegate.sources.partitioned import DAY, HOME, MONTH, NO_RANGE, YEAR, AppendLog, Landing, PartitionedTarget
 from tidegate.sources.specs import DatasetSpec
-from tidegate.sources.versions import AppendLog, VersionedTable
 
 # Run states and failure codes.
 SUCCEEDED = "succeeded"
@@ -32,7 +32,7 @@ AUDIT_DDL = (
     " rows_in_source bigint, rows_in_window bigint, rows_new bigint, inserted bigint, updated bigint,"
     " unchanged bigint, deleted bigint, quarantined bigint, quarantine_reasons map<string,bigint>,"
     " schema_diff struct<added:array<string>,removed:array<string>,removed_required:array<string>>,"
-    " watermark_before string, watermark_after string, run_seq bigint")
+    " watermark_before string, watermark_after string, run_seq bigint, mark array<string>, columns array<string>")
 QUARANTINE_DDL = f"run_id string, dataset_id string, raw string, problems {contracts.PROBLEMS_TYPE}"
 
 
@@ -123,8 +123,7 @@ def reason_histogram(spec: DatasetSpec, checked: DataFrame, groups: DataFrame) -
     return coded.unionByName(copies).groupBy("reason").agg(F.sum("n").alias("rows"))
 
 
-def merge_plan(spec: DatasetSpec, accepted: DataFrame, current: DataFrame | None,
-               mark: Watermark | None) -> DataFrame:
+def merge_plan(spec: DatasetSpec, accepted: DataFrame, target: PartitionedTarget, mark: Watermark | None) -> DataFrame:
     """One row per delivered key: its newest version, and what applying all of its versions
     in cursor order does, without applying them.
 
@@ -133,14 +132,9 @@ def merge_plan(spec: DatasetSpec, accepted: DataFrame, current: DataFrame | None
     version replaces the stored row exactly when some version changed it.
     """
     keys, cursor = list(spec.primary_key), spec.cursor_column
-    if current is None:
-        versions = accepted.withColumn("_stored", F.lit(None).cast("timestamp_ntz"))
-    else:
-        # A key may bring any number of versions, and they are grouped by key right after.
-        stored = current.select(*keys, F.col(cursor).alias("_stored"))
-        asked = accepted.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
-        stored = stored.join(asked, same_keys(stored, asked, [(k, f"_k{i}") for i, k in enumerate(keys)]), "left_semi")
-        versions = sliced_join(accepted, stored, keys, [cursor])
+    # A key may bring any number of versions, and they are grouped by key right after.
+    stored = target.stored(accepted, cursor).withColumnRenamed(cursor, "_stored")
+    versions = sliced_join(accepted, stored, keys, [cursor])
     changed = F.col("_stored").isNull() | (F.col(cursor) > F.col("_stored"))
     removed = F.lit(False)
     if spec.deletion_strategy == "tombstone" and "is_deleted" in spec.columns:
@@ -151,28 +145,27 @@ def merge_plan(spec: DatasetSpec, accepted: DataFrame, current: DataFrame | None
         F.count_if(changed).alias("_changed"), F.count_if(~changed).alias("_unchanged"),
         F.count_if(changed & removed).alias("_deleted"),
         F.min(F.when(changed, F.struct(F.col(cursor).alias("at"), removed.alias("gone")))).alias("_first"),
-        F.count("_stored").alias("_known"), F.count_if(fresh).alias("_fresh"))
+        F.count("_stored").alias("_known"), F.count_if(fresh).alias("_fresh"), F.max(HOME).alias(HOME))
 
 
 def plan_winners(spec: DatasetSpec, plan: DataFrame) -> DataFrame:
-    """The rows the target takes over."""
+    """The rows the target takes over, with the range of the row they replace."""
     return plan.filter("_changed > 0").select(
-        *[F.col(c) if c in spec.primary_key else F.col(f"_newest.{c}").alias(c) for c in spec.columns])
+        *[F.col(c) if c in spec.primary_key else F.col(f"_newest.{c}").alias(c) for c in spec.columns], HOME)
 
 
-def plan_totals(spec: DatasetSpec, plan: DataFrame, bucket: Column) -> DataFrame:
-    """One row: the counts of a run, its largest cursor, and the buckets it changes."""
+def plan_totals(spec: DatasetSpec, plan: DataFrame) -> DataFrame:
+    """One row: the counts of a run and its largest cursor."""
     def total(name: str) -> Column:
         return F.coalesce(F.sum(f"_{name}"), F.lit(0)).alias(name)
 
     inserted = F.count_if((F.col("_known") == 0) & ~F.col("_first.gone")).alias("inserted")
     top = F.max(F.struct(F.col(f"_newest.{spec.cursor_column}").alias(spec.cursor_column), *spec.primary_key))
     summed = plan.agg(
-        total("changed"), total("unchanged"), total("deleted"), total("fresh"), inserted, top.alias("top"),
-        F.collect_set(F.when(F.col("_changed") > 0, bucket)).alias("buckets"))
+        total("changed"), total("unchanged"), total("deleted"), total("fresh"), inserted, top.alias("top"))
     return summed.select(
         F.col("fresh").alias("rows_new"), "inserted", (F.col("changed") - F.col("deleted") - F.col("inserted"))
-        .alias("updated"), "unchanged", "deleted", "buckets",
+        .alias("updated"), "unchanged", "deleted",
         F.array(*[F.col(f"top.{c}").cast("string") for c in (spec.cursor_column, *spec.primary_key)]).alias("top"))
 
 
@@ -188,55 +181,57 @@ def live_rows(target: DataFrame) -> DataFrame:
     return target.filter(~F.coalesce(F.col("is_deleted"), F.lit(False)))
 
 
+def business_range(spec: DatasetSpec, width: str) -> str:
+    """The range of a row by its first date column, or else by its cursor, as SQL."""
+    by = next((c.name for c in spec.columns.values() if c.type == "date"), spec.cursor_column)
+    return f"if(year(`{by}`) BETWEEN 0 AND 9999, date_format(`{by}`, '{width}'), '{NO_RANGE}')"
+
+
 class IngestStore:
-    """Targets, audit records and quarantined rows of a group of datasets, on shared storage."""
+    """Targets, audit records and quarantined rows of a group of datasets, on shared storage.
+
+    The newest audit record of a dataset holds its watermark. It is written after the rows: a run that dies in between is done
+    again over the same window and finds its rows stored, so the target is the same; its record then counts them as unchanged.
+    """
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 8):
-        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
+    def __init__(self, spark: SparkSession, root: str, width: str = MONTH):
+        if width not in (YEAR, MONTH, DAY):
+            raise ValueError(f"no range is {width} wide")
+        self.spark, self.root, self.width = spark, root.rstrip("/"), width
         self.audit = AppendLog(spark, f"{self.root}/_audit", AUDIT_DDL)
         self.quarantine = AppendLog(spark, f"{self.root}/_quarantine", QUARANTINE_DDL)
 
-    def table(self, spec: DatasetSpec) -> VersionedTable:
-        return VersionedTable(self.spark, f"{self.root}/{spec.dataset_id}", spec.primary_key, self.buckets)
+    def table(self, spec: DatasetSpec) -> PartitionedTarget:
+        return PartitionedTarget(self.spark, f"{self.root}/{spec.dataset_id}", spec.schema(), spec.primary_key,
+                                 business_range(spec, self.width))
 
     def target(self, spec: DatasetSpec) -> DataFrame:
-        rows = self.table(spec).read()
-        return self.spark.createDataFrame([], spec.schema()) if rows is None else rows
+        return self.table(spec).rows()
+
+    def last(self, spec: DatasetSpec) -> dict:
+        """Number of runs of a dataset, and watermark and columns of the newest."""
+        runs = self.audit.read().filter(F.col("dataset_id") == spec.dataset_id)
+        found = runs.agg(F.count("*").alias("runs"), F.max_by(F.struct("mark", "columns"), "run_seq").alias("newest")).first()
+        return {"runs": found["runs"], **(found["newest"].asDict() if found["newest"] else {"mark": None, "columns": None})}
 
     def watermark(self, spec: DatasetSpec) -> Watermark | None:
-        saved = self.table(spec).notes().get("watermark")
+        saved = self.last(spec)["mark"]
         return Watermark(saved[0], tuple(saved[1:])) if saved else None
 
-    def runs(self, spec: DatasetSpec) -> int:
-        return len([r for r in self.audit.runs() if r.startswith(f"{spec.dataset_id}~")])
-
     def save_audit(self, record: dict) -> None:
-        row = self.spark.createDataFrame([record], AUDIT_DDL)
-        self.audit.append(row, _folder(record["run_id"]))
-
-    def repair(self, spec: DatasetSpec) -> None:
-        """Write the audit record of a run that committed and died before its audit append."""
-        record = self.table(spec).notes().get("audit")
-        if record and _folder(record["run_id"]) not in self.audit.runs():
-            self.save_audit(record)
-
-
-def _folder(run_id: str) -> str:
-    return run_id.replace(":", "~")
+        self.audit.append(self.spark.createDataFrame([record], AUDIT_DDL), record["run_id"])
 
 
-def run_ingestion(spec: DatasetSpec, extract: DataFrame, store: IngestStore, label: str = "run") -> dict:
+def run_ingestion(spec: DatasetSpec, extract: DataFrame | Landing, store: IngestStore, label: str = "run") -> dict:
     """Ingest one extract and return its audit record; bad data is a failed run, not an error.
 
-    Nothing a reader can see changes before the target's manifest is written, and that one
-    write carries the rows, the watermark and the audit record together.
+    Of a landing only the folders of the read window are opened.
     """
-    store.repair(spec)
-    table = store.table(spec)
-    notes, mark = table.notes(), store.watermark(spec)
-    seq = store.runs(spec) + 1
+    table, last = store.table(spec), store.last(spec)
+    mark = Watermark(last["mark"][0], tuple(last["mark"][1:])) if last["mark"] else None
+    seq = last["runs"] + 1
     source_rows = extract.count()
-    observed = sorted(extract.columns) if source_rows else notes.get("columns", sorted(spec.columns))
+    observed = sorted(extract.columns) if source_rows else last["columns"] or sorted(spec.columns)
     diff = contracts.schema_diff(spec, observed)
     before = mark.text() if mark else None
     record = {
@@ -245,21 +240,20 @@ def run_ingestion(spec: DatasetSpec, extract: DataFrame, store: IngestStore, lab
         "rows_in_source": source_rows, "rows_in_window": 0, "rows_new": 0, "inserted": 0, "updated": 0,
         "unchanged": 0, "deleted": 0, "quarantined": 0, "quarantine_reasons": {},
         "schema_diff": {"added": diff.added, "removed": diff.removed, "removed_required": diff.removed_required},
-        "watermark_before": before, "watermark_after": before, "run_seq": seq,
+        "watermark_before": before, "watermark_after": before, "run_seq": seq, "mark": last["mark"], "columns": last["columns"],
     }
     if diff.removed_required:
         record.update(status=FAILED, failure_code=SCHEMA_REQUIRED_COLUMN_MISSING)
         store.save_audit(record)
         return record
 
-    checked = stage(window_rows(spec, extract, mark), "checked")
+    delivered = extract.since(mark.floor(spec.lookback_hours) if mark else None) if isinstance(extract, Landing) else extract
+    checked = stage(window_rows(spec, delivered, mark), "checked")
     groups = stage(cursor_groups(spec, checked), "groups")
     reasons = {r["reason"]: r["rows"] for r in reason_histogram(spec, checked, groups).collect()}
     rejected = checked.agg(F.count_if(F.size(PROBLEMS) > 0).alias("n")).first()["n"]
     ok = ~F.col("_conflict")
-    sizes = groups.agg(F.count_if(ok).alias("ok"), F.collect_set(F.when(ok, table.bucket_of())).alias("buckets"),
-                       F.coalesce(F.sum(F.when(~ok, F.col("_copies"))), F.lit(0)).alias("copies"))
-    line = sizes.first()
+    line = groups.agg(F.count_if(ok).alias("ok"), F.coalesce(F.sum(F.when(~ok, F.col("_copies"))), F.lit(0)).alias("copies")).first()
     quarantined = rejected + line["copies"]
     window = line["ok"] + quarantined
     record.update(rows_in_window=window, quarantined=quarantined, quarantine_reasons=dict(sorted(reasons.items())))
@@ -270,17 +264,15 @@ def run_ingestion(spec: DatasetSpec, extract: DataFrame, store: IngestStore, lab
         store.save_audit(record)
         return record
 
-    plan = stage(merge_plan(spec, accepted_rows(spec, groups), table.read(line["buckets"]), mark), "plan")
-    totals = plan_totals(spec, plan, table.bucket_of()).first().asDict()
-    top, touched = totals.pop("top"), totals.pop("buckets")
+    plan = stage(merge_plan(spec, accepted_rows(spec, groups), table, mark), "plan")
+    totals = plan_totals(spec, plan).first().asDict()
+    top = totals.pop("top")
     after = _later(spec, mark, Watermark(top[0], tuple(top[1:])) if top[0] is not None else None)
-    record.update(totals, watermark_after=after.text() if after else None,
-                  status=SUCCEEDED_WITH_QUARANTINE if quarantined else SUCCEEDED)
+    record.update(totals, watermark_after=after.text() if after else None, mark=[after.cursor, *after.key] if after else None,
+                  columns=observed, status=SUCCEEDED_WITH_QUARANTINE if quarantined else SUCCEEDED)
     if quarantined:
         _save_quarantine(store, record, rows)
-    merged = replace_rows(table.read(touched), plan_winners(spec, plan), list(spec.primary_key))
-    table.commit(merged, touched, watermark=[after.cursor, *after.key] if after else None,
-                 columns=observed, audit=record)
+    table.put(plan_winners(spec, plan))
     store.save_audit(record)
     return record
 
@@ -300,10 +292,10 @@ def _later(spec: DatasetSpec, mark: Watermark | None, top: Watermark | None) ->
 def _save_quarantine(store: IngestStore, record: dict, rows: DataFrame) -> None:
     store.quarantine.append(rows.select(
         F.lit(record["run_id"]).alias("run_id"), F.lit(record["dataset_id"]).alias("dataset_id"),
-        F.col(RAW).alias("raw"), F.col(PROBLEMS).alias("problems")), _folder(record["run_id"]))
+        F.col(RAW).alias("raw"), F.col(PROBLEMS).alias("problems")), record["run_id"])
 
 
-def run_day(specs: tuple[DatasetSpec, ...], extracts: dict[str, DataFrame], store: IngestStore,
+def run_day(specs: tuple[DatasetSpec, ...], extracts: dict[str, DataFrame | Landing], store: IngestStore,
             label: str) -> list[dict]:
     """Ingest the datasets of one day in contract order."""
     return [run_ingestion(spec, extracts[spec.dataset_id], store, label) for spec in specs]

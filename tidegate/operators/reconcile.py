@@ -12,8 +12,8 @@ from tidegate.functions.codes import entries_where
 from tidegate.operators import contracts, expectations
 from tidegate.operators.ordering import global_row_number
 from tidegate.session import stage
+from tidegate.sources.partitioned import AppendLog
 from tidegate.sources.specs import DatasetSpec
-from tidegate.sources.versions import AppendLog
 
 SAMPLE = 10  # rows shown of each kind of difference; the counts are always complete
 PAID_STATUSES = ("paid", "shipped")  # fixed values
@@ -104,7 +104,7 @@ def run_record(summary: DataFrame, check: str, run_id: str) -> DataFrame:
 def record_run(summary: DataFrame, check: str, run_id: str, log: AppendLog) -> None:
     """Log the verdict first, then stop the caller if the check did not pass."""
     log.append(run_record(summary, check, run_id), f"{check}~{run_id}")
-    if not log.read().filter((F.col("run_id") == run_id) & (F.col("check_name") == check)).first()["passed"]:
+    if not log.read(f"{check}~{run_id}").first()["passed"]:
         raise CutoverBlocked(f"{check} {run_id}")
 
 

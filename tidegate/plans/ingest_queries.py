@@ -11,18 +11,22 @@ from tidegate.plans.present import plain
 from tidegate.session import scratch_path, stage
 from tidegate.sources import derived
 from tidegate.sources.derived import FIRST_DAY, SECOND_DAY
+from tidegate.sources.partitioned import YEAR, Landing
 from tidegate.sources.specs import LEDGER, ORDER_LINES, ORDERS, PAYMENTS
 
 EXTRACTS = {ORDERS.dataset_id: derived.order_extract, ORDER_LINES.dataset_id: derived.line_extract,
             PAYMENTS.dataset_id: derived.payment_extract}
 
 
+#: The test tables hold few rows a month, so their ranges are years.
 def new_store(spark: SparkSession) -> IngestStore:
-    return IngestStore(spark, scratch_path(spark, "ingest"))
+    return IngestStore(spark, scratch_path(spark, "ingest"), width=YEAR)
 
 
-def extract(spark, sf_dir, spec, through) -> DataFrame:
-    return EXTRACTS[spec.dataset_id](spark, sf_dir, through)
+def extract(spark, sf_dir, spec, through) -> Landing:
+    """The extract as it lies at its source, in folders by cursor."""
+    landing = Landing(spark, scratch_path(spark, "landing"), spec.cursor_column, width=YEAR)
+    return landing.deliver(EXTRACTS[spec.dataset_id](spark, sf_dir, through))
 
 
 def two_days(spark, sf_dir, spec) -> tuple[IngestStore, list[dict]]:
@@ -72,9 +76,10 @@ def _first_day_mark(spark, sf_dir):
 
 
 def ingest_window(spark, sf_dir):
-    """Rows of the second day inside the lookback window, accepted or not."""
+    """Rows of the second day inside the lookback window, accepted or not; older folders of the landing stay closed."""
     mark = _first_day_mark(spark, sf_dir)
-    rows = ingest.window_rows(ORDERS, derived.order_extract(spark, sf_dir, SECOND_DAY), mark)
+    delivered = extract(spark, sf_dir, ORDERS, SECOND_DAY).since(mark.floor(ORDERS.lookback_hours))
+    rows = ingest.window_rows(ORDERS, delivered, mark)
     return rows.select("order_id", "customer_id", "updated_at", (F.size(contracts.PROBLEMS) == 0).alias("valid"))
 
 
@@ -94,9 +99,8 @@ def ingest_reasons(spark, sf_dir):
 def ingest_breaker(spark, sf_dir):
     """A second day over the allowed share of bad rows: the run fails and changes nothing."""
     store = new_store(spark)
-    ingest.run_ingestion(ORDERS, derived.order_extract(spark, sf_dir, FIRST_DAY), store, "day1")
-    ingest.run_ingestion(ingest.with_ratio(ORDERS, 0.001), derived.order_extract(spark, sf_dir, SECOND_DAY),
-                         store, "day2")
+    ingest.run_ingestion(ORDERS, extract(spark, sf_dir, ORDERS, FIRST_DAY), store, "day1")
+    ingest.run_ingestion(ingest.with_ratio(ORDERS, 0.001), extract(spark, sf_dir, ORDERS, SECOND_DAY), store, "day2")
     held = store.quarantine.read().groupBy("run_id").agg(F.count("*").alias("quarantine_rows"))
     rows = F.lit(store.target(ORDERS).count()).cast("bigint")
     return audit_rows(store).join(held, "run_id", "left").select(
@@ -131,7 +135,7 @@ def ingest_audit(spark, sf_dir):
 def ingest_replay(spark, sf_dir):
     """The second day delivered twice: the repeat finds nothing new."""
     store, _ = two_days(spark, sf_dir, PAYMENTS)
-    ingest.run_ingestion(PAYMENTS, derived.payment_extract(spark, sf_dir, SECOND_DAY), store, "again")
+    ingest.run_ingestion(PAYMENTS, extract(spark, sf_dir, PAYMENTS, SECOND_DAY), store, "again")
     again = audit_rows(store).filter("label = 'again'")
     rows = F.lit(store.target(PAYMENTS).count()).cast("bigint")
     return again.select("status", *AUDIT_COUNTS, (F.col("watermark_before") == F.col("watermark_after"))

@@ -14,7 +14,8 @@ from tidegate.plans.present import joined, plain
 from tidegate.session import scratch_path, stage
 from tidegate.sources import derived
 from tidegate.sources.tables import table, with_arrival_order
-from tidegate.sources.versions import AppendLog, VersionedTable
+from tidegate.sources.partitioned import YEAR, AppendLog, PartitionedTarget
+from tidegate.sources.versions import VersionedTable
 from tidegate.streaming import changes, land
 
 STREAMED_TABLES = ("customer", "orders", "lineitem", "part", "supplier", "nation", "region")
@@ -130,15 +131,35 @@ def scd1_stream(spark, sf_dir):
         return rows.withColumns({"c_acctbal": F.col("c_acctbal").cast("decimal(18,2)") + sequence,
                                  "seq": F.lit(sequence).cast("bigint")})
 
-    target = VersionedTable(spark, f"{root}/customers", ("c_custkey",), buckets=8)
     days = (version(customer, 2),
             version(customer.filter("c_mktsegment = 'BUILDING'"), 3).unionByName(
                 version(customer.filter("c_mktsegment IN ('BUILDING', 'MACHINERY')"), 1)))
+    target = PartitionedTarget(spark, f"{root}/customers", days[0].schema, ("c_custkey",), "cast(c_nationkey AS string)")
     for rows in days:
         rows.write.mode("append").parquet(f"{root}/landing")
         stream = land.read_incrementally(spark, f"{root}/landing", rows.schema)
-        changes.apply_changes(stream, target, ["c_custkey"], ["seq"], f"{root}/checkpoint").awaitTermination()
-    return plain(target.read().select("c_custkey", "c_name", "c_acctbal", "seq"))
+        changes.apply_changes(stream, target, ["seq"], f"{root}/checkpoint").awaitTermination()
+    return plain(target.rows().select("c_custkey", "c_name", "c_acctbal", "seq"))
+
+
+def scd1_orders_stream(spark, sf_dir):
+    """Orders in three deliveries of several files, one file a micro-batch, the last with older versions that come late."""
+    root = scratch_path(spark, "scd1-orders")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+
+    def version(rows: DataFrame, status: str, later: str) -> DataFrame:
+        return rows.select("o_orderkey", "o_custkey", F.lit(status).alias("status"), "o_orderdate",
+                           (F.col("o_orderdate") + F.expr(f"interval {later}")).alias("changed_at"))
+
+    deliveries = (version(o, "placed", "1 day"), version(o.filter("o_orderstatus = 'F'"), "shipped", "3 days"),
+                  version(o.filter("o_orderkey % 3 = 0"), "paid", "2 days"))
+    target = PartitionedTarget(spark, f"{root}/orders", deliveries[0].schema, ("o_orderkey",),
+                               f"date_format(o_orderdate, '{YEAR}')")
+    for rows in deliveries:
+        rows.repartition(2, "o_orderkey").write.mode("append").parquet(f"{root}/landing")
+        stream = land.read_incrementally(spark, f"{root}/landing", rows.schema, files_per_trigger=1)
+        changes.apply_changes(stream, target, ["changed_at", "status"], f"{root}/checkpoint").awaitTermination()
+    return target.rows()
 
 
 # -- quarantine and gate -----------------------------------------------------------
@@ -217,6 +238,6 @@ def evidence_log(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     bronze_stream_land, bronze_row_id, silver_trim, silver_typed, expect_drop, expect_all, expect_fail,
-    expect_metrics, expect_stream, dedup_by_key, scd1_stream, dq_leads, dq_web_events, dq_ops_events,
+    expect_metrics, expect_stream, dedup_by_key, scd1_stream, scd1_orders_stream, dq_leads, dq_web_events, dq_ops_events,
     dq_conservation, quality_metrics, gate_status, gate_verdict, gated_publish, evidence_log)}
 QUERIES["latest_per_key"] = latest_per_key_query

@@ -11,9 +11,9 @@ from tidegate.plans.ingest_queries import full_days, two_days
 from tidegate.plans.present import plain
 from tidegate.session import scratch_path, stage
 from tidegate.sources import derived
+from tidegate.sources.partitioned import AppendLog
 from tidegate.sources.specs import ORDER_LINES, ORDERS, PAYMENTS
 from tidegate.sources.tables import table
-from tidegate.sources.versions import AppendLog
 
 
 def order_totals(spark, sf_dir):

@@ -45,14 +45,17 @@ def read_delimited(spark: SparkSession, path: str, columns: list[str], **options
 
 
 def read_jdbc_extract(spark: SparkSession, url: str, source_table: str, key: str, bounds: tuple[int, int],
-                      partitions: int, **options: str) -> DataFrame:
-    """A JDBC extract read in parallel key ranges, as text."""
+                      partitions: int, cursor: str | None = None, floor: str | None = None, **options: str) -> DataFrame:
+    """A JDBC extract read in parallel key ranges, as text; with a floor, the database filters by the cursor."""
     rows = (
         spark.read.format("jdbc").options(**options)
         .option("url", url).option("dbtable", source_table).option("partitionColumn", key)
         .option("lowerBound", bounds[0]).option("upperBound", bounds[1])
         .option("numPartitions", partitions).load()
     )
+    if cursor is not None and floor is not None:
+        # A comparison of the plain column, so it becomes part of the statement that the database runs.
+        rows = rows.filter(F.col(cursor).isNull() | (F.col(cursor) >= F.lit(floor).cast(rows.schema[cursor].dataType)))
     return string_extract(rows)
 
 

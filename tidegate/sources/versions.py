@@ -1,9 +1,8 @@
-"""Versioned parquet tables with one atomic commit point, and retry-safe append logs.
+"""Published tables: whole snapshots behind one manifest.
 
-Plain parquet has no MERGE and no transaction. A version is a set of bucket folders plus a
-small manifest that says which folder holds each bucket now. Writing the manifest is the
-only commit: a job that dies before it changes nothing readers can see. Buckets a change
-does not touch keep their folder, so a small change rewrites only the buckets it hits.
+A version is a folder of its own plus a small manifest that names it, written last, so readers see a version
+whole or not at all. A table has one publisher at a time: the check that a version is new and the renaming of its manifest are
+two steps.
 """
 
 from __future__ import annotations
@@ -11,14 +10,12 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-BUCKET = "_bucket"
-
 
 class _Folder:
-    """The few file-system calls a commit needs, on any Hadoop-readable storage."""
+    """The few file-system calls a publication needs, on any Hadoop-readable storage."""
 
     def __init__(self, spark: SparkSession, path: str):
         self._jvm = spark.sparkContext._jvm
@@ -55,10 +52,10 @@ class _Folder:
 
 
 class VersionedTable:
-    """Snapshots of one table, bucketed by a hash of its key columns."""
+    """The published snapshots of one table."""
 
-    def __init__(self, spark: SparkSession, path: str, keys: tuple[str, ...] = (), buckets: int = 1):
-        self.spark, self.path, self.keys, self.buckets = spark, path.rstrip("/"), tuple(keys), buckets
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
         self._folder = _Folder(spark, path)
 
     def manifest(self) -> dict | None:
@@ -66,73 +63,20 @@ class VersionedTable:
         committed = self._folder.names("_manifest")
         return json.loads(self._folder.read(f"_manifest/{committed[-1]}")) if committed else None
 
-    def notes(self) -> dict:
-        found = self.manifest()
-        return found["notes"] if found else {}
-
-    def bucket_of(self) -> Column:
-        if not self.keys or self.buckets == 1:
-            return F.lit(0)
-        return F.pmod(F.hash(*self.keys), F.lit(self.buckets))
-
-    def touched(self, changes: DataFrame) -> list[int]:
-        """Buckets the keys of `changes` fall into; at most `buckets` numbers."""
-        return [r[0] for r in changes.select(self.bucket_of().alias(BUCKET)).distinct().collect()]
-
-    def read(self, buckets: list[int] | None = None) -> DataFrame | None:
-        """The current rows, or only those of the given buckets."""
+    def read(self) -> DataFrame | None:
         found = self.manifest()
         if found is None:
             return None
-        schema = T.StructType.fromJson(found["schema"])
-        wanted = None if buckets is None else {str(b) for b in buckets}
-        paths = [f"{self.path}/{folder}/{BUCKET}={bucket}" for bucket, folder in found["parts"].items()
-                 if wanted is None or bucket in wanted]
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths)
-
-    def commit(self, rows: DataFrame, touched: list[int] | None = None, **notes) -> int:
-        """Replace the touched buckets (all by default) with `rows` and publish a version.
-
-        No touched bucket means no rows to write: the version only carries new notes.
-        """
+        return self.spark.read.schema(T.StructType.fromJson(found["schema"])).parquet(f"{self.path}/{found['folder']}")
+
+    def commit(self, rows: DataFrame, **notes) -> int:
+        """Write `rows` and publish them as the next version."""
         found = self.manifest()
         version = (found["version"] if found else 0) + 1
-        kept = {} if found is None or touched is None else {
-            b: where for b, where in found["parts"].items() if int(b) not in set(touched)}
-        # REBALANCE gives each bucket its own files and splits a bucket that grew too large.
-        bucketed = rows.withColumn(BUCKET, self.bucket_of()).hint("rebalance", BUCKET)
         # Every attempt has its own folder, so a crashed or losing writer disturbs nobody.
         folder = f"v={version:012d}-{uuid.uuid4().hex}"
-        written = []
-        if touched is None or touched:
-            bucketed.write.partitionBy(BUCKET).parquet(f"{self.path}/{folder}")
-            written = [n.split("=", 1)[1] for n in self._folder.names(folder) if n.startswith(BUCKET)]
-        manifest = {"version": version, "parts": {**kept, **{b: folder for b in written}},
-                    "schema": rows.schema.jsonValue(), "notes": notes}
+        rows.write.parquet(f"{self.path}/{folder}")
+        manifest = {"version": version, "folder": folder, "schema": rows.schema.jsonValue(), "notes": notes}
         if not self._folder.put_if_absent(f"_manifest/{version:012d}.json", json.dumps(manifest)):
             raise RuntimeError(f"another writer committed version {version} of {self.path}")
         return version
-
-
-class AppendLog:
-    """Append-only rows, one folder per run; a repeated run replaces its own folder."""
-
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType | str):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-        self._folder = _Folder(spark, path)
-
-    def runs(self) -> list[str]:
-        """Names of the runs that have finished their append."""
-        return [n.split("=", 1)[1] for n in self._folder.names()
-                if n.startswith("run=") and "_SUCCESS" in self._folder.names(n)]
-
-    def append(self, rows: DataFrame, run: str) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.path}/run={run}")
-
-    def read(self) -> DataFrame:
-        runs = self.runs()
-        if not runs:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/run={n}" for n in runs])

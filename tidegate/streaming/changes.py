@@ -2,37 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidegate.operators.merge import upsert
 from tidegate.operators.ordering import latest_per_key
 from tidegate.session import stage
-from tidegate.sources.versions import VersionedTable
+from tidegate.sources.partitioned import HOME, PartitionedTarget
 
 
-def apply_batch(table: VersionedTable, changes: DataFrame, keys: list[str], sequence: list[str],
-                stream: str, batch_id: int) -> None:
-    """Merge one micro-batch; a batch that was already committed is skipped.
+def apply_batch(table: PartitionedTarget, changes: DataFrame, sequence: list[str]) -> list[str]:
+    """Merge one micro-batch and return the ranges it rewrote.
 
-    Older versions that arrive late lose against the stored sequence. `sequence` must order
-    the versions of a key completely, so it ends in a tie-breaker.
+    Older versions that arrive late lose against the stored sequence, and so does a batch that is
+    applied a second time. `sequence` must order the versions of a key completely, so it ends in a tie-breaker.
     """
-    notes = table.notes()
-    if notes.get("stream") == stream and notes.get("batch_id", -1) >= batch_id:
-        return
-    newest = stage(latest_per_key(changes, keys, sequence), "changes")
-    touched = table.touched(newest)
-    merged = upsert(table.read(touched), newest, keys, sequence)
-    table.commit(merged, touched, stream=stream, batch_id=batch_id)
+    keys = list(table.keys)
+    newest = stage(latest_per_key(changes.select(*table.columns), keys, sequence), "changes")
+    stored = table.stored(newest, *sequence).select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.struct(*sequence).alias("_stored"), HOME)
+    on = reduce(lambda a, b: a & b, [newest[k].eqNullSafe(stored[f"_k{i}"]) for i, k in enumerate(keys)])
+    known = newest.join(stored, on, "left")
+    return table.put(known.filter(F.col("_stored").isNull() | (F.struct(*sequence) > F.col("_stored"))))
 
 
-def apply_changes(stream: DataFrame, table: VersionedTable, keys: list[str], sequence: list[str],
-                  checkpoint: str) -> StreamingQuery:
+def apply_changes(stream: DataFrame, table: PartitionedTarget, sequence: list[str], checkpoint: str) -> StreamingQuery:
     """Apply everything that has arrived to `table`, then stop."""
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(table, batch, keys, sequence, checkpoint, batch_id)
+    def handle(batch: DataFrame, _batch_id: int) -> None:
+        apply_batch(table, batch, sequence)
 
     return (stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
