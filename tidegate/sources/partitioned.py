@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 
 from tidegate.functions import casts
 from tidegate.functions.keys import same_keys
-from tidegate.session import stage
 
 RANGE, HOME, RUN, SAVED = "_range", "_home", "_run", "saved_ts"
 YEAR, MONTH, DAY = "yyyy", "yyyy-MM", "yyyy-MM-dd"  # how wide a range of dates is; a range should fill a few files
@@ -67,15 +66,16 @@ class PartitionedTarget:
         """Store one row per key of `winners` (columns and HOME) in place of the stored one; returns the ranges written.
 
         Only the folders of these ranges are read and written; their number is bounded by the ranges of the table.
+        `winners` is read twice, so it should be a staged table. The write replaces folders when all of its tasks are done, which
+        is why it may read them.
         """
-        placed = stage(winners.select(*self.columns, F.coalesce(HOME, F.expr(self.range_expr)).alias(RANGE)), "winners")
+        placed = winners.select(*self.columns, F.coalesce(HOME, F.expr(self.range_expr)).alias(RANGE))
         touched = sorted(r[RANGE] for r in placed.select(RANGE).distinct().collect())
         if touched:
             old = self.read(touched)
             lost = placed.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(self.keys)])
             kept = old.join(lost, same_keys(old, lost, [(k, f"_k{i}") for i, k in enumerate(self.keys)]), "left_anti")
-            # Written apart first, as a folder cannot be read and replaced by one job.
-            _replace(stage(kept.unionByName(placed), "merged"), self.path, RANGE)
+            _replace(kept.unionByName(placed), self.path, RANGE)
         return touched
 
 
@@ -90,14 +90,13 @@ class Landing:
         self._schema: T.StructType | None = None
 
     def deliver(self, extract: DataFrame) -> Landing:
-        """Take over an extract; what an earlier one delivered goes, folder by folder."""
+        """Take over a snapshot of the source in place of the one before."""
         at = F.lit(NO_RANGE)
         if self.cursor in extract.columns:
             at = range_of(F.expr(casts.to_timestamp(f"cast(`{self.cursor}` AS string)")), self.width)
         rows = extract.withColumn(RANGE, at)
         self._schema = rows.schema
-        _create(self.spark, self.path, rows.schema, RANGE)
-        _replace(rows, self.path, RANGE)
+        rows.hint("rebalance", RANGE).write.mode("overwrite").partitionBy(RANGE).parquet(self.path)
         return self
 
     @property

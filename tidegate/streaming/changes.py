@@ -24,7 +24,7 @@ def apply_batch(table: PartitionedTarget, changes: DataFrame, sequence: list[str
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.struct(*sequence).alias("_stored"), HOME)
     on = reduce(lambda a, b: a & b, [newest[k].eqNullSafe(stored[f"_k{i}"]) for i, k in enumerate(keys)])
     known = newest.join(stored, on, "left")
-    return table.put(known.filter(F.col("_stored").isNull() | (F.struct(*sequence) > F.col("_stored"))))
+    return table.put(stage(known.filter(F.col("_stored").isNull() | (F.struct(*sequence) > F.col("_stored"))), "winners"))
 
 
 def apply_changes(stream: DataFrame, table: PartitionedTarget, sequence: list[str], checkpoint: str) -> StreamingQuery:
