@@ -4,6 +4,8 @@ from oracles.inputs import GAMING, RETAIL, with_ctes
 from tidegate.functions.runbooks import LOOKUPS, NO_LOOKUP
 
 MARKER = "CANARY-7f3a9c2e"
+DEFECTS = ("DUPLICATE_CHARGE", "DUPLICATE_SOURCE_KEY", "INVALID_DOMAIN_VALUE", "LATE_ARRIVAL_BEYOND_LOOKBACK", "MISSING_PAYMENT",
+           "NULL_PRIMARY_KEY", "SCHEMA_COLUMN_ADDED", "SCHEMA_COLUMN_REMOVED", "SCHEMA_TYPE_CHANGE", "STALE_SOURCE")
 AUDIT = """
 raw_runs AS (
   SELECT 'sales.' || lower(regexp_extract(o_orderpriority, '[^-]*$')) AS dataset_id,
@@ -79,30 +81,32 @@ state AS (
                   o.payload) AS current_payload
   FROM opened o LEFT JOIN outcomes s ON o.incident_id = s.incident_id)"""
 
-APPROVALS = """
-steps AS (SELECT event_id AS seq, event_id // 8 AS g, event_id % 8 AS r FROM events),
-approvals AS (
-  SELECT s.g, s.seq, 'i' || CAST(s.g % 60 AS VARCHAR) AS incident_id,
-         CASE WHEN s.g % 2 = 0 THEN 'replay_batch' ELSE 'restore_lead_invalid_rate' END AS action,
-         CASE WHEN s.g % 7 = 0 THEN 'stale' ELSE sha256(t.current_payload) END AS hash
-  FROM steps s LEFT JOIN state t ON t.incident_id = 'i' || CAST(s.g % 60 AS VARCHAR)
-  WHERE s.r = 0 AND s.g % 6 <> 5),
-requests AS (
-  SELECT seq, g, CASE WHEN r = 5 AND g % 9 = 0 THEN NULL ELSE 'a' || CAST(g AS VARCHAR) END AS approval_id,
-         'i' || CAST(g % 60 + CASE WHEN r = 6 AND g % 3 = 0 THEN 1 ELSE 0 END AS VARCHAR) AS incident_id,
-         CASE WHEN r = 7 THEN CASE WHEN g % 2 = 0 THEN 'exportRows' ELSE 'purge_rows' END
-              WHEN (g % 2 = 0) <> (r = 3 AND g % 5 = 0) THEN 'replay_batch'
-              ELSE 'restore_lead_invalid_rate' END AS action
-  FROM steps WHERE r IN (1, 3, 5, 6, 7)),
+TIMELINE = """
+timeline AS (
+  SELECT event_id AS seq, user_id, CAST(floor(value * 100) AS BIGINT) AS c, event_type, props,
+         CASE event_type WHEN 'signup' THEN 'incident_opened' WHEN 'view' THEN 'tool_call' WHEN 'purchase' THEN 'recovery_approved'
+              WHEN 'error' THEN CASE WHEN CAST(floor(value) AS BIGINT) % 2 = 0 THEN 'recovery_started' ELSE 'recovery_result' END
+              ELSE 'recovery_requested' END AS event FROM events),
+named AS (
+  SELECT *, CASE WHEN event_type = 'click' AND c % 13 = 0 THEN NULL ELSE 'a' || CAST(user_id AS VARCHAR) END AS approval_id,
+         'i' || CAST(user_id + CASE WHEN event_type = 'click' AND c % 17 = 0 THEN 1 ELSE 0 END AS VARCHAR) AS incident_id,
+         CASE WHEN event_type = 'click' AND c % 19 = 0 THEN 'exportRows' WHEN event_type = 'click' AND c % 19 = 1 THEN 'purge_rows'
+              WHEN event_type = 'click' AND c % 19 = 2 THEN 'restore_lead_invalid_rate'
+              WHEN event_type IN ('click', 'purchase') THEN CASE WHEN user_id % 2 = 0 THEN 'replay_batch'
+                ELSE 'restore_lead_invalid_rate' END END AS action,
+         CASE WHEN event_type IN ('signup', 'view') AND c % 5 <> 0 THEN props END AS payload FROM timeline),
+opening AS (SELECT *, count(CASE WHEN event = 'incident_opened' THEN 1 END) OVER (PARTITION BY incident_id ORDER BY seq) AS opened FROM named),
+payloads AS (
+  SELECT *, last_value(CASE WHEN event IN ('incident_opened', 'tool_call') THEN payload END IGNORE NULLS)
+           OVER (PARTITION BY incident_id, opened ORDER BY seq) AS payload_now FROM opening),
 judged AS (
-  SELECT q.*, a.seq AS a_seq, a.incident_id AS a_incident, a.action AS a_action, a.hash AS a_hash,
-         sha256(t.current_payload) AS now_hash,
-         EXISTS (SELECT 1 FROM steps s WHERE s.g = q.g AND s.r = 2 AND s.g % 2 = 0 AND s.seq < q.seq
-                 AND q.approval_id IS NOT NULL) AS started,
-         EXISTS (SELECT 1 FROM steps s WHERE s.g = q.g AND s.r = 4 AND s.g % 4 = 0 AND s.seq < q.seq
-                 AND q.approval_id IS NOT NULL) AS finished
-  FROM requests q LEFT JOIN approvals a ON q.approval_id = 'a' || CAST(a.g AS VARCHAR)
-  LEFT JOIN state t ON t.incident_id = q.incident_id)"""
+  SELECT q.seq, q.approval_id, q.incident_id, q.action, a.incident_id AS a_incident, a.action AS a_action,
+         sha256(q.payload_now) AS now_hash, a.seq AS a_seq,
+         CASE WHEN a.c % 7 = 0 THEN 'stale' ELSE sha256(a.payload_now) END AS a_hash,
+         EXISTS (SELECT 1 FROM payloads s WHERE s.approval_id = q.approval_id AND s.event = 'recovery_started' AND s.seq < q.seq) AS started,
+         EXISTS (SELECT 1 FROM payloads s WHERE s.approval_id = q.approval_id AND s.event = 'recovery_result' AND s.seq < q.seq) AS ended
+  FROM payloads q LEFT JOIN payloads a ON a.approval_id = q.approval_id AND a.event = 'recovery_approved' AND a.seq < q.seq
+  WHERE q.event = 'recovery_requested' QUALIFY row_number() OVER (PARTITION BY q.seq ORDER BY a.seq DESC NULLS LAST) = 1)"""
 
 RECORDS = """
 rec AS (
@@ -251,14 +255,56 @@ SELECT incident_id, opened_seq, status, CASE WHEN status = 'no_citations' THEN s
     "incident_tool_calls": with_ctes(EVENTS) + """
 SELECT incident_id, seq, tool, row_number() OVER (PARTITION BY incident_id ORDER BY seq) AS position FROM calls""",
     "event_counts": with_ctes(EVENTS) + "SELECT event, count(*) AS events FROM log GROUP BY 1",
-    "approval_audit": with_ctes(EVENTS, APPROVALS) + """
+    "approval_audit": with_ctes(TIMELINE) + """
 SELECT seq, approval_id, incident_id, action, CASE
   WHEN action = 'exportRows' THEN 'prohibited_action' WHEN action = 'purge_rows' THEN 'unknown_recovery_action'
-  WHEN a_seq IS NULL OR a_seq >= seq THEN 'no_approval' WHEN a_incident <> incident_id THEN 'approval_incident_mismatch'
+  WHEN a_seq IS NULL THEN 'no_approval' WHEN a_incident <> incident_id THEN 'approval_incident_mismatch'
   WHEN a_action <> action THEN 'approval_action_mismatch'
   WHEN now_hash IS NULL OR a_hash IS NULL OR now_hash <> a_hash THEN 'approval_payload_mismatch'
-  WHEN started AND NOT finished THEN 'recovery_outcome_unknown' WHEN started THEN 'approval_already_used'
+  WHEN started AND NOT ended THEN 'recovery_outcome_unknown' WHEN started THEN 'approval_already_used'
   ELSE 'approved' END AS decision FROM judged""",
+    "schema_history": with_ctes(AUDIT) + """,
+seen AS (
+  SELECT dataset_id, day, 'amount' || CASE WHEN day % 29 = 0 THEN '' ELSE ',customer_id' END
+         || CASE WHEN rows_in_source >= 2 THEN ',note' ELSE '' END || ',order_id' AS columns FROM runs),
+prior AS (SELECT *, lag(columns) OVER w AS before FROM seen WINDOW w AS (PARTITION BY dataset_id ORDER BY day)),
+islands AS (
+  SELECT *, sum(CASE WHEN columns IS DISTINCT FROM before THEN 1 ELSE 0 END) OVER (PARTITION BY dataset_id ORDER BY day) AS stretch
+  FROM prior),
+ends AS (
+  SELECT dataset_id, CAST(stretch AS BIGINT) AS stretch, min(day) AS first_run, max(day) AS last_run, count(*) AS runs,
+         min(columns) AS columns, arg_min(before, day) AS before FROM islands GROUP BY 1, 2)
+SELECT dataset_id, stretch, first_run, last_run, runs, columns,
+       CASE WHEN before IS NULL THEN '' ELSE coalesce(array_to_string(list_filter(string_split(columns, ','),
+         lambda x: NOT list_contains(string_split(before, ','), x)), ','), '') END AS added,
+       CASE WHEN before IS NULL THEN '' ELSE coalesce(array_to_string(list_filter(string_split(before, ','),
+         lambda x: NOT list_contains(string_split(columns, ','), x)), ','), '') END AS removed FROM ends""",
+    "run_lookup": with_ctes(AUDIT) + """
+SELECT run_id, true AS found, status, rows_in_source, quarantined, rows_new FROM audit
+WHERE run_id IN (SELECT run_id FROM found)
+UNION ALL SELECT run_id || '~lost', false, NULL, NULL, NULL, NULL FROM found WHERE run_id IS NOT NULL""",
+    "evaluation_summary": with_ctes(AUDIT) + """,
+labelled AS (
+  SELECT f.day, c.root_cause AS rule, CASE WHEN f.trigger = 'source_to_target_mismatch' THEN 'MISSING_PAYMENT'
+           WHEN c.root_cause = 'DUPLICATE_SOURCE_KEY' AND f.n_null = f.n_dup AND f.n_null > 0 THEN 'NULL_PRIMARY_KEY'
+           ELSE coalesce(c.root_cause, 'STALE_SOURCE') END AS defect,
+         coalesce(a.rows_in_source % 3 <> 0, true) AS reported, coalesce(a.rows_in_source % 2 = 0, false) AS cited,
+         coalesce(a.rows_in_source, 1) AS injected, coalesce(a.quarantined, 0) AS detected
+  FROM found f JOIN causes c USING (incident_key) LEFT JOIN audit a ON a.run_id = f.run_id),
+groups AS (
+  SELECT 'overall' AS level, CAST(NULL AS VARCHAR) AS defect, CAST(NULL AS BIGINT) AS day, * EXCLUDE (defect, day), defect AS expected FROM labelled
+  UNION ALL SELECT 'defect', defect, NULL, * EXCLUDE (defect, day), defect FROM labelled
+  UNION ALL SELECT 'day', NULL, day, * EXCLUDE (defect, day), defect FROM labelled),
+counted AS (
+  SELECT level, defect, day, count(*) AS cases, count(CASE WHEN rule = expected THEN 1 END) AS correct,
+         count(CASE WHEN rule IS NULL THEN 1 END) AS unlabelled, count(CASE WHEN reported THEN 1 END) AS reported,
+         count(CASE WHEN reported AND rule = expected THEN 1 END) AS routed, count(CASE WHEN reported AND cited THEN 1 END) AS cited,
+         CAST(sum(injected) AS BIGINT) AS injected, CAST(sum(detected) AS BIGINT) AS detected FROM groups GROUP BY 1, 2, 3
+  UNION ALL SELECT 'defect', d, NULL, 0, 0, 0, 0, 0, 0, 0, 0 FROM (VALUES """ + ", ".join(f"('{d}')" for d in DEFECTS) + """) v(d)
+  WHERE d NOT IN (SELECT defect FROM labelled))
+SELECT *, coalesce(correct / CAST(nullif(cases, 0) AS DOUBLE), 0) AS accuracy, coalesce(routed / CAST(nullif(cases, 0) AS DOUBLE), 0) AS routed_share,
+       coalesce(cited / CAST(nullif(reported, 0) AS DOUBLE), 0) AS cited_share,
+       coalesce(detected / CAST(nullif(injected, 0) AS DOUBLE), 0) AS recall FROM counted""",
     "rule_signals": with_ctes(RECORDS) + "SELECT id, signals, known AS known_shape FROM sig",
     "route_decisions": with_ctes(ROUTES) + """
 SELECT id, strategy, label, action, reason_codes, calls, is_severe, strategy || ' -> ' || label || ' -> ' || action

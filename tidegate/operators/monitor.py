@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidegate.functions.codes import codes_where
 from tidegate.functions.runbooks import REASON_CAUSES
 from tidegate.operators.evidence import is_prohibited
+from tidegate.operators.ordering import carried_forward
 from tidegate.operators.skew import sliced_join
 
 # -- incidents and root causes -----------------------------------------------------
@@ -54,8 +55,12 @@ def root_causes(found: DataFrame, audit: DataFrame, findings: DataFrame) -> Data
     `audit` adds quarantine_reasons by run_id, `findings` the overpaid and unpaid order
     counts of each day.
     """
-    runs = audit.select("run_id", "quarantine_reasons")
-    joined = found.join(runs, "run_id", "left").join(findings.select("day", "overpaid_orders", "unpaid_orders"),
+    # An incident of a check has no run; a second column spreads these instead of sending them to the task of NULL.
+    runs = audit.select(F.col("run_id").alias("_run"), F.lit(0).cast("bigint").alias("_spread"), "quarantine_reasons")
+    spread = found.withColumn("_at", F.when(F.col("run_id").isNull(), F.xxhash64("incident_key")).otherwise(F.lit(0)))
+    with_run = spread.join(runs, (F.col("run_id") == F.col("_run")) & (F.col("_at") == F.col("_spread")), "left").drop(
+        "_run", "_spread", "_at")
+    joined = with_run.join(findings.select("day", "overpaid_orders", "unpaid_orders"),
                                                      "day", "left")
     by_reason = F.create_map(*[F.lit(v) for pair in REASON_CAUSES.items() for v in pair])
     label = (
@@ -79,25 +84,56 @@ def with_runbook(labelled: DataFrame, books: DataFrame, **missing: str) -> DataF
 
 # -- audit lookups -----------------------------------------------------------------
 
-def run_by_id(audit: DataFrame, run_id: str) -> DataFrame:
-    return audit.filter(F.col("run_id") == run_id)
+def runs_by_id(audit: DataFrame, asked: DataFrame) -> DataFrame:
+    """The audit record of each asked run (run_id); `found` is false for a run that is not in the log."""
+    wanted = asked.select("run_id").distinct()
+    return wanted.join(audit.withColumn("found", F.lit(True)), "run_id", "left").withColumn("found", F.coalesce("found", F.lit(False)))
 
 
-def contract_results(quarantine: DataFrame, run_id: str, first: int | None = None) -> DataFrame:
-    """The rejected rows of one run, or the first of them by their raw text."""
-    rows = quarantine.filter(F.col("run_id") == run_id)
-    return rows if first is None else rows.orderBy("raw").limit(first)
+def contract_results(audit: DataFrame, quarantine: DataFrame, first: int = 5) -> DataFrame:
+    """Per run: its counts and reasons, and the first rejected rows by their raw text with all of their problems.
 
+    Spark limits the rank ahead of the shuffle, so a run with most of the rejected rows sends `first` rows per task.
+    """
+    by_raw = Window.partitionBy("run_id").orderBy("raw", F.to_json("problems"))
+    sample = quarantine.withColumn("place", F.row_number().over(by_raw)).filter(F.col("place") <= first)
+    return audit.select("run_id", "rows_in_window", "quarantined", "quarantine_reasons").join(
+        sample.select("run_id", "place", "raw", "problems"), "run_id", "left")
+
+
+def schema_history(audit: DataFrame) -> DataFrame:
+    """One row per stretch of runs of a dataset that delivered the same columns, and what changed at its start.
+
+    `audit`: dataset_id, run_seq, columns (sorted array; NULL, a run that delivered nothing, changes nothing). A dataset has one
+    row per run here, so its runs fit one task.
+    """
+    in_order = Window.partitionBy("dataset_id").orderBy("run_seq")
+    runs = audit.filter("columns IS NOT NULL").select("dataset_id", "run_seq", "columns").withColumn("_before", F.lag("columns").over(in_order))
+    changed = ~F.col("columns").eqNullSafe(F.col("_before"))
+    numbered = runs.withColumn("_new", changed).withColumn("stretch", F.sum(F.col("_new").cast("bigint")).over(in_order))
+    none = F.array().cast("array<string>")
+    return numbered.groupBy("dataset_id", "stretch").agg(
+        F.min("run_seq").alias("first_run"), F.max("run_seq").alias("last_run"), F.count("*").alias("runs"),
+        F.any_value("columns").alias("columns"), F.min_by("_before", "run_seq").alias("_before")).select(
+        "dataset_id", "stretch", "first_run", "last_run", "runs", "columns",
+        F.coalesce(F.array_except("columns", "_before"), none).alias("added"),
+        F.coalesce(F.array_except("_before", "columns"), none).alias("removed"))
 
-def schema_history(audit: DataFrame, dataset_id: str) -> DataFrame:
-    """Schema differences of a dataset, run by run."""
-    return audit.filter(F.col("dataset_id") == dataset_id).select("run_id", "run_seq", "schema_diff")
 
+def newest_reports(runs: DataFrame) -> DataFrame:
+    """The newest run of each reconciliation check, from a run log (run_id, check_name, passed, report, saved_ts)."""
+    newest = runs.groupBy("check_name").agg(F.max_by(F.struct("run_id", "passed", "report"), F.struct("saved_ts", "run_id")).alias("_r"),
+                                            F.count("*").alias("runs"), F.count_if(~F.col("passed")).alias("failed"))
+    return newest.select("check_name", "runs", "failed", "_r.*")
 
-def of_source(df: DataFrame, source: str, order: str, newest: int | None = None) -> DataFrame:
-    """The status, quarantine or log rows of one source, or the newest of them."""
-    rows = df.filter(F.col("source") == source)
-    return rows if newest is None else rows.orderBy(F.desc(order)).limit(newest)
+
+def of_sources(df: DataFrame, asked: DataFrame, order: str, newest: int | None = None) -> DataFrame:
+    """The status, quarantine or log rows of the asked sources (source), or the newest of each."""
+    rows = df.join(asked.select("source").distinct(), "source", "left_semi")
+    if newest is None:
+        return rows
+    rank = F.row_number().over(Window.partitionBy("source").orderBy(F.desc(order)))
+    return rows.withColumn("_rank", rank).filter(F.col("_rank") <= newest).drop("_rank")
 
 
 def tool_calls(events: DataFrame) -> DataFrame:
@@ -167,37 +203,44 @@ def payload_sha256(payload: Column) -> Column:
 RECOVERY_ACTIONS = ("restore_lead_invalid_rate", "replay_batch")  # fixed values
 
 
-def audit_approvals(log: DataFrame, state: DataFrame) -> DataFrame:
-    """Decide every recovery request: `approved`, or the first reason to refuse it.
+def with_payload(timeline: DataFrame) -> DataFrame:
+    """Every event with `payload_now`: the payload of its incident at that moment.
+
+    That is the last payload a tool call brought since the latest opening, or else the opening's own, which may be none.
+    `timeline`: seq, event, incident_id, evidence_payload and any other columns.
+    """
+    brought = F.when(F.col("event") == OPENED, F.struct("evidence_payload")).when(
+        (F.col("event") == TOOL_CALL) & F.col("evidence_payload").isNotNull(), F.struct("evidence_payload"))
+    carried = carried_forward(timeline, "incident_id", [F.asc("seq")], {"_brought": brought})
+    return carried.withColumn("payload_now", F.col("_brought.evidence_payload")).drop("_brought")
+
+
+def audit_approvals(timeline: DataFrame) -> DataFrame:
+    """Decide every recovery request as of its moment: `approved`, or the first reason to refuse it.
 
-    `log`: seq, event (recovery_approved / requested / started / result), approval_id,
-    incident_id, action, payload_sha256. `state`: incident_id, current_payload. Only events
-    before the request count.
+    `timeline`: seq (unique), event, approval_id, incident_id, action, payload_sha256 of incident events and recovery events
+    (recovery_approved / requested / started / result) together. The last approval before a request counts, and the
+    payload its incident had at the request.
     """
     def of(event: str) -> Column:
         return F.col("event") == event
 
-    history = log.filter("approval_id IS NOT NULL AND event <> 'recovery_requested'").groupBy("approval_id").agg(
-        F.min(F.when(of("recovery_approved"), F.struct("seq", "incident_id", "action", "payload_sha256")))
-        .alias("approval"),
-        F.min(F.when(of("recovery_started"), F.col("seq"))).alias("started_seq"),
-        F.min(F.when(of("recovery_result"), F.col("seq"))).alias("result_seq"))
-    requests = log.filter(of("recovery_requested")).select("seq", "approval_id", "incident_id", "action")
-    hashes = state.select("incident_id", payload_sha256(F.col("current_payload")).alias("payload_now"))
-    joined = requests.join(history, "approval_id", "left").join(hashes, "incident_id", "left")
-    given = F.coalesce(F.col("approval.seq") < F.col("seq"), F.lit(False))
+    recovery = with_payload(timeline).filter(F.col("event").startswith("recovery_"))
+    state = carried_forward(recovery, "approval_id", [F.asc("seq")], {
+        "approval": F.when(of("recovery_approved"), F.struct("incident_id", "action", "payload_sha256")),
+        "started": F.when(of("recovery_started"), F.lit(True)), "ended": F.when(of("recovery_result"), F.lit(True))})
+    requests = state.filter(of("recovery_requested"))
+    same_payload = F.coalesce(payload_sha256(F.col("payload_now")) == F.col("approval.payload_sha256"), F.lit(False))
     code = (
-        F.when(is_prohibited(F.col("action")), "prohibited_action")
-        .when(~F.col("action").isin(*RECOVERY_ACTIONS), "unknown_recovery_action")
-        .when(~given, "no_approval")
+        F.when(F.coalesce(is_prohibited(F.col("action")), F.lit(False)), "prohibited_action")
+        .when(~F.coalesce(F.col("action").isin(*RECOVERY_ACTIONS), F.lit(False)), "unknown_recovery_action")
+        .when(F.col("approval_id").isNull() | F.col("approval").isNull(), "no_approval")
         .when(~F.col("approval.incident_id").eqNullSafe(F.col("incident_id")), "approval_incident_mismatch")
         .when(~F.col("approval.action").eqNullSafe(F.col("action")), "approval_action_mismatch")
-        .when(~F.coalesce(F.col("payload_now") == F.col("approval.payload_sha256"), F.lit(False)),
-              "approval_payload_mismatch")
-        .when((F.col("started_seq") < F.col("seq")) & ~F.coalesce(F.col("result_seq") < F.col("seq"), F.lit(False)),
-              "recovery_outcome_unknown")
-        .when(F.col("started_seq") < F.col("seq"), "approval_already_used").otherwise("approved"))
-    return joined.select("seq", "approval_id", "incident_id", "action", code.alias("decision"))
+        .when(~same_payload, "approval_payload_mismatch")
+        .when(F.col("started") & F.col("ended").isNull(), "recovery_outcome_unknown")
+        .when(F.col("started"), "approval_already_used").otherwise("approved"))
+    return requests.select("seq", "approval_id", "incident_id", "action", code.alias("decision"))
 
 
 # -- routing -----------------------------------------------------------------------

@@ -96,6 +96,31 @@ def position_in_group(df: DataFrame, group: str, order: list[Column], name: str)
     return joined.withColumn(name, F.col("_rn") - F.col("_start") + 1).drop("_rn", "_start", "_group")
 
 
+def carried_forward(df: DataFrame, key: str, order: list[Column], values: dict[str, Column]) -> DataFrame:
+    """Each row with the last non-NULL value of its key at or before it, under the given names.
+
+    Rows are range-sorted by (key, order), so a key with many rows lies in several neighbouring slices. Inside a slice a window
+    carries the values; across slices only the key that a slice ends with can go on, which is one row per slice.
+    """
+    named = df.withColumns({f"_v_{n}": v for n, v in values.items()})
+    slices = _sorted_slices(named, [F.asc(key), *order])
+    edges = slices.groupBy("_slice").agg(
+        F.min_by(key, "_index").alias("_first_key"), F.max_by(key, "_index").alias("_last_key"))
+    # The last known values of the key a slice ends with; at most spark.sql.shuffle.partitions rows.
+    ends = slices.join(F.broadcast(edges), "_slice").filter(F.col(key).eqNullSafe(F.col("_last_key"))).groupBy("_slice").agg(
+        *[F.max_by(F.when(F.col(f"_v_{n}").isNotNull(), F.col(f"_v_{n}")), F.when(F.col(f"_v_{n}").isNotNull(), F.col("_index")))
+          .alias(f"_e_{n}") for n in values])
+    run, before = Window.partitionBy("_last_key").orderBy("_slice"), Window.orderBy("_slice")
+    known = edges.join(ends, "_slice").withColumns({f"_e_{n}": F.last(f"_e_{n}", ignorenulls=True).over(run) for n in values})
+    goes_on = F.lag("_last_key").over(before).eqNullSafe(F.col("_first_key")) & F.lag("_slice").over(before).isNotNull()
+    carried = known.select("_slice", "_first_key", *[F.when(goes_on, F.lag(f"_e_{n}").over(before)).alias(f"_c_{n}") for n in values])
+    inside = Window.partitionBy("_slice", key).orderBy("_index").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = slices.withColumns({f"_l_{n}": F.last(f"_v_{n}", ignorenulls=True).over(inside) for n in values})
+    whole = local.join(F.broadcast(carried), "_slice")
+    from_before = F.col(key).eqNullSafe(F.col("_first_key"))
+    return whole.select(*df.columns, *[F.coalesce(f"_l_{n}", F.when(from_before, F.col(f"_c_{n}"))).alias(n) for n in values])
+
+
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The newest row of each key, by an aggregate that combines before the shuffle.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidegate.functions import nested
 from tidegate.functions.runbooks import LOOKUPS, NO_LOOKUP
-from tidegate.operators import evidence, monitor, policy, scripts
+from tidegate.operators import evaluate, evidence, monitor, policy, scripts
 from tidegate.operators.ordering import position_in_group
 from tidegate.plans import gaming
 from tidegate.plans.present import joined, plain
@@ -101,9 +101,27 @@ def event_counts(spark, sf_dir):
 
 
 def approval_audit(spark, sf_dir):
-    """Every recovery request with its decision."""
-    state = stage(monitor.fold_events(records.incident_events(spark, sf_dir)), "state")
-    return monitor.audit_approvals(records.approval_log(spark, sf_dir, state), state)
+    """Every recovery request with its decision as of its moment."""
+    return monitor.audit_approvals(stage(records.recovery_timeline(spark, sf_dir), "timeline"))
+
+
+def schema_history(spark, sf_dir):
+    """Stretches of runs with equal columns, dataset by dataset."""
+    return monitor.schema_history(records.audit_log(spark, sf_dir)).select(
+        "dataset_id", "stretch", "first_run", "last_run", "runs", *[joined(c).alias(c) for c in ("columns", "added", "removed")])
+
+
+def run_lookup(spark, sf_dir):
+    """Audit records of the runs that an incident names, and of runs that never were."""
+    audit = stage(records.audit_log(spark, sf_dir), "audit")
+    asked = monitor.incidents(audit, records.daily_checks(records.daily_findings(spark, sf_dir))).filter("run_id IS NOT NULL").select(
+        F.explode(F.array("run_id", F.concat("run_id", F.lit("~lost")))).alias("run_id"))
+    return monitor.runs_by_id(audit, asked).select("run_id", "found", "status", "rows_in_source", "quarantined", "rows_new")
+
+
+def evaluation_summary(spark, sf_dir):
+    """Ratios of the labelled incidents: overall, by defect and by day."""
+    return evaluate.summary(records.evaluated_incidents(spark, sf_dir), records.DEFECTS)
 
 
 def rule_signals(spark, sf_dir):
@@ -200,6 +218,6 @@ def script_blockers(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     masked_players, row_filtered_sales, incidents, root_cause, incident_runbook, recent_runs, recent_success,
-    incident_fold, incident_tool_calls, event_counts, approval_audit, rule_signals, route_decisions, routing_score,
+    incident_fold, incident_tool_calls, event_counts, approval_audit, schema_history, run_lookup, evaluation_summary, rule_signals, route_decisions, routing_score,
     redact_nested, canary_scan, secret_leak, evidence_gate, citation_check, reply_shape, instruction_flag,
     prohibited_names, script_blockers)}

@@ -31,7 +31,10 @@ def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         """map_filter(map('amount:cast_failed', n_cast, 'order_id:duplicate_key', n_dup,
                           'order_id:null_primary_key', n_null, 'status:invalid_enum', n_enum),
                       (reason, n) -> n > 0) AS quarantine_reasons""",
-        "if(day % 3 = 0, array('currency'), cast(array() AS array<string>)) AS added")
+        "if(day % 3 = 0, array('currency'), cast(array() AS array<string>)) AS added",
+        # Drift that lasts: a column comes with the day's first large order and goes on the days a required one is missing.
+        """array_sort(concat(array('amount', 'order_id'), if(day % 29 = 0, array(), array('customer_id')),
+                             if(rows_in_source >= 2, array('note'), array()))) AS columns""")
 
 
 def daily_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,6 +53,29 @@ def daily_checks(findings: DataFrame) -> DataFrame:
         struct('source_to_target' AS check_name, late_payments = 0 AS passed)))""")
 
 
+#: Defects that are evaluated, also where no incident has one.
+DEFECTS = ("DUPLICATE_CHARGE", "DUPLICATE_SOURCE_KEY", "INVALID_DOMAIN_VALUE", "LATE_ARRIVAL_BEYOND_LOOKBACK", "MISSING_PAYMENT",
+           "NULL_PRIMARY_KEY", "SCHEMA_COLUMN_ADDED", "SCHEMA_COLUMN_REMOVED", "SCHEMA_TYPE_CHANGE", "STALE_SOURCE")
+
+
+def evaluated_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incidents with the label of a person beside that of the rules, whether one was reported and cited, and faults found.
+
+    The person names the reason of the earliest column where two reasons are equally common, and does not know late arrivals.
+    """
+    audit, findings = audit_log(spark, sf_dir), daily_findings(spark, sf_dir)
+    labelled = monitor.root_causes(monitor.incidents(audit, daily_checks(findings)), audit, findings)
+    counts = audit.selectExpr("run_id AS _run", "rows_in_source", "quarantined", "quarantine_reasons AS q")
+    rows = labelled.join(counts, F.col("run_id") == F.col("_run"), "left")
+    return rows.selectExpr(
+        "day", "root_cause AS rule",
+        """CASE WHEN trigger = 'source_to_target_mismatch' THEN 'MISSING_PAYMENT'
+                WHEN root_cause = 'DUPLICATE_SOURCE_KEY' AND q['order_id:null_primary_key'] = q['order_id:duplicate_key']
+                THEN 'NULL_PRIMARY_KEY' ELSE coalesce(root_cause, 'STALE_SOURCE') END AS defect""",
+        "coalesce(rows_in_source % 3 <> 0, true) AS reported", "coalesce(rows_in_source % 2 = 0, false) AS cited",
+        "coalesce(rows_in_source, 1) AS injected", "coalesce(quarantined, 0) AS detected")
+
+
 def incident_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An incident log: each conversation is an incident, each turn an event."""
     c = table(spark, sf_dir, "conversations")
@@ -68,24 +94,27 @@ def incident_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "if(event = 'tool_call', if(seq % 3 = 0, 'read_gate_status', 'read_quarantine_sample'), NULL) AS tool")
 
 
-def approval_log(spark: SparkSession, sf_dir: str, state: DataFrame) -> DataFrame:
-    """A recovery log in groups of eight events: approval, start, result, and five requests."""
-    e = table(spark, sf_dir, "events").selectExpr("event_id AS seq", "event_id div 8 AS g", "event_id % 8 AS r")
-    log = e.selectExpr(
-        "seq", "g", "r",
-        """CASE r WHEN 0 THEN if(g % 6 = 5, 'note', 'recovery_approved')
-                  WHEN 2 THEN if(g % 2 = 0, 'recovery_started', 'note')
-                  WHEN 4 THEN if(g % 4 = 0, 'recovery_result', 'note') ELSE 'recovery_requested' END AS event""",
-        "if(r = 5 AND g % 9 = 0, NULL, concat('a', g)) AS approval_id",
-        "concat('i', g % 60 + if(r = 6 AND g % 3 = 0, 1, 0)) AS incident_id",
-        """CASE WHEN r = 7 THEN if(g % 2 = 0, 'exportRows', 'purge_rows')
-                WHEN (g % 2 = 0) <> (r = 3 AND g % 5 = 0) THEN 'replay_batch'
-                ELSE 'restore_lead_invalid_rate' END AS action""")
-    joined = log.join(state.select("incident_id", "current_payload"), "incident_id", "left")
-    return joined.selectExpr(
-        "seq", "event", "approval_id", "incident_id", "action",
-        """if(event = 'recovery_approved', if(g % 7 = 0, 'stale', sha2(current_payload, 256)), NULL)
-           AS payload_sha256""")
+def recovery_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incident and recovery events on one timeline, told by what the users of `events` did.
+
+    A signup opens the user's incident and a view is a tool call, both with `props` as payload. Purchases approve, errors start
+    and end a recovery, clicks request one. Approvals hold the hash of the payload at their moment, or an old one.
+    """
+    e = table(spark, sf_dir, "events").selectExpr(
+        "event_id AS seq", "event_type", "user_id", "props", "cast(floor(value) AS bigint) AS v", "cast(floor(value * 100) AS bigint) AS c")
+    timeline = e.selectExpr(
+        "seq", "c",
+        """CASE event_type WHEN 'signup' THEN 'incident_opened' WHEN 'view' THEN 'tool_call' WHEN 'purchase' THEN 'recovery_approved'
+                WHEN 'error' THEN if(v % 2 = 0, 'recovery_started', 'recovery_result') ELSE 'recovery_requested' END AS event""",
+        "if(event_type = 'click' AND c % 13 = 0, NULL, concat('a', user_id)) AS approval_id",
+        "concat('i', user_id + if(event_type = 'click' AND c % 17 = 0, 1, 0)) AS incident_id",
+        """CASE WHEN event_type = 'click' AND c % 19 = 0 THEN 'exportRows' WHEN event_type = 'click' AND c % 19 = 1 THEN 'purge_rows'
+                WHEN event_type = 'click' AND c % 19 = 2 THEN 'restore_lead_invalid_rate' WHEN event_type IN ('click', 'purchase')
+                THEN if(user_id % 2 = 0, 'replay_batch', 'restore_lead_invalid_rate') END AS action""",
+        "if(event_type IN ('signup', 'view') AND c % 5 <> 0, props, NULL) AS evidence_payload")
+    hashed = "if(event = 'recovery_approved', if(c % 7 = 0, 'stale', sha2(payload_now, 256)), NULL) AS payload_sha256"
+    return monitor.with_payload(timeline).selectExpr(
+        "seq", "event", "approval_id", "incident_id", "action", "evidence_payload", hashed)
 
 
 def routing_records(spark: SparkSession, sf_dir: str) -> DataFrame:
