@@ -133,6 +133,21 @@ grp AS (
   FROM typed WHERE problems = '' GROUP BY 1, 2)"""
 
 
+def order_runs_with_raw() -> str:
+    """Both order runs, and every rejected row of each as JSON with its problems."""
+    raw = "CAST(json_object(" + ", ".join(f"'{c}', {c}" for c in sorted(O_COLUMNS)) + ") AS VARCHAR) AS raw"
+    parts = [ORDER_RUNS]
+    for d in (1, 2):
+        window = "" if d == 1 else """ AND (t_updated_at IS NULL OR t_updated_at >= (SELECT t_updated_at FROM wm1) - INTERVAL 24 HOUR)"""
+        both = typed(f"ext{d}", f"both{d}", O_KEYS, O_COLUMNS).replace("SELECT ", f"SELECT {raw}, ", 1)
+        parts.append(f"""{both.strip()},
+raw{d} AS (
+  SELECT raw, problems FROM both{d} WHERE problems <> ''{window}
+  UNION ALL SELECT raw, 'order_id:duplicate_key' FROM both{d} b WHERE problems = '' AND EXISTS (
+    SELECT 1 FROM grp{d} g WHERE g.kinds > 1 AND g.t_order_id = b.t_order_id AND g.t_updated_at = b.t_updated_at))""")
+    return ",".join(parts)
+
+
 def _audit(dataset: str, day: int, keys: list[str]) -> str:
     label = f"day{day}"
     return f"""
@@ -188,6 +203,42 @@ SELECT t_order_id AS order_id, t_customer_id AS customer_id, t_status AS status,
        t_updated_at AS updated_at, t_is_deleted AS is_deleted FROM tgt2""",
     "ingest_counts": "WITH " + ORDER_RUNS + f"""
 SELECT 'day1' AS label, {state(1)}, {counts(1)} UNION ALL SELECT 'day2', {state(2)}, {counts(2)}""",
+    "row_accounting": "WITH " + PAYMENT_RUNS + """,
+raws AS (SELECT e.payment_id, e.amount, e.updated_at, e.order_id, e.settled_date, e.is_deleted, count(*) AS copies FROM ext2 e GROUP BY ALL),
+judged AS (
+  SELECT *, TRY_CAST(amount AS DECIMAL(18,2)) IS NULL AS bad, TRY_CAST(updated_at AS TIMESTAMP) AS moment FROM raws),
+stored AS (SELECT t_payment_id, t_updated_at FROM tgt2)
+SELECT j.payment_id, j.amount, j.updated_at, CAST(j.copies AS BIGINT) AS copies, CASE
+  WHEN bad AND (EXISTS (SELECT 1 FROM ext1 e WHERE e.payment_id = j.payment_id AND e.updated_at = j.updated_at)
+                OR moment >= (SELECT t_updated_at FROM wm1) - INTERVAL 24 HOUR) THEN 'quarantined'
+  WHEN bad THEN 'never_read' WHEN s.t_updated_at = moment THEN 'accepted' WHEN s.t_updated_at > moment THEN 'superseded' ELSE 'never_read' END AS outcome
+FROM judged j LEFT JOIN stored s ON s.t_payment_id = CAST(j.payment_id AS BIGINT)""",
+    "contract_results": "WITH " + order_runs_with_raw() + f""",
+reject AS (
+  SELECT 1 AS day, raw, problems FROM raw1 UNION ALL SELECT 2, raw, problems FROM raw2),
+placed AS (SELECT day, row_number() OVER (PARTITION BY day ORDER BY raw, problems) AS place, raw, problems FROM reject)
+SELECT 'sales.orders:day' || CAST(day AS VARCHAR) || ':' || CAST(day AS VARCHAR) AS run_id, rows_in_window, quarantined, place, raw, problems
+FROM placed JOIN (SELECT 1 AS day, * FROM (SELECT {counts(1)}) UNION ALL SELECT 2, * FROM (SELECT {counts(2)})) c USING (day)
+WHERE place <= 5""",
+    "land_inferred": """
+WITH first AS (
+  SELECT o_orderkey AS id, o_custkey AS customer, CAST(floor(o_totalprice) AS DECIMAL(18,2)) AS total, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS placed,
+         CASE WHEN o_orderkey % 10 <> 0 THEN o_orderstatus = 'O' END AS open, lpad(CAST(o_orderkey AS VARCHAR), 9, '0') AS code,
+         CAST(o_custkey AS VARCHAR) AS mixed, CASE WHEN o_orderkey % 4 = 0 THEN '' ELSE ' ' END AS nothing, CAST(NULL AS VARCHAR) AS priority
+  FROM orders WHERE o_orderkey % 2 = 0),
+second AS (
+  SELECT o_orderkey, -o_custkey, CAST(o_totalprice AS DECIMAL(18,2)), CASE WHEN o_orderkey % 3 = 0
+           THEN o_orderdate + to_seconds(o_orderkey % 86400) ELSE CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) END,
+         o_orderstatus = 'O', lpad(CAST(o_orderkey AS VARCHAR), 9, '0'),
+         CASE WHEN o_orderkey % 5 = 0 THEN 'N/A' ELSE CAST(o_custkey AS VARCHAR) END, NULL, o_orderpriority
+  FROM orders WHERE o_orderkey % 2 = 1),
+landed AS (SELECT * FROM first UNION ALL SELECT * FROM second),
+digits AS (SELECT max(length(CAST(CAST(floor(abs(total)) AS BIGINT) AS VARCHAR))) AS whole FROM landed)""" + " UNION ALL ".join(f"""
+SELECT '{c}' AS column, {kind} AS type, count({c}) AS filled, count(DISTINCT {c}) AS kinds, CAST(min({c}) AS VARCHAR) AS least,
+       CAST(max({c}) AS VARCHAR) AS greatest FROM landed""" for c, kind in (
+        ("id", "'bigint'"), ("customer", "'bigint'"),
+        ("total", "(SELECT 'decimal(' || CAST(whole + 2 AS VARCHAR) || ',2)' FROM digits)"), ("placed", "'timestamp_ntz'"),
+        ("open", "'boolean'"), ("code", "'string'"), ("mixed", "'string'"), ("nothing", "'string'"), ("priority", "'string'"))),
     "ingest_watermark": "WITH " + PAYMENT_RUNS + f"""
 SELECT 'day1' AS label, CAST(NULL AS VARCHAR) AS watermark_before, {mark(1, P_KEYS)} AS watermark_after
 UNION ALL SELECT 'day2', {mark(1, P_KEYS)}, {mark(2, P_KEYS)}""",

@@ -1,7 +1,7 @@
 """Oracles of the policy, monitoring, routing and evidence queries."""
 
 from oracles.inputs import GAMING, RETAIL, with_ctes
-from tidegate.functions.runbooks import LOOKUPS, NO_LOOKUP
+from tidegate.functions.runbooks import NO_RUNBOOK, RUNBOOK
 
 MARKER = "CANARY-7f3a9c2e"
 DEFECTS = ("DUPLICATE_CHARGE", "DUPLICATE_SOURCE_KEY", "INVALID_DOMAIN_VALUE", "LATE_ARRIVAL_BEYOND_LOOKBACK", "MISSING_PAYMENT",
@@ -240,8 +240,8 @@ WHERE role IN ('engineer', 'compliance') OR role = domain || '_analyst' GROUP BY
 SELECT incident_key, day, trigger, dataset_id, run_id, status, failure_code FROM found""",
     "root_cause": with_ctes(AUDIT) + "SELECT incident_key, trigger, root_cause FROM causes",
     "incident_runbook": with_ctes(AUDIT) + """,
-books(root_cause, look_at) AS (VALUES """ + ", ".join(f"('{cause}', '{place}')" for cause, place in LOOKUPS.items()) + f""")
-SELECT c.root_cause, count(*) AS incidents, coalesce(any_value(look_at), '{NO_LOOKUP}') AS look_at
+books(root_cause, remediation) AS (VALUES """ + ", ".join(f"('{cause}', '{step}')" for cause, step in RUNBOOK.items()) + f""")
+SELECT c.root_cause, count(*) AS incidents, coalesce(any_value(remediation), '{NO_RUNBOOK}') AS remediation
 FROM causes c LEFT JOIN books b ON c.root_cause = b.root_cause GROUP BY 1""",
     "recent_runs": with_ctes(AUDIT) + """
 SELECT dataset_id, run_id, status, failure_code, rows_in_source, rows_new FROM audit

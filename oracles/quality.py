@@ -10,6 +10,9 @@ faulty AS (
          CASE WHEN l_suppkey % 89 = 0 THEN 1.5 WHEN l_partkey % 101 = 0 THEN NULL ELSE l_discount END AS l_discount,
          CASE WHEN l_orderkey % 103 = 0 THEN -l_extendedprice - 1 ELSE l_extendedprice END AS l_extendedprice
   FROM lineitem)"""
+RULES = (
+    ("valid_orderkey", "l_orderkey IS NOT NULL"), ("valid_linenumber", "l_linenumber IS NOT NULL"), ("valid_quantity", "l_quantity > 0"),
+    ("valid_discount", "l_discount >= 0 AND l_discount <= 1"), ("valid_extendedprice", "l_extendedprice >= 0"), ("valid_tax", "l_tax >= 0"))
 KEPT_LINES = with_ctes(FAULTY) + """
 SELECT l_suppkey, count(*) AS kept, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,6))) AS DOUBLE) AS price
 FROM faulty WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL AND l_quantity > 0
@@ -65,6 +68,29 @@ SELECT event_id, campaign_id, session_duration_seconds, page_views, reasons FROM
     "dq_ops_events": with_ctes(OPS_EVENTS) + """
 SELECT ops_event_id, event_type, success, CAST(latency_seconds AS DOUBLE) AS latency_seconds, _row_id, reasons
 FROM ops_coded""",
+    "quarantine_leads": with_ctes(CAMPAIGNS, LEADS) + """
+SELECT lead_id, campaign_id, stage, _row_id, reasons, true AS stamped FROM leads_coded WHERE reasons <> ''""",
+    "quarantine_web_events": with_ctes(CAMPAIGNS, WEB_EVENTS) + """
+SELECT event_id, campaign_id, session_duration_seconds, page_views, reasons, true AS stamped FROM web_coded WHERE reasons <> ''""",
+    "quarantine_ops_events": with_ctes(OPS_EVENTS) + """
+SELECT ops_event_id, event_type, success, CAST(latency_seconds AS DOUBLE) AS latency_seconds, _row_id, reasons, true AS stamped
+FROM ops_coded WHERE reasons <> ''""",
+    "expect_stream_metrics": with_ctes(FAULTY) + " UNION ALL ".join(f"""
+SELECT l_orderkey % 3 AS batch_id, '{name}' AS rule, count(*) - count(CASE WHEN {predicate} THEN NULL ELSE 1 END) AS passed,
+       count(CASE WHEN {predicate} THEN NULL ELSE 1 END) AS failed FROM faulty GROUP BY 1""" for name, predicate in RULES),
+    "first_case_per_defect": with_ctes(CAMPAIGNS, WEB_EVENTS) + """
+SELECT reasons, _row_id, event_id, campaign_id FROM web_coded WHERE reasons <> ''
+QUALIFY row_number() OVER (PARTITION BY reasons ORDER BY _row_id) = 1""",
+    "dq_rate": with_ctes(OPS_EVENTS) + """
+SELECT CAST(rate AS DOUBLE) AS rate, (SELECT count(*) FROM ops_clean) AS rows, true AS all_found, true AS near_rate
+FROM (VALUES (0.0), (0.25), (1.0)) v(rate)""",
+    "sources_lookup": with_ctes(*ALL_SOURCES) + """,
+held AS (
+  SELECT 'leads' AS source, _row_id AS number, reasons FROM leads_coded WHERE reasons <> ''
+  UNION ALL SELECT 'web_events', _row_id, reasons FROM web_coded WHERE reasons <> '')
+SELECT source, 'status' AS kind, quarantined AS number, '' AS reasons FROM status WHERE source IN ('leads', 'ops_events')
+UNION ALL SELECT source, 'quarantine', number, reasons FROM held WHERE source = 'leads'
+  QUALIFY row_number() OVER (PARTITION BY source ORDER BY number DESC) <= 3""",
     "dq_conservation": with_ctes(*ALL_SOURCES) + """
 SELECT source, total, accepted_rows, quarantined AS quarantined_rows, accepted_rows + quarantined = total AS conserved
 FROM status""",

@@ -305,6 +305,35 @@ def with_ratio(spec: DatasetSpec, ratio: float) -> DatasetSpec:
     return replace(spec, max_quarantine_ratio=ratio)
 
 
+# -- where did each delivered row go ------------------------------------------------
+
+ACCEPTED, SUPERSEDED, QUARANTINED, NEVER_READ = "accepted", "superseded", "quarantined", "never_read"
+
+
+def row_accounting(spec: DatasetSpec, extract: DataFrame, target: PartitionedTarget, quarantine: DataFrame) -> DataFrame:
+    """One row per distinct row of an extract with its copies and what became of it.
+
+    Extract and quarantine are stacked and grouped once by the raw text; the key then looks up the stored cursor. A row
+    in the quarantine is quarantined; one with the stored cursor was accepted, one older than it superseded; and a row that no run
+    has read, for example because it came later than the lookback allows, was never read. `raw` is the row as delivered.
+    """
+    keys, cursor = list(spec.primary_key), spec.cursor_column
+    names = [*keys, cursor]
+    checked = contracts.validate(spec, extract)
+    valid = F.size(PROBLEMS) == 0
+    delivered = checked.select(F.col(RAW).alias("raw"), *[F.when(valid, F.col(c)).alias(c) for c in names], F.lit(1).alias("_copies"),
+                               F.lit(0).alias("_held"))
+    held = quarantine.filter(F.col("dataset_id") == spec.dataset_id).select("raw", F.lit(0).alias("_copies"), F.lit(1).alias("_held"))
+    rows = delivered.unionByName(held, allowMissingColumns=True).groupBy("raw").agg(
+        F.sum("_copies").alias("copies"), F.max("_held").alias("_held"), *[F.max(c).alias(c) for c in names]).filter("copies > 0")
+    rows = stage(rows, "accounting")
+    stored = target.stored(rows.select(*keys), cursor).select(*keys, F.col(cursor).alias("_stored"))
+    joined = sliced_join(rows, stored, keys, ["raw"])
+    outcome = (F.when(F.col("_held") == 1, QUARANTINED).when(F.col(cursor) == F.col("_stored"), ACCEPTED)
+               .when(F.col(cursor) < F.col("_stored"), SUPERSEDED).otherwise(NEVER_READ))
+    return joined.select("raw", "copies", *names, outcome.alias("outcome"))
+
+
 # -- replay by natural key ---------------------------------------------------------
 
 def replay_merge(current: DataFrame | None, accepted: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:

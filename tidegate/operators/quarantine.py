@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidegate.functions.codes import codes_where
 from tidegate.functions.rules import VALID_STAGES
 from tidegate.operators import expectations
+from tidegate.sources.partitioned import AppendLog
 
 REASONS = "_reasons"
 ACCEPTED = "accepted"
@@ -106,6 +107,14 @@ def quarantined(flagged: DataFrame) -> DataFrame:
     return flagged.filter(F.size(REASONS) > 0).withColumn("_quarantined_ts", F.current_timestamp())
 
 
+def save_quarantined(flagged: DataFrame, path: str, run: str) -> AppendLog:
+    """Append the quarantined rows of a run, with the time of their quarantine; a retried run replaces its own rows."""
+    rows = quarantined(flagged)
+    log = AppendLog(flagged.sparkSession, path, rows.schema)
+    log.append(rows, run)
+    return log
+
+
 def split_first_arrivals(df: DataFrame, key: str, arrival: str) -> tuple[DataFrame, DataFrame]:
     """(first arrival of each key, later copies)."""
     marked = mark_repeats(df, key, arrival)

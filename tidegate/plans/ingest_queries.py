@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidegate.operators import contracts, ingest, quarantine
+from tidegate.functions import inference
+from tidegate.operators import contracts, ingest, monitor, quarantine
 from tidegate.operators.ingest import IngestStore
 from tidegate.plans import marketing
 from tidegate.plans.present import plain
@@ -13,6 +14,7 @@ from tidegate.sources import derived
 from tidegate.sources.derived import FIRST_DAY, SECOND_DAY
 from tidegate.sources.partitioned import YEAR, Landing
 from tidegate.sources.specs import LEDGER, ORDER_LINES, ORDERS, PAYMENTS
+from tidegate.sources.tables import table
 
 EXTRACTS = {ORDERS.dataset_id: derived.order_extract, ORDER_LINES.dataset_id: derived.line_extract,
             PAYMENTS.dataset_id: derived.payment_extract}
@@ -173,6 +175,53 @@ def replay_merge(spark, sf_dir):
     return long[0].unionByName(long[1]).unionByName(long[2])
 
 
+def row_accounting(spark, sf_dir):
+    """Every payment of the second day's extract and what two days of ingestion made of it."""
+    store, _ = two_days(spark, sf_dir, PAYMENTS)
+    rows = ingest.row_accounting(PAYMENTS, derived.payment_extract(spark, sf_dir, SECOND_DAY), store.table(PAYMENTS), store.quarantine.read())
+    return rows.select(F.get_json_object("raw", "$.payment_id").alias("payment_id"), F.get_json_object("raw", "$.amount").alias("amount"),
+                       F.get_json_object("raw", "$.updated_at").alias("updated_at"), "copies", "outcome")
+
+
+def contract_results(spark, sf_dir):
+    """The runs of two days of orders with their first rejected rows."""
+    store, _ = two_days(spark, sf_dir, ORDERS)
+    found = monitor.contract_results(store.audit.read(), store.quarantine.read(), 5)
+    codes = F.array_join(F.transform("problems", lambda p: F.concat(p["column"], F.lit(":"), p["reason"])), ",")
+    return plain(found.select("run_id", "rows_in_window", "quarantined", "place", "raw", codes.alias("problems")))
+
+
+def _text_orders(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Two deliveries of orders as text; the second has wider values, a new column, and lacks one."""
+    o = table(spark, sf_dir, "orders")
+    first = o.filter("o_orderkey % 2 = 0").selectExpr(
+        "cast(o_orderkey AS string) AS id", "concat(' ', cast(o_custkey AS string), ' ') AS customer",
+        "cast(cast(floor(o_totalprice) AS bigint) AS string) AS total", "cast(cast(o_orderdate AS date) AS string) AS placed",
+        "if(o_orderkey % 10 = 0, '', if(o_orderstatus = 'O', 'true', 'false')) AS open",
+        "lpad(cast(o_orderkey AS string), 9, '0') AS code", "cast(o_custkey AS string) AS mixed", "if(o_orderkey % 4 = 0, '', ' ') AS nothing")
+    second = o.filter("o_orderkey % 2 = 1").selectExpr(
+        "cast(o_orderkey AS string) AS id", "cast(-o_custkey AS string) AS customer",
+        "cast(cast(o_totalprice AS decimal(18,2)) AS string) AS total",
+        "if(o_orderkey % 3 = 0, cast(o_orderdate + make_dt_interval(0, 0, 0, o_orderkey % 86400) AS string), cast(cast(o_orderdate AS date) AS string)) AS placed",
+        "if(o_orderstatus = 'O', 'true', 'false') AS open", "lpad(cast(o_orderkey AS string), 9, '0') AS code",
+        "if(o_orderkey % 5 = 0, 'N/A', cast(o_custkey AS string)) AS mixed", "o_orderpriority AS priority")
+    return first, second
+
+
+def land_inferred(spark, sf_dir):
+    """Two text deliveries landed under the types that hold both: per column its type and what the typed values are."""
+    deliveries = [stage(d, "delivery") for d in _text_orders(spark, sf_dir)]
+    known = inference.types_of(inference.merge(*[inference.profile(d) for d in deliveries]))
+    types = dict(sorted(known.items()))
+    first, second = (inference.typed(d, types) for d in deliveries)
+    landed = stage(first.unionByName(second), "landed")
+    measured = landed.agg(*[F.struct(
+        F.lit(c).alias("column"), F.lit(kind).alias("type"), F.count(c).alias("filled"), F.count_distinct(c).alias("kinds"),
+        F.min(c).cast("string").alias("least"), F.max(c).cast("string").alias("greatest")).alias(f"c{i}")
+        for i, (c, kind) in enumerate(types.items())])
+    return measured.select(F.inline(F.array(*[f"c{i}" for i in range(len(types))])))
+
+
 QUERIES = {f.__name__: f for f in (
     contract_validate, schema_drift, ingest_window, ingest_conflicts, ingest_reasons, ingest_breaker, ingest_merge,
-    ingest_counts, ingest_watermark, ingest_audit, ingest_replay, ingest_day, live_rows, replay_merge)}
+    ingest_counts, row_accounting, contract_results, land_inferred, ingest_watermark, ingest_audit, ingest_replay, ingest_day, live_rows, replay_merge)}

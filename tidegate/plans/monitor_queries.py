@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidegate.functions import nested
-from tidegate.functions.runbooks import LOOKUPS, NO_LOOKUP
+from tidegate.functions.runbooks import NO_RUNBOOK, RUNBOOK
 from tidegate.operators import evaluate, evidence, monitor, policy, scripts
 from tidegate.operators.ordering import position_in_group
 from tidegate.plans import gaming
@@ -60,8 +60,8 @@ def incident_runbook(spark, sf_dir):
     """Incidents per root cause with the remediation attached."""
     found, audit, findings = _incidents(spark, sf_dir)
     counted = monitor.root_causes(found, audit, findings).groupBy("root_cause").agg(F.count("*").alias("incidents"))
-    books = spark.createDataFrame(list(LOOKUPS.items()), "root_cause string, look_at string")
-    return monitor.with_runbook(counted, books, look_at=NO_LOOKUP).select("root_cause", "incidents", "look_at")
+    books = spark.createDataFrame(list(RUNBOOK.items()), "root_cause string, remediation string")
+    return monitor.with_runbook(counted, books, remediation=NO_RUNBOOK).select("root_cause", "incidents", "remediation")
 
 
 def recent_runs(spark, sf_dir):

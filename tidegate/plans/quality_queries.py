@@ -7,8 +7,8 @@ import time
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidegate.functions.rules import GAMING_RULES, SALES_RULES
-from tidegate.operators import evidence, expectations, gate, quarantine
-from tidegate.operators.ordering import latest_per_key
+from tidegate.operators import evidence, expectations, gate, inject, monitor, quarantine
+from tidegate.operators.ordering import first_per_key, latest_per_key
 from tidegate.plans import marketing, sales
 from tidegate.plans.present import joined, plain
 from tidegate.session import scratch_path, stage
@@ -16,7 +16,7 @@ from tidegate.sources import derived
 from tidegate.sources.tables import table, with_arrival_order
 from tidegate.sources.partitioned import YEAR, AppendLog, PartitionedTarget
 from tidegate.sources.versions import VersionedTable
-from tidegate.streaming import changes, land
+from tidegate.streaming import changes, land, metrics
 
 STREAMED_TABLES = ("customer", "orders", "lineitem", "part", "supplier", "nation", "region")
 
@@ -181,6 +181,83 @@ def dq_ops_events(spark, sf_dir):
                                 joined(quarantine.REASONS).alias("reasons")))
 
 
+def _quarantine_table(spark, flagged: DataFrame, *columns: str) -> DataFrame:
+    """What the quarantine of a run holds after the run was done twice, next to an earlier run's rows."""
+    path, rows = scratch_path(spark, "quarantine"), stage(flagged, "flagged")
+    quarantine.save_quarantined(rows.limit(0), path, "run-0")
+    for _attempt in range(2):
+        log = quarantine.save_quarantined(rows, path, "run-1")
+    held = log.read("run-1")
+    stamped = F.col("_quarantined_ts").isNotNull() & (F.col("_quarantined_ts") <= F.col("saved_ts"))
+    return plain(held.select(*columns, joined(quarantine.REASONS).alias("reasons"), stamped.alias("stamped")))
+
+
+def quarantine_leads(spark, sf_dir):
+    return _quarantine_table(spark, marketing.leads_flagged(spark, sf_dir), "lead_id", "campaign_id", "stage", "_row_id")
+
+
+def quarantine_web_events(spark, sf_dir):
+    return _quarantine_table(spark, marketing.web_events_flagged(spark, sf_dir), "event_id", "campaign_id",
+                             "session_duration_seconds", "page_views")
+
+
+def quarantine_ops_events(spark, sf_dir):
+    return _quarantine_table(spark, marketing.ops_events_flagged(spark, sf_dir), "ops_event_id", "event_type", "success",
+                             "latency_seconds", "_row_id")
+
+
+def expect_stream_metrics(spark, sf_dir):
+    """Passed and failed lines per rule and micro-batch, as the stream reported them while it ran."""
+    root = scratch_path(spark, "stream-metrics")
+    lines = table(spark, sf_dir, "lineitem")
+    log = AppendLog(spark, f"{root}/metrics", metrics.METRICS_DDL)
+    for part in range(3):
+        lines.filter(F.col("l_orderkey") % 3 == part).write.mode("append").parquet(f"{root}/landing")
+        stream = land.read_incrementally(spark, f"{root}/landing", lines.schema)
+        with metrics.recorded(spark, "lines", SALES_RULES["lineitem"], log):
+            land.validate(stream, SALES_RULES["lineitem"], f"{root}/out", f"{root}/checkpoint", metrics="lines",
+                          prepare=faulty_lines).awaitTermination()
+    return log.read().select("batch_id", "rule", "passed", "failed")
+
+
+def first_case_per_defect(spark, sf_dir):
+    """The first quarantined web event of each set of reasons, by arrival."""
+    flagged = quarantine.quarantined(marketing.web_events_flagged(spark, sf_dir)).select(
+        joined(quarantine.REASONS).alias("reasons"), "_row_id", "event_id", "campaign_id")
+    return first_per_key(flagged, ["reasons"], ["_row_id"])
+
+
+def dq_rate(spark, sf_dir):
+    """Faults planted into clean operations events at three rates, and how many of them the checks quarantine."""
+    clean = quarantine.accepted(marketing.ops_events_flagged(spark, sf_dir)).select("ops_event_id", "event_type", "success", "latency_seconds", "_row_id")
+    rows = stage(clean, "clean-ops")
+    counts = []
+    for rate in (0.0, 0.25, 1.0):
+        where = inject.at_rate(["ops_event_id"], rate)
+        made = inject.overwrite_value(rows, "invalid_latency", ["ops_event_id"], where, "latency_seconds", None)
+        flagged = quarantine.flag_ops_events(made.rows)
+        planted = made.labels.agg(F.count("*").alias("planted"))
+        found = flagged.agg(F.count("*").alias("rows"), F.count_if(F.size(quarantine.REASONS) > 0).alias("quarantined"))
+        both = found.join(F.broadcast(planted))  # one row each
+        counts.append(both.select(F.lit(rate).alias("rate"), "rows", (F.col("planted") == F.col("quarantined")).alias("all_found"),
+                                  (F.abs(F.col("planted") / F.col("rows") - rate) < 0.05).alias("near_rate")))
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+def sources_lookup(spark, sf_dir):
+    """Gate status and the newest quarantined rows of two of the three sources."""
+    batch = marketing.run_batch(spark, sf_dir)
+    asked = spark.createDataFrame([("leads",), ("ops_events",), ("nowhere",)], "source string")
+    status = monitor.of_sources(batch.status(), asked, "_computed_ts").select(
+        "source", F.lit("status").alias("kind"), F.col("quarantined").alias("number"), F.lit("").alias("reasons"))
+    held = quarantine.quarantined(marketing.leads_flagged(spark, sf_dir)).select(
+        F.lit("leads").alias("source"), F.col("_row_id").alias("number"), joined(quarantine.REASONS).alias("reasons")).unionByName(
+        quarantine.quarantined(marketing.web_events_flagged(spark, sf_dir)).select(
+            F.lit("web_events").alias("source"), F.col("_row_id").alias("number"), joined(quarantine.REASONS).alias("reasons")))
+    newest = monitor.of_sources(held, asked, "number", 3).withColumn("kind", F.lit("quarantine"))
+    return status.unionByName(newest)
+
+
 def dq_conservation(spark, sf_dir):
     """Input rows against accepted plus quarantined rows of each written source."""
     status = marketing.run_batch(spark, sf_dir).status()
@@ -239,5 +316,6 @@ def evidence_log(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     bronze_stream_land, bronze_row_id, silver_trim, silver_typed, expect_drop, expect_all, expect_fail,
     expect_metrics, expect_stream, dedup_by_key, scd1_stream, scd1_orders_stream, dq_leads, dq_web_events, dq_ops_events,
-    dq_conservation, quality_metrics, gate_status, gate_verdict, gated_publish, evidence_log)}
+    quarantine_leads, quarantine_web_events, quarantine_ops_events, expect_stream_metrics, first_case_per_defect, dq_rate,
+    sources_lookup, dq_conservation, quality_metrics, gate_status, gate_verdict, gated_publish, evidence_log)}
 QUERIES["latest_per_key"] = latest_per_key_query
