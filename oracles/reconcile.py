@@ -148,11 +148,41 @@ WITH c AS (SELECT o_custkey, sum(CASE WHEN o_orderkey % 50 = 0 THEN CAST(o_total
            FROM orders GROUP BY 1)
 SELECT 'mismatch' AS status, count(*) AS rows_compared, count(CASE WHEN lost <> 0 THEN 1 END) AS expected_not_produced,
        count(CASE WHEN lost <> 0 THEN 1 END) AS produced_not_expected FROM c""",
+    "parity_ordered": """
+WITH n AS (SELECT count(*) AS n, count(CASE WHEN o_orderkey % 50 = 0 AND CAST(o_totalprice AS DECIMAL(18,2)) <> 0 THEN 1 END) AS k
+           FROM orders WHERE o_orderkey % 3 = 0)
+SELECT "case", CASE WHEN "case" IN ('same_order', 'by_price', 'no_order') THEN 'validated' ELSE 'mismatch' END AS status, n AS rows_compared,
+       CASE WHEN "case" = 'other_rows' THEN k ELSE 0 END AS expected_not_produced,
+       CASE WHEN "case" = 'other_rows' THEN k ELSE 0 END AS produced_not_expected, "case" = 'reversed' AS order_only
+FROM n CROSS JOIN (VALUES ('same_order'), ('reversed'), ('by_price'), ('other_rows'), ('no_order')) v("case")""",
+    "parity_samples": """
+WITH c AS (SELECT o_custkey, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS total,
+                  sum(CASE WHEN o_orderkey % 50 = 0 THEN CAST(o_totalprice AS DECIMAL(18,2)) ELSE 0 END) AS lost FROM orders GROUP BY 1),
+t AS (SELECT CAST(CAST(o_custkey AS DECIMAL(38,2)) AS VARCHAR) AS customer, CAST(CAST(total AS DECIMAL(38,2)) AS VARCHAR) AS wanted,
+             CAST(CAST(total - lost AS DECIMAL(38,2)) AS VARCHAR) AS made FROM c WHERE lost <> 0)
+SELECT * FROM (SELECT 'expected_not_produced' AS direction, customer, wanted AS total, CAST(1 AS BIGINT) AS copies FROM t ORDER BY customer, wanted LIMIT 5)
+UNION ALL SELECT * FROM (SELECT 'produced_not_expected', customer, made, CAST(1 AS BIGINT) FROM t ORDER BY customer, made LIMIT 5)""",
+    "parity_error": """
+SELECT "case", 'execution_error' AS status, (SELECT count(DISTINCT o_custkey) FROM orders) AS rows_compared
+FROM (VALUES ('unreadable'), ('unknown_column'), ('division'), ('cast'), ('fewer_columns')) v("case")""",
+    "check_lookup": CHANGED + """
+SELECT check_name, CAST(2 AS BIGINT) AS runs, CAST(1 AS BIGINT) AS failed, '2' AS run_id, check_name = 'monthly' AS passed,
+       CASE WHEN check_name = 'monthly' THEN 0 ELSE (
+         SELECT count(CASE WHEN nu <> cu THEN 1 END) + count(CASE WHEN abs(nr - cr) > 0.01 THEN 1 END) FROM both_sides) END AS value_mismatches
+FROM (VALUES ('retail'), ('monthly')) v(check_name)""",
+    "defect_incidents": """
+SELECT 'day2:' || dataset_id || ':' || trigger AS incident_key, trigger, dataset_id, status, failure_code, root_cause FROM (VALUES
+  ('sales.orders', 'no_new_data', 'succeeded', NULL, 'STALE_SOURCE'),
+  ('sales.order_lines', 'ingestion_failed', 'failed', 'schema_required_column_missing', 'SCHEMA_COLUMN_REMOVED'),
+  ('sales.payments', 'schema_drift_additive', 'succeeded', NULL, 'SCHEMA_COLUMN_ADDED')) v(dataset_id, trigger, status, failure_code, root_cause)""",
+    "late_arrival_recall": with_ctes(payment_extract(SECOND_DAY, "ext")) + """
+SELECT 'late_arrival' AS defect, count(*) AS injected, count(*) AS detected, CAST(1 AS DOUBLE) AS recall FROM (
+  SELECT DISTINCT payment_id FROM ext WHERE updated_at > '1999-12-31 00:00:00' AND CAST(payment_id AS BIGINT) % 11 = 0)""",
     "table_digest": """
 WITH v AS (SELECT CAST(o_orderkey AS VARCHAR) AS v0,
        CAST(o_custkey AS VARCHAR) AS v1,
        o_orderstatus AS v2,
-       CAST(CAST(o_totalprice AS DECIMAL(24,6)) AS VARCHAR) AS v3,
+       CAST(o_totalprice AS VARCHAR) AS v3,
        strftime(o_orderdate, '%Y-%m-%d %H:%M:%S.%f') AS v4,
        o_orderpriority AS v5 FROM orders),
 h AS (SELECT md5(concat_ws(',', coalesce(length(v0) || ':' || v0, 'null'),
@@ -167,7 +197,7 @@ SELECT *, 'as_read' AS copy FROM d UNION ALL SELECT *, 'shuffled' FROM d""",
     "duplicate_key_check": """
 SELECT count(*) AS row_count, count(DISTINCT (l_orderkey, l_linenumber)) AS key_count,
        count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS excess_rows FROM lineitem""",
-    "detection_recall": with_ctes(order_extract(FIRST_DAY, "ext"), line_extract(SECOND_DAY, "lext")) + f"""
+    "detection_recall": with_ctes(order_extract(SECOND_DAY, "ext"), line_extract(SECOND_DAY, "lext")) + f"""
 SELECT defect, n AS injected, n AS detected, CAST(1 AS DOUBLE) AS recall FROM (
   SELECT 'bad_unit_price' AS defect, count(DISTINCT (order_id, line_no)) AS n FROM lext
     WHERE CAST(line_no AS BIGINT) % 131 = 0

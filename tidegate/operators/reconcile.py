@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -222,7 +222,7 @@ def orphan_payments(payments: DataFrame, orders: DataFrame) -> DataFrame:
 VALIDATED, MISMATCH, EXECUTION_ERROR = "validated", "mismatch", "execution_error"  # fixed values
 
 
-def normalized(df: DataFrame) -> DataFrame:
+def normalized_columns(df: DataFrame) -> list[Column]:
     """Values as comparable text: numbers to 2 digits half-up, midnight as a date."""
     columns = []
     for i, f in enumerate(df.schema.fields):
@@ -240,51 +240,113 @@ def normalized(df: DataFrame) -> DataFrame:
         else:
             text = value.cast("string")
         columns.append(text.alias(f"c{i}"))
-    return df.select(*columns)
+    return columns
+
+
+def normalized(df: DataFrame) -> DataFrame:
+    return df.select(*normalized_columns(df))
 
 
 def result_difference(got: DataFrame, want: DataFrame,
                       order: tuple[list[str], list[str]] | None = None) -> DataFrame:
-    """Distinct rows of both sides; `copies` > 0 means expected and not produced, < 0 the
-    reverse, and `wanted` counts the row on the reference side.
+    """One row per distinct row of both sides: `copies` > 0 means expected and not produced, < 0 the
+    reverse; `wanted` counts it on the reference side, and `moved` its copies that stand at another place.
 
-    One grouping of both sides decides both directions of the multiset comparison. With `order`,
-    the columns that order `got` and those that order `want` (a descending one starts with "-"),
-    the position of each row is compared as well, however the rows are partitioned.
+    One grouping by row and place, combined before its shuffle, is summed again by row, so the multiset and the
+    positions are decided together. `order` holds the columns that order `got` and those that order `want` (a descending
+    one starts with "-"); without it places do not count. Places do not depend on how the rows are partitioned.
     """
     def tagged(df: DataFrame, sign: int) -> DataFrame:
+        names = df.columns
         if order:
             columns = [F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in order[sign > 0]]
             df = global_row_number(df, columns, "_place")
-        rows = normalized(df)
-        return rows.withColumn("_copies", F.lit(sign).cast("bigint"))
+        place = F.col("_place") if order else F.lit(0).cast("bigint")
+        return df.select(*normalized_columns(df.select(*[F.col(f"`{c}`") for c in names])), place.alias("_place"),
+                         F.lit(sign).cast("bigint").alias("_copies"))
 
     both = tagged(want, 1).unionAll(tagged(got, -1))
-    columns = [c for c in both.columns if c != "_copies"]
-    return both.groupBy(*columns).agg(
-        F.sum("_copies").alias("copies"), F.count_if(F.col("_copies") > 0).alias("wanted"))
+    columns = [c for c in both.columns if c not in ("_copies", "_place")]
+    placed = both.groupBy(*columns, "_place").agg(F.sum("_copies").alias("_net"), F.count_if(F.col("_copies") > 0).alias("_wanted"))
+    return placed.groupBy(*columns).agg(
+        F.sum("_net").alias("copies"), F.sum("_wanted").alias("wanted"), F.sum(F.greatest("_net", F.lit(0))).alias("moved"))
 
 
-def parity(spark: SparkSession, legacy_sql: str, reference_sql: str,
-           order: tuple[list[str], list[str]] | None = None, **tables: DataFrame) -> DataFrame:
-    """One row: status, rows compared, and how many rows differ in each direction."""
-    want = spark.sql(reference_sql, **tables)
+# Fixed list: error classes that are the query's own fault; any other error, as of the storage, is the caller's to see.
+_QUERY_FAULTS = ("AnalysisException", "ParseException", "ArithmeticException", "NumberFormatException", "DateTimeException",
+                 "ArrayIndexOutOfBoundsException", "SparkRuntimeException")
+
+
+def _is_query_fault(error: PySparkException) -> bool:
+    """Whether the query, and not its surroundings, failed; a task's error is looked for among the causes."""
+    if isinstance(error, AnalysisException):
+        return True
+    cause = getattr(error, "_origin", None)
+    while cause is not None:
+        if any(cause.getClass().getSimpleName().endswith(name) for name in _QUERY_FAULTS):
+            return True
+        cause = cause.getCause()
+    return False
+
+
+@dataclass(frozen=True)
+class Parity:
+    """The difference of two query results, written once; without one the query did not run."""
+
+    reference: DataFrame
+    difference: DataFrame | None
+
+    def verdict(self) -> DataFrame:
+        """One row: status, rows compared, rows that differ in each direction, and whether only the order differs."""
+        if self.difference is None:
+            zero = F.lit(0).cast("bigint")
+            return self.reference.agg(
+                F.lit(EXECUTION_ERROR).alias("status"), F.count("*").alias("rows_compared"), zero.alias("expected_not_produced"),
+                zero.alias("produced_not_expected"), F.lit(False).alias("order_only"))
+        found = self.difference.agg(
+            F.coalesce(F.sum("wanted"), F.lit(0)).alias("rows_compared"),
+            F.coalesce(F.sum(F.greatest("copies", F.lit(0))), F.lit(0)).alias("expected_not_produced"),
+            F.coalesce(F.sum(F.greatest(-F.col("copies"), F.lit(0))), F.lit(0)).alias("produced_not_expected"),
+            F.coalesce(F.sum("moved"), F.lit(0)).alias("_moved"))
+        same_rows = (F.col("expected_not_produced") == 0) & (F.col("produced_not_expected") == 0)
+        status = F.when(same_rows & (F.col("_moved") == 0), VALIDATED).otherwise(MISMATCH)
+        return found.select(status.alias("status"), "rows_compared", "expected_not_produced", "produced_not_expected",
+                            (same_rows & (F.col("_moved") > 0)).alias("order_only"))
+
+    def samples(self, n: int = SAMPLE) -> DataFrame:
+        """The first n distinct rows of each direction, by their texts, with how many copies are too many."""
+        if self.difference is None:
+            return self.reference.sparkSession.createDataFrame([], "direction string, row array<string>, copies bigint")
+        values = [c for c in self.difference.columns if c not in ("copies", "wanted", "moved")]
+        row = F.array(*[F.col(c) for c in values]).alias("row")
+
+        def side(direction: str, sign: int) -> DataFrame:
+            extra = (F.col("copies") * sign).alias("copies")
+            return self.difference.filter(F.col("copies") * sign > 0).orderBy(*values).limit(n).select(F.lit(direction).alias("direction"), row, extra)
+
+        return side("expected_not_produced", 1).unionByName(side("produced_not_expected", -1))
+
+
+def compare_queries(spark: SparkSession, legacy_sql: str, reference_sql: str,
+                    order: tuple[list[str], list[str]] | None = None, **tables: DataFrame) -> Parity:
+    """Run both queries and keep their difference."""
+    want = stage(spark.sql(reference_sql, **tables), "reference")
     try:
         # Written at once, so that a value the engine refuses at run time shows here.
         got = stage(spark.sql(legacy_sql, **tables), "parity")
-        difference = result_difference(got, want, order)
-    except PySparkException:
-        return want.agg(F.lit(EXECUTION_ERROR).alias("status"), F.count("*").alias("rows_compared"),
-                        F.lit(0).cast("bigint").alias("expected_not_produced"),
-                        F.lit(0).cast("bigint").alias("produced_not_expected"))
-    found = difference.agg(
-        F.coalesce(F.sum("wanted"), F.lit(0)).alias("rows_compared"),
-        F.coalesce(F.sum(F.when(F.col("copies") > 0, F.col("copies"))), F.lit(0)).alias("expected_not_produced"),
-        F.coalesce(-F.sum(F.when(F.col("copies") < 0, F.col("copies"))), F.lit(0)).alias("produced_not_expected"))
-    agree = (F.col("expected_not_produced") == 0) & (F.col("produced_not_expected") == 0)
-    return found.select(
-        F.when(agree, VALIDATED).otherwise(MISMATCH).alias("status"), "rows_compared",
-        "expected_not_produced", "produced_not_expected")
+        if len(got.columns) != len(want.columns):
+            raise AnalysisException(f"{len(got.columns)} columns instead of {len(want.columns)}")
+    except PySparkException as error:
+        if not _is_query_fault(error):
+            raise
+        return Parity(want, None)
+    return Parity(want, stage(result_difference(got, want, order), "difference"))
+
+
+def parity(spark: SparkSession, legacy_sql: str, reference_sql: str,
+           order: tuple[list[str], list[str]] | None = None, **tables: DataFrame) -> DataFrame:
+    """One row: status, rows compared, and how many rows differ in each direction."""
+    return compare_queries(spark, legacy_sql, reference_sql, order, **tables).verdict().drop("order_only")
 
 
 # -- digests and key checks --------------------------------------------------------

@@ -39,9 +39,22 @@ def day_checks(store: IngestStore, payments: DataFrame, day: int) -> tuple[DataF
     return verdicts, against_orders.select(number, "overpaid_orders", "unpaid_orders")
 
 
+def _audit_of(store: IngestStore, day: int) -> DataFrame:
+    return store.audit.read().filter(F.col("label") == f"day{day}").withColumn("day", F.lit(day).cast("bigint")).withColumn(
+        "added", F.col("schema_diff.added"))
+
+
+def run_incidents(store: IngestStore, day: int) -> DataFrame:
+    """Incidents of one ingested day that its audit records alone tell, with their root cause."""
+    audit = _audit_of(store, day)
+    no_checks = audit.sparkSession.createDataFrame([], "day bigint, check_name string, passed boolean")
+    no_findings = audit.sparkSession.createDataFrame([], "day bigint, overpaid_orders bigint, unpaid_orders bigint")
+    return monitor.root_causes(monitor.incidents(audit, no_checks), audit, no_findings)
+
+
 def day_incidents(store: IngestStore, payments: DataFrame, day: int) -> DataFrame:
     """Incidents of one ingested day with their root cause, from its audit records and checks."""
-    audit = store.audit.read().filter(F.col("label") == f"day{day}").withColumn("day", F.lit(day).cast("bigint"))
+    audit = _audit_of(store, day)
     verdicts, findings = day_checks(store, payments, day)
-    found = monitor.incidents(audit.withColumn("added", F.col("schema_diff.added")), verdicts)
+    found = monitor.incidents(audit, verdicts)
     return monitor.root_causes(found, audit, findings)

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from tidegate.operators import contracts, ingest, inject, reconcile
+from tidegate.operators import contracts, ingest, inject, monitor, reconcile
 from tidegate.plans import gaming, ledger
-from tidegate.plans.ingest_queries import full_days, two_days
+from tidegate.plans.ingest_queries import EXTRACTS, extract, full_days, new_store, two_days
 from tidegate.plans.present import plain
 from tidegate.session import scratch_path, stage
 from tidegate.sources import derived
-from tidegate.sources.partitioned import AppendLog
-from tidegate.sources.specs import ORDER_LINES, ORDERS, PAYMENTS
+from tidegate.sources.partitioned import YEAR, AppendLog, Landing
+from tidegate.sources.specs import LEDGER, ORDER_LINES, ORDERS, PAYMENTS
 from tidegate.sources.tables import table
 
 
@@ -133,11 +133,49 @@ def parity_mismatch(spark, sf_dir):
     return reconcile.parity(spark, WRONG_TOTALS, REFERENCE_TOTALS, orders=table(spark, sf_dir, "orders"))
 
 
+ORDERED = "SELECT o_orderkey, o_custkey, o_totalprice FROM {orders} WHERE o_orderkey % 3 = 0"
+LOST = "SELECT o_orderkey, o_custkey, if(o_orderkey % 50 = 0, 0, o_totalprice) AS o_totalprice FROM {orders} WHERE o_orderkey % 3 = 0"
+
+
+def parity_ordered(spark, sf_dir):
+    """Equal rows in the same order, equal rows in another one, other rows, and the same without an order."""
+    orders = table(spark, sf_dir, "orders")
+    key, back, price = ["o_orderkey"], ["-o_orderkey"], ["-o_totalprice", "o_orderkey"]
+    cases = (("same_order", ORDERED, (key, key)), ("reversed", ORDERED, (back, key)), ("by_price", ORDERED, (price, price)),
+             ("other_rows", LOST, (key, key)), ("no_order", ORDERED, None))
+    rows = [reconcile.compare_queries(spark, sql, ORDERED, order, orders=orders).verdict().withColumn("case", F.lit(name))
+            for name, sql, order in cases]
+    whole = rows[0]
+    for more in rows[1:]:
+        whole = whole.unionByName(more)
+    return whole
+
+
+def parity_samples(spark, sf_dir):
+    """The first rows of each direction where a report loses some orders."""
+    found = reconcile.compare_queries(spark, WRONG_TOTALS, REFERENCE_TOTALS, orders=table(spark, sf_dir, "orders")).samples(5)
+    return found.select("direction", F.col("row")[0].alias("customer"), F.col("row")[1].alias("total"), "copies")
+
+
+def parity_error(spark, sf_dir):
+    """Queries that cannot be read, name no column, or fail on a value."""
+    orders = table(spark, sf_dir, "orders")
+    cases = (("unreadable", "SELEC o_custkey FROM {orders}"), ("unknown_column", "SELECT nowhere, 1 FROM {orders}"),
+             ("division", "SELECT o_custkey, sum(1 div (o_orderkey - o_orderkey)) FROM {orders} GROUP BY o_custkey"),
+             ("cast", "SELECT o_custkey, cast(o_orderpriority AS int) FROM {orders}"),
+             ("fewer_columns", "SELECT o_custkey FROM {orders}"))
+    rows = [reconcile.compare_queries(spark, sql, REFERENCE_TOTALS, orders=orders).verdict().select(F.lit(name).alias("case"), "status", "rows_compared")
+            for name, sql in cases]
+    whole = rows[0]
+    for more in rows[1:]:
+        whole = whole.unionByName(more)
+    return whole
+
+
 def table_digest(spark, sf_dir):
     """Digest of the orders, and of the orders in another order and partitioning."""
-    # A double has no text that two engines agree on; a decimal has.
-    orders = table(spark, sf_dir, "orders").withColumns({
-        "o_totalprice": F.col("o_totalprice").cast("decimal(24,6)"), "o_orderdate": F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss.SSSSSS")})
+    # A double enters as the shortest text that gives it back, so a change in any of its bits shows.
+    orders = table(spark, sf_dir, "orders").withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
     moved = orders.repartition("o_custkey")
     return reconcile.table_digest(orders).withColumn("copy", F.lit("as_read")).unionByName(
         reconcile.table_digest(moved).withColumn("copy", F.lit("shuffled")))
@@ -149,7 +187,7 @@ def duplicate_key_check(spark, sf_dir):
 
 def detection_recall(spark, sf_dir):
     """Planted faults by defect, and how many of them the checks report."""
-    orders = derived.order_extract(spark, sf_dir, derived.FIRST_DAY)
+    orders = derived.order_extract(spark, sf_dir, derived.SECOND_DAY)
     lines = derived.line_extract(spark, sf_dir, derived.SECOND_DAY)
     number = F.expr("try_cast(order_id AS bigint)")
     bad_price = inject.overwrite_value(
@@ -220,6 +258,50 @@ def reconcile_runs(spark, sf_dir):
                              .alias("new_rows"), F.lit(blocked).alias("second_blocked"))
 
 
+def check_lookup(spark, sf_dir):
+    """The newest report of each check after several runs of two checks."""
+    new, legacy = _reports(spark, sf_dir)
+    report = stage(new, "report")
+    log = AppendLog(spark, scratch_path(spark, "recon-runs"), reconcile.RUN_DDL)
+    summaries = {"same": reconcile.reconcile(report, legacy, *_REPORT).summary(),
+                 "changed": reconcile.reconcile(report, _changed_report(report), *_REPORT).summary()}
+    for check, run_id, which in (("retail", "1", "same"), ("retail", "2", "changed"), ("monthly", "1", "changed"), ("monthly", "2", "same")):
+        log.append(reconcile.run_record(summaries[which], check, run_id), f"{check}~{run_id}")
+    found = monitor.newest_reports(log.read())
+    return found.select("check_name", "runs", "failed", "run_id", "passed", F.get_json_object("report", "$.value_mismatches").cast("bigint")
+                        .alias("value_mismatches"))
+
+
+def _landed(spark, spec, rows: DataFrame) -> Landing:
+    return Landing(spark, scratch_path(spark, "landing"), spec.cursor_column, YEAR).deliver(rows)
+
+
+def defect_incidents(spark, sf_dir):
+    """A source that delivers nothing new, a column that goes, and one that comes, each as the incident of its run."""
+    store = new_store(spark)
+    second = {s.dataset_id: EXTRACTS[s.dataset_id](spark, sf_dir, derived.SECOND_DAY) for s in LEDGER}
+    faulty = {ORDERS.dataset_id: inject.stale_extract(second[ORDERS.dataset_id], "updated_at", "1999-06-01"),
+              ORDER_LINES.dataset_id: inject.removed_column(second[ORDER_LINES.dataset_id], "unit_price"),
+              PAYMENTS.dataset_id: inject.added_column(second[PAYMENTS.dataset_id].filter("amount <> 'N/A'"), "currency", "EUR")}
+    ingest.run_day(LEDGER, {s.dataset_id: extract(spark, sf_dir, s, derived.FIRST_DAY) for s in LEDGER}, store, "day1")
+    ingest.run_day(LEDGER, {s.dataset_id: _landed(spark, s, faulty[s.dataset_id]) for s in LEDGER}, store, "day2")
+    return ledger.run_incidents(store, 2).select("incident_key", "trigger", "dataset_id", "status", "failure_code", "root_cause")
+
+
+def late_arrival_recall(spark, sf_dir):
+    """New payments of the second day stamped long before the read window, and how many of them the accounting finds."""
+    store = new_store(spark)
+    ingest.run_ingestion(PAYMENTS, extract(spark, sf_dir, PAYMENTS, derived.FIRST_DAY), store, "day1")
+    second = derived.payment_extract(spark, sf_dir, derived.SECOND_DAY)
+    where = (F.col("updated_at") > derived.FIRST_DAY) & (F.col("payment_id").cast("bigint") % 11 == 0)
+    made = inject.late_arrivals(second, ["payment_id"], where, "updated_at", "1990-01-01 00:00:00")
+    ingest.run_ingestion(PAYMENTS, _landed(spark, PAYMENTS, made.rows), store, "day2")
+    rows = ingest.row_accounting(PAYMENTS, made.rows, store.table(PAYMENTS), store.quarantine.read())
+    unread = rows.filter(F.col("outcome") == ingest.NEVER_READ).select(
+        F.lit("late_arrival").alias("defect"), F.get_json_object("raw", "$.payment_id").alias("key"))
+    return inject.recall(made.labels, unread)
+
+
 def restore_target(spark, sf_dir):
     """Typed orders saved as JSON lines and restored through their contract."""
     path = scratch_path(spark, "saved")
@@ -236,6 +318,7 @@ def day_incidents(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    payment_recall, reconcile_runs, restore_target, day_incidents, order_totals, gold_daily_revenue, daily_payments, reconcile_retail, reconcile_keyed, recon_samples,
+    payment_recall, reconcile_runs, check_lookup, defect_incidents, late_arrival_recall, restore_target, day_incidents, parity_ordered, parity_samples, parity_error,
+     order_totals, gold_daily_revenue, daily_payments, reconcile_retail, reconcile_keyed, recon_samples,
     reconcile_injected, source_to_target, payments_vs_orders, payment_findings, orphan_payments, parity_match,
     parity_mismatch, table_digest, duplicate_key_check, detection_recall)}

@@ -20,7 +20,6 @@ class _Collector(StreamingQueryListener):
 
     def __init__(self, name: str):
         self.name, self.batches, self.ended = name, {}, threading.Event()
-        self._queries: set[str] = set()
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -28,7 +27,6 @@ class _Collector(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         counted = event.progress.observedMetrics.get(self.name)
         if counted is not None:
-            self._queries.add(str(event.progress.runId))
             self.batches[event.progress.batchId] = counted.asDict()
 
     def onQueryIdle(self, event) -> None:
