@@ -1,6 +1,6 @@
 """Oracles of the policy, monitoring, routing and evidence queries."""
 
-from oracles.inputs import GAMING, RETAIL, with_ctes
+from oracles.inputs import CAMPAIGNS, GAMING, LEADS, OPS_EVENTS, RETAIL, WEB_EVENTS, with_ctes
 from tidegate.functions.runbooks import NO_RUNBOOK, RUNBOOK
 
 MARKER = "CANARY-7f3a9c2e"
@@ -108,25 +108,34 @@ judged AS (
   FROM payloads q LEFT JOIN payloads a ON a.approval_id = q.approval_id AND a.event = 'recovery_approved' AND a.seq < q.seq
   WHERE q.event = 'recovery_requested' QUALIFY row_number() OVER (PARTITION BY q.seq ORDER BY a.seq DESC NULLS LAST) = 1)"""
 
-RECORDS = """
+RECORDS = ",".join(p.strip("\n") for p in (CAMPAIGNS, LEADS, WEB_EVENTS, OPS_EVENTS)) + """,
+delivered AS (
+  SELECT 'leads' AS source, created_ts AS moment, reasons FROM leads_coded
+  UNION ALL SELECT 'ops_events', event_ts, reasons FROM ops_coded UNION ALL SELECT 'web_events', event_ts, reasons FROM web_coded),
+hourly AS (
+  SELECT source, CAST(date_diff('day', DATE '1970-01-01', CAST(moment AS DATE)) AS BIGINT) * 24 + hour(moment) AS id, count(*) AS total,
+         count(CASE WHEN reasons <> '' THEN 1 END) AS bad, count(CASE WHEN reasons LIKE '%duplicate_%' THEN 1 END) AS again
+  FROM delivered GROUP BY 1, 2),
+per_source AS (SELECT *, CASE WHEN total >= 3 THEN bad <= total * 0.25 END AS sgp, again = 0 AS scons FROM hourly),
+hours AS (
+  SELECT id, CAST(sum(total) AS BIGINT) AS total, CAST(sum(bad) AS BIGINT) AS bad, CAST(sum(again) AS BIGINT) AS again, count(*) AS n,
+         bool_or(sgp = false) AS any_failed, bool_or(NOT scons) AS any_lost, bool_and(coalesce(sgp, false) AND scons) AS all_well,
+         bool_and(coalesce(sgp, false)) AS all_gates FROM per_source GROUP BY 1),
 rec AS (
-  SELECT event_id AS id, CASE event_id % 6 WHEN 0 THEN false WHEN 1 THEN true WHEN 2 THEN true END AS gp,
-         CASE WHEN event_id % 7 = 0 THEN false WHEN event_id % 7 <= 4 THEN true END AS cons,
-         CASE event_id % 5 WHEN 0 THEN true WHEN 1 THEN false END AS pas,
-         CASE WHEN event_id % 4 IN (0, 1) THEN true ELSE false END AS has_sources,
-         CASE event_id % 3 WHEN 0 THEN false WHEN 1 THEN true END AS sgp, event_id % 11 <> 0 AS scons,
-         event_id % 29 = 0 AS instr, event_id % 31 = 0 AS canary,
-         CASE event_id % 9 WHEN 2 THEN 'data_quality' WHEN 3 THEN 'unknown' WHEN 4 THEN 'nonsense'
+  SELECT id, CASE WHEN total >= 10 THEN bad <= total * 0.25 END AS gp, CASE WHEN total >= 5 THEN again = 0 END AS cons,
+         CASE WHEN n = 3 THEN all_gates END AS pas, n > 1 AS has_sources, coalesce(any_failed, false) AS any_failed, any_lost, all_well,
+         bad % 5 = 4 AS instr, bad % 11 = 10 AS canary,
+         CASE total % 9 WHEN 2 THEN 'data_quality' WHEN 3 THEN 'unknown' WHEN 4 THEN 'nonsense'
               WHEN 5 THEN 'sensitive_data' WHEN 6 THEN NULL ELSE 'healthy' END AS l1,
-         event_id % 10 >= 8 AS sure1, event_id % 23 = 0 AS e1,
-         CASE event_id % 8 WHEN 0 THEN 'data_quality' WHEN 1 THEN 'unknown' WHEN 2 THEN 'suspicious_instruction'
-              ELSE 'healthy' END AS l2, event_id % 37 = 0 AS e2,
-         CASE event_id % 4 WHEN 0 THEN 'data_quality' WHEN 1 THEN 'sensitive_data' ELSE 'healthy' END AS expected_label,
-         event_id % 6 = 0 AS severe FROM events),
+         total % 10 >= 8 AS sure1, total % 23 = 0 AS e1,
+         CASE bad % 8 WHEN 0 THEN 'data_quality' WHEN 1 THEN 'unknown' WHEN 2 THEN 'suspicious_instruction'
+              ELSE 'healthy' END AS l2, total % 37 = 0 AS e2,
+         CASE WHEN bad % 11 = 10 THEN 'sensitive_data' WHEN bad > total * 0.25 OR again > 0 THEN 'data_quality' ELSE 'healthy' END AS expected_label,
+         bad > total * 0.25 AS severe FROM hours),
 sig AS (
   SELECT *, concat_ws(',', CASE WHEN gp = false THEN 'gate_failed' END, CASE WHEN cons = false THEN 'not_conserved' END,
-           CASE WHEN pas = false THEN 'run_failed' END, CASE WHEN has_sources AND sgp = false THEN 'source_gate_failed' END,
-           CASE WHEN has_sources AND scons = false THEN 'source_not_conserved' END) AS signals,
+           CASE WHEN pas = false THEN 'run_failed' END, CASE WHEN has_sources AND any_failed THEN 'source_gate_failed' END,
+           CASE WHEN has_sources AND any_lost THEN 'source_not_conserved' END) AS signals,
          gp IS NOT NULL OR cons IS NOT NULL OR pas IS NOT NULL OR has_sources AS known FROM rec)"""
 
 ROUTES = RECORDS + """,
@@ -145,7 +154,7 @@ s3 AS (
   SELECT *, CASE
       WHEN plain_rules THEN CASE
         WHEN sev = 'instruction_in_evidence' THEN 'suspicious_instruction' WHEN sev <> '' THEN 'data_quality'
-        WHEN gp AND cons THEN 'healthy' WHEN pas AND has_sources AND sgp AND scons THEN 'healthy' ELSE 'unknown' END
+        WHEN gp AND cons THEN 'healthy' WHEN pas AND has_sources AND all_well THEN 'healthy' ELSE 'unknown' END
       WHEN first_used THEN l1 WHEN c2 IS NULL THEN l2 ELSE 'unknown' END AS lab,
     CASE WHEN plain_rules THEN '' WHEN first_used THEN 'classifier'
          WHEN strategy = 'rules_plus_classifier' THEN 'classifier,reasoning' ELSE 'reasoning' END AS asked,

@@ -8,7 +8,7 @@ from tidegate.functions import nested
 from tidegate.functions.runbooks import NO_RUNBOOK, RUNBOOK
 from tidegate.operators import evaluate, evidence, monitor, policy, scripts
 from tidegate.operators.ordering import position_in_group
-from tidegate.plans import gaming
+from tidegate.plans import gaming, routing
 from tidegate.plans.present import joined, plain
 from tidegate.session import scratch_path, stage
 from tidegate.sources import records
@@ -125,12 +125,12 @@ def evaluation_summary(spark, sf_dir):
 
 
 def rule_signals(spark, sf_dir):
-    rows = records.routing_records(spark, sf_dir)
+    rows = routing.routing_records(spark, sf_dir)
     return rows.select("id", joined(monitor.rule_signals()).alias("signals"), monitor.recognized().alias("known_shape"))
 
 
 def _routed(spark, sf_dir) -> DataFrame:
-    rows = records.routing_records(spark, sf_dir)
+    rows = stage(routing.routing_records(spark, sf_dir), "routing-records")
     routed = [monitor.route(rows, s) for s in monitor.STRATEGIES]
     routed.append(monitor.route(rows, "rules_only", instruction_rule=False)
                   .withColumn("strategy", F.lit("rules_only_without_instruction_rule")))
