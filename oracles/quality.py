@@ -109,6 +109,12 @@ SELECT source, CASE WHEN CAST(quarantined AS DOUBLE) / total <= 0.1 THEN ''
     "gated_publish": with_ctes(CAMPAIGNS, LEADS, PERFORMANCE) + """
 SELECT campaign_id, CAST(budget AS DOUBLE) AS budget, lead_count, won_count, CAST(1 AS BIGINT) AS version,
        true AS second_withheld FROM performance""",
+    "evidence_refused": with_ctes(*ALL_SOURCES) + """
+SELECT v.passed, CASE WHEN v.passed THEN '' ELSE 'canary marker after redaction' END AS problems, (SELECT count(*) FROM status) AS sources
+FROM (VALUES (true), (false)) v(passed)""",
+    "silver_clients": """
+SELECT CAST(n_nationkey AS BIGINT) AS client_id, n_name AS client_name, CASE WHEN n_regionkey < 2 THEN 'gold' ELSE 'standard' END AS tier
+FROM nation""",
     "evidence_log": with_ctes(*ALL_SOURCES) + """
 SELECT bool_and(CAST(quarantined AS DOUBLE) / total <= 0.1) OVER () AS passed,
        count(CASE WHEN CAST(quarantined AS DOUBLE) / total > 0.1 THEN 1 END) OVER () AS problem_count,

@@ -202,29 +202,33 @@ def test_injected_faults_carry_labels(spark):
 
 # -- risk and policy ---------------------------------------------------------------
 
-def test_player_day_and_spike_history(spark):
-    at = lambda d: dt.datetime(2026, 1, d)
-    wagers = spark.createDataFrame([(1, Decimal("10.00"), Decimal("4.00"), at(1))],
-                                   "player_id bigint, stake decimal(18,2), payout decimal(18,2), wager_ts timestamp_ntz")
-    sessions = spark.createDataFrame([(1, at(1), 30), (2, at(1), 240)],
+def test_player_days_and_the_limits_of_each_rule(spark):
+    at = lambda d, h=9: dt.datetime(2025, 3, d, h)
+    money = lambda *texts: [Decimal(t) for t in texts]
+    stakes = [(7, *money("31.25", "0.00"), at(2)), (7, *money("8.75", "52.50"), at(2, 20)), (9, *money("1.00", "0.99"), at(4))]
+    wagers = spark.createDataFrame(stakes, "player_id bigint, stake decimal(18,2), payout decimal(18,2), wager_ts timestamp_ntz")
+    sessions = spark.createDataFrame([(7, at(2), 41), (7, at(2, 21), 17), (8, at(3), 239), (9, at(4), 240)],
                                      "player_id bigint, start_ts timestamp_ntz, duration_minutes bigint")
 
-    def flags(totals):
-        deposits = spark.createDataFrame([(1, Decimal(t), at(i + 1)) for i, t in enumerate(totals)],
+    def judged(*totals):
+        deposits = spark.createDataFrame([(7, Decimal(t), at(10 + i)) for i, t in enumerate(totals)],
                                          "player_id bigint, amount decimal(18,2), deposit_ts timestamp_ntz")
         daily = risk.player_daily(wagers, deposits, sessions)
-        players = spark.createDataFrame([(1, True), (2, None), (3, False)], "player_id bigint, self_excluded boolean")
+        players = spark.createDataFrame([(7, False), (8, True), (9, True), (11, None)], "player_id bigint, self_excluded boolean")
         return daily, {r["player_id"]: r for r in risk.player_flags(players, daily).collect()}
 
-    daily, four = flags(["10", "10", "10", "1000"])
-    first = daily.filter("player_id = 1 AND activity_date = '2026-01-01'").first()
-    assert (first["net_loss"], first["deposit_count"], first["session_minutes"]) == (Decimal("6.00"), 1, 30)
-    assert not four[1]["flag_deposit_spike"]
-    _, five = flags(["10", "10", "10", "1000", "10"])
-    assert five[1]["flag_deposit_spike"] and five[1]["flag_self_exclusion_breach"] and five[1]["risk_level"] == "high"
-    assert (five[2]["flag_long_session"], five[2]["flag_self_exclusion_breach"], five[2]["risk_level"]) == (
-        True, False, "medium")
-    assert (five[3]["risk_level"], five[3]["explanation"]) == ("low", "no rule triggered")
+    daily, rows = judged("25.00", "25.00", "25.00", "25.00", "75.00")
+    day = daily.filter("player_id = 7 AND activity_date = '2025-03-02'").first()
+    assert (day["total_stake"], day["net_loss"], day["session_minutes"], day["longest_session"], day["wager_count"]) == (
+        Decimal("40.00"), Decimal("-12.50"), 58, 41, 2)
+    assert (rows[7]["risk_level"], rows[7]["explanation"]) == ("low", "no rule triggered")  # exactly three times is no spike
+    assert rows[8]["risk_level"] == "low" and not rows[8]["flag_long_session"]  # 239 minutes, and excluded without a wager
+    assert rows[9]["flag_long_session"] and rows[9]["flag_self_exclusion_breach"] and rows[9]["risk_level"] == "high"
+    assert rows[9]["explanation"].count("; ") == 1 and rows[11]["risk_level"] == "low"
+    _, rows = judged("25.00", "25.00", "25.00", "25.00", "75.01")
+    assert (rows[7]["flag_deposit_spike"], rows[7]["risk_level"]) == (True, "medium")
+    _, rows = judged("25.00", "25.00", "25.00", "900.00")  # one day of history too few
+    assert not rows[7]["flag_deposit_spike"]
 
 
 def test_policy_views(spark):

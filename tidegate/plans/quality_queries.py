@@ -313,9 +313,27 @@ def evidence_log(spark, sf_dir):
         "accepted_rows", "quarantined_rows", "quarantine_rate")
 
 
+def evidence_refused(spark, sf_dir):
+    """The log row of a run whose problems hold a marker: redacted, and failed whatever the gate said."""
+    started = int(time.time() * 1000) - 1000
+    status = stage(marketing.run_batch(spark, sf_dir).status(threshold=0.5), "status")
+    record = gate.evidence_record(status, gate.verdict(status, started), started)
+    marked = record.withColumn("sources", F.transform("sources", lambda s: s.withField("source", F.concat(
+        s["source"], F.when(s["quarantined"] > 0, F.lit(f" {evidence.CANARY_MARKER}")).otherwise(F.lit(""))))))
+    log = AppendLog(spark, scratch_path(spark, "evidence"), gate.EVIDENCE_SCHEMA)
+    log.append(evidence.gate_and_redact(record), "clean")
+    log.append(evidence.gate_and_redact(marked), "marked")
+    return log.read().select("passed", joined("problems").alias("problems"), F.size("sources").cast("bigint").alias("sources"))
+
+
+def silver_clients(spark, sf_dir):
+    """The clients dimension: the newest version of each, its name trimmed."""
+    return marketing.clients_clean(spark, sf_dir).select("client_id", "client_name", "tier")
+
+
 QUERIES = {f.__name__: f for f in (
     bronze_stream_land, bronze_row_id, silver_trim, silver_typed, expect_drop, expect_all, expect_fail,
     expect_metrics, expect_stream, dedup_by_key, scd1_stream, scd1_orders_stream, dq_leads, dq_web_events, dq_ops_events,
     quarantine_leads, quarantine_web_events, quarantine_ops_events, expect_stream_metrics, first_case_per_defect, dq_rate,
-    sources_lookup, dq_conservation, quality_metrics, gate_status, gate_verdict, gated_publish, evidence_log)}
+    sources_lookup, dq_conservation, quality_metrics, gate_status, gate_verdict, gated_publish, evidence_log, evidence_refused, silver_clients)}
 QUERIES["latest_per_key"] = latest_per_key_query
