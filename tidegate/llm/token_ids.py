@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import batched, chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,8 @@ from tidegate.llm.common import stage
 
 END_ID = 2
 SHARD_TOKENS = 1 << 20
-CACHE_WORDS = 600_000
+CACHE_WORDS = 1_200_000
+JOINED = 256  # pieces encoded side by side in one call
 SHARDS = "part int, shard int, part_start bigint, first_doc_id bigint, doc_ids binary, null_ids binary, n_docs bigint, n_tokens bigint, image binary"
 _CODERS: dict[str, PieceCoder] = {}
 
@@ -47,6 +49,10 @@ class PieceCoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        names = self.tokenizer.get_vocab(with_added_tokens=True)
+        # A character of a byte-level name stands for one byte.
+        self.name_bytes = np.zeros(max(names.values()) + 1, np.int64)
+        self.name_bytes[list(names.values())] = [len(name) for name in names]
         self._clear()
 
     def _clear(self) -> None:
@@ -58,13 +64,26 @@ class PieceCoder:
     def _library(self, pieces: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
-    def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
-        found = self._library(pieces)
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for ids in found for i in ids), np.uint32, int(lengths.sum()))
-        slots = np.arange(len(self.bounds) - 1, len(self.bounds) - 1 + len(found))
-        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + lengths.cumsum()])
-        self.ids = np.concatenate([self.ids, flat])
+    def _side_by_side(self, pieces: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids per piece) of pieces that stand alone, many to a call and cut apart by their bytes."""
+        found = self._library(["".join(group) for group in batched(pieces, JOINED)])
+        ids = np.fromiter(chain.from_iterable(found), np.uint32, sum(map(len, found)))
+        ends, wanted = self.name_bytes[ids].cumsum(), sizes.cumsum()
+        last = np.searchsorted(ends, wanted)
+        if len(pieces) and (last[-1] != len(ends) - 1 or not np.array_equal(ends[last], wanted)):
+            raise ValueError("a token reaches across words")
+        return ids, np.diff(last, prepend=-1)
+
+    def _learn(self, keys: np.ndarray, pieces: list[str], sizes: np.ndarray, alone: np.ndarray) -> None:
+        """Remember new pieces; `alone` marks those of one space and a word, which the pre-tokeniser always cuts before."""
+        own, rest = np.flatnonzero(alone), np.flatnonzero(~alone)
+        ids, lengths = self._side_by_side([pieces[i] for i in own], sizes[own])
+        others = self._library([pieces[i] for i in rest])
+        more = np.fromiter(map(len, others), np.int64, len(others))
+        slots = np.empty(len(pieces), np.int64)
+        slots[np.concatenate([own, rest])] = len(self.bounds) - 1 + np.arange(len(pieces))
+        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.concatenate([lengths, more]).cumsum()])
+        self.ids = np.concatenate([self.ids, ids, np.fromiter(chain.from_iterable(others), np.uint32, int(more.sum()))])
         at = np.searchsorted(self.keys, keys)
         self.keys, self.order = np.insert(self.keys, at, keys), np.insert(self.order, at, slots)
 
@@ -136,7 +155,10 @@ class PieceCoder:
         if not known.all():
             raw = texts.data.tobytes()
             new = first[~known]
-            self._learn(unique[~known], [raw[a:b].decode("utf-8", "replace") for a, b in zip(starts[new], stops[new])])
+            begin, end, data = starts[new], stops[new], texts.data
+            second = data[np.minimum(begin + 1, len(data) - 1)]
+            alone = (data[begin] == 0x20) & (end - begin > 1) & ~_ASCII_SPACE[second] & ~rare[owner[new]]
+            self._learn(unique[~known], [raw[a:b].decode("utf-8", "replace") for a, b in zip(begin, end)], end - begin, alone)
             at = np.searchsorted(self.keys, unique)
         slots = self.order[at][inverse]
         lengths = self.bounds[slots + 1] - self.bounds[slots]
