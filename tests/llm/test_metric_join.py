@@ -71,6 +71,15 @@ def test_odd_rows(odd_docs, no_docs):
     assert metric_join.keep_one(no_docs).collect() == []
 
 
+def test_rows_that_share_an_id_are_judged_by_their_texts(shipped):
+    texts = ["the first text of three that differ altogether", "a second one that has nothing in common with it",
+             "and some third words which nobody else has written", "A second one that has NOTHING in common with it"]
+    rows = [(1, texts[0]), (1, texts[1]), (2, texts[2]), (None, texts[3]), (None, texts[2]), (1, texts[0]), (None, None), (None, None), (7, "")]
+    kept = metric_join.keep_one(shipped.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept if r.text) == [("1", texts[1]), ("1", texts[0]), ("2", texts[2])]
+    assert sorted(str(r.doc_id) for r in kept if not r.text) == ["7", "None"]
+
+
 def test_sets_equal_brute_force(random_docs):
     column = [t for _, t in random_docs] + ["", " ", "a", "a a a a a a", "b " * 300]
     for a, b, piece in shingles.pieces(pa.array(column)):

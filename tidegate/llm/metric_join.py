@@ -543,13 +543,18 @@ def jaccard_links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, D
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The rows of `docs` with one document of each class: the one with the least doc_id.
+    """The rows of `docs` with one row of each group of near copies: the one with the least doc_id, if any has one.
 
-    Documents without words and rows with a null doc_id stay; of several rows with one doc_id one stays.
+    Rows are known by a hash of their doc_id and text, so rows that share a doc_id or have none are judged by their own
+    texts. Of equal rows one stays. Rows without words are near copies of nothing but their equal rows.
     """
-    classes = jaccard_classes(docs, percent)
-    kept = classes.filter("doc_id = component_id").select(F.col("doc_id").alias("id")).distinct()
-    number = fresh_name(docs, "_number")
-    whole = docs.join(kept, docs["doc_id"] == kept["id"], "left_semi").withColumn(
-        number, F.row_number().over(Window.partitionBy("doc_id").orderBy("text")))
-    return whole.filter(F.col(number) == 1).drop(number).unionByName(docs.filter("doc_id IS NULL"))
+    number, place = fresh_name(docs, "_row"), fresh_name(docs, "_place")
+    numbered = docs.withColumn(number, F.xxhash64("doc_id", "text"))
+    groups = jaccard_classes(numbered.select(F.col(number).alias("doc_id"), "text"), percent).select(
+        F.col("doc_id").alias("row"), F.col("component_id").alias("group")).distinct()
+    ids = numbered.select(F.col(number).alias("row"), F.col("doc_id").alias("id")).distinct()
+    least = groups.join(ids, "row").groupBy("group").agg(F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("least"))
+    kept = least.select(F.col("least.row").alias("row"))
+    whole = numbered.join(kept, numbered[number] == kept["row"], "left_semi")
+    equal = Window.partitionBy(number, "doc_id", "text").orderBy(F.lit(0))
+    return whole.withColumn(place, F.row_number().over(equal)).filter(F.col(place) == 1).drop(number, place)
