@@ -62,6 +62,33 @@ def _spans(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - counts), counts)
 
 
+class Words:
+    """Words as spans of an array of code points, so that thousands of them become a matrix without loops over strings."""
+
+    def __init__(self, codes: np.ndarray, begins: np.ndarray, lengths: np.ndarray):
+        self.codes, self.begins, self.lengths = codes, begins, lengths
+
+    @classmethod
+    def of(cls, words: list[str]) -> Words:
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        return cls(np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4"), lengths.cumsum() - lengths, lengths)
+
+    def __len__(self) -> int:
+        return len(self.begins)
+
+    def take(self, at: np.ndarray) -> Words:
+        return Words(self.codes, self.begins[at], self.lengths[at])
+
+    def text(self, i: int) -> str:
+        return self.codes[self.begins[i]:self.begins[i] + self.lengths[i]].tobytes().decode("utf-32-le", "surrogatepass")
+
+    def matrix(self, rows: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """(code points of the given words, where they are inside their word), `width` to a row."""
+        inside = np.arange(width) < self.lengths[rows, None]
+        at = np.minimum(self.begins[rows, None] + np.arange(width), max(len(self.codes) - 1, 0))
+        return self.codes[at], inside
+
+
 class Codec:
     """`variants`, if given, bounds the draws of a word to so many; without it every occurrence has its own."""
 
@@ -203,19 +230,19 @@ class Codec:
                 rank[r, c], made[r, c] = self._candidates(symbols[r, c], symbols[r, c + 1], place[r, c], None if salts is None else salts[r])
         return out
 
-    def _cut(self, words: list[str], word: np.ndarray, variants: np.ndarray | None, traced: bool = False) -> tuple[np.ndarray, ...]:
+    def _cut(self, words: Words, word: np.ndarray, variants: np.ndarray | None, traced: bool = False) -> tuple[np.ndarray, ...]:
         """Ids of the occurrences `word` (indices into words), joined, and their starts and counts.
 
         With `traced` also what the draws of the merges depend on, and the occurrence of each.
         """
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        lengths = words.lengths
         salts = None if variants is None else scan.mix(_U(self.seed * _SALT[0] & _MASK) + variants.astype(_U))
         small = np.flatnonzero(lengths <= SHORT)
         width = int(lengths[small].max(initial=0))
-        codes = np.frombuffer("".join(words[i].ljust(width, "\0") for i in small).encode("utf-32-le", "surrogatepass"), "<u4")
         table = np.full((len(words), width), -2, np.int32)
-        table[small] = self.chars[codes.reshape(len(small), width)]
-        table[np.arange(width) >= lengths[:, None]] = -2
+        if width:
+            codes, inside = words.matrix(small, width)
+            table[small] = np.where(inside, self.chars[codes], -2)
         size = lengths[word]
         order = np.argsort(size, kind="stable")
         order = order[size[order] <= SHORT]
@@ -241,7 +268,7 @@ class Codec:
                 of.append(group[rows[clean[rows]]])
         for i in alone:
             made: list[int] = []
-            ids = self.segment(words[word[i]], None if variants is None else int(variants[i]), made)
+            ids = self.segment(words.text(word[i]), None if variants is None else int(variants[i]), made)
             starts[i], counts[i] = filled, len(ids)
             pool.append(np.array(ids, np.uint32))
             filled += len(ids)
@@ -251,10 +278,10 @@ class Codec:
         return np.concatenate(pool), starts, counts, np.concatenate(drawn), np.concatenate(of)
 
     def _learn(self, words: list[str], variants: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        pool, starts, counts, _, _ = self._cut(words, np.arange(len(words)), variants)
+        pool, starts, counts, _, _ = self._cut(Words.of(words), np.arange(len(words)), variants)
         return pool[_spans(starts, counts)], counts
 
-    def _learn_merges(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _learn_merges(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
         """Per word without dropout, joined: the number of ids, the ids, the low and then the high halves of its merges."""
         pool, starts, counts, drawn, of = self._cut(words, np.arange(len(words)), None, True)
         merges = np.bincount(of, minlength=len(words))
@@ -293,12 +320,11 @@ class Codec:
         if self.variants is not None:
             variant %= _U(self.variants)
         keys = scan.span_hashes(data, starts, stops)
-        raw = data.tobytes()
-
-        def words(at: np.ndarray) -> list[str]:
-            return [raw[a:b].decode("utf-8", "surrogatepass") for a, b in zip(starts[at], stops[at])]
-
-        known, sizes = self.store.lookup(keys, lambda new: self._learn_merges(words(new)))
+        # Code points before each byte.
+        before = np.concatenate([[0], ((data & 0xC0) != 0x80).cumsum()])
+        codes = np.frombuffer(data.tobytes().decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), "<u4")
+        words = Words(codes, before[starts], before[stops] - before[starts])
+        known, sizes = self.store.lookup(keys, lambda new: self._learn_merges(words.take(new)))
         begin = sizes.cumsum() - sizes
         counts = known[begin].astype(np.int64)
         begin += 1
@@ -311,7 +337,7 @@ class Codec:
             again = np.unique(np.searchsorted(merges.cumsum(), skips, "right"))
             if len(again):
                 _, first, word = np.unique(keys[again], return_index=True, return_inverse=True)
-                pool, begun, cut, _, _ = self._cut(words(again[first]), word, variant[again])
+                pool, begun, cut, _, _ = self._cut(words.take(again[first]), word, variant[again])
                 begin[again], counts[again] = len(known) + begun, cut
                 known = np.concatenate([known, pool])
         return known[_spans(begin, counts)], np.bincount(owner, counts, len(texts)).astype(np.int64)
