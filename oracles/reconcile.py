@@ -1,7 +1,7 @@
 """Oracles of the ledger, reconciliation, parity, digest and recall queries."""
 
 from oracles.ingest import DATASETS, PAYMENT_RUNS, runs, typed
-from oracles.inputs import FIRST_DAY, RETAIL, SECOND_DAY, line_extract, order_extract, payment_extract, with_ctes
+from oracles.inputs import RETAIL, SECOND_DAY, line_extract, order_extract, payment_extract, with_ctes
 
 
 def latest(dataset: str, make, through: str, short: str) -> str:

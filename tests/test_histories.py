@@ -1,6 +1,7 @@
 """State as of an event, inferred types, histories, evaluations, parity with order, stream counters, row accounting."""
 
 import datetime as dt
+import hashlib
 import json
 import random
 from decimal import Decimal
@@ -44,7 +45,7 @@ def test_values_are_carried_across_slices(spark):
 
 
 def test_requests_are_judged_as_of_their_moment(spark):
-    hash_of = lambda text: __import__("hashlib").sha256(text.encode()).hexdigest()
+    hash_of = lambda text: hashlib.sha256(text.encode()).hexdigest()
     replay, restore = monitor.RECOVERY_ACTIONS[1], monitor.RECOVERY_ACTIONS[0]
     log = [
         (1, "incident_opened", None, "i1", None, None, "first"), (2, "recovery_approved", "a1", "i1", replay, hash_of("first"), None),

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidegate.functions import nested
 from tidegate.functions.runbooks import NO_RUNBOOK, RUNBOOK
 from tidegate.operators import evaluate, evidence, monitor, policy, scripts
 from tidegate.operators.ordering import position_in_group
