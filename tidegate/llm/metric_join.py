@@ -10,10 +10,12 @@ to x shares at least least_shared(x) of its shingles, so its pivots lie in the f
 shingles of x: this window says into which regions x is copied, and no link is lost. Shingles frequent
 in the corpus come last in the order, so that crowded regions take in only sets made of little else.
 
-Regions join recursively. In a region one set becomes the pivot of all others of fitting size, and so on with
-those left over; they are compared with it. What lies near one pivot is one group already, and a group is not
-compared within itself again. Regions that still hold many groups go on by turns, each with PIVOTS other pivots; at the end all
-pairs of different groups that are left are compared, so the classes are exact after any number of turns.
+Regions join recursively. In a region the set with the fewest rarer shingles becomes the pivot of all others of fitting
+size, and so on with those left over; they are compared with it. Copies of one text differ from it by shingles of their own, which
+are rare, so the pivot of a crowd is the copy that was changed least and lies near nearly all others. What lies near one pivot is one
+group already, and a group is not compared within itself again. In regions that still hold several groups, all pairs of
+different groups are compared, so the classes are exact. A region of more than BLOCK_MEMBERS sets is cut into blocks,
+and every two blocks meet in a unit of their own, so no task holds a crowd as a whole.
 
 Links. Every link lies within a group, but not all of its pairs were compared by then. jaccard_links compares all pairs of
 different sets of a group whose sizes fit: a group is cut into blocks of ascending size, and the whole sets of two
@@ -42,7 +44,8 @@ from tidegate.llm.components import connected_components
 
 PERCENT = 80
 HOT_SHARE, HOT_LOCAL, HOT_MOST = 0.001, 4, 1 << 16
-PIVOTS, TURNS = 8, 6
+BLOCK_MEMBERS = 4096  # sets of a region compared as one unit; no result depends on it
+FULL = 255  # a bucket count that stands for itself or any larger one
 SHARDS_PER_TASK = 4  # a task holds the windows of one shard at a time
 BLOCK_SHINGLES, BLOCK_SETS, COLUMNS = 1 << 18, 256, 4096  # sets compared at a time; no result depends on them
 _U = np.uint64
@@ -60,7 +63,7 @@ def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = []
         for a, b, texts in shingles.pieces(batch.column(1)):
             sets = shingles.sets_of(texts)
-            rows = np.minimum(sets.histograms(), 65535).astype("<u2")
+            rows = np.minimum(sets.histograms(), FULL).astype(np.uint8)
             yield out(b - a, doc_id=batch.column(0).slice(a, b - a), n_shingles=pa.array(sets.sizes),
                       **{"class": pa.array(sets.class_keys().view(np.int64))},
                       buckets=pa.array([r.tobytes() for r in rows], pa.binary()))
@@ -104,10 +107,11 @@ def _regions(batches: Iterator[pa.RecordBatch], percent: int, hot: tuple[np.ndar
 
 
 def _pivots(size: np.ndarray, run: np.ndarray, percent: int) -> np.ndarray:
-    """For members sorted by (region, class key), the member each is first compared with (its own index if none).
+    """For members sorted by (region, place, class key), the member each is first compared with (its own index if none).
 
-    The least class key opens a range of fitting sizes, and so on with the members left over. Near copies
-    share most of their regions, so they mostly meet the same pivot everywhere.
+    The first opens a range of fitting sizes, and so on with the members left over. A small place says that few rarer
+    shingles come before the region's, so the pivot of near copies is the one with the fewest changes of its own. Near copies share
+    most of their regions, so they mostly meet the same pivot everywhere.
     """
     pivot = np.arange(len(size))
     left = np.arange(len(size))
@@ -126,7 +130,7 @@ def _meet(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Record
 
     def close() -> Iterator[pa.RecordBatch]:
         key, own, size, place = (np.concatenate(x) for x in zip(*held))
-        order = np.lexsort((own, key))
+        order = np.lexsort((own, place, key))
         key, own, size, place = key[order], own[order], size[order].astype(np.int64), place[order]
         fresh = np.concatenate([[True], (key[1:] != key[:-1]) | (own[1:] != own[:-1])])
         key, own, size, place = key[fresh], own[fresh], size[fresh], place[fresh]
@@ -153,136 +157,76 @@ def _meet(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Record
         yield from close()
 
 
-def _across(batches: Iterator[pa.RecordBatch], percent: int, turn: int | None) -> Iterator[pa.RecordBatch]:
-    """Pairs of members of different groups within a region, of fitting size and place; rows come sorted by region.
+def _across(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of members of different groups that may reach the similarity; rows come sorted by unit (region, low, high).
 
-    With a turn, only crowded regions speak, and their members meet PIVOTS pivots drawn for that turn. Without
-    one, rows also carry bucket counts, and every pair that is left and may reach the similarity comes out.
+    A unit holds two blocks of a region, or one block when low equals high. Sizes, places and bucket counts bound what
+    two members share.
     """
 
-    def fitting(region, own, size, place, group, buckets, left, right) -> Iterator[pa.RecordBatch]:
+    def fitting(size, place, group, block, apart, buckets, left, right) -> np.ndarray:
         low, high = np.minimum(size[left], size[right]), np.maximum(size[left], size[right])
         need = -(-percent * (low + high) // (100 + percent))
         room = np.minimum(place[left], place[right]) + np.minimum(size[left] - place[left], size[right] - place[right])
-        take = (group[left] != group[right]) & (100 * low >= percent * high) & (room >= need)
-        if turn is None:
-            at = np.flatnonzero(take)
-            for p in range(0, len(at), 1 << 14):
-                q = at[p:p + (1 << 14)]
-                take[q] = _room(buckets[left[q]], buckets[right[q]]) >= need[q]
-        if take.any():
-            pair = np.unique(np.stack([np.minimum(own[left], own[right])[take], np.maximum(own[left], own[right])[take]], 1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], ["a", "b"])
-
-    def pairs(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        if not len(rows[0]):
-            return
-        region, own, size, place, group, buckets = rows
-        start = np.flatnonzero(np.concatenate([[True], region[1:] != region[:-1]]))
-        count = np.diff(np.append(start, len(region)))
-        run = np.repeat(np.arange(len(start)), count)
-        order = np.lexsort((group, run))
-        fresh = np.concatenate([[True], (run[order][1:] != run[order][:-1]) | (group[order][1:] != group[order][:-1])])
-        each = np.diff(np.append(np.flatnonzero(fresh), len(order)))
-        apart = count * count - np.bincount(run[order][fresh], each * each, len(start)).astype(np.int64)  # twice the pairs to compare
-        chosen = apart > (2 * PIVOTS * count if turn is not None else 0)
-        keep = chosen[run]
-        if turn is None:  # ascending size: a row ends where the sizes no longer fit
-            order = np.lexsort((size, run))
-            order = order[keep[order]]
-        else:
-            order = np.lexsort((scan.mix(own.view(np.uint64) ^ scan.mix(np.full(1, turn, np.uint64))), run))
-            order = order[keep[order]]
-        rows = [x[order] for x in (region, own, size, place, group, buckets)]
-        run = run[order]
-        if turn is not None:
-            first = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]])) if len(run) else np.zeros(0, np.int64)
-            head = np.repeat(first, np.diff(np.append(first, len(run))))
-            for k in range(PIVOTS):
-                yield from fitting(*rows, np.minimum(head + k, len(run) - 1), np.arange(len(run)))
-            return
-        left, step = np.arange(len(run)), 1
+        take = (group[left] != group[right]) & (room >= need) & (~apart[left] | (block[left] != block[right]))
+        at = np.flatnonzero(take)
+        for p in range(0, len(at), 1 << 14):
+            q = at[p:p + (1 << 14)]
+            take[q] = _room(buckets[left[q]], buckets[right[q]]) >= need[q]
+        return take
+
+    def pairs(rows: list[np.ndarray], unit: np.ndarray) -> Iterator[pa.RecordBatch]:
+        _, low, high, own, size, place, group, block, buckets = rows
+        order = np.lexsort((size, unit))  # ascending size: a row ends where the sizes no longer fit
+        unit, own, size, place, group, block, buckets = (x[order] for x in (unit, own, size, place, group, block, buckets))
+        apart = (low != high)[order]
+        left, step = np.arange(len(unit)), 1
         while len(left):
-            left = left[left + step < len(run)]
-            ok = (run[left] == run[left + step]) & (100 * rows[2][left] >= percent * rows[2][left + step])
-            left = left[ok]
-            yield from fitting(*rows, left, left + step)
+            left = left[left + step < len(unit)]
+            left = left[(unit[left] == unit[left + step]) & (100 * size[left] >= percent * size[left + step])]
+            take = fitting(size, place, group, block, apart, buckets, left, left + step)
+            if take.any():
+                one, two = own[left[take]], own[left[take] + step]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two))], ["a", "b"])
             step += 1
 
     rest: list[np.ndarray] | None = None
     for batch in batches:
-        rows = [c.to_numpy(zero_copy_only=False) for c in batch.columns[:5]]
-        rows.append(_counts(batch.column(5)) if turn is None else np.zeros((batch.num_rows, 0), np.uint16))
+        if not batch.num_rows:
+            continue
+        rows = [c.to_numpy(zero_copy_only=False) for c in batch.columns[:8]] + [_counts(batch.column(8))]
         if rest is not None:
             rows = [np.concatenate(x) for x in zip(rest, rows)]
-        if not len(rows[0]):
-            continue
-        cut = int(np.searchsorted(rows[0], rows[0][-1], "left"))  # the last region may go on in the next batch
-        yield from pairs([r[:cut] for r in rows])
+        unit = np.cumsum(np.concatenate([[False], np.any([x[1:] != x[:-1] for x in rows[:3]], axis=0)]))
+        cut = int(np.searchsorted(unit, unit[-1], "left"))  # the last unit may go on in the next batch
+        if cut:
+            yield from pairs([r[:cut] for r in rows], unit[:cut])
         rest = [r[cut:] for r in rows]
     if rest is not None:
-        yield from pairs(rest)
+        yield from pairs(rest, np.zeros(len(rest[0]), np.int64))
 
 
 def _counts(column: pa.Array) -> np.ndarray:
     """Bucket counts, a row per set."""
-    return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(len(column), -1)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
 
 
 def _room(one: np.ndarray, two: np.ndarray) -> np.ndarray:
-    """The most shingles that sets with these bucket counts can share; a full bucket says nothing."""
-    most = np.minimum(one, two).sum(1, dtype=np.int64)
-    return np.where((one == 65535).any(1) | (two == 65535).any(1), np.iinfo(np.int64).max, most)
+    """The most shingles that sets with these bucket counts can share; where both fill a bucket, it says nothing."""
+    least = np.minimum(one, two)
+    return np.where((least == FULL).any(1), np.iinfo(np.int64).max, least.sum(1, dtype=np.int64))
 
 
 def _may_link(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs whose bucket counts and windows leave room for the similarity.
-
-    Of two windows, one ends first in the order of shingles; what its set shares with the other set within the
-    window is shared by both windows, and hence counted by their common regions.
-    """
+    """Pairs whose bucket counts leave room for the similarity."""
     for batch in batches:
         if not batch.num_rows:
             continue
         one, two = (batch.column(c).to_numpy(zero_copy_only=False) for c in (2, 3))
-        need = -(-percent * (one + two) // (100 + percent))
-        beyond = np.maximum(shingles.least_shared(one, percent), shingles.least_shared(two, percent)) - 1
-        keep = _room(_counts(batch.column(4)), _counts(batch.column(5))) >= need
-        sides = [_cells(batch.column(c)) for c in (6, 7)]
-        for i in np.flatnonzero(keep):
-            keep[i] = len(np.intersect1d(sides[0][i], sides[1][i], assume_unique=True)) + beyond[i] >= need[i]
+        keep = _room(_counts(batch.column(4)), _counts(batch.column(5))) >= -(-percent * (one + two) // (100 + percent))
         yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in (0, 1)], ["a", "b"])
 
 
-def _cells(column: pa.Array) -> list[np.ndarray]:
-    """The lists of a list column as arrays."""
-    values, ends = column.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))])
-    return [values[a:b] for a, b in zip(ends[:-1], ends[1:])]
-
-
-def _mixed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows of regions that hold more than one group; rows come sorted by (region, group)."""
-    rest = None
-    for batch in batches:
-        table = pa.Table.from_batches([batch] if rest is None else [*rest.to_batches(), batch])
-        region, group = (table[c].to_numpy() for c in ("region", "group"))
-        if not len(region):
-            continue
-        cut = int(np.searchsorted(region, region[-1], "left"))
-        rest = table.slice(cut)
-        yield from _mixed_part(table.slice(0, cut), region[:cut], group[:cut])
-    if rest is not None:
-        yield from _mixed_part(rest, rest["region"].to_numpy(), rest["group"].to_numpy())
-
-
-def _mixed_part(table: pa.Table, region: np.ndarray, group: np.ndarray) -> list[pa.RecordBatch]:
-    if not len(region):
-        return []
-    start = np.flatnonzero(np.concatenate([[True], region[1:] != region[:-1]]))
-    mixed = np.minimum.reduceat(group, start) != np.maximum.reduceat(group, start)
-    return table.filter(pa.array(np.repeat(mixed, np.diff(np.append(start, len(region)))))).combine_chunks().to_batches()
-
-
 def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs of texts whose whole sets reach the similarity."""
     for batch in batches:
@@ -330,12 +274,16 @@ def _wanted_rows(rows: DataFrame, wanted: DataFrame) -> DataFrame:
         run, "doc_id bigint, text string")
 
 
-def _checked(pairs: DataFrame, known: DataFrame, texts: DataFrame, percent: int, label: str) -> DataFrame:
+def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of class keys that may be links."""
+    side = lambda n: classes.select(F.col("class").alias(n), F.col("n_shingles").alias(f"n{n}"), F.col("buckets").alias(f"k{n}"))
+    near = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ka", "kb")
+    return near.mapInArrow(lambda x: _may_link(x, percent), "a bigint, b bigint")
+
+
+def _checked(near: DataFrame, texts: Callable[[DataFrame], DataFrame], percent: int, label: str) -> DataFrame:
     """The pairs (a, b) of class keys that are links."""
-    side = lambda n: known.select(F.col("class").alias(n), F.col("n_shingles").alias(f"n{n}"), F.col("buckets").alias(f"k{n}"),
-                                  F.col("regions").alias(f"r{n}"))
-    near = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ka", "kb", "ra", "rb")
-    near = stage(near.mapInArrow(lambda x: _may_link(x, percent), "a bigint, b bigint"), f"{label}-candidates")
+    near = stage(near, f"{label}-candidates")
     if near.isEmpty():
         return near
     found = stage(texts(near.select(F.explode(F.array("a", "b")).alias("class")).distinct()), f"{label}-texts")
@@ -402,37 +350,20 @@ def _grouped(docs: DataFrame, percent: int) -> _Walk:
         return held.mapInArrow(_own_text, "class bigint, text string").dropDuplicates(["class"])
 
     star = regions.filter("pivot <> class").select(F.least("pivot", "class").alias("a"), F.greatest("pivot", "class").alias("b")).distinct()
-    # The part of a window that meets other sets; sets that meet none are never compared.
-    known = stage(classes.join(regions.groupBy("class").agg(F.collect_list("region").alias("regions")), "class").select(
-        "class", "n_shingles", "buckets", "regions"), "jaccard-windows")
-    first = _checked(star, known, texts, percent, "jaccard-first")
+    first = _checked(_near(star, classes, percent), texts, percent, "jaccard-first")
     groups = _merged(classes.select("class", F.col("doc").alias("group")), first)
-    tested, columns = star, "region bigint, class bigint, size bigint, place bigint, group bigint"
-
-    def left_over() -> DataFrame:
-        """Regions that still hold several groups."""
-        rows = regions.join(groups, "class").select("region", "class", "size", "place", "group")
-        return stage(rows.repartition(shards, "region").sortWithinPartitions("region", "group").mapInArrow(_mixed, columns), "jaccard-mixed")
-
-    def meeting_pairs(rows: DataFrame, turn: int | None) -> DataFrame:
-        in_regions = rows.repartition(shards, "region").sortWithinPartitions("region")
-        pairs = in_regions.mapInArrow(lambda b: _across(b, percent, turn), "a bigint, b bigint").distinct()
-        return stage(pairs.join(tested, ["a", "b"], "left_anti"), "jaccard-pairs")
-
-    for turn in range(TURNS):
-        mixed = left_over()
-        if mixed.isEmpty():
-            break
-        pairs = meeting_pairs(mixed.withColumn("buckets", F.lit(None).cast("binary")), turn)
-        tested = tested.unionByName(pairs)
-        links = _checked(pairs, known, texts, percent, "jaccard-next")
-        groups = _merged(groups, links)
-        if links.count() * 100 <= pairs.count():  # crowds that turns no longer bring together
-            break
-    mixed = left_over()
-    rest = mixed.join(classes.select("class", "buckets"), "class").select("region", "class", "size", "place", "group", "buckets")
-    if not mixed.isEmpty():
-        groups = _merged(groups, _checked(meeting_pairs(rest, None), known, texts, percent, "jaccard-last"))
+    # Regions that still hold several groups.
+    placed = stage(regions.join(groups, "class").select("region", "class", "size", "place", "group"), "jaccard-placed")
+    mixed = placed.groupBy("region").agg(F.count("*").alias("n"), F.min("group").alias("least"), F.max("group").alias("most")).filter(
+        "least <> most").select("region", F.ceil(F.col("n") / BLOCK_MEMBERS).cast("int").alias("blocks"))
+    dealt = placed.join(mixed, "region").withColumn("block", F.pmod(F.xxhash64("class"), "blocks").cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    units = dealt.join(classes.select("class", "buckets"), "class").select(
+        "region", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+        "class", "size", "place", "group", "block", "buckets")
+    met = units.repartition(shards, "region", "low", "high").sortWithinPartitions("region", "low", "high")
+    last = met.mapInArrow(lambda b: _across(b, percent), "a bigint, b bigint").distinct()
+    groups = _merged(groups, _checked(last, texts, percent, "jaccard-last"))
     return _Walk(members.select("doc_id", "n_shingles", "class"), classes.select("class", "doc", "n_shingles"), groups, texts)
 
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from tidegate.llm import scan
 
 WIDTH = 5
-BUCKETS = 64
+BUCKETS = 256
 MOST_TEXTS = 1 << 12  # texts of one piece, so that text number and shingle fit one sort key
 _U = np.uint64
 _OTHER = _U(0x8EBC6AF09C88C6E3)
