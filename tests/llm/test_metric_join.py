@@ -52,6 +52,36 @@ def test_a_large_group_of_near_copies(shipped):
     assert classes(shipped.createDataFrame(rows, "doc_id bigint, text string")) == brute(rows)
 
 
+def crowd(n):
+    """Copies of one text of 200 words, each with up to six words of its own; copies far from each other are not linked."""
+    rng = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(n):
+        text = list(base)
+        for at in rng.choice(200, rng.integers(0, 7), replace=False):
+            text[at] = f"x{i}y{at}"
+        rows.append((i, " ".join(text)))
+    return rows
+
+
+@pytest.mark.parametrize("block", [16, 4096])
+def test_a_crowd_cut_into_blocks(shipped, monkeypatch, block):
+    monkeypatch.setattr(metric_join, "BLOCK_MEMBERS", block)
+    rows = crowd(90) + [(1000 + i, text.replace("w1 ", "v1 v2 ")) for i, text in crowd(40)]
+    assert classes(shipped.createDataFrame(rows, "doc_id bigint, text string")) == brute(rows)
+
+
+def test_pairs_of_a_doubled_crowd_about_double(shipped, monkeypatch):
+    pairs = []
+    near = metric_join._checked
+    monkeypatch.setattr(metric_join, "_checked", lambda found, *rest: (pairs.append(found.count()), near(found, *rest))[1])
+    for n in (150, 300):
+        metric_join.jaccard_classes(shipped.createDataFrame(crowd(n), "doc_id bigint, text string")).count()
+    assert sum(pairs[:2]) > 50
+    assert sum(pairs[2:]) <= 2.5 * sum(pairs[:2]), pairs
+
+
 def test_links_at_the_threshold(shipped):
     base = [f"w{i}" for i in range(44)]  # 40 shingles
     rows = [(i, " ".join(base[:44 - i])) for i in range(12)] + [(50, " ".join(base + ["more"] * 3))]

@@ -186,8 +186,10 @@ def _across(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
             left = left[(unit[left] == unit[left + step]) & (100 * size[left] >= percent * size[left + step])]
             take = fitting(size, place, group, block, apart, buckets, left, left + step)
             if take.any():
-                one, two = own[left[take]], own[left[take] + step]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two))], ["a", "b"])
+                low_end, high_end = left[take], left[take] + step
+                one, two = own[low_end], own[high_end]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two)),
+                                                  pa.array(size[low_end]), pa.array(size[high_end])], ["a", "b", "smaller", "larger"])
             step += 1
 
     rest: list[np.ndarray] | None = None
@@ -362,7 +364,12 @@ def _grouped(docs: DataFrame, percent: int) -> _Walk:
         "region", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
         "class", "size", "place", "group", "block", "buckets")
     met = units.repartition(shards, "region", "low", "high").sortWithinPartitions("region", "low", "high")
-    last = met.mapInArrow(lambda b: _across(b, percent), "a bigint, b bigint").distinct()
+    # A pair that may be a link comes once from each region of both windows. Of two windows, one ends first in the order of
+    # shingles; what its set shares with the other set within the window lies in regions of both.
+    common = met.mapInArrow(lambda b: _across(b, percent), "a bigint, b bigint, smaller bigint, larger bigint").groupBy("a", "b").agg(
+        F.count("*").alias("n"), F.first("smaller").alias("smaller"), F.first("larger").alias("larger"))
+    need, beyond = F.expr(f"({percent} * (smaller + larger) + {99 + percent}) div {100 + percent}"), F.expr(f"({percent} * larger + 99) div 100 - 1")
+    last = common.filter(F.col("n") + beyond >= need).select("a", "b")
     groups = _merged(groups, _checked(last, texts, percent, "jaccard-last"))
     return _Walk(members.select("doc_id", "n_shingles", "class"), classes.select("class", "doc", "n_shingles"), groups, texts)
 
