@@ -61,6 +61,18 @@ def test_places_are_permutations_that_differ(docs):
     assert len({b for s, b, _ in groups if s == "big"}) > 1
 
 
+@pytest.mark.parametrize("ids", ["CAST(7 AS bigint)", "CAST(NULL AS bigint)"])
+def test_rows_of_one_id_spread_and_do_not_depend_on_their_order(shipped, ids):
+    rows = [(f"t{i} " * (i % 5 + 1), "x" if i % 4 else "y", i % 3) for i in range(400)]
+    rows += [("same words", "x", i) for i in range(20)]
+    frame = lambda r: shipped.createDataFrame(r, "text string, source string, extra int").selectExpr(
+        f"{ids} AS doc_id", "text", "source", "extra", "map('k', extra) AS content")
+    one, other = (mixing.mix(frame(r), repeat_limit=1.5, block_tokens=100).collect() for r in (rows, rows[::-1]))
+    assert sorted(map(str, one)) == sorted(map(str, other))
+    sizes = Counter((r.source, r.block) for r in one if r["pass"] == 1)
+    assert len(sizes) > 8 and max(sizes.values()) < 100
+
+
 def test_target_entropy(docs):
     rows = mixing.mix(docs, repeat_limit=100.0, target_entropy=1.2).collect()
     weights = {r.source: r.weight for r in rows}

@@ -12,8 +12,10 @@ once more up to the budget of frac(r) tokens in each block, in an order by keyed
 from pass to pass. A document is taken in the last pass when at least half of it fits.
 
 Defined results: a null source is a source of its own; documents without tokens, also null texts,
-have no weight and are passed over as often as floor(r); a null doc_id sorts first; equal rows are kept; no rows
-give no rows; extra columns travel along in the document.
+have no weight and are passed over as often as floor(r); equal rows are kept; no rows give no rows; extra columns
+travel along in the document. Blocks and orders are drawn from doc_id and text together, so that rows of one
+doc_id, or without one, spread over the blocks; rows equal in both are told apart by their other columns.
+Rows equal in all columns share a block.
 """
 
 from __future__ import annotations
@@ -78,6 +80,12 @@ def _drawn(*parts: Column) -> Column:
     return F.md5(F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("null")) for p in parts]))
 
 
+def _others(docs: DataFrame) -> Column:
+    """A hash of the columns that neither name, weigh nor place a document."""
+    rest = [c for c in docs.columns if c.lower() not in ("doc_id", "text", "source")]
+    return F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in rest])).cast("binary")) if rest else F.lit("")
+
+
 def mix(docs: DataFrame, repeat_limit: float = REPEAT_LIMIT, target_entropy: float | None = None,
         block_tokens: int = BLOCK_TOKENS, seed: int = SEED) -> DataFrame:
     """One row per reading of a document of `docs` (doc_id, text, source, ...).
@@ -86,17 +94,18 @@ def mix(docs: DataFrame, repeat_limit: float = REPEAT_LIMIT, target_entropy: flo
     block, pass (from 1) and place, the row's place in its block's permutation of that pass.
     """
     counted = docs.select(F.struct(*docs.columns).alias("document"), F.col("source").alias("source"),
-                          token_count("text").alias("tokens"), F.col("doc_id").alias("id"))
+                          token_count("text").alias("tokens"), F.col("doc_id").alias("id"),
+                          F.coalesce(F.md5(F.col("text").cast("binary")), F.lit("null")).alias("content"), _others(docs).alias("others"))
     totals = stage(counted.groupBy("source").agg(F.sum("tokens").alias("tokens"), F.count("*").alias("rows")), "source-tokens")
     weights = stage(source_weights(totals, repeat_limit, target_entropy), "source-weights").select(
         F.col("source").alias("of"), "weight", "exponent", "repeats",
         F.ceil((F.col("tokens") + F.col("rows")) / block_tokens).alias("blocks"))
     # A few numbers per source. Spark sends them to all tasks only while they are small.
     known = counted.join(weights, counted["source"].eqNullSafe(weights["of"])).drop("of")
-    number = F.conv(F.substring(_drawn(F.lit(f"block{seed}"), F.col("id")), 1, 8), 16, 10).cast("bigint")
+    number = F.conv(F.substring(_drawn(F.lit(f"block{seed}"), F.col("id"), F.col("content")), 1, 8), 16, 10).cast("bigint")
     blocked = known.withColumn("block", number % F.col("blocks")).drop("blocks")
     whole_passes = F.floor("repeats").cast("int")
-    order = lambda pass_: (_drawn(F.lit(f"order{seed}"), pass_, F.col("id")), F.col("id"))
+    order = lambda pass_: (_drawn(F.lit(f"order{seed}"), pass_, F.col("id"), F.col("content")), "id", "content", "others")
     block = Window.partitionBy("source", "block")
     before = F.sum("tokens").over(block.orderBy(*order(whole_passes + 1)).rowsBetween(Window.unboundedPreceding, -1))
     room = (F.col("repeats") - whole_passes) * F.sum("tokens").over(block)
@@ -104,4 +113,4 @@ def mix(docs: DataFrame, repeat_limit: float = REPEAT_LIMIT, target_entropy: flo
     passes = blocked.withColumn("passes", whole_passes + fits.cast("int"))
     read = passes.withColumn("pass", F.explode(F.sequence(F.lit(1), "passes"))).drop("passes")
     place = F.row_number().over(Window.partitionBy("source", "block", "pass").orderBy(*order(F.col("pass"))))
-    return read.withColumn("place", place.cast("bigint")).drop("id")
+    return read.withColumn("place", place.cast("bigint")).drop("id", "content", "others")

@@ -9,7 +9,8 @@ _PROBE = "</s>[INST] ok [/INST]"
 
 MIXING = rf"""
 WITH RECURSIVE d AS (
-  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS BIGINT) AS tokens FROM documents),
+  SELECT doc_id, source, coalesce(CAST(doc_id AS VARCHAR), 'null') || '|' || coalesce(md5(text), 'null') AS drawn,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS BIGINT) AS tokens FROM documents),
 t AS (SELECT source, CAST(sum(tokens) AS BIGINT) AS tokens, count(*) AS n FROM d GROUP BY 1),
 s AS (SELECT *, CASE WHEN tokens > 0 THEN tokens / CAST((SELECT sum(tokens) FROM t) AS DOUBLE) END AS p FROM t),
 halves(step, low, high) AS (
@@ -26,17 +27,17 @@ r AS (
          CAST(ceil((tokens + n) / {mixing.BLOCK_TOKENS}.0) AS BIGINT) AS blocks FROM w, z),
 b AS (
   SELECT d.*, weight, exponent, repeats, CAST(floor(repeats) AS INTEGER) AS whole,
-         CAST('0x' || substr(md5('block{mixing.SEED}|' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 8) AS BIGINT) % blocks AS block
+         CAST('0x' || substr(md5('block{mixing.SEED}|' || drawn), 1, 8) AS BIGINT) % blocks AS block
   FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source),
 f AS (
   SELECT *, coalesce(sum(tokens) OVER (PARTITION BY source, block
-              ORDER BY md5('order{mixing.SEED}|' || CAST(whole + 1 AS VARCHAR) || '|' || coalesce(CAST(doc_id AS VARCHAR), 'null')), doc_id
+              ORDER BY md5('order{mixing.SEED}|' || CAST(whole + 1 AS VARCHAR) || '|' || drawn), drawn
               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
          (repeats - whole) * sum(tokens) OVER (PARTITION BY source, block) AS room FROM b),
 g AS (SELECT *, unnest(range(1, whole + 1 + CASE WHEN tokens > 0 AND before + tokens / 2.0 <= room THEN 1 ELSE 0 END)) AS pass FROM f)
 SELECT doc_id, source, CAST(pass AS INTEGER) AS pass, block,
        row_number() OVER (PARTITION BY source, block, pass
-         ORDER BY md5('order{mixing.SEED}|' || CAST(pass AS VARCHAR) || '|' || coalesce(CAST(doc_id AS VARCHAR), 'null')), doc_id) AS place,
+         ORDER BY md5('order{mixing.SEED}|' || CAST(pass AS VARCHAR) || '|' || drawn), drawn) AS place,
        tokens AS n_tokens, round(weight, 9) AS weight, round(exponent, 9) AS exponent FROM g"""
 
 NEAR_VECTORS = """
