@@ -63,6 +63,18 @@ def test_learning_skips_what_it_may_not_see(shipped, odd_docs):
     assert quality.learn(odd_docs, labels.limit(0)).rules == ()
 
 
+def test_repeated_ids_teach_once(shipped, monkeypatch):
+    seen = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(i, "word " * (i + 1)) for i in seen] + [(seen[0], f"many {k} rows of one id") for k in range(500)]
+    frame = lambda r: shipped.createDataFrame(r, "doc_id bigint, text string")
+    labels = shipped.createDataFrame([(i, i % 2) for i in seen], "doc_id bigint, quality int")
+    taught = []
+    monkeypatch.setattr(rules, "fit", lambda x, y: taught.append((x.tolist(), y.tolist())))
+    quality.learn(frame(rows), labels)
+    quality.learn(frame(rows[::-1]), labels)
+    assert len(taught[0][1]) == len(seen) and taught[0] == taught[1]
+
+
 def test_held_out_labels(shipped, sf_dir):
     folder = sf_dir.replace("sf0.001", "sf0.1")
     docs, labels = (shipped.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))

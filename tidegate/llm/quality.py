@@ -7,7 +7,8 @@ never statistics.
 
 Defined results: a null text is an empty one, and both are scored like any other; documents with a
 null label, several labels of one document that differ, and held-out documents teach nothing; without
-two kinds of labels every score is the smoothed share of label 1; equal rows get equal scores.
+two kinds of labels every score is the smoothed share of label 1; equal rows get equal scores; of several
+texts of one labelled doc_id the one with the least statistics teaches, so the driver gets at most FIT_ROWS rows.
 """
 
 from __future__ import annotations
@@ -117,7 +118,8 @@ def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> rules
     chosen = agreed.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     # At most fit_rows ids and labels, so the broadcast is bounded.
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    found = with_statistics(rows).select("doc_id", "quality", "_statistics").orderBy("doc_id").toPandas()
+    each = with_statistics(rows).groupBy("doc_id").agg(F.min("quality").alias("quality"), F.min("_statistics").alias("_statistics"))
+    found = each.orderBy("doc_id").toPandas()
     x = np.array(found["_statistics"].tolist(), np.float64).reshape(-1, len(STATISTICS))
     return rules.fit(x, found["quality"].to_numpy(np.float64))
 
