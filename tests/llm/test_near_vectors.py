@@ -55,6 +55,19 @@ def test_equals_brute_force(shipped, monkeypatch, block, cell):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got)
 
 
+def test_probes_are_the_same_however_gaps_of_cells_are_found(monkeypatch):
+    x = clustered(300, 16, 4)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    found = quantiser.Quantiser.fit(x, 40, 0.93)
+    cell, _, _ = found.encode(x)
+    gaps = np.linalg.norm(found.cells[:, None] - found.cells[None], axis=2)
+    assert np.abs(found._gaps_of(cell) - gaps[cell]).max() < 1e-6
+    kept = [p.tolist() for p in found.probes(x, cell)]
+    monkeypatch.setattr(quantiser, "KEPT_GAPS", 0)
+    assert [p.tolist() for p in found.probes(x, cell)] == kept
+    assert all(c in p for c, p in zip(cell, kept))
+
+
 def test_vectors_that_cannot_link(shipped):
     e, near = [1.0, 2.0], [1.0, 2.01]
     rows = [(0, e, 1), (1, near, 1), (2, e, 2), (3, None, 1), (4, [0.0, 0.0], 1), (5, [1.0, None], 1), (6, [float("nan"), 2.0], 1),

@@ -15,11 +15,13 @@ where links can be missed; the tests measure the recall.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 
 MARGIN = 3.5
 ROUNDS = 10
+KEPT_GAPS = 512  # cells up to which a worker keeps the distances of all pairs of cells (2 MB)
 
 
 def _kmeans(x: np.ndarray, k: int, seed: int) -> np.ndarray:
@@ -82,18 +84,27 @@ class Quantiser:
     def _join(self, code: np.ndarray, d: int) -> np.ndarray:
         return np.concatenate([book[code[:, s]] for s, book in enumerate(self.books)], 1)[:, :d]
 
+    @cached_property
+    def _square(self) -> np.ndarray:
+        return (self.cells**2).sum(1)
+
+    @cached_property
+    def _gaps(self) -> np.ndarray:
+        return self._gaps_of(np.arange(len(self.cells)))
+
+    def _gaps_of(self, cell: np.ndarray) -> np.ndarray:
+        """Distances of the cells `cell` to all cells."""
+        return np.sqrt(np.maximum(self._square[cell][:, None] + self._square - 2 * self.cells[cell] @ self.cells.T, 0))
+
     def probes(self, x: np.ndarray, cell: np.ndarray) -> list[np.ndarray]:
         """All cells that may hold a neighbour of each vector, its own included."""
-        gaps = np.sqrt(np.maximum(((self.cells[:, None] - self.cells[None]) ** 2).sum(2), 0)) if len(self.cells) <= 512 else None
         reach = MARGIN * 2 * np.sqrt(2 - 2 * self.threshold) / np.sqrt(x.shape[1])
-        square = (self.cells**2).sum(1)
         out = []
         for a in range(0, len(x), 1024):
             part, own = x[a:a + 1024], cell[a:a + 1024]
-            far = square - 2 * part @ self.cells.T
+            far = self._square - 2 * part @ self.cells.T
             extra = far - far[np.arange(len(part)), own][:, None]
-            between = gaps[own] if gaps is not None else np.sqrt(np.maximum(
-                square[own][:, None] + square - 2 * self.cells[own] @ self.cells.T, 0))
+            between = self._gaps[own] if len(self.cells) <= KEPT_GAPS else self._gaps_of(own)
             near = extra <= reach * between
             near[np.arange(len(part)), own] = True
             out += [np.flatnonzero(row) for row in near]
