@@ -45,6 +45,17 @@ def test_selection_equals_brute_force_and_ignores_neighbours():
     assert alone[7] == b"" and all(alone[i] for i in range(len(texts)) if i != 7)
 
 
+def test_packed_digests_are_lossless():
+    draw = np.random.default_rng(6)
+    filters = [np.packbits(draw.random(digest.FILTER_BITS) < p, bitorder="little").tobytes() for p in (0, 0.001, 0.01, 0.05, 0.09, 0.2, 0.5, 1)]
+    edge = np.zeros(digest.FILTER_BITS, np.uint8)
+    edge[[0, 255, 256, 511, 767, digest.FILTER_BITS - 1]] = 1
+    filters.append(np.packbits(edge, bitorder="little").tobytes())
+    for one in [b"", *filters, b"".join(filters), b"".join(filters[::-1])]:
+        assert digest.unpacked(digest.packed(one)) == one
+    assert len(digest.packed(filters[2])) < 40
+
+
 @pytest.mark.parametrize("a, b, low, high", [("x", "x", 1, 1), ("", "", 1, 1), ("", "x", 0, 0), ("short", "other", 0, 0.2)])
 def test_likeness_edges(a, b, low, high):
     rank = np.arange(digest.LEVELS)

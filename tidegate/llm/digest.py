@@ -14,7 +14,7 @@ import numpy as np
 from tidegate.llm import scan
 
 WINDOW, RUN = 64, 96
-FILTER_BYTES, PER_FILTER, HASHES = 64, 40, 5
+FILTER_BYTES, PER_FILTER, HASHES = 256, 160, 5
 FILTER_BITS = FILTER_BYTES * 8
 _SCALE = 20
 LEVELS = (384 << 2) + 2
@@ -114,6 +114,45 @@ def digests(texts: scan.Texts, rank: np.ndarray) -> list[bytes]:
     return [raw[a * FILTER_BYTES:b * FILTER_BYTES] for a, b in zip(first_filter[:-1], first_filter[1:])]
 
 
+def packed(digest: bytes) -> bytes:
+    """A shorter form of a digest: filters with few bits as gaps between their bits, which are mostly below 255.
+
+    Each filter starts with its kind: 0 for all its bytes, otherwise 1, the number of codes (two bytes) and the codes; 255 passes over
+    255 bits without one.
+    """
+    out = []
+    for a in range(0, len(digest), FILTER_BYTES):
+        raw = digest[a:a + FILTER_BYTES]
+        if int.from_bytes(raw, "little").bit_count() < FILTER_BYTES * 3 // 4:
+            places = np.flatnonzero(np.unpackbits(np.frombuffer(raw, np.uint8), bitorder="little"))
+            gaps = np.diff(places, prepend=-1) - 1
+            codes = b"".join(b"\xff" * (g // 255) + bytes((g % 255,)) for g in gaps.tolist())
+            if len(codes) + 2 < FILTER_BYTES:
+                out.append(b"\1" + len(codes).to_bytes(2, "little") + codes)
+                continue
+        out.append(b"\0" + raw)
+    return b"".join(out)
+
+
+def unpacked(raw: bytes) -> bytes:
+    out, at = [], 0
+    while at < len(raw):
+        if raw[at] == 0:
+            out.append(raw[at + 1:at + 1 + FILTER_BYTES])
+            at += 1 + FILTER_BYTES
+            continue
+        size = int.from_bytes(raw[at + 1:at + 3], "little")
+        bits, place = 0, -1
+        for code in raw[at + 3:at + 3 + size]:
+            place += code
+            if code < 255:
+                place += 1
+                bits |= 1 << place
+        out.append(bits.to_bytes(FILTER_BYTES, "little"))
+        at += 3 + size
+    return b"".join(out)
+
+
 def _matrix(digest: bytes) -> np.ndarray:
     return np.unpackbits(np.frombuffer(digest, np.uint8).reshape(-1, FILTER_BYTES), axis=1, bitorder="little")
 
