@@ -54,6 +54,9 @@ def test_packed_digests_are_lossless():
     for one in [b"", *filters, b"".join(filters), b"".join(filters[::-1])]:
         assert digest.unpacked(digest.packed(one)) == one
     assert len(digest.packed(filters[2])) < 40
+    one, other = b"".join(filters), b"".join(filters[:4] + filters[:3])
+    assert digest.unpacked(digest.packed(other, one), one) == other and digest.unpacked(digest.packed(one, other), other) == one
+    assert digest.packed(other, one)[:4] == bytes([2] * 4)
 
 
 @pytest.mark.parametrize("a, b, low, high", [("x", "x", 1, 1), ("", "", 1, 1), ("", "x", 0, 0), ("short", "other", 0, 0.2)])

@@ -114,15 +114,18 @@ def digests(texts: scan.Texts, rank: np.ndarray) -> list[bytes]:
     return [raw[a * FILTER_BYTES:b * FILTER_BYTES] for a, b in zip(first_filter[:-1], first_filter[1:])]
 
 
-def packed(digest: bytes) -> bytes:
+def packed(digest: bytes, base: bytes = b"") -> bytes:
     """A shorter form of a digest: filters with few bits as gaps between their bits, which are mostly below 255.
 
-    Each filter starts with its kind: 0 for all its bytes, otherwise 1, the number of codes (two bytes) and the codes; 255 passes over
+    Each filter starts with its kind: 2 if it is the filter of `base` at its place, 0 for all its bytes, otherwise 1, the number of codes (two bytes) and the codes; 255 passes over
     255 bits without one.
     """
     out = []
     for a in range(0, len(digest), FILTER_BYTES):
         raw = digest[a:a + FILTER_BYTES]
+        if raw == base[a:a + FILTER_BYTES]:
+            out.append(b"\2")
+            continue
         if int.from_bytes(raw, "little").bit_count() < FILTER_BYTES * 3 // 4:
             places = np.flatnonzero(np.unpackbits(np.frombuffer(raw, np.uint8), bitorder="little"))
             gaps = np.diff(places, prepend=-1) - 1
@@ -134,9 +137,13 @@ def packed(digest: bytes) -> bytes:
     return b"".join(out)
 
 
-def unpacked(raw: bytes) -> bytes:
+def unpacked(raw: bytes, base: bytes = b"") -> bytes:
     out, at = [], 0
     while at < len(raw):
+        if raw[at] == 2:
+            out.append(base[len(out) * FILTER_BYTES:(len(out) + 1) * FILTER_BYTES])
+            at += 1
+            continue
         if raw[at] == 0:
             out.append(raw[at + 1:at + 1 + FILTER_BYTES])
             at += 1 + FILTER_BYTES

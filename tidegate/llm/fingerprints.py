@@ -94,7 +94,7 @@ def _run(batches: Iterator[pa.RecordBatch], rank: np.ndarray) -> Iterator[pa.Rec
             chain = ([last] if last else []) + rows
             done = _finish([(*x, y[1], y[2]) for x, y in zip(chain, chain[1:])], rank)
             last = chain[-1]
-            out += [(*r[:3], digest.packed(r[3]), digest.packed(r[4]), *r[5:], part, "row", None, None) for r in done]
+            out += [(*r[:3], digest.packed(r[3]), digest.packed(r[4], r[3]), *r[5:], part, "row", None, None) for r in done]
             if out:
                 yield _batch(out, part)
     if last is not None:
@@ -124,8 +124,10 @@ def fingerprint(docs: DataFrame) -> DataFrame:
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = [pa.array([digest.unpacked(x) for x in batch.column(c).to_pylist()], pa.binary()) for c in (3, 4)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *prints, *batch.columns[5:]], _NAMES[:7])
+            own = [digest.unpacked(x) for x in batch.column(3).to_pylist()]
+            other = [digest.unpacked(x, base) for x, base in zip(batch.column(4).to_pylist(), own)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(own, pa.binary()), pa.array(other, pa.binary()),
+                                              *batch.columns[5:]], _NAMES[:7])
 
     rows = runs.filter("kind = 'row'").select(*[c.split()[0] for c in RESULT.split(", ")]).mapInArrow(unpack, RESULT)
     return rows.unionByName(meeting.mapInArrow(close, RESULT)).withColumn("edited_sha256", F.lower(F.hex("edited_sha256")))
