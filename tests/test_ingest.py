@@ -259,3 +259,28 @@ def test_restore_refuses_rows_that_left_the_contract(spark):
     assert contracts.restore(spec(), good).first()["price"] == Decimal("5.00")
     with pytest.raises(Exception, match="matches_contract"):
         contracts.restore(spec(), extract(spark, ("1", "five", "2026-01-01 00:00:00"))).collect()
+
+
+def test_rows_alone_with_their_key_are_planned_without_moving(spark, store):
+    s = spec()
+    ingest.run_ingestion(s, extract(spark, *[(str(i), "1", "2026-01-05") for i in range(0, 40, 3)]), store)
+    mark, table = store.watermark(s), store.table(s)
+    rows = [(str(i), "2", f"2026-01-0{1 + i % 9}", "true" if i % 5 == 0 else None) for i in range(40)]
+    rows += [(str(i), "3", "2026-01-08") for i in range(0, 40, 4)] + [("7", "9", f"2026-01-0{1 + 7 % 9}"), ("x", "1", "2026-01-01")]
+    checked = ingest.window_rows(s, extract(spark, *rows), None)
+    single, groups = ingest.single_rows(s, checked)
+    assert {r["id"] for r in single.collect()} == {i for i in range(40) if i % 4 and i != 7}
+    whole = ingest.merge_plan(s, ingest.accepted_rows(s, ingest.cursor_groups(s, checked)), table, mark)
+    parts = ingest.single_plan(s, single, table, mark).unionByName(
+        ingest.merge_plan(s, ingest.accepted_rows(s, groups), table, mark))
+    assert sorted(map(str, parts.collect())) == sorted(map(str, whole.collect()))
+    empty = IngestStore(spark, store.root + "-empty").table(s)
+    assert "Exchange hashpartitioning" not in ingest.single_plan(s, checked, empty, None)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_of_few_ranges_are_written_where_they_lie(spark, tmp_path):
+    many = extract(spark, *[(str(i), "1", f"20{20 + i % 6}-01-01 00:00:00") for i in range(60)]).repartition(3)
+    landing = Landing(spark, str(tmp_path / "landing"), "updated_at", width="yyyy").deliver(many)
+    files = list((tmp_path / "landing").rglob("*.parquet"))
+    assert landing.count() == 60 and len({f.parent.name for f in files}) == 6 and len(files) == 18  # a file for each task and folder
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"

@@ -100,12 +100,32 @@ def accepted_rows(spec: DatasetSpec, groups: DataFrame) -> DataFrame:
         *[F.col(f"_low.{c}").alias(c) if c in spec.payload() else F.col(c) for c in spec.columns])
 
 
-def quarantine_rows(spec: DatasetSpec, checked: DataFrame, groups: DataFrame) -> DataFrame:
-    """Raw rows with their problems: contract failures, then every copy of a conflict."""
+def single_rows(spec: DatasetSpec, checked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(valid rows that share their key with no other, the cursor groups of all other valid rows).
+
+    Few keys come twice as a rule. They are found by counting keys, which combines before the shuffle; a row that is
+    alone with its key needs no grouping and does not move.
+    """
+    keys = list(spec.primary_key)
+    valid = checked.filter(F.size(PROBLEMS) == 0)
+    names = [f"_k{i}" for i in range(len(keys))]
+    counted = valid.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)]).agg(F.count("*").alias("_rows"))
+    repeated = stage(counted.filter("_rows > 1").select(*names), "repeated-keys")
+    same = same_keys(valid, repeated, list(zip(keys, names)))
+    # Written before they are grouped, so that a key with many rows can be split by the join and combined by the grouping.
+    several = stage(valid.join(repeated, same, "left_semi").select(*spec.columns, PROBLEMS), "repeated-rows")
+    return valid.join(repeated, same, "left_anti").select(*spec.columns), stage(cursor_groups(spec, several), "groups")
+
+
+def quarantine_rows(spec: DatasetSpec, checked: DataFrame, groups: DataFrame, full: DataFrame | None = None) -> DataFrame:
+    """Raw rows with their problems: contract failures, then every copy of a conflict.
+
+    Where `checked` has the raw text of rejected rows only, `full` gives the checked rows with the text of every row.
+    """
     invalid = checked.filter(F.size(PROBLEMS) > 0).select(RAW, PROBLEMS, F.lit(0).alias("_kind"))
     keys = [*spec.primary_key, spec.cursor_column]
     conflicts = groups.filter("_conflict").select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
-    valid = checked.filter(F.size(PROBLEMS) == 0)
+    valid = (checked if full is None else full).filter(F.size(PROBLEMS) == 0)
     pairs = [(k, f"_k{i}") for i, k in enumerate(keys)]
     code = F.array(F.struct(F.lit(",".join(spec.primary_key)).alias("column"),
                             F.lit(contracts.DUPLICATE_KEY).alias("reason")))
@@ -135,11 +155,7 @@ def merge_plan(spec: DatasetSpec, accepted: DataFrame, target: PartitionedTarget
     # A key may bring any number of versions, and they are grouped by key right after.
     stored = target.stored(accepted, cursor).withColumnRenamed(cursor, "_stored")
     versions = sliced_join(accepted, stored, keys, [cursor])
-    changed = F.col("_stored").isNull() | (F.col(cursor) > F.col("_stored"))
-    removed = F.lit(False)
-    if spec.deletion_strategy == "tombstone" and "is_deleted" in spec.columns:
-        removed = F.coalesce(F.col("is_deleted"), F.lit(False))
-    fresh = F.lit(True) if mark is None else cursor_of(spec) > mark.literal(spec)
+    changed, removed, fresh = _version_facts(spec, mark)
     return versions.groupBy(*keys).agg(
         F.max(F.struct(cursor, *spec.payload())).alias("_newest"),
         F.count_if(changed).alias("_changed"), F.count_if(~changed).alias("_unchanged"),
@@ -148,6 +164,36 @@ def merge_plan(spec: DatasetSpec, accepted: DataFrame, target: PartitionedTarget
         F.count("_stored").alias("_known"), F.count_if(fresh).alias("_fresh"), F.max(HOME).alias(HOME))
 
 
+def single_plan(spec: DatasetSpec, single: DataFrame, target: PartitionedTarget, mark: Watermark | None) -> DataFrame:
+    """The merge plan of rows that are alone with their key: the same columns, without a grouping.
+
+    The stored keys are written first: their size decides whether the delivered rows move to meet them.
+    """
+    keys, cursor = list(spec.primary_key), spec.cursor_column
+    stored = target.stored(single, cursor)
+    names = [f"_k{i}" for i in range(len(keys))]
+    stored = stage(stored.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(cursor).alias("_stored"), HOME), "stored")
+    changed, removed, fresh = _version_facts(spec, mark)
+
+    def one(condition: Column) -> Column:
+        return F.when(condition, 1).otherwise(0).cast("bigint")
+
+    return single.join(stored, same_keys(single, stored, list(zip(keys, names))), "left").select(
+        *keys, F.struct(cursor, *spec.payload()).alias("_newest"), one(changed).alias("_changed"), one(~changed).alias("_unchanged"),
+        one(changed & removed).alias("_deleted"),
+        F.when(changed, F.struct(F.col(cursor).alias("at"), removed.alias("gone"))).alias("_first"),
+        one(F.col("_stored").isNotNull()).alias("_known"), one(fresh).alias("_fresh"), HOME)
+
+
+def _version_facts(spec: DatasetSpec, mark: Watermark | None) -> tuple[Column, Column, Column]:
+    """Whether a version beside its `_stored` cursor changes something, is a tombstone, and lies above the watermark."""
+    changed = F.col("_stored").isNull() | (F.col(spec.cursor_column) > F.col("_stored"))
+    removed = F.lit(False)
+    if spec.deletion_strategy == "tombstone" and "is_deleted" in spec.columns:
+        removed = F.coalesce(F.col("is_deleted"), F.lit(False))
+    return changed, removed, F.lit(True) if mark is None else cursor_of(spec) > mark.literal(spec)
+
+
 def plan_winners(spec: DatasetSpec, plan: DataFrame) -> DataFrame:
     """The rows the target takes over, with the range of the row they replace."""
     return plan.filter("_changed > 0").select(
@@ -248,23 +294,30 @@ def run_ingestion(spec: DatasetSpec, extract: DataFrame | Landing, store: Ingest
         return record
 
     delivered = extract.since(mark.floor(spec.lookback_hours) if mark else None) if isinstance(extract, Landing) else extract
-    checked = stage(window_rows(spec, delivered, mark), "checked")
-    groups = stage(cursor_groups(spec, checked), "groups")
+    read = window_rows(spec, delivered, mark)
+    # The raw text is the larger part of a row and is asked for again only where copies of a key differ.
+    checked = stage(read.withColumn(RAW, F.when(F.size(PROBLEMS) > 0, F.col(RAW))), "checked")
+    single, groups = single_rows(spec, checked)
     reasons = {r["reason"]: r["rows"] for r in reason_histogram(spec, checked, groups).collect()}
-    rejected = checked.agg(F.count_if(F.size(PROBLEMS) > 0).alias("n")).first()["n"]
+    seen = checked.agg(F.count_if(F.size(PROBLEMS) > 0).alias("rejected"), F.count("*").alias("rows")).first()
     ok = ~F.col("_conflict")
-    line = groups.agg(F.count_if(ok).alias("ok"), F.coalesce(F.sum(F.when(~ok, F.col("_copies"))), F.lit(0)).alias("copies")).first()
-    quarantined = rejected + line["copies"]
-    window = line["ok"] + quarantined
+    line = groups.agg(F.count_if(ok).alias("ok"), F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows"),
+                      F.coalesce(F.sum(F.when(~ok, F.col("_copies"))), F.lit(0)).alias("copies")).first()
+    quarantined = seen["rejected"] + line["copies"]
+    window = seen["rows"] - seen["rejected"] - line["rows"] + line["ok"] + quarantined
     record.update(rows_in_window=window, quarantined=quarantined, quarantine_reasons=dict(sorted(reasons.items())))
-    rows = quarantine_rows(spec, checked, groups)
+    if line["copies"]:
+        rows = quarantine_rows(spec, checked, stage(groups.filter("_conflict"), "conflicts"), read)
+    else:
+        rows = quarantine_rows(spec, checked, groups)
     if window and quarantined / window > spec.max_quarantine_ratio:
         record.update(status=FAILED, failure_code=QUARANTINE_RATIO_EXCEEDED)
         _save_quarantine(store, record, rows)
         store.save_audit(record)
         return record
 
-    plan = stage(merge_plan(spec, accepted_rows(spec, groups), table, mark), "plan")
+    several = merge_plan(spec, accepted_rows(spec, groups), table, mark)
+    plan = stage(single_plan(spec, single, table, mark).unionByName(several), "plan")
     totals = plan_totals(spec, plan).first().asDict()
     top = totals.pop("top")
     after = _later(spec, mark, Watermark(top[0], tuple(top[1:])) if top[0] is not None else None)

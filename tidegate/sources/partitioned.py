@@ -7,6 +7,9 @@ writer at a time; readers may see the folders of one write change one after the
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -16,6 +19,7 @@ from tidegate.functions.keys import same_keys
 RANGE, HOME, RUN, SAVED = "_range", "_home", "_run", "saved_ts"
 YEAR, MONTH, DAY = "yyyy", "yyyy-MM", "yyyy-MM-dd"  # how wide a range of dates is; a range should fill a few files
 NO_RANGE = "none"  # sorts after all dates
+FEW = 32  # so many folders a task fills side by side; rows of more folders are brought together first
 
 
 def range_of(value: Column, width: str) -> Column:
@@ -27,9 +31,28 @@ def _create(spark: SparkSession, path: str, schema: T.StructType, by: str) -> No
     spark.createDataFrame([], schema).write.mode("ignore").partitionBy(by).parquet(path)
 
 
-def _replace(rows: DataFrame, path: str, by: str) -> None:
+@contextmanager
+def _open_files(spark: SparkSession, most: int) -> Iterator[None]:
+    """Lets a task keep the files of so many folders open, instead of sorting its rows by folder."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, most)
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def _write(rows: DataFrame, path: str, by: str, few: bool, overwrite: str) -> None:
+    """Write rows by folder: where they lie if the folders are few, so that the files of a folder are at most the tasks."""
     # REBALANCE gives each folder few files and splits a folder that holds a large share of the rows.
-    rows.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+    placed = rows if few else rows.hint("rebalance", by)
+    with _open_files(rows.sparkSession, FEW if few else 0):
+        placed.write.mode("overwrite").option("partitionOverwriteMode", overwrite).option("compression", "zstd").partitionBy(by).parquet(path)
+
+
+def _replace(rows: DataFrame, path: str, by: str, few: bool = False) -> None:
+    _write(rows, path, by, few, "dynamic")
 
 
 class PartitionedTarget:
@@ -59,12 +82,16 @@ class PartitionedTarget:
         Only these columns are scanned, and while `asked` is small the table itself does not move.
         """
         found = self.read().select(*self.keys, *columns, F.col(RANGE).alias(HOME))
+        if found.isEmpty():
+            return found.filter(F.lit(False))  # nothing moves to meet an empty table
         wanted = asked.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(self.keys)])
         return found.join(wanted, same_keys(found, wanted, [(k, f"_k{i}") for i, k in enumerate(self.keys)]), "left_semi")
 
     def put(self, winners: DataFrame) -> list[str]:
         """Store one row per key of `winners` (columns and HOME) in place of the stored one; returns the ranges written.
 
+        HOME is the range of the stored row, as `stored` gives it, and null for a key that is not stored.
+
         Only the folders of these ranges are read and written; their number is bounded by the ranges of the table.
         `winners` is read twice, so it should be a staged table. The write replaces folders when all of its tasks are done, which
         is why it may read them.
@@ -73,9 +100,9 @@ class PartitionedTarget:
         touched = sorted(r[RANGE] for r in placed.select(RANGE).distinct().collect())
         if touched:
             old = self.read(touched)
-            lost = placed.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(self.keys)])
+            lost = winners.filter(F.col(HOME).isNotNull()).select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(self.keys)])
             kept = old.join(lost, same_keys(old, lost, [(k, f"_k{i}") for i, k in enumerate(self.keys)]), "left_anti")
-            _replace(kept.unionByName(placed), self.path, RANGE)
+            _replace(kept.unionByName(placed), self.path, RANGE, len(touched) <= FEW)
         return touched
 
 
@@ -96,7 +123,7 @@ class Landing:
             at = range_of(F.expr(casts.to_timestamp(f"cast(`{self.cursor}` AS string)")), self.width)
         rows = extract.withColumn(RANGE, at)
         self._schema = rows.schema
-        rows.hint("rebalance", RANGE).write.mode("overwrite").partitionBy(RANGE).parquet(self.path)
+        _write(rows, self.path, RANGE, self.width == YEAR, "static")
         return self
 
     @property
