@@ -105,3 +105,16 @@ def test_ids_are_read_back_and_decoded(shipped, odd_docs, no_docs, sf_dir):
     texts = {r.doc_id: r.text for r in shipped.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     rows = queries.op8_merge_dropout(shipped, sf_dir).collect()
     assert len(rows) == len(texts) and all(r.lossless and codec.decode(np.array(r.ids, np.int64)) == texts[r.doc_id] for r in rows)
+
+
+def test_the_memory_of_pieces_adds_without_copying_all_of_it():
+    from tidegate.llm.pieces import IdStore
+
+    store, copies = IdStore(10_000), set()
+    ids_of = lambda keys: (np.repeat(keys, 3).astype(np.uint32), np.full(len(keys), 3))
+    for first in range(0, 6000, 20):
+        keys = np.arange(max(first - 10, 0), first + 20, dtype=np.uint64)
+        found, sizes = store.lookup(keys, lambda new: ids_of(keys[new]))
+        assert found.tolist() == np.repeat(keys, 3).tolist() and set(sizes) == {3}
+        copies.add(id(store.ids))
+    assert len(copies) < 60  # of 300 additions

@@ -33,7 +33,8 @@ from tidegate.llm.common import stage
 from tidegate.llm.pieces import IdStore
 
 SEED, DROPOUT = 17, 0.1
-CACHE_PIECES = 700_000
+CACHE_PIECES = 500_000
+CHUNK_BYTES = 1 << 19  # text encoded at a time, which changes no result
 SHORT = 48
 DECODE_ROWS = 256  # rows decoded at a time, which changes no result
 MARK = "▁"
@@ -241,8 +242,9 @@ class Codec:
         width = int(lengths[small].max(initial=0))
         table = np.full((len(words), width), -2, np.int32)
         if width:
-            codes, inside = words.matrix(small, width)
-            table[small] = np.where(inside, self.chars[codes], -2)
+            for a in range(0, len(small), 8192):
+                codes, inside = words.matrix(small[a:a + 8192], width)
+                table[small[a:a + 8192]] = np.where(inside, self.chars[codes], -2)
         size = lengths[word]
         order = np.argsort(size, kind="stable")
         order = order[size[order] <= SHORT]
@@ -390,7 +392,7 @@ def encode_documents(docs: DataFrame, model_path: str, seed: int = SEED, dropout
         own = codec(model_path, seed, dropout)
         for batch in batches:
             keys = document_keys(batch.column(0), batch.column(2))
-            for a, b, texts in scan.text_chunks(batch.column(1)):
+            for a, b, texts in scan.text_chunks(batch.column(1), CHUNK_BYTES):
                 ids, counts = own.encode(texts, keys[a:b])
                 data, bounds = own.decode_all(ids, counts)
                 ends = np.concatenate([[0], counts.cumsum()])

@@ -22,8 +22,13 @@ class IdStore:
 
     def _add(self, keys: np.ndarray, flat: np.ndarray, lengths: np.ndarray) -> None:
         slots = np.arange(len(self.bounds) - 1, len(self.bounds) - 1 + len(lengths))
-        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + lengths.cumsum()])
-        self.ids = np.concatenate([self.ids, flat])
+        used = int(self.bounds[-1])
+        self.bounds = np.concatenate([self.bounds, used + lengths.cumsum()])
+        if used + len(flat) > len(self.ids):  # room ahead, so that most additions copy nothing and no second copy stands beside
+            room = np.empty((used + len(flat)) * 5 // 4, np.uint32)
+            room[:used] = self.ids[:used]
+            self.ids = room
+        self.ids[used:used + len(flat)] = flat
         at = np.searchsorted(self.keys, keys)
         self.keys, self.slots = np.insert(self.keys, at, keys), np.insert(self.slots, at, slots)
 
