@@ -284,3 +284,22 @@ def test_rows_of_few_ranges_are_written_where_they_lie(spark, tmp_path):
     files = list((tmp_path / "landing").rglob("*.parquet"))
     assert landing.count() == 60 and len({f.parent.name for f in files}) == 6 and len(files) == 18  # a file for each task and folder
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_the_second_day_is_accounted_from_its_landing(spark, tmp_path, monkeypatch):
+    from tidegate.plans import ingest_queries, reconcile_queries
+    from tidegate.sources import derived
+
+    at = dt.datetime(1998, 5, 1)
+    spark.createDataFrame(
+        [(i, 1, "F", at + dt.timedelta(days=i), 50000.0) for i in range(1, 13)], "o_orderkey long, o_custkey long, o_orderstatus string,"
+        " o_orderdate timestamp_ntz, o_totalprice double").write.parquet(str(tmp_path / "orders.parquet"))
+    lines = [(i, float(n) + 0.5, i * 1000.29 + n / 100) for i in range(1, 13) for n in range(1, 4)]
+    spark.createDataFrame(lines, "l_orderkey long, l_quantity double, l_extendedprice double").write.parquet(str(tmp_path / "lineitem.parquet"))
+    made = derived.payment_extract(spark, str(tmp_path), derived.SECOND_DAY)
+    want = {i: sum(int(q) * Decimal(repr(round(p, 2))) for k, q, p in lines if k == i) for i in range(1, 13)}
+    assert {int(r["order_id"]): Decimal(r["amount"]) for r in made.collect()} == want
+    monkeypatch.setattr(derived, "payment_extract", None)  # only the landings derive it
+    rows = ingest_queries.row_accounting(spark, str(tmp_path))
+    assert {(r["copies"], r["outcome"]) for r in rows.collect()} == {(1, "accepted")}
+    assert reconcile_queries.source_to_target(spark, str(tmp_path)).first()["passed"]

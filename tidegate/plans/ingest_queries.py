@@ -31,10 +31,17 @@ def extract(spark, sf_dir, spec, through) -> Landing:
     return landing.deliver(EXTRACTS[spec.dataset_id](spark, sf_dir, through))
 
 
-def two_days(spark, sf_dir, spec) -> tuple[IngestStore, list[dict]]:
+def days_of(spark, sf_dir, spec) -> tuple[IngestStore, Landing]:
+    """The store after two days, and the second day's extract as it lies at its source."""
     store = new_store(spark)
-    return store, [ingest.run_ingestion(spec, extract(spark, sf_dir, spec, through), store, label)
-                   for label, through in (("day1", FIRST_DAY), ("day2", SECOND_DAY))]
+    for label, through in (("day1", FIRST_DAY), ("day2", SECOND_DAY)):
+        landing = extract(spark, sf_dir, spec, through)
+        ingest.run_ingestion(spec, landing, store, label)
+    return store, landing
+
+
+def two_days(spark, sf_dir, spec) -> IngestStore:
+    return days_of(spark, sf_dir, spec)[0]
 
 
 AUDIT_COUNTS = ("rows_in_source", "rows_in_window", "rows_new", "inserted", "updated", "unchanged", "deleted",
@@ -112,31 +119,31 @@ def ingest_breaker(spark, sf_dir):
 
 def ingest_merge(spark, sf_dir):
     """Orders after two days."""
-    store, _ = two_days(spark, sf_dir, ORDERS)
+    store = two_days(spark, sf_dir, ORDERS)
     return plain(store.target(ORDERS))
 
 
 def ingest_counts(spark, sf_dir):
     """What each of the two days did to the orders."""
-    store, _ = two_days(spark, sf_dir, ORDERS)
+    store = two_days(spark, sf_dir, ORDERS)
     return audit_rows(store).select("label", "status", *AUDIT_COUNTS)
 
 
 def ingest_watermark(spark, sf_dir):
     """Composite watermark of the payments around each run."""
-    store, _ = two_days(spark, sf_dir, PAYMENTS)
+    store = two_days(spark, sf_dir, PAYMENTS)
     return audit_rows(store).select("label", "watermark_before", "watermark_after")
 
 
 def ingest_audit(spark, sf_dir):
     """Complete audit records of the order lines."""
-    store, _ = two_days(spark, sf_dir, ORDER_LINES)
+    store = two_days(spark, sf_dir, ORDER_LINES)
     return audit_rows(store)
 
 
 def ingest_replay(spark, sf_dir):
     """The second day delivered twice: the repeat finds nothing new."""
-    store, _ = two_days(spark, sf_dir, PAYMENTS)
+    store = two_days(spark, sf_dir, PAYMENTS)
     ingest.run_ingestion(PAYMENTS, extract(spark, sf_dir, PAYMENTS, SECOND_DAY), store, "again")
     again = audit_rows(store).filter("label = 'again'")
     rows = F.lit(store.target(PAYMENTS).count()).cast("bigint")
@@ -159,7 +166,7 @@ def ingest_day(spark, sf_dir):
 
 def live_rows(spark, sf_dir):
     """Payments that are not tombstones after two days."""
-    store, _ = two_days(spark, sf_dir, PAYMENTS)
+    store = two_days(spark, sf_dir, PAYMENTS)
     return plain(ingest.live_rows(store.target(PAYMENTS)).select("payment_id", "order_id", "amount", "settled_date"))
 
 
@@ -177,15 +184,15 @@ def replay_merge(spark, sf_dir):
 
 def row_accounting(spark, sf_dir):
     """Every payment of the second day's extract and what two days of ingestion made of it."""
-    store, _ = two_days(spark, sf_dir, PAYMENTS)
-    rows = ingest.row_accounting(PAYMENTS, derived.payment_extract(spark, sf_dir, SECOND_DAY), store.table(PAYMENTS), store.quarantine.read())
+    store, second = days_of(spark, sf_dir, PAYMENTS)
+    rows = ingest.row_accounting(PAYMENTS, second.since(None), store.table(PAYMENTS), store.quarantine.read())
     return rows.select(F.get_json_object("raw", "$.payment_id").alias("payment_id"), F.get_json_object("raw", "$.amount").alias("amount"),
                        F.get_json_object("raw", "$.updated_at").alias("updated_at"), "copies", "outcome")
 
 
 def contract_results(spark, sf_dir):
     """The runs of two days of orders with their first rejected rows."""
-    store, _ = two_days(spark, sf_dir, ORDERS)
+    store = two_days(spark, sf_dir, ORDERS)
     found = monitor.contract_results(store.audit.read(), store.quarantine.read(), 5)
     codes = F.array_join(F.transform("problems", lambda p: F.concat(p["column"], F.lit(":"), p["reason"])), ",")
     return plain(found.select("run_id", "rows_in_window", "quarantined", "place", "raw", codes.alias("problems")))
